@@ -96,3 +96,143 @@ QUERIES: dict[str, Query] = {
     "singer_rsi": singer_rsi,
     "singer_rsi_top30": singer_rsi_top30,
 }
+
+
+# ----------------------------------------------------------------------------- machines, users, revenue
+
+from ..functions.dates import days_before  # noqa: E402
+from ..operators import location, machine, revenue, users  # noqa: E402
+from ..operators.machine import clean_locations  # noqa: E402
+
+
+def _tables(spark, sf, *names):
+    return [dt.load(spark, sf, n) for n in names]
+
+
+def _brief(spark, sf):
+    return users.consumption_brief(dt.consumption(dt.load(spark, sf, "orders")))
+
+
+def _all_users(spark, sf):
+    cust = dt.load(spark, sf, "customer")
+    return users.all_users(dt.users_wechat(cust), dt.users_alipay(cust), dt.users_qq(cust), dt.users_app(cust))
+
+
+def _profiles(spark, sf):
+    return users.active_profiles(dt.logins(_events(spark, sf)), _all_users(spark, sf))
+
+
+def _machine_profile(spark, sf):
+    supplier, nation, region = _tables(spark, sf, "supplier", "nation", "region")
+    return machine.machine_profile(
+        dt.machines_a(supplier), dt.machine_locations_a(supplier), dt.machines_b(supplier),
+        dt.provinces(region), dt.cities(nation), dt.areas(nation), dt.store_map(supplier), dt.stores(nation),
+        BUSINESS_DAY,
+    )
+
+
+def _located(spark, sf, day, yesterday=None):
+    nation, region = _tables(spark, sf, "nation", "region")
+    return location.machine_location(
+        dt.user_locations(_events(spark, sf)), dt.gazetteer(nation, region), day, yesterday=yesterday
+    )
+
+
+def _locations(spark, sf):
+    prev = days_before(BUSINESS_DAY, 1)
+    return _located(spark, sf, BUSINESS_DAY, yesterday=_located(spark, sf, prev))
+
+
+def _machine_stat(spark, sf):
+    return revenue.machine_stat(
+        _machine_profile(spark, sf), _locations(spark, sf), _brief(spark, sf), _profiles(spark, sf), BUSINESS_DAY
+    )
+
+
+def consumption_brief(spark, sf):
+    return _brief(spark, sf)
+
+
+def revenue_by_machine(spark, sf):
+    return revenue.revenue_by_machine(_brief(spark, sf))
+
+
+def refund_by_machine(spark, sf):
+    return revenue.refund_by_machine(_brief(spark, sf))
+
+
+def user_union(spark, sf):
+    return _all_users(spark, sf)
+
+
+def active_profile(spark, sf):
+    return _profiles(spark, sf)
+
+
+def active_list(spark, sf):
+    return users.active_list(_profiles(spark, sf), BUSINESS_DAY)
+
+
+def new_users(spark, sf):
+    from ..sources.tables import on_day
+
+    return revenue.new_users(on_day(_profiles(spark, sf), BUSINESS_DAY), BUSINESS_DAY)
+
+
+def machine_ids(spark, sf):
+    supplier = dt.load(spark, sf, "supplier")
+    return machine.machine_ids(dt.machines_a(supplier), dt.machines_b(supplier))
+
+
+def machine_locations_clean(spark, sf):
+    return clean_locations(dt.machine_locations_a(dt.load(spark, sf, "supplier")))
+
+
+def machine_profile(spark, sf):
+    return _machine_profile(spark, sf)
+
+
+def machine_mode_location(spark, sf):
+    return location.mode_location(dt.user_locations(_events(spark, sf)), BUSINESS_DAY)
+
+
+def place_lookup(spark, sf):
+    nation, region = _tables(spark, sf, "nation", "region")
+    modes = location.mode_location(dt.user_locations(_events(spark, sf)), BUSINESS_DAY)
+    return location.locate(modes, dt.gazetteer(nation, region))
+
+
+def location_rollforward(spark, sf):
+    return _locations(spark, sf)
+
+
+def machine_stat(spark, sf):
+    return _machine_stat(spark, sf)
+
+
+def region_stat(spark, sf):
+    return revenue.region_stat(_machine_stat(spark, sf), BUSINESS_DAY)
+
+
+def merchant_share(spark, sf):
+    return revenue.merchant_share(_machine_stat(spark, sf), BUSINESS_DAY)
+
+
+QUERIES.update({
+    "consumption_brief": consumption_brief,
+    "revenue_by_machine": revenue_by_machine,
+    "refund_by_machine": refund_by_machine,
+    "user_union": user_union,
+    "active_profile": active_profile,
+    "active_list": active_list,
+    "new_users": new_users,
+    "machine_ids": machine_ids,
+    "machine_locations_clean": machine_locations_clean,
+    "machine_profile": machine_profile,
+    "machine_mode_location": machine_mode_location,
+    "place_lookup": place_lookup,
+    "location_rollforward": location_rollforward,
+    "machine_stat": machine_stat,
+    "region_stat": region_stat,
+    "merchant_share": merchant_share,
+})

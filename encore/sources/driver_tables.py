@@ -413,14 +413,14 @@ def logins(events: DataFrame) -> DataFrame:
 
 
 def user_locations(events: DataFrame) -> DataFrame:
-    """TO_YCAK_USR_LOC_D: users report the machine they stand at; errors report blanks."""
+    """TO_YCAK_USR_LOC_D: users report the machine they stand at; some errors report blanks."""
     v = F.floor("value")
-    blank = F.col("event_type") == "error"
+    blank = (F.col("event_type") == "error") & (F.col("event_id") % 4 == 0)
     return events.select(
         _s(F.col("user_id")).alias("UID"),
         _s(F.col("event_id") % MACHINE_MODULUS).alias("MID"),
-        F.when(blank, F.lit("")).otherwise(F.concat(_s(v % 4 + 30), F.lit(".5"))).alias("LAT"),
-        F.when(blank, F.lit("")).otherwise(F.concat(_s(v % 3 + 110), F.lit(".25"))).alias("LNG"),
+        F.when(blank, F.lit("")).otherwise(F.concat(_s(v % 3 + 30), F.lit(".5"))).alias("LAT"),
+        F.when(blank, F.lit("")).otherwise(F.concat(_s(v % 2 + 110), F.lit(".25"))).alias("LNG"),
         day_of("ts").alias(PARTITION_COL),
     )
 
@@ -431,8 +431,8 @@ def gazetteer(nation: DataFrame, region: DataFrame) -> DataFrame:
     joined = nation.join(region, nation["n_regionkey"] == region["r_regionkey"], "inner")
     return joined.select(
         n.cast("bigint").alias("place_id"),
-        ((n % 5) + F.lit(30.3)).cast("double").alias("lat"),
-        (F.floor(n / 5) * F.lit(0.7) + F.lit(110.0)).cast("double").alias("lng"),
+        ((n % 5 * 10 + 303).cast("double") / F.lit(10.0)).alias("lat"),
+        ((F.floor(n / 5) * 7 + 1100).cast("double") / F.lit(10.0)).alias("lng"),
         F.concat(F.col("r_name"), F.lit(" "), F.col("n_name")).alias("ADDR"),
         F.col("r_name").alias("PRVC"),
         F.col("n_name").alias("CTY"),

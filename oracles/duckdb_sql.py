@@ -194,3 +194,350 @@ LEFT JOIN tops E ON P.NBR = E.NBR""",
     "singer_rsi": f"WITH {SINGER_SCORED}\nSELECT * FROM ranked",
     "singer_rsi_top30": f"WITH {SINGER_SCORED}\nSELECT * FROM ranked WHERE RSI_RANK <= 30",
 }
+
+
+# ============================================================================ orders, users
+
+D1 = days_before(D, 1)
+
+CNSM = """cnsm AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS ID, 'T' || CAST(o_orderkey AS VARCHAR) AS TRD_ID,
+    o_custkey AS UID, CAST(o_custkey % 100 AS VARCHAR) AS MID, '2' AS PRDCD_TYPE,
+    o_orderpriority AS PAY_TYPE,
+    strftime(make_date(2024, 1, day(o_orderdate)), '%Y%m%d')
+      || lpad(CAST(o_orderkey % 24 AS VARCHAR), 2, '0') || '0000' AS ACT_TM,
+    CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE CAST(o_orderkey % 3 AS VARCHAR) END AS PKG_ID,
+    CASE WHEN o_orderstatus = 'O' THEN -1 ELSE 1 END * CAST(round(o_totalprice * 100) AS BIGINT) AS AMT,
+    CAST(o_orderkey AS VARCHAR) AS ORDR_ID,
+    CASE WHEN o_orderkey % 4 = 0 THEN 'new-year' ELSE NULL END AS ACTV_NM,
+    CAST(round(o_totalprice * 100) AS BIGINT) AS PKG_PRC, CAST(0 AS BIGINT) AS PKG_DSCNT,
+    CAST(o_orderkey % 2 AS VARCHAR) AS CPN_TYPE,
+    CASE WHEN o_orderstatus = 'F' THEN 1 WHEN o_orderstatus = 'P' THEN 2
+         WHEN o_orderkey % 2 = 0 THEN 3 ELSE 4 END AS ORDR_TYPE,
+    strftime(make_date(2024, 1, day(o_orderdate)), '%Y%m%d') AS data_dt
+  FROM orders)"""
+
+BRIEF = f"""{CNSM},
+brief AS (
+  SELECT ID, TRD_ID, CAST(UID AS VARCHAR) AS UID, MID, PRDCD_TYPE, PAY_TYPE, ACT_TM, PKG_ID,
+    CASE WHEN AMT < 0 THEN AMT * -1 ELSE AMT END AS COIN_PRC, CAST(1 AS INTEGER) AS COIN_CNT,
+    ACT_TM AS UPDATE_TM, ORDR_ID, ACTV_NM, PKG_PRC, PKG_DSCNT, CPN_TYPE,
+    CAST(CASE WHEN ORDR_TYPE = 1 THEN 0 WHEN ORDR_TYPE = 2 THEN 1
+              WHEN ORDR_TYPE = 3 THEN 2 WHEN ORDR_TYPE = 4 THEN 2 END AS INTEGER) AS ABN_TYP,
+    data_dt
+  FROM cnsm)"""
+
+
+def _by_type(abn: int, prefix: str, users: str) -> str:
+    return f"""SELECT data_dt, MID, PKG_ID, PAY_TYPE,
+  CAST(count(DISTINCT UID) AS BIGINT) AS {users},
+  CAST(sum(COIN_CNT * COIN_PRC) AS BIGINT) AS TOT_{prefix},
+  CAST(count(ORDR_ID) AS BIGINT) AS {prefix}_ORDR_CNT
+FROM brief WHERE ABN_TYP = {abn} GROUP BY data_dt, MID, PKG_ID, PAY_TYPE"""
+
+
+_USER_BASE = """cust AS (
+  SELECT c_custkey AS c, c_mktsegment AS seg,
+    CAST(c_custkey AS VARCHAR) AS UID, CAST(c_custkey % 100 AS VARCHAR) AS REG_MID,
+    CASE WHEN c_custkey % 7 = 6 THEN NULL ELSE CAST(c_nationkey % 3 AS VARCHAR) END AS GDR,
+    CAST(c_custkey % 30 + 1970 AS VARCHAR) || '-0' || CAST(c_custkey % 9 + 1 AS VARCHAR)
+      || '-1' || CAST(c_custkey % 10 AS VARCHAR) AS BIRTHDAY,
+    '138' || CAST(c_custkey + 10000000 AS VARCHAR) AS MSISDN,
+    CAST(c_nationkey AS VARCHAR) AS LOC_ID, CAST(c_custkey % 3 AS VARCHAR) AS LOG_MDE,
+    strftime(make_date(2024, 1, CAST(c_custkey % 30 + 1 AS INTEGER)), '%Y%m%d') AS REG_DT,
+    lpad(CAST(c_custkey % 24 AS VARCHAR), 2, '0') || '1500' AS REG_TM,
+    CAST(c_custkey % 1000 AS INTEGER) AS USR_EXP, CAST(c_nationkey * 10 AS INTEGER) AS SCORE,
+    CAST(c_custkey % 5 + 1 AS INTEGER) AS LEVEL
+  FROM customer)"""
+
+
+def _channel(code: str, prefix: str, seg: str, log_mode="LOG_MDE", score="SCORE", utype="'2'",
+             cert="CAST(NULL AS VARCHAR)", stdnt="CAST(NULL AS VARCHAR)") -> str:
+    return f"""SELECT UID, REG_MID, '{code}' AS REG_CHNL, '{prefix}' || UID AS REF_UID, GDR, BIRTHDAY, MSISDN,
+    LOC_ID, {log_mode} AS LOG_MDE, REG_DT, REG_TM, USR_EXP, {score} AS SCORE, LEVEL,
+    {utype} AS USR_TYPE, {cert} AS IS_CERT, {stdnt} AS IS_STDNT
+  FROM cust WHERE seg = '{seg}'"""
+
+
+USERS = f"""{_USER_BASE},
+users AS (
+  {_channel('1', 'wx_', 'AUTOMOBILE')}
+  UNION ALL
+  {_channel('2', 'ali_', 'BUILDING', utype="CASE WHEN c % 3 = 1 THEN '1' ELSE '2' END",
+            cert="CASE WHEN c % 2 = 0 THEN '1' ELSE '0' END", stdnt="CASE WHEN c % 5 = 0 THEN '1' ELSE '0' END")}
+  UNION ALL
+  {_channel('3', 'qq_', 'FURNITURE')}
+  UNION ALL
+  {_channel('4', 'app_', 'MACHINERY', log_mode='CAST(NULL AS VARCHAR)', score='CAST(0 AS INTEGER)')})"""
+
+PROFILES = f"""{USERS},
+logins AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS UID, strftime(ts, '%Y%m%d') AS data_dt FROM events),
+profiles AS (
+  SELECT L.UID, U.REG_MID, U.REG_CHNL, U.REF_UID, U.GDR, U.BIRTHDAY, U.MSISDN, U.LOC_ID, U.LOG_MDE,
+         U.REG_DT, U.REG_TM, U.USR_EXP, U.SCORE, U.LEVEL, U.USR_TYPE, U.IS_CERT, U.IS_STDNT, L.data_dt
+  FROM logins L LEFT JOIN users U ON L.UID = U.UID)"""
+
+NEWU = f"""newu AS (
+  SELECT REG_MID AS MID, CAST(count(UID) AS BIGINT) AS NEW_USR_CNT FROM profiles
+  WHERE data_dt = '{D}' AND REG_DT = '{D}' GROUP BY REG_MID)"""
+
+# ============================================================================ machines
+
+# expected (province, city) of each stand-in address, worked out by hand from the rules
+_ADDR_ROWS = [
+    ("山西省太原市小店区", "山西", "太原"),
+    ("北京市朝阳区", "北京", "朝阳"),
+    ("重庆市城口县", "重庆", "城口"),
+    ("内蒙古自治区包头市", "内蒙古", "包头"),
+    ("新疆维吾尔自治区伊犁哈萨克自治州", "新疆", "伊犁哈萨克自治"),
+    ("四川省甘孜州", "四川", "甘孜"),
+    ("西藏自治区拉萨市", "西藏", "拉萨"),
+    ("上海市浦东新区", "上海", "浦东新"),
+    ("天津市和平区", "天津", "和平"),
+    ("广西壮族自治区南宁市青秀区", "广西", "南宁"),
+    ("宁夏回族自治区银川市兴庆区", "宁夏", "银川"),
+    ("广东省深圳市南山区", "广东", "深圳"),
+    ("浙江省杭州市西湖区", "浙江", "杭州"),
+    ("江西省南昌市红谷滩区", "江西", "南昌"),
+    ("湖北省武汉市洪山区", "湖北", "武汉"),
+    ("重庆市渝中区", "重庆", "渝中"),
+    ("新疆维吾尔自治区乌鲁木齐市天山区", "新疆", "乌鲁木齐"),
+    ("江苏省南京市鼓楼区", "江苏", "南京"),
+    ("香港特别行政区", "", ""),
+    ("福建省厦门市思明区", "福建", "厦门"),
+    ("湖南省长沙市岳麓区", "湖南", "长沙"),
+    ("云南省大理白族自治州", "云南", "大理白族自治"),
+    ("山东省青岛市市南区", "山东", "青岛"),
+    ("河南省郑州市金水区", "河南", "郑州"),
+    ("吉林省延边朝鲜族自治州", "吉林", "延边朝鲜族自治"),
+]
+_ADDR_VALUES = ",\n    ".join(f"({i}, '{a}', '{p}', '{c}')" for i, (a, p, c) in enumerate(_ADDR_ROWS))
+
+MACHINES = f"""sup AS (
+  SELECT s_suppkey AS s, s_name, s_nationkey, s_acctbal, CAST(s_suppkey AS VARCHAR) AS MID FROM supplier),
+addr AS (SELECT * FROM (VALUES
+    {_ADDR_VALUES}) t(nk, ADDR, P, C)),
+mac_a AS (
+  SELECT MID, s_name AS SRL_ID, 'HW' || MID AS HARD_ID, 'S' || CAST(s_nationkey AS VARCHAR) AS SONG_WHSE_VER,
+    'E' || CAST(s % 3 AS VARCHAR) AS EXEC_VER, 'U1' AS UI_VER,
+    CASE WHEN s_acctbal >= 0 THEN '1' ELSE '0' END AS STS,
+    '202401' || lpad(CAST(s % 30 + 1 AS VARCHAR), 2, '0') || '083000' AS CUR_LOGIN_TM,
+    CASE WHEN s % 2 = 0 THEN '1' ELSE '0' END AS PAY_SW,
+    CASE WHEN s % 3 = 0 THEN '0' ELSE '1' END AS IS_ONLINE
+  FROM sup WHERE s % 4 <> 3),
+loc_all AS (
+  SELECT MID,
+    CASE WHEN s % 5 IN (0, 1) THEN '江西' ELSE addr.P END AS PRVC,
+    CASE WHEN s % 5 IN (0, 2) THEN '南昌' ELSE addr.C END AS CTY,
+    CASE WHEN s % 7 = 0 THEN NULL ELSE addr.ADDR || '-' || MID END AS ADDR_FMT,
+    CASE s % 3 WHEN 0 THEN '20230105093000' WHEN 1 THEN '20230105000000' ELSE '19700101000000' END AS REV_TM,
+    CASE s % 4 WHEN 0 THEN '20221201000000' WHEN 1 THEN '19700101000000' ELSE '20221201120000' END AS SALE_TM
+  FROM sup JOIN addr ON sup.s_nationkey = addr.nk WHERE s % 3 <> 2),
+loc AS (SELECT * FROM loc_all WHERE PRVC <> '' AND CTY <> ''),
+mac_b AS (
+  SELECT MID, CASE WHEN s % 6 = 1 THEN 1 ELSE 2 END AS PRDCT_TYPE, 'KTV-' || MID AS MAC_NM,
+    CASE WHEN s % 5 = 0 THEN '联营版' ELSE '标准版' END AS PKG_NM,
+    CAST((s * 7) % 150 AS DOUBLE) AS INV_RATE, CAST(s % 10 AS DOUBLE) AS AGE_RATE,
+    CAST(20 AS DOUBLE) AS COM_RATE,
+    CASE WHEN s % 9 = 0 THEN NULL ELSE CAST(s % 3 AS DOUBLE) END AS PAR_RATE,
+    CASE WHEN s % 2 = 0 THEN '1' ELSE '0' END AS IS_ACTV,
+    CASE s % 3 WHEN 0 THEN '20230301101010' WHEN 1 THEN '20230301000000' ELSE '19700101000000' END AS ACTV_TM,
+    CASE WHEN s % 3 = 0 THEN '0' ELSE '1' END AS HAD_MPAY_FUNC,
+    CAST(s_nationkey % 5 AS VARCHAR) AS SCENE_PRVC_ID, CAST(s_nationkey AS VARCHAR) AS SCENE_CTY_ID,
+    CAST((s_nationkey + 1) % 25 AS VARCHAR) AS SCENE_AREA_ID,
+    CASE WHEN s % 10 = 0 THEN NULL ELSE 'No.' || MID || ' Jiefang Rd ' END AS SCENE_ADDR,
+    s_name AS GROUND_NM
+  FROM sup WHERE s % 4 <> 0),
+prov AS (SELECT CAST(r_regionkey AS VARCHAR) AS PRVC_ID, r_name AS PRVC FROM region),
+city AS (SELECT CAST(n_nationkey AS VARCHAR) AS CTY_ID, n_name AS CTY FROM nation),
+area AS (SELECT CAST(n_nationkey AS VARCHAR) AS AREA_ID, n_name || '-district' AS AREA FROM nation),
+smap AS (SELECT MID, CAST(s_nationkey AS VARCHAR) AS STORE_ID FROM sup WHERE s % 8 <> 7),
+store AS (
+  SELECT CAST(n_nationkey AS VARCHAR) AS ID, 'store-' || n_name AS GROUND_NM,
+    CASE WHEN n_regionkey % 2 = 0 THEN 'KTV' ELSE 'Mall' END AS TAG_NM,
+    'tag-' || CAST(n_regionkey AS VARCHAR) AS SUB_TAG_NM,
+    'catgy-' || CAST(n_nationkey % 3 AS VARCHAR) AS SUB_SCENE_CATGY_NM,
+    'scene-' || CAST(n_nationkey % 4 AS VARCHAR) AS SUB_SCENE_NM,
+    'brand-' || CAST(n_regionkey AS VARCHAR) AS BRND_NM,
+    'sub-brand-' || CAST(n_nationkey AS VARCHAR) AS SUB_BRND_NM
+  FROM nation),
+ids AS (SELECT MID FROM mac_a UNION SELECT MID FROM mac_b),
+ycak AS (
+  SELECT T.MID, A.SRL_ID, A.HARD_ID, A.SONG_WHSE_VER, A.EXEC_VER, A.UI_VER, A.STS, A.CUR_LOGIN_TM,
+         A.PAY_SW, A.IS_ONLINE, L.PRVC, L.CTY, L.ADDR_FMT, L.REV_TM, L.SALE_TM
+  FROM ids T LEFT JOIN mac_a A ON T.MID = A.MID LEFT JOIN loc L ON T.MID = L.MID),
+ycbk AS (
+  SELECT T.MID, B.MAC_NM, B.PKG_NM, B.INV_RATE, B.AGE_RATE, B.COM_RATE, B.PAR_RATE, B.IS_ACTV,
+         B.ACTV_TM, B.HAD_MPAY_FUNC AS PAY_SW, P.PRVC, C.CTY, AR.AREA,
+         B.SCENE_ADDR || B.GROUND_NM AS ADDR, ST.GROUND_NM AS STORE_NM, ST.TAG_NM, ST.SUB_TAG_NM,
+         ST.SUB_SCENE_CATGY_NM, ST.SUB_SCENE_NM, ST.BRND_NM, ST.SUB_BRND_NM
+  FROM ids T LEFT JOIN mac_b B ON T.MID = B.MID
+  LEFT JOIN prov P ON B.SCENE_PRVC_ID = P.PRVC_ID
+  LEFT JOIN city C ON B.SCENE_CTY_ID = C.CTY_ID
+  LEFT JOIN area AR ON B.SCENE_AREA_ID = AR.AREA_ID
+  LEFT JOIN smap SM ON T.MID = SM.MID
+  LEFT JOIN store ST ON SM.STORE_ID = ST.ID),
+profile AS (
+  SELECT Y.MID, K.MAC_NM, Y.SONG_WHSE_VER, Y.EXEC_VER, Y.UI_VER, Y.HARD_ID, Y.SALE_TM, Y.REV_TM,
+    K.STORE_NM AS OPER_NM,
+    CASE WHEN Y.PRVC IS NULL THEN K.PRVC ELSE Y.PRVC END AS PRVC,
+    CASE WHEN Y.CTY IS NULL THEN K.CTY ELSE Y.CTY END AS CTY,
+    K.AREA,
+    CASE WHEN Y.ADDR_FMT IS NULL THEN K.ADDR ELSE Y.ADDR_FMT END AS ADDR,
+    K.STORE_NM, K.TAG_NM AS SCENCE_CATGY, K.SUB_SCENE_CATGY_NM AS SUB_SCENCE_CATGY,
+    K.SUB_TAG_NM AS SCENE, K.SUB_SCENE_NM AS SUB_SCENE, K.BRND_NM AS BRND, K.SUB_BRND_NM AS SUB_BRND,
+    K.PKG_NM AS PRDCT_NM, CAST(2 AS INTEGER) AS PRDCT_TYP,
+    CASE WHEN K.PKG_NM = '联营版' THEN '联营' WHEN K.INV_RATE < 100 THEN '联营' ELSE '卖断' END AS BUS_MODE,
+    K.INV_RATE, K.AGE_RATE, K.COM_RATE, K.PAR_RATE,
+    CASE WHEN Y.STS IS NULL THEN K.IS_ACTV ELSE Y.STS END AS IS_ACTV,
+    K.ACTV_TM,
+    CASE WHEN Y.PAY_SW IS NULL THEN K.PAY_SW ELSE Y.PAY_SW END AS PAY_SW,
+    K.STORE_NM AS PRTN_NM, Y.CUR_LOGIN_TM, '{D}' AS data_dt
+  FROM ycak Y LEFT JOIN ycbk K ON Y.MID = K.MID)"""
+
+# ============================================================================ locations
+
+_PLACE = [
+    "ADDR", "PRVC", "CTY", "CTY_CD", "DISTRICT", "AD_CD", "TOWN_SHIP", "TOWN_CD", "NB_NM", "NB_TP",
+    "BD_NM", "BD_TP", "STREET", "STREET_NB", "STREET_LOC", "STREET_DRCTION", "STREET_DSTANCE", "BUS_INFO",
+]
+
+GAZ = """uloc AS (
+  SELECT CAST(user_id AS VARCHAR) AS UID, CAST(event_id % 100 AS VARCHAR) AS MID,
+    CASE WHEN event_type = 'error' AND event_id % 4 = 0 THEN ''
+         ELSE CAST(CAST(floor(value) AS BIGINT) % 3 + 30 AS VARCHAR) || '.5' END AS LAT,
+    CASE WHEN event_type = 'error' AND event_id % 4 = 0 THEN ''
+         ELSE CAST(CAST(floor(value) AS BIGINT) % 2 + 110 AS VARCHAR) || '.25' END AS LNG,
+    strftime(ts, '%Y%m%d') AS data_dt
+  FROM events),
+gaz AS (
+  SELECT CAST(n_nationkey AS BIGINT) AS place_id,
+    CAST(n_nationkey % 5 * 10 + 303 AS DOUBLE) / CAST(10 AS DOUBLE) AS lat,
+    CAST(floor(n_nationkey / 5) * 7 + 1100 AS DOUBLE) / CAST(10 AS DOUBLE) AS lng,
+    r_name || ' ' || n_name AS ADDR, r_name AS PRVC, n_name AS CTY, CAST(n_nationkey AS VARCHAR) AS CTY_CD,
+    n_name || '-D' AS DISTRICT, CAST(n_nationkey + 100000 AS VARCHAR) AS AD_CD,
+    'town-' || CAST(n_nationkey % 4 AS VARCHAR) AS TOWN_SHIP, CAST(n_nationkey * 1000 AS VARCHAR) AS TOWN_CD,
+    'nb-' || CAST(n_nationkey AS VARCHAR) AS NB_NM, 'residential' AS NB_TP,
+    'bd-' || CAST(n_nationkey AS VARCHAR) AS BD_NM, 'mall' AS BD_TP,
+    n_name || ' Street' AS STREET, CAST(n_nationkey % 9 + 1 AS VARCHAR) AS STREET_NB,
+    CAST(n_nationkey AS VARCHAR) AS STREET_LOC, 'N' AS STREET_DRCTION,
+    CAST(n_nationkey * 10 AS VARCHAR) AS STREET_DSTANCE, '[]' AS BUS_INFO
+  FROM nation JOIN region ON n_regionkey = r_regionkey)"""
+
+
+def _modes(name: str, day: str) -> str:
+    lo = days_before(day, 30)
+    return f"""{name}_counts AS (
+  SELECT MID, LAT AS X, LNG AS Y, count(*) AS CNT
+  FROM (SELECT DISTINCT UID, MID, LAT, LNG FROM uloc WHERE data_dt BETWEEN '{lo}' AND '{day}')
+  GROUP BY MID, LAT, LNG),
+{name} AS (
+  SELECT MID, X, Y, CAST(CNT AS INTEGER) AS CNT FROM (
+    SELECT *, row_number() OVER (PARTITION BY MID ORDER BY CNT DESC, X, Y) AS rk FROM {name}_counts)
+  WHERE rk = 1 AND X <> '' AND Y <> '')"""
+
+
+def _located(name: str, modes: str) -> str:
+    place_cols = ", ".join(f"coalesce(b.{c}, '') AS {c}" for c in _PLACE)
+    return f"""{name}_dist AS (
+  SELECT m.MID, g.*, 2 * 6371.0088 * asin(least(1.0, sqrt(
+      pow(sin((radians(g.lat) - radians(CAST(m.X AS DOUBLE))) / 2), 2)
+      + cos(radians(CAST(m.X AS DOUBLE))) * cos(radians(g.lat))
+        * pow(sin((radians(g.lng) - radians(CAST(m.Y AS DOUBLE))) / 2), 2)))) AS d
+  FROM {modes} m, gaz g),
+{name}_best AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY MID ORDER BY d, place_id) AS rk FROM {name}_dist)
+  WHERE rk = 1),
+{name} AS (
+  SELECT m.MID, m.X, m.Y, m.CNT, {place_cols}
+  FROM {modes} m LEFT JOIN {name}_best b ON m.MID = b.MID)"""
+
+
+LOCATIONS = f"""{GAZ},
+{_modes('modes_d', D)},
+{_modes('modes_y', D1)},
+{_located('today', 'modes_d')},
+{_located('yest', 'modes_y')},
+locations AS (
+  SELECT *, '{D}' AS data_dt FROM today
+  UNION ALL
+  SELECT Y.*, '{D}' AS data_dt FROM yest Y WHERE Y.MID NOT IN (SELECT MID FROM today))"""
+
+STAT = f"""{BRIEF},
+{PROFILES},
+{NEWU},
+{MACHINES},
+{LOCATIONS},
+brief_d AS (SELECT * FROM brief WHERE data_dt = '{D}'),
+rev AS (
+  SELECT MID, PKG_ID, PAY_TYPE, count(DISTINCT UID) AS CNSM_USR_CNT, sum(COIN_CNT * COIN_PRC) AS TOT_REV,
+         count(ORDR_ID) AS REV_ORDR_CNT
+  FROM brief_d WHERE ABN_TYP = 0 GROUP BY MID, PKG_ID, PAY_TYPE),
+ref AS (
+  SELECT MID, PKG_ID, PAY_TYPE, count(DISTINCT UID) AS REF_USR_CNT, sum(COIN_CNT * COIN_PRC) AS TOT_REF,
+         count(ORDR_ID) AS REF_ORDR_CNT
+  FROM brief_d WHERE ABN_TYP = 2 GROUP BY MID, PKG_ID, PAY_TYPE),
+stat AS (
+  SELECT A.MID, A.MAC_NM, A.PRDCT_TYP, A.STORE_NM, A.BUS_MODE, A.PAY_SW, A.SCENCE_CATGY,
+    A.SUB_SCENCE_CATGY, A.SCENE, A.SUB_SCENE, A.BRND, A.SUB_BRND,
+    coalesce(B.PRVC, A.PRVC) AS PRVC, coalesce(B.CTY, A.CTY) AS CTY, coalesce(B.DISTRICT, A.AREA) AS AREA,
+    A.PRTN_NM AS AGE_ID, A.INV_RATE, A.AGE_RATE, A.COM_RATE, A.PAR_RATE, C.PKG_ID, C.PAY_TYPE,
+    CAST(coalesce(C.CNSM_USR_CNT, 0) AS BIGINT) AS CNSM_USR_CNT,
+    CAST(coalesce(R.REF_USR_CNT, 0) AS BIGINT) AS REF_USR_CNT,
+    CAST(coalesce(E.NEW_USR_CNT, 0) AS BIGINT) AS NEW_USR_CNT,
+    CAST(coalesce(C.REV_ORDR_CNT, 0) AS BIGINT) AS REV_ORDR_CNT,
+    CAST(coalesce(R.REF_ORDR_CNT, 0) AS BIGINT) AS REF_ORDR_CNT,
+    CAST(coalesce(C.TOT_REV, 0) AS BIGINT) AS TOT_REV,
+    CAST(coalesce(R.TOT_REF, 0) AS BIGINT) AS TOT_REF,
+    '{D}' AS data_dt
+  FROM profile A
+  LEFT JOIN locations B ON A.MID = B.MID
+  LEFT JOIN rev C ON A.MID = C.MID
+  LEFT JOIN ref R ON A.MID = R.MID AND C.MID = R.MID AND C.PKG_ID = R.PKG_ID AND C.PAY_TYPE = R.PAY_TYPE
+  LEFT JOIN newu E ON A.MID = E.MID)"""
+
+_MONEY = "DECIMAL(18,4)"
+
+ORACLES.update({
+    "consumption_brief": f"WITH {BRIEF}\nSELECT * FROM brief",
+    "revenue_by_machine": f"WITH {BRIEF}\n{_by_type(0, 'REV', 'CNSM_USR_CNT')}",
+    "refund_by_machine": f"WITH {BRIEF}\n{_by_type(2, 'REF', 'REF_USR_CNT')}",
+    "user_union": f"WITH {USERS}\nSELECT * FROM users",
+    "active_profile": f"WITH {PROFILES}\nSELECT * FROM profiles",
+    "active_list": f"""WITH {PROFILES}
+SELECT A.UID,
+  CASE WHEN B.REG_CHNL = '1' THEN '微信' WHEN B.REG_CHNL = '2' THEN '支付宝'
+       WHEN B.REG_CHNL = '3' THEN 'QQ' WHEN B.REG_CHNL = '4' THEN 'APP' ELSE '未知' END AS REG_CHNL,
+  B.REF_UID,
+  CASE WHEN B.GDR = '0' THEN '不明' WHEN B.GDR = '1' THEN '男' WHEN B.GDR = '2' THEN '女' ELSE '不明' END AS GDR,
+  B.BIRTHDAY, B.MSISDN, B.REG_DT, B.LEVEL
+FROM (SELECT UID, count(DISTINCT data_dt) AS c FROM profiles
+      WHERE data_dt BETWEEN '{D7}' AND '{D}' GROUP BY UID HAVING count(DISTINCT data_dt) = 7) A,
+     profiles B
+WHERE B.data_dt = '{D}' AND A.UID = B.UID""",
+    "new_users": f"WITH {PROFILES},\n{NEWU}\nSELECT * FROM newu",
+    "machine_ids": f"WITH {MACHINES}\nSELECT MID FROM ids",
+    "machine_locations_clean": f"WITH {MACHINES}\nSELECT * FROM loc",
+    "machine_profile": f"WITH {MACHINES}\nSELECT * FROM profile",
+    "machine_mode_location": f"WITH {GAZ},\n{_modes('modes_d', D)}\nSELECT * FROM modes_d",
+    "place_lookup": f"WITH {GAZ},\n{_modes('modes_d', D)},\n{_located('today', 'modes_d')}\nSELECT * FROM today",
+    "location_rollforward": f"WITH {LOCATIONS}\nSELECT * FROM locations",
+    "machine_stat": f"WITH {STAT}\nSELECT * FROM stat",
+    "region_stat": f"""WITH {STAT}
+SELECT PRVC, CTY, CAST(count(MID) AS BIGINT) AS MAC_CNT, CAST(count(DISTINCT MID) AS BIGINT) AS MAC_DISTINCT_CNT,
+  CAST(sum(TOT_REV) AS {_MONEY}) AS MAC_REV, CAST(sum(TOT_REF) AS {_MONEY}) AS MAC_REF,
+  CAST(sum(REV_ORDR_CNT) AS BIGINT) AS MAC_REV_ORDR_CNT, CAST(sum(REF_ORDR_CNT) AS BIGINT) AS MAC_REF_ORDR_CNT,
+  CAST(sum(CNSM_USR_CNT) AS BIGINT) AS MAC_CNSM_USR_CNT, CAST(sum(REF_USR_CNT) AS BIGINT) AS MAC_REF_USR_CNT,
+  '{D}' AS data_dt
+FROM stat WHERE data_dt = '{D}' GROUP BY PRVC, CTY""",
+    "merchant_share": f"""WITH {STAT}
+SELECT AGE_ID AS ADMIN_ID, PAY_TYPE,
+  CAST(sum(REV_ORDR_CNT) AS BIGINT) AS REV_ORDR_CNT, CAST(sum(REF_ORDR_CNT) AS BIGINT) AS REF_ORDR_CNT,
+  CAST(sum(TOT_REV) AS DOUBLE) AS TOT_REV, CAST(sum(TOT_REF) AS DOUBLE) AS TOT_REF,
+  CAST(sum(TOT_REV * coalesce(INV_RATE, 0)) AS {_MONEY}) AS TOT_INV_REV,
+  CAST(sum(TOT_REV * coalesce(AGE_RATE, 0)) AS {_MONEY}) AS TOT_AGE_REV,
+  CAST(sum(TOT_REV * coalesce(COM_RATE, 0)) AS {_MONEY}) AS TOT_COM_REV,
+  CAST(sum(TOT_REV * coalesce(PAR_RATE, 0)) AS {_MONEY}) AS TOT_PAR_REV,
+  '{D}' AS data_dt
+FROM stat WHERE data_dt = '{D}' GROUP BY AGE_ID, PAY_TYPE""",
+})
