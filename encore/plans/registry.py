@@ -236,3 +236,36 @@ QUERIES.update({
     "region_stat": region_stat,
     "merchant_share": merchant_share,
 })
+
+
+# ----------------------------------------------------------------------------- streaming twins (batch)
+
+from ..streaming import windows as sw  # noqa: E402
+
+
+def _records(spark, sf):
+    return dt.play_records(_events(spark, sf))
+
+
+def pv_sliding(spark, sf):
+    return sw.pv_counts(_records(spark, sf))
+
+
+def uv_batch5s(spark, sf):
+    return sw.uv_batch_counts(_records(spark, sf))
+
+
+def uv_exact(spark, sf):
+    return sw.uv_exact_counts(_records(spark, sf))
+
+
+def hot_songs(spark, sf):
+    return sw.top_songs(sw.song_counts(_records(spark, sf)))
+
+
+QUERIES.update({
+    "pv_sliding": pv_sliding,
+    "uv_batch5s": uv_batch5s,
+    "uv_exact": uv_exact,
+    "hot_songs": hot_songs,
+})

@@ -123,10 +123,11 @@ def client_log_lines(events: DataFrame) -> DataFrame:
 
 
 def play_records(events: DataFrame) -> DataFrame:
-    """Stream records (both topics): time, machine, user, song id and name."""
+    """Stream records (both topics): event time (UTC ``TIMESTAMP``, as watermarks
+    require), machine, user, song id and name."""
     song = F.get_json_object("props", "$.k")
     return events.select(
-        F.col("ts"),
+        F.col("ts").cast("timestamp").alias("ts"),
         _s(F.col("user_id") % MACHINE_MODULUS).alias("mid"),
         _s(F.col("user_id")).alias("uid"),
         song.alias("songid"),

@@ -541,3 +541,42 @@ SELECT AGE_ID AS ADMIN_ID, PAY_TYPE,
   '{D}' AS data_dt
 FROM stat WHERE data_dt = '{D}' GROUP BY AGE_ID, PAY_TYPE""",
 })
+
+
+# ============================================================================ streaming twins
+
+RECORDS = """rec AS (
+  SELECT epoch_us(ts) AS t, CAST(user_id % 100 AS VARCHAR) AS mid, CAST(user_id AS VARCHAR) AS uid,
+         'song-' || json_extract_string(props, '$.k') AS songname
+  FROM events)"""
+
+
+def _windows(src: str, time_col: str, size_s: int, slide_s: int, cols: str) -> str:
+    """Every sliding window [start, start + size) holding ``time_col`` (microseconds)."""
+    size, slide = size_s * 1_000_000, slide_s * 1_000_000
+    n = size_s // slide_s
+    return f"""SELECT make_timestamp(s) AS window_start, make_timestamp(s + {size}) AS window_end, {cols}
+  FROM (SELECT *, ({time_col} - ({time_col} % {slide})) - k * {slide} AS s
+        FROM {src}, range(0, {n}) r(k))
+  WHERE s <= {time_col} AND {time_col} < s + {size}"""
+
+
+ORACLES.update({
+    "pv_sliding": f"""WITH {RECORDS},
+w AS ({_windows('rec', 't', 60, 5, 'mid')})
+SELECT window_start, window_end, mid, CAST(count(*) AS BIGINT) AS pv FROM w GROUP BY ALL""",
+    "uv_batch5s": f"""WITH {RECORDS},
+b AS (SELECT DISTINCT t - (t % 5000000) + 4999999 AS bt, mid, uid FROM rec),
+w AS ({_windows('b', 'bt', 60, 5, 'mid, uid')})
+SELECT window_start, window_end, mid, CAST(count(*) AS BIGINT) AS uv FROM w GROUP BY window_start, window_end, mid""",
+    "uv_exact": f"""WITH {RECORDS},
+w AS ({_windows('rec', 't', 60, 5, 'mid, uid')})
+SELECT window_start, window_end, mid, CAST(count(DISTINCT uid) AS BIGINT) AS uv FROM w GROUP BY ALL""",
+    "hot_songs": f"""WITH {RECORDS},
+w AS ({_windows('rec', 't', 60, 20, 'songname')}),
+c AS (SELECT window_start, window_end, songname, CAST(count(*) AS BIGINT) AS times FROM w GROUP BY ALL)
+SELECT * FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY window_start, window_end ORDER BY times DESC, songname)
+                 AS INTEGER) AS rank FROM c)
+WHERE rank <= 30""",
+})
