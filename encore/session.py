@@ -19,6 +19,8 @@ CORE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # data_dt=20240130 directories stay strings (no integer inference)
+    "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
