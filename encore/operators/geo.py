@@ -27,7 +27,6 @@ from pyspark.sql import functions as F
 
 # fixed value: mean Earth radius (km)
 EARTH_RADIUS_KM = 6371.0088
-DEFAULT_STEP_DEG = 0.25
 
 
 def haversine_km(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Column:
@@ -50,6 +49,13 @@ def _guard_km(lat: Column, step: float) -> Column:
     return F.least(along_meridian, across)
 
 
+def mean_spacing(bounds, floor_deg: float = 1e-4, cap_deg: float = 90.0) -> float:
+    """Average distance between places, in degrees, from their bounding box."""
+    height = max(bounds["lat1"] - bounds["lat0"], floor_deg)
+    width = max(bounds["lng1"] - bounds["lng0"], floor_deg)
+    return min(max(math.sqrt(height * width / bounds["n"]), floor_deg), cap_deg)
+
+
 def _materialize(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     if spark.conf.get("spark.checkpoint.dir", None):
@@ -65,16 +71,27 @@ def nearest_place(
     lat: str,
     lng: str,
     place_cols: list[str],
-    step: float = DEFAULT_STEP_DEG,
-    max_levels: int = 16,
+    step: float | None = None,
+    max_levels: int = 24,
 ) -> DataFrame:
-    """``points(key, lat, lng)`` -> ``(key, place_id, distance_km, *place_cols)``.
+    """``points`` -> every point column + ``place_id, distance_km, *place_cols``.
 
     Every point with a usable coordinate gets the exact nearest place; a
-    point with no coordinate (or an empty gazetteer) gets NULLs.
+    point with no coordinate (or an empty gazetteer) gets NULLs.  Without
+    ``step`` the first cell size is the mean place spacing (bounding-box
+    area / place count), so a cell holds about one place whatever the
+    gazetteer's density; the result is exact for any step.
+
+    Per level one result is materialised (checkpoint under
+    ``spark.checkpoint.dir`` when set): it holds the resolved points and the
+    ones that move on, so no level is computed twice.
     """
+    point_cols = points.columns
     pts = points.select(
-        F.col(key).alias("_k"), F.col(lat).cast("double").alias("_lat"), F.col(lng).cast("double").alias("_lng")
+        F.col(key).alias("_k"),
+        F.col(lat).cast("double").alias("_lat"),
+        F.col(lng).cast("double").alias("_lng"),
+        F.struct(*[F.col(c) for c in point_cols]).alias("_p"),
     )
     plc = places.select(
         F.col("place_id"), F.col("lat").alias("_plat"), F.col("lng").alias("_plng"), *place_cols
@@ -82,55 +99,58 @@ def nearest_place(
     bounds = plc.agg(
         F.min("_plat").alias("lat0"), F.max("_plat").alias("lat1"),
         F.min("_plng").alias("lng0"), F.max("_plng").alias("lng1"),
+        F.count(F.lit(1)).alias("n"),
     ).first()
-    usable = pts.where(F.col("_lat").isNotNull() & F.col("_lng").isNotNull())
-    if bounds is None or bounds["lat0"] is None:
-        found = usable.limit(0)
-        parts: list[DataFrame] = []
-    else:
-        parts = []
-        pending = usable
+    usable = F.col("_lat").isNotNull() & F.col("_lng").isNotNull()
+    empty_place = [
+        F.lit(None).cast("bigint").alias("place_id"),
+        F.lit(None).cast("double").alias("distance_km"),
+        *[F.lit(None).cast("string").alias(c) for c in place_cols],
+    ]
+    parts = [pts.where(~usable).select("_p", *empty_place)]
+    if bounds is not None and bounds["n"]:
+        if step is None:
+            step = mean_spacing(bounds)
+        pending = pts.where(usable)
         for level in range(max_levels):
             s = step * (2 ** level)
             last = level == max_levels - 1
-            done, pending = _level(pending, plc, bounds, s, place_cols, last)
-            parts.append(done)
-            if last:
+            best = _materialize(_level(pending, plc, bounds, s, place_cols, last))
+            parts.append(best.where("_exact").select("_p", "_b.*"))
+            pending = best.where(~F.col("_exact")).select("_k", "_lat", "_lng", "_p")
+            if last or pending.isEmpty():
                 break
-            pending = _materialize(pending)
-            if pending.isEmpty():
-                break
-    out_cols = ["_k", "place_id", "distance_km", *place_cols]
-    result = None
-    for p in parts:
-        p = p.select(*out_cols)
-        result = p if result is None else result.unionByName(p)
-    no_coord = pts.where(F.col("_lat").isNull() | F.col("_lng").isNull()).select(
-        "_k",
-        F.lit(None).cast("bigint").alias("place_id"),
-        F.lit(None).cast("double").alias("distance_km"),
-        *[F.lit(None).cast("string").alias(c) for c in place_cols],
-    )
-    result = no_coord if result is None else result.unionByName(no_coord)
-    return result.withColumnRenamed("_k", key)
+    else:
+        parts.append(pts.where(usable).select("_p", *empty_place))
+    result = parts[0]
+    for p in parts[1:]:
+        result = result.unionByName(p)
+    return result.select("_p.*", "place_id", "distance_km", *place_cols)
 
 
-def _level(pending: DataFrame, plc: DataFrame, bounds, s: float, place_cols: list[str], last: bool):
+def _level(pending: DataFrame, plc: DataFrame, bounds, s: float, place_cols: list[str], last: bool) -> DataFrame:
+    """Nearest candidate of each pending point within its 3 x 3 cells, and
+    whether that candidate is provably the nearest overall (``_exact``)."""
     offsets = F.array(*[F.lit(i) for i in (-1, 0, 1)])
     cand = (
         pending.withColumn("_ci", _cell(F.col("_lat"), s))
         .withColumn("_cj", _cell(F.col("_lng"), s))
         .withColumn("_di", F.explode(offsets))
         .withColumn("_dj", F.explode(offsets))
-        .select("_k", "_lat", "_lng", "_ci", "_cj",
-                (F.col("_ci") + F.col("_di")).alias("_ni"), (F.col("_cj") + F.col("_dj")).alias("_nj"))
+        .withColumn("_ni", F.col("_ci") + F.col("_di"))
+        .withColumn("_nj", F.col("_cj") + F.col("_dj"))
     )
     cells = plc.withColumn("_ni", _cell(F.col("_plat"), s)).withColumn("_nj", _cell(F.col("_plng"), s))
-    joined = cand.join(cells, ["_ni", "_nj"], "inner").withColumn(
+    joined = cand.join(cells, ["_ni", "_nj"], "left").withColumn(
         "distance_km", haversine_km(F.col("_lat"), F.col("_lng"), F.col("_plat"), F.col("_plng"))
     )
-    best = joined.groupBy("_k", "_lat", "_lng", "_ci", "_cj").agg(
-        F.min_by(F.struct("place_id", "distance_km", *place_cols), F.struct("distance_km", "place_id")).alias("_b")
+    best = joined.groupBy("_k").agg(
+        F.first("_lat").alias("_lat"),
+        F.first("_lng").alias("_lng"),
+        F.first("_ci").alias("_ci"),
+        F.first("_cj").alias("_cj"),
+        F.first("_p").alias("_p"),
+        F.min_by(F.struct("place_id", "distance_km", *place_cols), F.struct("distance_km", "place_id")).alias("_b"),
     )
     covers = (
         (F.col("_ci") - 1 <= F.floor(F.lit(bounds["lat0"]) / s))
@@ -138,10 +158,6 @@ def _level(pending: DataFrame, plc: DataFrame, bounds, s: float, place_cols: lis
         & (F.col("_cj") - 1 <= F.floor(F.lit(bounds["lng0"]) / s))
         & (F.col("_cj") + 1 >= F.floor(F.lit(bounds["lng1"]) / s))
     )
-    exact = covers | (F.col("_b.distance_km") <= _guard_km(F.col("_lat"), s))
-    if last:
-        exact = F.lit(True)
-    resolved = best.where(exact).select("_k", "_b.*")
-    # points with no candidate at all in this neighbourhood also stay pending
-    pending_next = pending.join(resolved.select("_k"), "_k", "left_anti")
-    return resolved, pending_next
+    found = F.col("_b.place_id").isNotNull()
+    exact = found & (F.lit(last) | covers | (F.col("_b.distance_km") <= _guard_km(F.col("_lat"), s)))
+    return best.withColumn("_exact", exact)

@@ -11,7 +11,7 @@ from ..functions.dates import days_before
 from ..functions.text import null_to_empty
 from ..sources.schemas import GAZETTEER_PLACE_COLS, PARTITION_COL
 from ..sources.tables import between_days
-from .geo import DEFAULT_STEP_DEG, nearest_place
+from .geo import nearest_place
 from .ranking import mode_per_key
 
 WINDOW_DAYS = 30
@@ -47,11 +47,10 @@ def mode_location(user_locations: DataFrame, day: str, window_days: int = WINDOW
     return best.where(~_blank("X") & ~_blank("Y")).select("MID", "X", "Y", F.col("CNT").cast("int").alias("CNT"))
 
 
-def locate(modes: DataFrame, gazetteer: DataFrame, step: float = DEFAULT_STEP_DEG) -> DataFrame:
+def locate(modes: DataFrame, gazetteer: DataFrame, step: float | None = None) -> DataFrame:
     """Attach the nearest place; unmatched place fields become ''."""
-    places = nearest_place(modes, gazetteer, "MID", "X", "Y", GAZETTEER_PLACE_COLS, step=step)
-    joined = modes.join(places, "MID", "left")
-    return joined.select("MID", "X", "Y", "CNT", *[null_to_empty(c).alias(c) for c in GAZETTEER_PLACE_COLS])
+    placed = nearest_place(modes, gazetteer, "MID", "X", "Y", GAZETTEER_PLACE_COLS, step=step)
+    return placed.select("MID", "X", "Y", "CNT", *[null_to_empty(c).alias(c) for c in GAZETTEER_PLACE_COLS])
 
 
 def roll_forward(today: DataFrame, yesterday: DataFrame | None, day: str) -> DataFrame:
@@ -65,7 +64,7 @@ def roll_forward(today: DataFrame, yesterday: DataFrame | None, day: str) -> Dat
 
 def machine_location(user_locations: DataFrame, gazetteer: DataFrame, day: str,
                      yesterday: DataFrame | None = None, window_days: int = WINDOW_DAYS,
-                     drop_blank_first: bool = False, step: float = DEFAULT_STEP_DEG) -> DataFrame:
+                     drop_blank_first: bool = False, step: float | None = None) -> DataFrame:
     """TW_MAC_LOC_D for ``day`` (22 columns + data_dt)."""
     today = locate(mode_location(user_locations, day, window_days, drop_blank_first), gazetteer, step)
     return roll_forward(today, yesterday, day)

@@ -19,6 +19,7 @@ def _check(spark, points, places, step):
     pts = spark.createDataFrame(points, "k string, lat double, lng double")
     plc = spark.createDataFrame(places, "place_id long, lat double, lng double, ADDR string")
     got = {r.k: r.place_id for r in nearest_place(pts, plc, "k", "lat", "lng", COLS, step=step).collect()}
+    assert set(nearest_place(pts, plc, "k", "lat", "lng", COLS).columns) >= {"k", "lat", "lng", "place_id"}
     for k, la, ln in points:
         if la is None or ln is None:
             assert got[k] is None
