@@ -19,7 +19,7 @@ from ..functions import (
 from ..functions.dates import days_before
 from ..sources.schemas import PARTITION_COL, SONG_INT_COLS
 from ..sources.tables import between_days
-from .ranking import rank_within
+from .ranking import global_row_number, rank_within
 
 # fixed values: trailing horizons (D-n .. D inclusive) and index periods
 SHORT_DAYS = 7
@@ -90,14 +90,17 @@ def song_horizon_counts(play_log: DataFrame, day: str, short_days: int = SHORT_D
     is pre-aggregated map-side and its keys spread over many reducers.
     """
     lo_short, lo_long = days_before(day, short_days), days_before(day, long_days)
-    rows = between_days(play_log, lo_long, day).select("SONGID", "UID", "ORDER_ID", PARTITION_COL)
+    rows = between_days(play_log, lo_long, day).select(
+        "SONGID", "UID", "ORDER_ID", PARTITION_COL, F.col(PARTITION_COL).cast("int").alias("_day")
+    )
+    # the day is aggregated as an int so max() stays a (partial + final) hash aggregate
     facts = rows.select(
         "SONGID",
         F.explode(
             F.array(
-                F.struct(F.lit("d").alias("kind"), F.col(PARTITION_COL).alias("key"), F.col(PARTITION_COL).alias("dt")),
-                F.struct(F.lit("u").alias("kind"), F.col("UID").alias("key"), F.col(PARTITION_COL).alias("dt")),
-                F.struct(F.lit("o").alias("kind"), F.col("ORDER_ID").alias("key"), F.col(PARTITION_COL).alias("dt")),
+                F.struct(F.lit("d").alias("kind"), F.col(PARTITION_COL).alias("key"), F.col("_day").alias("dt")),
+                F.struct(F.lit("u").alias("kind"), F.col("UID").alias("key"), F.col("_day").alias("dt")),
+                F.struct(F.lit("o").alias("kind"), F.col("ORDER_ID").alias("key"), F.col("_day").alias("dt")),
             )
         ).alias("f"),
     ).where(F.col("f.key").isNotNull())
@@ -105,8 +108,8 @@ def song_horizon_counts(play_log: DataFrame, day: str, short_days: int = SHORT_D
         F.count(F.lit(1)).alias("n"), F.max("f.dt").alias("last")
     )
     is_day, is_user, is_order = (F.col("kind") == k for k in ("d", "u", "o"))
-    in_short = F.col("last") >= F.lit(lo_short)
-    today = F.col("last") == F.lit(day)
+    in_short = F.col("last") >= F.lit(int(lo_short))
+    today = F.col("last") == F.lit(int(day))
 
     def _sum_n(cond):
         return F.coalesce(F.sum(F.when(cond, F.col("n"))), F.lit(0)).cast("bigint")
@@ -195,10 +198,21 @@ def _by_period(scored: DataFrame, keys: list[str]) -> DataFrame:
     return scored.select(PARTITION_COL, *keys, stacked)
 
 
-def song_rsi(features: DataFrame) -> DataFrame:
-    """TW_SONG_RSI_D: every song ranked per period, ties broken by song id."""
+def _rank(periods: DataFrame, order: list, top_n: int | None) -> DataFrame:
+    """Full ranking: range-partitioned global row number (no single-task sort
+    of the catalog).  Top-n: window + rank filter, which Catalyst turns into
+    a partial group limit before the shuffle."""
+    groups = [PARTITION_COL, "PERIOD"]
+    if top_n is None:
+        return global_row_number(periods, groups, order, "RSI_RANK")
+    return rank_within(periods, groups, order, "RSI_RANK").where(F.col("RSI_RANK") <= top_n)
+
+
+def song_rsi(features: DataFrame, top_n: int | None = None) -> DataFrame:
+    """TW_SONG_RSI_D: songs ranked per period (ties: song id); ``top_n`` keeps
+    only the best ranks."""
     periods = _by_period(with_rsi(features), ["NBR", "NAME"])
-    ranked = rank_within(periods, [PARTITION_COL, "PERIOD"], [F.desc("RSI"), F.asc("NBR")], "RSI_RANK")
+    ranked = _rank(periods, [F.desc("RSI"), F.asc("NBR")], top_n)
     return ranked.select("PERIOD", "NBR", "NAME", "RSI", "RSI_RANK", PARTITION_COL)
 
 
@@ -208,12 +222,10 @@ def singer_features(features: DataFrame) -> DataFrame:
     return features.groupBy(PARTITION_COL, "SINGER1ID", "SINGER1").agg(*sums)
 
 
-def singer_rsi(features: DataFrame) -> DataFrame:
-    """TW_SINGER_RSI_D: singers ranked per period, ties broken by id then name."""
+def singer_rsi(features: DataFrame, top_n: int | None = None) -> DataFrame:
+    """TW_SINGER_RSI_D: singers ranked per period (ties: id, then name)."""
     periods = _by_period(with_rsi(singer_features(features)), ["SINGER1ID", "SINGER1"])
-    ranked = rank_within(
-        periods, [PARTITION_COL, "PERIOD"], [F.desc("RSI"), F.asc("SINGER1ID"), F.asc("SINGER1")], "RSI_RANK"
-    )
+    ranked = _rank(periods, [F.desc("RSI"), F.asc("SINGER1ID"), F.asc("SINGER1")], top_n)
     return ranked.select("PERIOD", "SINGER1ID", "SINGER1", "RSI", "RSI_RANK", PARTITION_COL)
 
 

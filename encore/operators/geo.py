@@ -25,6 +25,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 # fixed value: mean Earth radius (km)
 EARTH_RADIUS_KM = 6371.0088
 
@@ -56,14 +58,6 @@ def mean_spacing(bounds, floor_deg: float = 1e-4, cap_deg: float = 90.0) -> floa
     return min(max(math.sqrt(height * width / bounds["n"]), floor_deg), cap_deg)
 
 
-def _materialize(df: DataFrame) -> DataFrame:
-    spark = df.sparkSession
-    if spark.conf.get("spark.checkpoint.dir", None):
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir"))
-        return df.checkpoint(eager=True)
-    return df.cache()
-
-
 def nearest_place(
     points: DataFrame,
     places: DataFrame,
@@ -115,7 +109,7 @@ def nearest_place(
         for level in range(max_levels):
             s = step * (2 ** level)
             last = level == max_levels - 1
-            best = _materialize(_level(pending, plc, bounds, s, place_cols, last))
+            best = materialize(_level(pending, plc, bounds, s, place_cols, last))
             parts.append(best.where("_exact").select("_p", "_b.*"))
             pending = best.where(~F.col("_exact")).select("_k", "_lat", "_lng", "_p")
             if last or pending.isEmpty():

@@ -28,11 +28,49 @@ def mode_per_key(df: DataFrame, key: str, count_col: str, tie_cols: list[str]) -
     """The row with the highest ``count_col`` per ``key``; ties go to the
     smallest ``tie_cols``.
 
-    ``min_by`` over the ordering ``(-count, ties…)`` is an ordinary hash
-    aggregate with a map-side partial step: no sort per key, and a key holding
-    a large share of the rows is reduced before the shuffle.
+    ``min_by`` over the ordering ``(-count, ties…)`` is an aggregate with a
+    map-side partial step (sort-based, as its buffer holds strings), so a
+    key holding a large share of the rows is reduced before the shuffle.
     """
     others = [c for c in df.columns if c != key]
     order = F.struct(-F.col(count_col), *[F.col(c) for c in tie_cols])
     best = F.min_by(F.struct(*[F.col(c) for c in others]), order)
     return df.groupBy(key).agg(best.alias("_best")).select(key, "_best.*")
+
+
+def global_row_number(df: DataFrame, group_cols: list[str], order_cols: list[Column], name: str,
+                      num_partitions: int | None = None) -> DataFrame:
+    """``row_number() over (partition by group_cols order by order_cols)`` for
+    a few very large groups (e.g. one ranking per day over the whole catalog).
+
+    A plain window sorts each group in one task.  Here the rows are
+    range-partitioned on (group, order) over ``num_partitions`` tasks and
+    sorted within partitions; every row gets its position inside its
+    partition, a tiny table of (partition, group) counts gives each
+    partition's offset within the group, and offset + position is the rank.
+    ``order_cols`` must end in a unique key (a total order), which makes the
+    range partitioning and positions deterministic on recomputation.  The
+    offsets table has at most partitions x groups rows and is broadcast only
+    under the size check.
+    """
+    from ..session import materialize
+    from .small import maybe_broadcast
+
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = [F.col(g) for g in group_cols]
+    # materialised once: the offsets and the final rows read the same placement
+    placed = materialize(
+        df.repartitionByRange(n, *keys, *order_cols)
+        .sortWithinPartitions(*keys, *order_cols)
+        .withColumn("_pid", F.spark_partition_id())
+        .withColumn("_pos", F.monotonically_increasing_id())
+    )
+    stats = placed.groupBy("_pid", *group_cols).agg(
+        F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n")
+    )
+    before = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = stats.withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    joined = placed.join(maybe_broadcast(offsets.drop("_n")), ["_pid", *group_cols], "inner")
+    ranked = joined.withColumn(name, (F.col("_offset") + F.col("_pos") - F.col("_first") + 1).cast("int"))
+    return ranked.drop("_pid", "_pos", "_first", "_offset")

@@ -74,7 +74,7 @@ def song_rsi(spark, sf):
 
 
 def song_rsi_top30(spark, sf):
-    return _rounded(content.top_ranked(content.song_rsi(_features(spark, sf))))
+    return _rounded(content.song_rsi(_features(spark, sf), top_n=content.TOP_N))
 
 
 def singer_rsi(spark, sf):
@@ -82,7 +82,7 @@ def singer_rsi(spark, sf):
 
 
 def singer_rsi_top30(spark, sf):
-    return _rounded(content.top_ranked(content.singer_rsi(_features(spark, sf))))
+    return _rounded(content.singer_rsi(_features(spark, sf), top_n=content.TOP_N))
 
 
 QUERIES: dict[str, Query] = {

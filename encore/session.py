@@ -67,3 +67,15 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
 
 def sub_dir(base: str, *parts: str) -> str:
     return os.path.join(base, *parts)
+
+
+def materialize(df):
+    """Cut lineage: reliable checkpoint into ``spark.checkpoint.dir`` when the
+    session names one (survives executor loss), else an in-memory cache
+    (recomputed from lineage if a block is lost).  Never a local checkpoint."""
+    spark = df.sparkSession
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if path:
+        spark.sparkContext.setCheckpointDir(path)
+        return df.checkpoint(eager=True)
+    return df.cache()

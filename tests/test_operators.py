@@ -139,3 +139,19 @@ def test_single_scan_of_play_log(spark):
     """The multi-horizon features read the play log once."""
     plan = registry.song_features(spark, SF_MID)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("events.parquet") == 1
+
+
+def test_global_row_number_equals_window(spark):
+    from pyspark.sql import Window
+
+    from encore.operators.ranking import global_row_number
+
+    df = spark.range(0, 20000).select(
+        (F.col("id") % 3).cast("string").alias("g"),
+        ((F.col("id") * 7919) % 1000).alias("score"),
+        F.col("id").alias("k"),
+    )
+    order = [F.desc("score"), F.asc("k")]
+    got = global_row_number(df, ["g"], order, "r", num_partitions=7)
+    want = df.withColumn("r", F.row_number().over(Window.partitionBy("g").orderBy(*order)))
+    assert sorted(map(tuple, got.select("g", "k", "r").collect())) == sorted(map(tuple, want.select("g", "k", "r").collect()))
