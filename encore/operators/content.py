@@ -132,6 +132,35 @@ def song_horizon_counts(play_log: DataFrame, day: str, short_days: int = SHORT_D
     )
 
 
+def song_day_counts(play_log: DataFrame) -> DataFrame:
+    """Per (day, song): plays, distinct users, distinct orders -- every day at
+    once.  Distinct counts are a two-level aggregation over (day, song,
+    kind, key) facts, so there is no ``count(distinct)`` Expand and a hot
+    song is spread by user/order."""
+    rows = play_log.select(PARTITION_COL, "SONGID", "UID", "ORDER_ID")
+    facts = rows.select(
+        PARTITION_COL,
+        "SONGID",
+        F.explode(
+            F.array(
+                F.struct(F.lit("u").alias("kind"), F.col("UID").alias("key")),
+                F.struct(F.lit("o").alias("kind"), F.col("ORDER_ID").alias("key")),
+            )
+        ).alias("f"),
+    )
+    per_key = facts.groupBy(PARTITION_COL, "SONGID", F.col("f.kind").alias("kind"), F.col("f.key").alias("key")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    is_user, is_order = F.col("kind") == "u", F.col("kind") == "o"
+    has_key = F.col("key").isNotNull()
+    return per_key.groupBy(PARTITION_COL, F.col("SONGID").alias("NBR")).agg(
+        F.sum(F.when(is_user, F.col("n"))).alias("SING_CNT"),
+        F.lit(0).cast("bigint").alias("SUPP_CNT"),
+        F.count_if(is_user & has_key).alias("USR_CNT"),
+        F.count_if(is_order & has_key).alias("ORDR_CNT"),
+    )
+
+
 def song_features(play_log: DataFrame, catalog: DataFrame, day: str,
                   short_days: int = SHORT_DAYS, long_days: int = LONG_DAYS) -> DataFrame:
     """TW_SONG_FTUR_D for ``day``: songs played that day that are in the catalog.

@@ -69,6 +69,16 @@ def song_features(spark, sf):
     return _features(spark, sf)
 
 
+def song_day(spark, sf):
+    """Per-day song counts for every day (AG1, AG3)."""
+    return content.song_day_counts(dt.play_log(_events(spark, sf)))
+
+
+def song_tops(spark, sf):
+    """Best single-day counts over the 7 / 30-day horizons from the daily table (AG8, AG9)."""
+    return content.tops_from_history(content.song_day_counts(dt.play_log(_events(spark, sf))), BUSINESS_DAY)
+
+
 def song_rsi(spark, sf):
     return _rounded(content.song_rsi(_features(spark, sf)))
 
@@ -91,6 +101,8 @@ QUERIES: dict[str, Query] = {
     "catalog_clean": catalog_clean,
     "song_horizons": song_horizons,
     "song_features": song_features,
+    "song_day": song_day,
+    "song_tops": song_tops,
     "song_rsi": song_rsi,
     "song_rsi_top30": song_rsi_top30,
     "singer_rsi": singer_rsi,

@@ -63,12 +63,26 @@ def other_requests(requests: DataFrame) -> DataFrame:
     return requests.where(F.col("req_type") != F.lit(PLAY_REQUEST))
 
 
-def write_demultiplexed(requests: DataFrame, path: str) -> None:
-    """One directory per (day, request type); the type is not repeated in the rows."""
+def write_demultiplexed(requests: DataFrame, path: str, files_per_type: int = 8) -> None:
+    """One directory per (day, request type); the type is not repeated in the rows.
+
+    Rows are spread by (day, type, hash of the payload modulo
+    ``files_per_type``): a request type holding most of the log is written by
+    ``files_per_type`` tasks instead of one, and no directory gets more than
+    that many files."""
+    salt = F.pmod(F.xxhash64("payload"), F.lit(files_per_type))
     (
-        requests.repartition(PARTITION_COL, "req_type")
+        requests.repartition(PARTITION_COL, "req_type", salt)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(PARTITION_COL, "req_type")
         .parquet(path)
     )
+
+
+def to_tab_text(play_log: DataFrame) -> DataFrame:
+    """Play rows as the original tab-joined text, fields in log order."""
+    return play_log.select(
+        F.concat_ws("\t", *[F.coalesce(F.col(k.upper()), F.lit("null")) for k in PLAY_KEYS]).alias("value"),
+        PARTITION_COL,
+    )

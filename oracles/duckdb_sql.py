@@ -580,3 +580,19 @@ SELECT * FROM (
                  AS INTEGER) AS rank FROM c)
 WHERE rank <= 30""",
 })
+
+
+ORACLES.update({
+    "song_day": f"""WITH {PLAY}
+SELECT data_dt, SONGID AS NBR, CAST(count(*) AS BIGINT) AS SING_CNT, CAST(0 AS BIGINT) AS SUPP_CNT,
+       CAST(count(DISTINCT UID) AS BIGINT) AS USR_CNT, CAST(count(DISTINCT ORDER_ID) AS BIGINT) AS ORDR_CNT
+FROM play GROUP BY data_dt, SONGID""",
+    "song_tops": f"""WITH {PLAY},
+daily AS (SELECT data_dt, SONGID AS NBR, count(*) AS SING_CNT, 0 AS SUPP_CNT FROM play GROUP BY data_dt, SONGID)
+SELECT NBR,
+  CAST(max(CASE WHEN data_dt BETWEEN '{D7}' AND '{D}' THEN SING_CNT ELSE 0 END) AS BIGINT) AS RCT_7_TOP_SING_CNT,
+  CAST(max(CASE WHEN data_dt BETWEEN '{D7}' AND '{D}' THEN SUPP_CNT ELSE 0 END) AS BIGINT) AS RCT_7_TOP_SUPP_CNT,
+  CAST(max(SING_CNT) AS BIGINT) AS RCT_30_TOP_SING_CNT,
+  CAST(max(SUPP_CNT) AS BIGINT) AS RCT_30_TOP_SUPP_CNT
+FROM daily WHERE data_dt BETWEEN '{D30}' AND '{D}' GROUP BY NBR""",
+})

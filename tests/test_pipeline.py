@@ -66,3 +66,9 @@ def test_text_log_round_trip(spark, scratch):
     plays = client_log.decode_play_requests(client_log.split_requests(lines))
     events = dt.load(spark, SF_SMALL, "events")
     assert plays.count() == events.where(F.col("event_type").isin("view", "click", "purchase")).count()
+
+
+def test_tab_text_export(spark):
+    plays = dt.play_log(dt.load(spark, SF_SMALL, "events"))
+    row = client_log.to_tab_text(plays).first()
+    assert len(row.value.split("\t")) == 10
