@@ -222,12 +222,18 @@ ADDRESSES = [
     "吉林省延边朝鲜族自治州",
 ]
 KNOWN_PROVINCE, KNOWN_CITY = "江西", "南昌"
+# Which machines each source system knows (overlapping, neither complete),
+# decided by the supplier's account balance.
+SYSTEM_A_MIN_BALANCE = 0
+LOCATED_MIN_BALANCE = 1000
+SYSTEM_B_MAX_BALANCE = 8000
+STORE_MAX_BALANCE = 9000
 
 
 def machines_a(supplier: DataFrame) -> DataFrame:
-    """TO_YCAK_MAC_D: system A knows three machines in four."""
+    """TO_YCAK_MAC_D: system A lists the machines of accounts in credit."""
     s = F.col("s_suppkey")
-    return supplier.where(s % 4 != 3).select(
+    return supplier.where(F.col("s_acctbal") >= SYSTEM_A_MIN_BALANCE).select(
         _s(s).alias("MID"),
         F.col("s_name").alias("SRL_ID"),
         F.concat(F.lit("HW"), _s(s)).alias("HARD_ID"),
@@ -246,7 +252,7 @@ def machine_locations_a(supplier: DataFrame) -> DataFrame:
     s = F.col("s_suppkey")
     addr = F.element_at(F.array(*[F.lit(a) for a in ADDRESSES]), F.col("s_nationkey") + 1)
     null = F.lit(None).cast("string")
-    return supplier.where(s % 3 != 2).select(
+    return supplier.where(F.col("s_acctbal") >= LOCATED_MIN_BALANCE).select(
         _s(s).alias("MID"),
         _case(s % 5, [KNOWN_PROVINCE, KNOWN_PROVINCE], null).alias("PRVC"),
         _case(s % 5, [KNOWN_CITY, null, KNOWN_CITY], null).alias("CTY"),
@@ -258,10 +264,10 @@ def machine_locations_a(supplier: DataFrame) -> DataFrame:
 
 
 def machines_b(supplier: DataFrame) -> DataFrame:
-    """TO_YCBK_MAC_ADMIN_MAP_D: system B's customer/contract view of machines."""
+    """TO_YCBK_MAC_ADMIN_MAP_D: system B's contract view, for accounts under its cap."""
     s = F.col("s_suppkey")
     null = F.lit(None).cast("string")
-    return supplier.where(s % 4 != 0).select(
+    return supplier.where(F.col("s_acctbal") <= SYSTEM_B_MAX_BALANCE).select(
         _s(s).alias("MID"),
         F.when(s % 6 == 1, F.lit(1)).otherwise(F.lit(2)).cast("int").alias("PRDCT_TYPE"),
         F.concat(F.lit("KTV-"), _s(s)).alias("MAC_NM"),
@@ -298,7 +304,9 @@ def areas(nation: DataFrame) -> DataFrame:
 
 def store_map(supplier: DataFrame) -> DataFrame:
     s = F.col("s_suppkey")
-    return supplier.where(s % 8 != 7).select(_s(s).alias("MID"), _s(F.col("s_nationkey")).alias("STORE_ID"))
+    return supplier.where(F.col("s_acctbal") <= STORE_MAX_BALANCE).select(
+        _s(s).alias("MID"), _s(F.col("s_nationkey")).alias("STORE_ID")
+    )
 
 
 def stores(nation: DataFrame) -> DataFrame:

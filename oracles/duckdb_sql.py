@@ -324,7 +324,7 @@ mac_a AS (
     '202401' || lpad(CAST(s % 30 + 1 AS VARCHAR), 2, '0') || '083000' AS CUR_LOGIN_TM,
     CASE WHEN s % 2 = 0 THEN '1' ELSE '0' END AS PAY_SW,
     CASE WHEN s % 3 = 0 THEN '0' ELSE '1' END AS IS_ONLINE
-  FROM sup WHERE s % 4 <> 3),
+  FROM sup WHERE s_acctbal >= 0),
 loc_all AS (
   SELECT MID,
     CASE WHEN s % 5 IN (0, 1) THEN '江西' ELSE addr.P END AS PRVC,
@@ -332,7 +332,7 @@ loc_all AS (
     CASE WHEN s % 7 = 0 THEN NULL ELSE addr.ADDR || '-' || MID END AS ADDR_FMT,
     CASE s % 3 WHEN 0 THEN '20230105093000' WHEN 1 THEN '20230105000000' ELSE '19700101000000' END AS REV_TM,
     CASE s % 4 WHEN 0 THEN '20221201000000' WHEN 1 THEN '19700101000000' ELSE '20221201120000' END AS SALE_TM
-  FROM sup JOIN addr ON sup.s_nationkey = addr.nk WHERE s % 3 <> 2),
+  FROM sup JOIN addr ON sup.s_nationkey = addr.nk WHERE s_acctbal >= 1000),
 loc AS (SELECT * FROM loc_all WHERE PRVC <> '' AND CTY <> ''),
 mac_b AS (
   SELECT MID, CASE WHEN s % 6 = 1 THEN 1 ELSE 2 END AS PRDCT_TYPE, 'KTV-' || MID AS MAC_NM,
@@ -347,11 +347,11 @@ mac_b AS (
     CAST((s_nationkey + 1) % 25 AS VARCHAR) AS SCENE_AREA_ID,
     CASE WHEN s % 10 = 0 THEN NULL ELSE 'No.' || MID || ' Jiefang Rd ' END AS SCENE_ADDR,
     s_name AS GROUND_NM
-  FROM sup WHERE s % 4 <> 0),
+  FROM sup WHERE s_acctbal <= 8000),
 prov AS (SELECT CAST(r_regionkey AS VARCHAR) AS PRVC_ID, r_name AS PRVC FROM region),
 city AS (SELECT CAST(n_nationkey AS VARCHAR) AS CTY_ID, n_name AS CTY FROM nation),
 area AS (SELECT CAST(n_nationkey AS VARCHAR) AS AREA_ID, n_name || '-district' AS AREA FROM nation),
-smap AS (SELECT MID, CAST(s_nationkey AS VARCHAR) AS STORE_ID FROM sup WHERE s % 8 <> 7),
+smap AS (SELECT MID, CAST(s_nationkey AS VARCHAR) AS STORE_ID FROM sup WHERE s_acctbal <= 9000),
 store AS (
   SELECT CAST(n_nationkey AS VARCHAR) AS ID, 'store-' || n_name AS GROUND_NM,
     CASE WHEN n_regionkey % 2 = 0 THEN 'KTV' ELSE 'Mall' END AS TAG_NM,
