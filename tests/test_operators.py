@@ -155,3 +155,16 @@ def test_global_row_number_equals_window(spark):
     got = global_row_number(df, ["g"], order, "r", num_partitions=7)
     want = df.withColumn("r", F.row_number().over(Window.partitionBy("g").orderBy(*order)))
     assert sorted(map(tuple, got.select("g", "k", "r").collect())) == sorted(map(tuple, want.select("g", "k", "r").collect()))
+
+
+def test_results_independent_of_partitioning(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        results = []
+        for n in ("1", "7"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            results.append(sorted(map(tuple, registry.song_rsi(spark, SF_SMALL).collect())))
+            results.append(sorted(map(tuple, registry.machine_stat(spark, SF_SMALL).collect())))
+        assert results[0] == results[2] and results[1] == results[3]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
