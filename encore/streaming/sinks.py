@@ -66,21 +66,25 @@ class TopKReplaceSink:
 
 
 class KeyedUpsertSink:
-    """Keyed table (``key -> value``) kept as versioned snapshots.
-
-    Each batch is merged with the previous snapshot; per key the row with the
-    latest ``version_col`` (the window end) wins, so a replayed or late batch
-    never moves a key backwards and keys keep their ``window_end`` so stale
-    ones can be aged out with ``expire_before``.
+    """Keyed table (``key -> value``, e.g. machine -> page views) kept as
+    append-only deltas plus periodic snapshots.
+
+    Each batch writes only its own rows (``delta/batch_id=N``, overwritten on
+    replay), so a trigger costs O(batch), not O(table).  Every
+    ``compact_every`` batches the latest snapshot and the newer deltas are
+    merged into ``snapshot/batch_id=N``.  Per key the row with the greatest
+    ``version_col`` (the window end) wins, so replayed or late batches never
+    move a key backwards; ``expire_before`` ages out keys whose last window
+    is too old.  ``read_current`` gives the table as of the last batch.
     """
 
     def __init__(self, path: str, key_cols: list[str], version_col: str = "window_end",
-                 expire_before: Callable[[], object] | None = None):
+                 compact_every: int = 20, expire_before: Callable[[], object] | None = None):
         self.path, self.key_cols, self.version_col = path, key_cols, version_col
+        self.compact_every = compact_every
         self.expire_before = expire_before
 
-    def merge(self, previous: DataFrame | None, batch: DataFrame) -> DataFrame:
-        rows = batch if previous is None else previous.unionByName(batch)
+    def merge(self, rows: DataFrame) -> DataFrame:
         others = [c for c in rows.columns if c not in self.key_cols]
         best = F.max_by(F.struct(*others), F.col(self.version_col))
         merged = rows.groupBy(*self.key_cols).agg(best.alias("_r")).select(*self.key_cols, "_r.*")
@@ -88,13 +92,36 @@ class KeyedUpsertSink:
             merged = merged.where(F.col(self.version_col) >= F.lit(self.expire_before()))
         return merged
 
+    def _pending_rows(self, spark: SparkSession, upto: int | None = None) -> DataFrame | None:
+        snap_id = latest_batch(spark, f"{self.path}/snapshot")
+        parts = []
+        if snap_id is not None:
+            parts.append(spark.read.parquet(f"{self.path}/snapshot/{BATCH_DIR}={snap_id}"))
+        fs, hpath = _fs(spark, f"{self.path}/delta")
+        if fs.exists(hpath):
+            deltas = spark.read.parquet(f"{self.path}/delta")
+            cond = F.lit(True)
+            if snap_id is not None:
+                cond = cond & (F.col(BATCH_DIR).cast("bigint") > snap_id)
+            if upto is not None:
+                cond = cond & (F.col(BATCH_DIR).cast("bigint") <= upto)
+            parts.append(deltas.where(cond).drop(BATCH_DIR))
+        if not parts:
+            return None
+        rows = parts[0]
+        for p in parts[1:]:
+            rows = rows.unionByName(p)
+        return rows
+
+    def read_current(self, spark: SparkSession) -> DataFrame | None:
+        rows = self._pending_rows(spark)
+        return None if rows is None else self.merge(rows)
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
         spark = batch.sparkSession
-        target = f"{self.path}/{BATCH_DIR}={batch_id}"
-        prev_id = latest_batch(spark, self.path)
-        if prev_id is not None and prev_id >= batch_id:
-            return  # replay of a committed batch
-        previous = None if prev_id is None else spark.read.parquet(f"{self.path}/{BATCH_DIR}={prev_id}")
-        self.merge(previous, batch).write.mode("overwrite").parquet(target)
+        batch.write.mode("overwrite").parquet(f"{self.path}/delta/{BATCH_DIR}={batch_id}")
+        if (batch_id + 1) % self.compact_every == 0:
+            rows = self._pending_rows(spark, upto=batch_id)
+            self.merge(rows).write.mode("overwrite").parquet(f"{self.path}/snapshot/{BATCH_DIR}={batch_id}")

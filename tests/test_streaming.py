@@ -67,14 +67,18 @@ def test_stream_uv_exact_equals_batch(spark, scratch):
 
 
 def test_keyed_upsert_idempotent(spark, scratch):
-    sink = KeyedUpsertSink(os.path.join(scratch, "pv"), ["mid"])
-    b0 = spark.createDataFrame([("m1", 5, 1), ("m2", 7, 1)], "mid string, pv long, window_end long")
-    b1 = spark.createDataFrame([("m1", 9, 2)], "mid string, pv long, window_end long")
+    sink = KeyedUpsertSink(os.path.join(scratch, "pv"), ["mid"], compact_every=2)
+    schema = "mid string, pv long, window_end long"
+    b0 = spark.createDataFrame([("m1", 5, 1), ("m2", 7, 1)], schema)
+    b1 = spark.createDataFrame([("m1", 9, 2)], schema)
+    b2 = spark.createDataFrame([("m3", 1, 3), ("m1", 4, 1)], schema)  # m1 row is late
     sink(b0, 0)
-    sink(b1, 1)
-    sink(b0, 0)  # replayed old batch: ignored
-    got = sorted(tuple(r) for r in read_latest(spark, os.path.join(scratch, "pv")).collect())
-    assert got == [("m1", 9, 2), ("m2", 7, 1)]
+    sink(b1, 1)  # compaction point
+    sink(b0, 0)  # replay of an old batch
+    sink(b2, 2)
+    sink(b2, 2)  # replay of the last batch
+    got = sorted(tuple(r) for r in sink.read_current(spark).collect())
+    assert got == [("m1", 9, 2), ("m2", 7, 1), ("m3", 1, 3)]
 
 
 def test_hot_song_job_end_to_end(spark, scratch):
