@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import day_of
 from .schemas import PARTITION_COL, SONG_INT_COLS
+from .tables import ensure_parallelism
 
 MACHINE_MODULUS = 100
 SONG_NAME_PREFIX = "song-"
@@ -38,7 +39,9 @@ DRIVER_TABLES = [
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table, spread over the cores when its file is one row group."""
+    path = f"{sf_dir}/{name}.parquet"
+    return ensure_parallelism(spark.read.parquet(path), path)
 
 
 def _s(c: Column) -> Column:

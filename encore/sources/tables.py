@@ -19,6 +19,37 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return reader.parquet(path)
 
 
+SPREAD_MIN_BYTES = 1 << 20
+
+
+def ensure_parallelism(df: DataFrame, path: str, min_partitions: int | None = None,
+                       min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
+    """Spread an under-split scan over the cluster's cores.
+
+    A file written as a single row group is read by one task whatever the
+    split size, so every per-row expression after it runs on one core.  When
+    the input holds at least ``min_bytes`` and the scan yields fewer
+    partitions than ``min_partitions`` (default: the default parallelism),
+    the rows are round-robin repartitioned.  Small lookups and scans of many
+    files are left untouched; column pruning and filters still reach the
+    scan below the repartition.
+    """
+    spark = df.sparkSession
+    if _size(spark, path) < min_bytes:
+        return df
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
+def _size(spark: SparkSession, path: str) -> int:
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.getContentSummary(hpath).getLength()
+
+
 def on_day(df: DataFrame, day: str) -> DataFrame:
     """Single-date partition scan: ``data_dt = 'yyyyMMdd'``."""
     return df.where(F.col(PARTITION_COL) == F.lit(day))
