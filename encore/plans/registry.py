@@ -222,6 +222,19 @@ def machine_stat(spark, sf):
     return _machine_stat(spark, sf)
 
 
+def machine_stat_refunds(spark, sf):
+    """J10 keeping refund-only (machine, package, pay type) groups, NULL keys matched null-safely."""
+    return revenue.machine_stat(
+        _machine_profile(spark, sf), _locations(spark, sf), _brief(spark, sf), _profiles(spark, sf), BUSINESS_DAY,
+        include_refund_only=True,
+    )
+
+
+def machine_mode_location_nonblank(spark, sf):
+    """Modal coordinate chosen among non-blank reports only."""
+    return location.mode_location(dt.user_locations(_events(spark, sf)), BUSINESS_DAY, drop_blank_first=True)
+
+
 def region_stat(spark, sf):
     return revenue.region_stat(_machine_stat(spark, sf), BUSINESS_DAY)
 
@@ -245,6 +258,8 @@ QUERIES.update({
     "place_lookup": place_lookup,
     "location_rollforward": location_rollforward,
     "machine_stat": machine_stat,
+    "machine_stat_refunds": machine_stat_refunds,
+    "machine_mode_location_nonblank": machine_mode_location_nonblank,
     "region_stat": region_stat,
     "merchant_share": merchant_share,
 })

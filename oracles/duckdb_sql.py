@@ -596,3 +596,44 @@ SELECT NBR,
   CAST(max(SUPP_CNT) AS BIGINT) AS RCT_30_TOP_SUPP_CNT
 FROM daily WHERE data_dt BETWEEN '{D30}' AND '{D}' GROUP BY NBR""",
 })
+
+
+def _stat_select(group_join: str, rev: str, ref: str) -> str:
+    return f"""SELECT A.MID, A.MAC_NM, A.PRDCT_TYP, A.STORE_NM, A.BUS_MODE, A.PAY_SW, A.SCENCE_CATGY,
+    A.SUB_SCENCE_CATGY, A.SCENE, A.SUB_SCENE, A.BRND, A.SUB_BRND,
+    coalesce(B.PRVC, A.PRVC) AS PRVC, coalesce(B.CTY, A.CTY) AS CTY, coalesce(B.DISTRICT, A.AREA) AS AREA,
+    A.PRTN_NM AS AGE_ID, A.INV_RATE, A.AGE_RATE, A.COM_RATE, A.PAR_RATE, {rev}.PKG_ID, {rev}.PAY_TYPE,
+    CAST(coalesce({rev}.CNSM_USR_CNT, 0) AS BIGINT) AS CNSM_USR_CNT,
+    CAST(coalesce({ref}.REF_USR_CNT, 0) AS BIGINT) AS REF_USR_CNT,
+    CAST(coalesce(E.NEW_USR_CNT, 0) AS BIGINT) AS NEW_USR_CNT,
+    CAST(coalesce({rev}.REV_ORDR_CNT, 0) AS BIGINT) AS REV_ORDR_CNT,
+    CAST(coalesce({ref}.REF_ORDR_CNT, 0) AS BIGINT) AS REF_ORDR_CNT,
+    CAST(coalesce({rev}.TOT_REV, 0) AS BIGINT) AS TOT_REV,
+    CAST(coalesce({ref}.TOT_REF, 0) AS BIGINT) AS TOT_REF,
+    '{D}' AS data_dt
+  FROM profile A
+  LEFT JOIN locations B ON A.MID = B.MID
+  {group_join}
+  LEFT JOIN newu E ON A.MID = E.MID"""
+
+
+ORACLES.update({
+    "machine_stat_refunds": f"""WITH {STAT},
+grp AS (
+  SELECT coalesce(C.MID, R.MID) AS MID, coalesce(C.PKG_ID, R.PKG_ID) AS PKG_ID,
+         coalesce(C.PAY_TYPE, R.PAY_TYPE) AS PAY_TYPE, C.CNSM_USR_CNT, C.TOT_REV, C.REV_ORDR_CNT,
+         R.REF_USR_CNT, R.TOT_REF, R.REF_ORDR_CNT
+  FROM rev C FULL OUTER JOIN ref R
+    ON C.MID IS NOT DISTINCT FROM R.MID AND C.PKG_ID IS NOT DISTINCT FROM R.PKG_ID
+   AND C.PAY_TYPE IS NOT DISTINCT FROM R.PAY_TYPE)
+{_stat_select('LEFT JOIN grp G ON A.MID = G.MID', 'G', 'G')}""",
+    "machine_mode_location_nonblank": f"""WITH {GAZ},
+nb_counts AS (
+  SELECT MID, LAT AS X, LNG AS Y, count(*) AS CNT
+  FROM (SELECT DISTINCT UID, MID, LAT, LNG FROM uloc
+        WHERE data_dt BETWEEN '{D30}' AND '{D}' AND LAT <> '' AND LNG <> '')
+  GROUP BY MID, LAT, LNG)
+SELECT MID, X, Y, CAST(CNT AS INTEGER) AS CNT FROM (
+  SELECT *, row_number() OVER (PARTITION BY MID ORDER BY CNT DESC, X, Y) AS rk FROM nb_counts)
+WHERE rk = 1""",
+})
