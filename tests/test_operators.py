@@ -168,3 +168,11 @@ def test_results_independent_of_partitioning(spark):
         assert results[0] == results[2] and results[1] == results[3]
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_plans_stay_distributed_and_jvm_side(spark):
+    """No registered query funnels all rows into one partition or calls Python per row."""
+    for name, fn in registry.QUERIES.items():
+        plan = fn(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        assert "SinglePartition" not in plan, name
+        assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
