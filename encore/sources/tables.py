@@ -22,6 +22,33 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
 SPREAD_MIN_BYTES = 1 << 20
 
 
+def normalize_nulls(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """Raw layers write a missing value as ``''`` or the text ``null``; turn
+    both into SQL NULL once, at the ingest boundary (string columns only)."""
+    from ..functions.text import blank_to_null
+
+    targets = set(cols) if cols is not None else {
+        f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)
+    }
+    return df.select(*[blank_to_null(c).alias(c) if c in targets else F.col(c) for c in df.columns])
+
+
+def read_delimited(spark: SparkSession, path: str, schema: T.StructType, sep: str = "\t",
+                   partitioned: bool = True) -> DataFrame:
+    """Delimited-text raw table with a declared schema (no inference), NULL
+    sentinels normalised.  With ``partitioned`` the ``data_dt=`` directories
+    supply the partition column (kept as a string)."""
+    fields = [f for f in schema.fields if not (partitioned and f.name == PARTITION_COL)]
+    df = (
+        spark.read.option("sep", sep).option("header", "false").option("mode", "PERMISSIVE")
+        .schema(T.StructType(fields))
+        .csv(path)
+    )
+    if partitioned and PARTITION_COL in schema.fieldNames() and PARTITION_COL in df.columns:
+        df = df.withColumn(PARTITION_COL, F.col(PARTITION_COL).cast("string"))
+    return normalize_nulls(df, [f.name for f in fields if isinstance(f.dataType, T.StringType)])
+
+
 def ensure_parallelism(df: DataFrame, path: str, min_partitions: int | None = None,
                        min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
     """Spread an under-split scan over the cluster's cores.

@@ -72,3 +72,18 @@ def test_tab_text_export(spark):
     plays = dt.play_log(dt.load(spark, SF_SMALL, "events"))
     row = client_log.to_tab_text(plays).first()
     assert len(row.value.split("\t")) == 10
+
+
+def test_delimited_ods_round_trip(spark, scratch):
+    from encore.sources import schemas
+    from encore.sources.tables import read_delimited
+
+    plays = dt.play_log(dt.load(spark, SF_SMALL, "events")).withColumn(
+        "SONGNAME", F.when(F.col("ORDER_ID").endswith("7"), F.lit(None)).otherwise(F.col("SONGNAME"))
+    )
+    path = os.path.join(scratch, "ods")
+    client_log.to_tab_text(plays).write.partitionBy("data_dt").text(path)
+    back = read_delimited(spark, path, schemas.PLAY_LOG)
+    assert dict(back.dtypes)["data_dt"] == "string"
+    cols = [f.name for f in schemas.PLAY_LOG.fields]
+    assert sorted(map(tuple, back.select(*cols).collect())) == sorted(map(tuple, plays.select(*cols).collect()))
