@@ -24,7 +24,6 @@ from .ranking import global_row_number, rank_within
 # fixed values: trailing horizons (D-n .. D inclusive) and index periods
 SHORT_DAYS = 7
 LONG_DAYS = 30
-PERIODS = ("1", "7", "30")
 TOP_N = 30
 
 
@@ -77,6 +76,37 @@ CATALOG_COLS = [
 ]
 
 
+def select_plays(play_log: DataFrame, op_types: list[str] | None = None,
+                 exclude_uid: str | None = None) -> DataFrame:
+    """Optional narrowing of the play log: only some operation types (e.g. the
+    order-a-song operation) and/or without the "no user" id.  Defaults keep
+    every row, as the original counted them."""
+    rows = play_log
+    if op_types is not None:
+        rows = rows.where(F.col("OPTRATE_TYPE").isin(list(op_types)))
+    if exclude_uid is not None:
+        rows = rows.withColumn("UID", F.when(F.col("UID") != F.lit(exclude_uid), F.col("UID")))
+    return rows
+
+
+def like_horizon_counts(likes: DataFrame, day: str, short_days: int = SHORT_DAYS,
+                        long_days: int = LONG_DAYS) -> DataFrame:
+    """Likes ``(SONGID, data_dt, n)`` -> the six like columns of the features."""
+    lo_short, lo_long = days_before(day, short_days), days_before(day, long_days)
+    daily = between_days(likes, lo_long, day).groupBy("SONGID", PARTITION_COL).agg(F.sum("n").alias("n"))
+    in_short = F.col(PARTITION_COL) >= F.lit(lo_short)
+    return daily.groupBy("SONGID").agg(
+        F.sum(F.when(F.col(PARTITION_COL) == F.lit(day), F.col("n"))).cast("bigint").alias("SUPP_CNT"),
+        F.sum(F.when(in_short, F.col("n"))).cast("bigint").alias("RCT_7_SUPP_CNT"),
+        F.max(F.when(in_short, F.col("n"))).cast("bigint").alias("RCT_7_TOP_SUPP_CNT"),
+        F.sum("n").cast("bigint").alias("RCT_30_SUPP_CNT"),
+        F.max("n").cast("bigint").alias("RCT_30_TOP_SUPP_CNT"),
+    )
+
+
+LIKE_COLS = ["SUPP_CNT", "RCT_7_SUPP_CNT", "RCT_7_TOP_SUPP_CNT", "RCT_30_SUPP_CNT", "RCT_30_TOP_SUPP_CNT"]
+
+
 def song_horizon_counts(play_log: DataFrame, day: str, short_days: int = SHORT_DAYS,
                         long_days: int = LONG_DAYS) -> DataFrame:
     """Per song: plays, distinct users, distinct orders and best single day over
@@ -162,33 +192,41 @@ def song_day_counts(play_log: DataFrame) -> DataFrame:
 
 
 def song_features(play_log: DataFrame, catalog: DataFrame, day: str,
-                  short_days: int = SHORT_DAYS, long_days: int = LONG_DAYS) -> DataFrame:
+                  short_days: int = SHORT_DAYS, long_days: int = LONG_DAYS,
+                  likes: DataFrame | None = None, op_types: list[str] | None = None,
+                  exclude_uid: str | None = None) -> DataFrame:
     """TW_SONG_FTUR_D for ``day``: songs played that day that are in the catalog.
 
-    Like counts were never wired into the source system; they are typed
-    zero columns.  Best-day counts come from the log (including ``day``), so
-    the job is idempotent and order-independent.
+    Like counts were never wired into the source system: without ``likes``
+    they are typed zero columns.  Best-day counts come from the log
+    (including ``day``), so the job is idempotent and order-independent.
     """
-    counts = song_horizon_counts(play_log, day, short_days, long_days).where(F.col("SING_CNT") > 0)
+    plays = select_plays(play_log, op_types, exclude_uid)
+    counts = song_horizon_counts(plays, day, short_days, long_days).where(F.col("SING_CNT") > 0)
     zero = F.lit(0).cast("bigint")
     joined = counts.join(catalog.select(F.col("NBR").alias("SONGID"), *CATALOG_COLS), "SONGID", "inner")
+    if likes is not None:
+        joined = joined.join(like_horizon_counts(likes, day, short_days, long_days), "SONGID", "left")
+        like = {c: F.coalesce(F.col(c), zero) for c in LIKE_COLS}
+    else:
+        like = {c: zero for c in LIKE_COLS}
     return joined.select(
         F.col("SONGID").alias("NBR"),
         *CATALOG_COLS,
         "SING_CNT",
-        zero.alias("SUPP_CNT"),
+        like["SUPP_CNT"].alias("SUPP_CNT"),
         "USR_CNT",
         "ORDR_CNT",
         "RCT_7_SING_CNT",
-        zero.alias("RCT_7_SUPP_CNT"),
+        like["RCT_7_SUPP_CNT"].alias("RCT_7_SUPP_CNT"),
         "RCT_7_TOP_SING_CNT",
-        zero.alias("RCT_7_TOP_SUPP_CNT"),
+        like["RCT_7_TOP_SUPP_CNT"].alias("RCT_7_TOP_SUPP_CNT"),
         "RCT_7_USR_CNT",
         "RCT_7_ORDR_CNT",
         "RCT_30_SING_CNT",
-        zero.alias("RCT_30_SUPP_CNT"),
+        like["RCT_30_SUPP_CNT"].alias("RCT_30_SUPP_CNT"),
         "RCT_30_TOP_SING_CNT",
-        zero.alias("RCT_30_TOP_SUPP_CNT"),
+        like["RCT_30_TOP_SUPP_CNT"].alias("RCT_30_TOP_SUPP_CNT"),
         "RCT_30_USR_CNT",
         "RCT_30_ORDR_CNT",
         F.lit(day).alias(PARTITION_COL),

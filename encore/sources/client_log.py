@@ -58,6 +58,17 @@ def decode_play_requests(requests: DataFrame) -> DataFrame:
     )
 
 
+def unparsable_play_requests(requests: DataFrame) -> DataFrame:
+    """Play requests whose payload is not valid JSON (dropped by the decoder),
+    counted per day for the run report."""
+    plays = requests.where(F.col("req_type") == F.lit(PLAY_REQUEST))
+    return (
+        plays.where(play_payload("payload").isNull())
+        .groupBy(PARTITION_COL)
+        .agg(F.count(F.lit(1)).alias("unparsable"))
+    )
+
+
 def other_requests(requests: DataFrame) -> DataFrame:
     """Every non-play request, payload kept as raw JSON text."""
     return requests.where(F.col("req_type") != F.lit(PLAY_REQUEST))

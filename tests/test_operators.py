@@ -176,3 +176,22 @@ def test_plans_stay_distributed_and_jvm_side(spark):
         plan = fn(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
         assert "SinglePartition" not in plan, name
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
+
+
+def test_feature_options(spark):
+    from encore.sources import driver_tables as dt
+
+    log = dt.play_log(dt.load(spark, SF_SMALL, "events"))
+    catalog = content.clean_catalog(dt.song_catalog(dt.load(spark, SF_SMALL, "part")))
+    base = {r.NBR: r for r in content.song_features(log, catalog, D).collect()}
+    views = {r.NBR: r for r in content.song_features(log, catalog, D, op_types=["view"]).collect()}
+    assert set(views) <= set(base)
+    assert all(views[k].SING_CNT <= base[k].SING_CNT for k in views)
+    likes = log.select("SONGID", "data_dt", F.lit(2).alias("n"))
+    liked = {r.NBR: r for r in content.song_features(log, catalog, D, likes=likes).collect()}
+    for k, r in liked.items():
+        assert r.SUPP_CNT == 2 * r.SING_CNT and r.RCT_30_SUPP_CNT == 2 * r.RCT_30_SING_CNT
+        assert r.RCT_7_TOP_SUPP_CNT == 2 * r.RCT_7_TOP_SING_CNT
+    some_user = log.select("UID").first()[0]
+    no_user = {r.NBR: r for r in content.song_features(log, catalog, D, exclude_uid=some_user).collect()}
+    assert sum(r.RCT_30_USR_CNT for r in no_user.values()) < sum(r.RCT_30_USR_CNT for r in base.values())

@@ -87,3 +87,11 @@ def test_delimited_ods_round_trip(spark, scratch):
     assert dict(back.dtypes)["data_dt"] == "string"
     cols = [f.name for f in schemas.PLAY_LOG.fields]
     assert sorted(map(tuple, back.select(*cols).collect())) == sorted(map(tuple, plays.select(*cols).collect()))
+
+
+def test_unparsable_payloads_reported(spark):
+    rows = [("20240101120000&m&MINIK_CLIENT_SONG_PLAY_OPERATE_REQ&{songid:5}&v&u",),
+            ('20240101120000&m&MINIK_CLIENT_SONG_PLAY_OPERATE_REQ&{"songid":5}&v&u',)]
+    reqs = client_log.split_requests(spark.createDataFrame(rows, "value string"))
+    assert client_log.decode_play_requests(reqs).count() == 1
+    assert [tuple(r) for r in client_log.unparsable_play_requests(reqs).collect()] == [("20240101", 1)]
