@@ -27,15 +27,24 @@ PLAY_KEYS = [
     "order_id",
 ]
 
-PLAY_PAYLOAD_SCHEMA = T.StructType([T.StructField(k, T.StringType()) for k in PLAY_KEYS])
+CORRUPT = "_corrupt_record"
+PLAY_PAYLOAD_SCHEMA = T.StructType(
+    [T.StructField(k, T.StringType()) for k in PLAY_KEYS] + [T.StructField(CORRUPT, T.StringType())]
+)
 
 
 def play_payload(c: ColumnOrName) -> Column:
     """Parse a play payload once into a struct of ten text fields.
 
-    Numbers come back as their text (``12`` -> ``"12"``); missing keys are NULL.
+    Numbers come back as their text (``12`` -> ``"12"``); missing keys are
+    NULL.  Text that is not a JSON object lands in ``_corrupt_record`` (the
+    other fields NULL), so callers can drop and count it.
     """
-    return F.from_json(as_col(c), PLAY_PAYLOAD_SCHEMA)
+    return F.from_json(as_col(c), PLAY_PAYLOAD_SCHEMA, {"columnNameOfCorruptRecord": CORRUPT, "mode": "PERMISSIVE"})
+
+
+def is_parsed(payload: Column) -> Column:
+    return payload.isNotNull() & payload.getField(CORRUPT).isNull()
 
 
 def album_name(c: ColumnOrName) -> Column:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.json_fields import PLAY_KEYS, play_payload
+from ..functions.json_fields import PLAY_KEYS, is_parsed, play_payload
 from ..functions.text import has_parts, split_dropping_trailing
 from .schemas import PARTITION_COL
 
@@ -53,7 +53,7 @@ def decode_play_requests(requests: DataFrame) -> DataFrame:
     parsed = requests.where(F.col("req_type") == F.lit(PLAY_REQUEST)).select(
         play_payload("payload").alias("_j"), PARTITION_COL
     )
-    return parsed.where(F.col("_j").isNotNull()).select(
+    return parsed.where(is_parsed(F.col("_j"))).select(
         *[F.col(f"_j.{k}").alias(k.upper()) for k in PLAY_KEYS], PARTITION_COL
     )
 
@@ -63,7 +63,7 @@ def unparsable_play_requests(requests: DataFrame) -> DataFrame:
     counted per day for the run report."""
     plays = requests.where(F.col("req_type") == F.lit(PLAY_REQUEST))
     return (
-        plays.where(play_payload("payload").isNull())
+        plays.where(~is_parsed(play_payload("payload")))
         .groupBy(PARTITION_COL)
         .agg(F.count(F.lit(1)).alias("unparsable"))
     )

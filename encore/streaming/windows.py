@@ -20,19 +20,31 @@ UV_BUCKET = "5 seconds"
 HOT_WINDOW, HOT_SLIDE = "60 seconds", "20 seconds"
 HOT_TOP_N = 30
 
-RECORD_SCHEMA = T.StructType([
-    T.StructField("mid", T.StringType()),
-    T.StructField("uid", T.StringType()),
-    T.StructField("songid", T.StringType()),
-    T.StructField("songname", T.StringType()),
-])
+RECORD_FIELDS = ["mid", "uid", "songid", "songname"]
+_CORRUPT = "_corrupt_record"
+RECORD_SCHEMA = T.StructType(
+    [T.StructField(f, T.StringType()) for f in RECORD_FIELDS] + [T.StructField(_CORRUPT, T.StringType())]
+)
 
 
 def parse_records(raw: DataFrame, value_col: str = "value", ts_col: str = "timestamp") -> DataFrame:
-    """JSON message values -> records.  Malformed JSON parses to NULL and is
-    dropped instead of failing the batch."""
-    parsed = raw.select(F.col(ts_col).alias("ts"), F.from_json(F.col(value_col).cast("string"), RECORD_SCHEMA).alias("r"))
-    return parsed.where(F.col("r").isNotNull()).select("ts", "r.*")
+    """JSON message values -> records.  Malformed JSON is dropped instead of
+    failing the batch (see ``malformed_records`` to count it)."""
+    parsed = _parsed(raw, value_col, ts_col)
+    ok = F.col("r").isNotNull() & F.col(f"r.{_CORRUPT}").isNull()
+    return parsed.where(ok).select("ts", *[F.col(f"r.{f}").alias(f) for f in RECORD_FIELDS])
+
+
+def malformed_records(raw: DataFrame, value_col: str = "value", ts_col: str = "timestamp") -> DataFrame:
+    parsed = _parsed(raw, value_col, ts_col)
+    return parsed.where(F.col("r").isNull() | F.col(f"r.{_CORRUPT}").isNotNull()).select("ts")
+
+
+def _parsed(raw: DataFrame, value_col: str, ts_col: str) -> DataFrame:
+    opts = {"columnNameOfCorruptRecord": _CORRUPT, "mode": "PERMISSIVE"}
+    return raw.select(
+        F.col(ts_col).alias("ts"), F.from_json(F.col(value_col).cast("string"), RECORD_SCHEMA, opts).alias("r")
+    )
 
 
 def _flat(df: DataFrame, win: str = "w") -> DataFrame:

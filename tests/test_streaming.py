@@ -99,3 +99,12 @@ def test_hot_song_job_end_to_end(spark, scratch):
     every = spark.read.parquet(os.path.join(scratch, "board")).drop("batch_id").where(F.col("songname") != "zz")
     batch = W.top_songs(W.song_counts(recs))
     assert sorted(map(tuple, every.select(*batch.columns).collect())) == sorted(map(tuple, batch.collect()))
+
+
+def test_parse_records_drops_malformed(spark):
+    raw = spark.createDataFrame(
+        [(T0, '{"mid":"m1","uid":"u1","songid":"1","songname":"a"}'), (T0, "{mid:m1}"), (T0, "not json")],
+        "timestamp timestamp, value string",
+    )
+    assert [r.mid for r in W.parse_records(raw).collect()] == ["m1"]
+    assert W.malformed_records(raw).count() == 2
