@@ -49,6 +49,16 @@ def log_demux_counts(spark, sf):
     return reqs.groupBy("data_dt", "req_type").agg(F.count(F.lit(1)).alias("n_lines"))
 
 
+def log_split_filter(spark, sf):
+    """Lines kept and dropped by the six-part rule, per day of the line's time stamp."""
+    lines = dt.client_log_lines(_events(spark, sf))
+    parts = client_log.split_dropping_trailing(F.col("value"), client_log.SEPARATOR)
+    kept = client_log.has_parts(parts, client_log.LINE_PARTS)
+    return lines.groupBy(F.substring("value", 1, 8).alias("data_dt")).agg(
+        F.count_if(kept).alias("kept"), F.count_if(~kept).alias("dropped")
+    )
+
+
 def play_decode(spark, sf):
     """Decoded song-play requests (FLT6, JS1)."""
     reqs = client_log.split_requests(dt.client_log_lines(_events(spark, sf)))
@@ -96,6 +106,7 @@ def singer_rsi_top30(spark, sf):
 
 
 QUERIES: dict[str, Query] = {
+    "log_split_filter": log_split_filter,
     "log_demux_counts": log_demux_counts,
     "play_decode": play_decode,
     "catalog_clean": catalog_clean,
@@ -200,6 +211,28 @@ def machine_locations_clean(spark, sf):
     return clean_locations(dt.machine_locations_a(dt.load(spark, sf, "supplier")))
 
 
+def address_parse(spark, sf):
+    """Province and city read from every raw machine address (STR7, STR8)."""
+    from ..functions.text import city_from_address, province_from_address
+
+    raw = dt.machine_locations_a(dt.load(spark, sf, "supplier"))
+    return raw.select("MID", "ADDR", province_from_address("ADDR").alias("PRVC"), city_from_address("ADDR").alias("CTY"))
+
+
+def time14_clean(spark, sf):
+    """14-digit times of both machine systems normalised (DT3)."""
+    from ..functions.dates import time14
+
+    supplier = dt.load(spark, sf, "supplier")
+    a = dt.machine_locations_a(supplier).select(
+        "MID", F.lit("A").alias("system"), time14("REV_TM").alias("T1"), time14("SALE_TM").alias("T2")
+    )
+    b = dt.machines_b(supplier).select(
+        "MID", F.lit("B").alias("system"), time14("ACTV_TM").alias("T1"), time14("ORDER_TM").alias("T2")
+    )
+    return a.unionByName(b)
+
+
 def machine_profile(spark, sf):
     return _machine_profile(spark, sf)
 
@@ -251,6 +284,8 @@ QUERIES.update({
     "active_profile": active_profile,
     "active_list": active_list,
     "new_users": new_users,
+    "address_parse": address_parse,
+    "time14_clean": time14_clean,
     "machine_ids": machine_ids,
     "machine_locations_clean": machine_locations_clean,
     "machine_profile": machine_profile,

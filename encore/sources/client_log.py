@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.json_fields import PLAY_KEYS, is_parsed, play_payload
-from ..functions.text import has_parts, split_dropping_trailing
+from ..functions.text import has_parts, split_dropping_trailing  # noqa: F401 (re-exported)
 from .schemas import PARTITION_COL
 
 # fixed values: request type of a song-play operation, and the part count of a line

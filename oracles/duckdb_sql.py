@@ -637,3 +637,21 @@ SELECT MID, X, Y, CAST(CNT AS INTEGER) AS CNT FROM (
   SELECT *, row_number() OVER (PARTITION BY MID ORDER BY CNT DESC, X, Y) AS rk FROM nb_counts)
 WHERE rk = 1""",
 })
+
+
+ORACLES.update({
+    "log_split_filter": """
+SELECT strftime(ts, '%Y%m%d') AS data_dt,
+       CAST(count(*) FILTER (WHERE event_type <> 'error') AS BIGINT) AS kept,
+       CAST(count(*) FILTER (WHERE event_type = 'error') AS BIGINT) AS dropped
+FROM events GROUP BY 1""",
+    "address_parse": f"""WITH {MACHINES}
+SELECT MID, addr.ADDR, addr.P AS PRVC, addr.C AS CTY
+FROM sup JOIN addr ON sup.s_nationkey = addr.nk WHERE s_acctbal >= 1000""",
+    "time14_clean": f"""WITH {MACHINES}
+SELECT MID, 'A' AS system, REV_TM AS T1, SALE_TM AS T2 FROM loc_all
+UNION ALL
+SELECT MID, 'B' AS system, ACTV_TM AS T1,
+       CASE WHEN s % 2 = 0 THEN '20230201000000' ELSE '20230201090000' END AS T2
+FROM mac_b JOIN sup USING (MID)""",
+})
