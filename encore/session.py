@@ -79,3 +79,35 @@ def materialize(df):
         spark.sparkContext.setCheckpointDir(path)
         return df.checkpoint(eager=True)
     return df.cache()
+
+
+MB = 1 << 20
+GB = 1 << 30
+
+
+def scale_conf(input_bytes: int, executor_cores: int, executors: int,
+               target_partition_bytes: int = 256 * MB) -> dict[str, str]:
+    """Settings sized for a run reading ``input_bytes`` on ``executors`` x
+    ``executor_cores``: ~256 MB scan splits and shuffle partitions (a task's
+    working set fits a few GB of executor memory and spills gracefully),
+    at least two waves of tasks, AQE coalescing small partitions and splitting
+    skewed ones, broadcasts capped at 64 MB, RocksDB state for streams.
+
+    Example: 100 TB on 1000 executors x 8 cores gives 400k scan splits and
+    shuffle partitions of ~256 MB each.
+    """
+    cores = max(1, executor_cores * executors)
+    partitions = max(2 * cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * MB),
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    }

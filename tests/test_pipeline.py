@@ -95,3 +95,11 @@ def test_unparsable_payloads_reported(spark):
     reqs = client_log.split_requests(spark.createDataFrame(rows, "value string"))
     assert client_log.decode_play_requests(reqs).count() == 1
     assert [tuple(r) for r in client_log.unparsable_play_requests(reqs).collect()] == [("20240101", 1)]
+
+
+def test_scale_conf_sizes():
+    from encore.session import scale_conf
+
+    conf = scale_conf(100 * (1 << 40), executor_cores=8, executors=1000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 100 * (1 << 40) // (256 << 20)
+    assert int(scale_conf(1 << 30, 8, 10)["spark.sql.shuffle.partitions"]) == 160
