@@ -12,7 +12,7 @@ from .dates import (
     normalize_post_time,
     time14,
 )
-from .json_fields import album_name, auth_company, play_payload, singer_field
+from .json_fields import album_name, auth_company, play_payload, singer_field, singer_fields
 from .scores import rsi_n_days, rsi_one_day
 from .text import (
     blank_to_null,
@@ -50,6 +50,7 @@ __all__ = [
     "rsi_n_days",
     "rsi_one_day",
     "singer_field",
+    "singer_fields",
     "split_dropping_trailing",
     "time14",
     "typed_null",

@@ -14,7 +14,7 @@ from ..functions import (
     normalize_post_time,
     rsi_n_days,
     rsi_one_day,
-    singer_field,
+    singer_fields,
 )
 from ..functions.dates import days_before
 from ..sources.schemas import PARTITION_COL, SONG_INT_COLS
@@ -31,8 +31,8 @@ TOP_N = 30
 
 def clean_catalog(songs: DataFrame) -> DataFrame:
     """TO_SONG_INFO_D -> TW_SONG_BASEINFO_D (43 columns)."""
-    s = songs
-    return s.where(F.col("NBR") != "").select(
+    singer1, singer2, singer1_id, singer2_id = singer_fields("SINGER_INFO")
+    return songs.where(F.col("NBR") != "").select(
         "NBR",
         F.coalesce("NAME", "OTHER_NAME").alias("NAME"),
         "SOURCE",
@@ -41,10 +41,10 @@ def clean_catalog(songs: DataFrame) -> DataFrame:
         "LANG",
         "VIDEO_FORMAT",
         "DUR",
-        singer_field("SINGER_INFO", 0, "name").alias("SINGER1"),
-        singer_field("SINGER_INFO", 1, "name").alias("SINGER2"),
-        singer_field("SINGER_INFO", 0, "id").alias("SINGER1ID"),
-        singer_field("SINGER_INFO", 1, "id").alias("SINGER2ID"),
+        singer1.alias("SINGER1"),
+        singer2.alias("SINGER2"),
+        singer1_id.alias("SINGER1ID"),
+        singer2_id.alias("SINGER2ID"),
         F.lit(0).alias("MAC_TIME"),
         normalize_post_time("POST_TIME").alias("POST_TIME"),
         "PINYIN_FST",

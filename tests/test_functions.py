@@ -120,3 +120,12 @@ def test_rsi_golden(spark):
     ).first()
     for got, want in zip(r, (1.22042753, 14.60567040, 9.29380303, 11.75189111)):
         assert math.isclose(got, want, abs_tol=1e-7)
+
+
+def test_singer_fields_one_parse_equals_per_field(spark):
+    vals = ['[{"name":"A","id":1},{"name":"B","id":2},{"name":"C","id":3}]', '[{"name":"A","id":"x"}]',
+            "bad", None, "[]", '["a"]', '{"name":"A"}']
+    df = spark.createDataFrame([(v,) for v in vals], "c string")
+    one = df.select(*E.singer_fields("c")).collect()
+    per = df.select(*[E.singer_field("c", i, f) for f, i in (("name", 0), ("name", 1), ("id", 0), ("id", 1))]).collect()
+    assert [tuple(r) for r in one] == [tuple(r) for r in per]
