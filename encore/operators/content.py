@@ -3,7 +3,7 @@ singer popularity index with rankings (J4, J5)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import (
@@ -233,6 +233,150 @@ def song_features(play_log: DataFrame, catalog: DataFrame, day: str,
     )
 
 
+EPOCH_DAY = "19700101"
+
+
+def _day_number(c) -> "F.Column":
+    return F.datediff(F.to_date(c, "yyyyMMdd"), F.to_date(F.lit(EPOCH_DAY), "yyyyMMdd"))
+
+
+def _day_text(c) -> "F.Column":
+    return F.date_format(F.date_add(F.to_date(F.lit(EPOCH_DAY), "yyyyMMdd"), c), "yyyyMMdd")
+
+
+def song_horizon_series(play_log: DataFrame, first_day: str, last_day: str,
+                        short_days: int = SHORT_DAYS, long_days: int = LONG_DAYS) -> DataFrame:
+    """The horizon counts of ``song_horizon_counts`` for EVERY day D in
+    [first_day, last_day] and every song played on D, in one job.
+
+    * plays, trailing sums and best days: a per-song daily series with
+      RANGE-frame windows over day numbers (gaps handled);
+    * distinct users / orders over a trailing window: each (song, key, day)
+      fact covers days [day, day + h] up to the key's next active day, so it
+      emits +1 on its day and -1 where that coverage ends; a running sum per
+      song gives, for every day, the number of keys active in the window --
+      exact, O(1) rows per fact, no per-day explosion and no sets.
+
+    Every window is per song (<= number of days rows) or per (song, key), so
+    a hot song is spread over reducers by key before any per-song step.
+    """
+    lo = days_before(first_day, long_days)
+    rows = between_days(play_log, lo, last_day).select(
+        "SONGID", "UID", "ORDER_ID", _day_number(F.col(PARTITION_COL)).alias("dn")
+    )
+    facts = rows.select(
+        "SONGID",
+        "dn",
+        F.explode(
+            F.array(
+                F.struct(F.lit("u").alias("kind"), F.col("UID").alias("key")),
+                F.struct(F.lit("o").alias("kind"), F.col("ORDER_ID").alias("key")),
+            )
+        ).alias("f"),
+    )
+    per_key = facts.groupBy("SONGID", F.col("f.kind").alias("kind"), F.col("f.key").alias("key"), "dn").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    # every play has exactly one user fact (NULL user included): plays per song-day
+    daily = per_key.where(F.col("kind") == "u").groupBy("SONGID", "dn").agg(F.sum("n").alias("SING_CNT"))
+    by_day = Window.partitionBy("SONGID").orderBy("dn")
+    w_short, w_long = by_day.rangeBetween(-short_days, 0), by_day.rangeBetween(-long_days, 0)
+    plays = daily.select(
+        "SONGID",
+        "dn",
+        F.col("SING_CNT").cast("bigint").alias("SING_CNT"),
+        F.sum("SING_CNT").over(w_short).cast("bigint").alias("RCT_7_SING_CNT"),
+        F.max("SING_CNT").over(w_short).cast("bigint").alias("RCT_7_TOP_SING_CNT"),
+        F.sum("SING_CNT").over(w_long).cast("bigint").alias("RCT_30_SING_CNT"),
+        F.max("SING_CNT").over(w_long).cast("bigint").alias("RCT_30_TOP_SING_CNT"),
+    )
+    nxt = F.lead("dn").over(Window.partitionBy("SONGID", "kind", "key").orderBy("dn"))
+    keyed = per_key.where(F.col("key").isNotNull()).select("SONGID", "kind", "dn", nxt.alias("_next"))
+
+    def _end(h: int):
+        stop = F.col("dn") + F.lit(h + 1)
+        return F.least(stop, F.coalesce(F.col("_next"), stop))
+
+    def _delta(day, d0, ds, dl):
+        return F.struct(day.alias("day"), F.lit(d0).alias("d0"), F.lit(ds).alias("ds"), F.lit(dl).alias("dl"))
+
+    events = keyed.select(
+        "SONGID",
+        "kind",
+        F.explode(
+            F.array(
+                _delta(F.col("dn"), 1, 1, 1),
+                _delta(_end(0), -1, 0, 0),
+                _delta(_end(short_days), 0, -1, 0),
+                _delta(_end(long_days), 0, 0, -1),
+            )
+        ).alias("e"),
+    )
+    sums = events.groupBy("SONGID", "kind", F.col("e.day").alias("dn")).agg(
+        F.sum("e.d0").alias("d0"), F.sum("e.ds").alias("ds"), F.sum("e.dl").alias("dl")
+    )
+    run = Window.partitionBy("SONGID", "kind").orderBy("dn").rowsBetween(Window.unboundedPreceding, 0)
+    cover = sums.select(
+        "SONGID", "kind", "dn",
+        F.sum("d0").over(run).alias("c0"), F.sum("ds").over(run).alias("cs"), F.sum("dl").over(run).alias("cl"),
+    )
+
+    def _kind(kind: str, prefix: str):
+        return cover.where(F.col("kind") == kind).select(
+            "SONGID", "dn",
+            F.col("c0").cast("bigint").alias(f"{prefix}_CNT"),
+            F.col("cs").cast("bigint").alias(f"RCT_7_{prefix}_CNT"),
+            F.col("cl").cast("bigint").alias(f"RCT_30_{prefix}_CNT"),
+        )
+
+    first_n = _day_number(F.lit(first_day))
+    last_n = _day_number(F.lit(last_day))
+    joined = (
+        plays.where(F.col("dn").between(first_n, last_n))
+        .join(_kind("u", "USR"), ["SONGID", "dn"], "left")
+        .join(_kind("o", "ORDR"), ["SONGID", "dn"], "left")
+    )
+    zero = F.lit(0).cast("bigint")
+    counts = [
+        "SING_CNT", "USR_CNT", "ORDR_CNT", "RCT_7_SING_CNT", "RCT_7_TOP_SING_CNT", "RCT_7_USR_CNT",
+        "RCT_7_ORDR_CNT", "RCT_30_SING_CNT", "RCT_30_TOP_SING_CNT", "RCT_30_USR_CNT", "RCT_30_ORDR_CNT",
+    ]
+    return joined.select(
+        "SONGID",
+        *[F.coalesce(F.col(c), zero).alias(c) for c in counts],
+        _day_text(F.col("dn")).alias(PARTITION_COL),
+    )
+
+
+def song_features_range(play_log: DataFrame, catalog: DataFrame, first_day: str, last_day: str,
+                        short_days: int = SHORT_DAYS, long_days: int = LONG_DAYS) -> DataFrame:
+    """TW_SONG_FTUR_D for every day of [first_day, last_day] in one job (backfill)."""
+    counts = song_horizon_series(play_log, first_day, last_day, short_days, long_days)
+    zero = F.lit(0).cast("bigint")
+    joined = counts.join(catalog.select(F.col("NBR").alias("SONGID"), *CATALOG_COLS), "SONGID", "inner")
+    return joined.select(
+        F.col("SONGID").alias("NBR"),
+        *CATALOG_COLS,
+        "SING_CNT",
+        zero.alias("SUPP_CNT"),
+        "USR_CNT",
+        "ORDR_CNT",
+        "RCT_7_SING_CNT",
+        zero.alias("RCT_7_SUPP_CNT"),
+        "RCT_7_TOP_SING_CNT",
+        zero.alias("RCT_7_TOP_SUPP_CNT"),
+        "RCT_7_USR_CNT",
+        "RCT_7_ORDR_CNT",
+        "RCT_30_SING_CNT",
+        zero.alias("RCT_30_SUPP_CNT"),
+        "RCT_30_TOP_SING_CNT",
+        zero.alias("RCT_30_TOP_SUPP_CNT"),
+        "RCT_30_USR_CNT",
+        "RCT_30_ORDR_CNT",
+        PARTITION_COL,
+    )
+
+
 def tops_from_history(history: DataFrame, day: str, short_days: int = SHORT_DAYS,
                       long_days: int = LONG_DAYS) -> DataFrame:
     """The original best-day rule over earlier TW_SONG_FTUR_D partitions."""

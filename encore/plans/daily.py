@@ -143,6 +143,34 @@ def run_day(spark: SparkSession, wh: Warehouse, raw: RawTables, day: str) -> Non
     run_revenue(spark, wh, day)
 
 
+def backfill(spark: SparkSession, wh: Warehouse, raw: RawTables, first_day: str, last_day: str) -> None:
+    """Fill a range of dates.  Jobs whose grain allows it run ONCE over the
+    whole range (song features via ``song_features_range``, rankings,
+    consumption brief, active profiles); machine locations roll forward day
+    by day, so they loop over the dates (each iteration one distributed job
+    reading yesterday's partition)."""
+    from ..functions.dates import days_before
+    from ..sources.tables import between_days
+
+    overwrite_table(content.clean_catalog(raw.song_info), wh.path("song_base"))
+    catalog = spark.read.parquet(wh.path("song_base"))
+    write_partition(content.song_features_range(raw.play_log, catalog, first_day, last_day), wh.path("song_features"))
+    features = between_days(spark.read.parquet(wh.path("song_features")), first_day, last_day)
+    write_partition(content.song_rsi(features), wh.path("song_rsi"))
+    write_partition(content.singer_rsi(features), wh.path("singer_rsi"))
+    write_partition(users.consumption_brief(between_days(raw.consumption, first_day, last_day)), wh.path("cnsm"))
+    everyone = users.all_users(raw.users_wechat, raw.users_alipay, raw.users_qq, raw.users_app)
+    write_partition(
+        users.active_profiles(between_days(raw.logins, first_day, last_day), everyone), wh.path("usr")
+    )
+    days, d = [], last_day
+    while d >= first_day:
+        days.append(d)
+        d = days_before(d, 1)
+    for day in reversed(days):
+        run_machines(spark, wh, raw, day)
+
+
 def raw_from_driver(spark: SparkSession, sf_dir: str) -> RawTables:
     """The stand-in raw tables derived from the driver's tables."""
     from ..sources import driver_tables as dt

@@ -20,6 +20,7 @@ from ..sources import client_log
 from ..sources import driver_tables as dt
 
 BUSINESS_DAY = "20240130"
+FIRST_DAY = "20240101"
 SCORE_DIGITS = 6
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,6 +80,20 @@ def song_features(spark, sf):
     return _features(spark, sf)
 
 
+def _features_all_days(spark, sf):
+    return content.song_features_range(dt.play_log(_events(spark, sf)), _catalog(spark, sf), FIRST_DAY, BUSINESS_DAY)
+
+
+def song_features_all_days(spark, sf):
+    """J3 for every day of the month in one job (backfill)."""
+    return _features_all_days(spark, sf)
+
+
+def song_rsi_all_days(spark, sf):
+    """J4 rankings for every day of the month (one ranking per day and period)."""
+    return _rounded(content.song_rsi(_features_all_days(spark, sf)))
+
+
 def song_day(spark, sf):
     """Per-day song counts for every day (AG1, AG3)."""
     return content.song_day_counts(dt.play_log(_events(spark, sf)))
@@ -112,6 +127,8 @@ QUERIES: dict[str, Query] = {
     "catalog_clean": catalog_clean,
     "song_horizons": song_horizons,
     "song_features": song_features,
+    "song_features_all_days": song_features_all_days,
+    "song_rsi_all_days": song_rsi_all_days,
     "song_day": song_day,
     "song_tops": song_tops,
     "song_rsi": song_rsi,

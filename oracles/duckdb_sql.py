@@ -10,7 +10,7 @@ instead of re-parsing the JSON/text encodings.
 from __future__ import annotations
 
 from encore.functions.dates import days_before
-from encore.plans.registry import BUSINESS_DAY, SCORE_DIGITS
+from encore.plans.registry import BUSINESS_DAY, FIRST_DAY, SCORE_DIGITS
 from encore.sources.schemas import SONG_INT_COLS
 
 D = BUSINESS_DAY
@@ -655,3 +655,61 @@ SELECT MID, 'B' AS system, ACTV_TM AS T1,
        CASE WHEN s % 2 = 0 THEN '20230201000000' ELSE '20230201090000' END AS T2
 FROM mac_b JOIN sup USING (MID)""",
 })
+
+
+# ============================================================================ every day (range joins)
+
+F1 = FIRST_DAY
+
+FEATURES_ALL = f"""{PLAY},
+{CATALOG},
+cur AS (
+  SELECT data_dt AS D, SONGID AS NBR, count(*) AS SING_CNT, count(DISTINCT UID) AS USR_CNT,
+         count(DISTINCT ORDER_ID) AS ORDR_CNT
+  FROM play WHERE data_dt BETWEEN '{F1}' AND '{D}' GROUP BY data_dt, SONGID),
+win AS (
+  SELECT c.D, c.NBR, p.UID, p.ORDER_ID,
+         date_diff('day', strptime(p.data_dt, '%Y%m%d'), strptime(c.D, '%Y%m%d')) AS age
+  FROM cur c JOIN play p ON p.SONGID = c.NBR AND p.data_dt <= c.D
+   AND p.data_dt >= strftime(strptime(c.D, '%Y%m%d') - INTERVAL 30 DAY, '%Y%m%d')),
+agg AS (
+  SELECT D, NBR,
+    count(*) FILTER (WHERE age <= 7) AS RCT_7_SING_CNT,
+    count(DISTINCT UID) FILTER (WHERE age <= 7) AS RCT_7_USR_CNT,
+    count(DISTINCT ORDER_ID) FILTER (WHERE age <= 7) AS RCT_7_ORDR_CNT,
+    count(*) AS RCT_30_SING_CNT, count(DISTINCT UID) AS RCT_30_USR_CNT,
+    count(DISTINCT ORDER_ID) AS RCT_30_ORDR_CNT
+  FROM win GROUP BY D, NBR),
+daily AS (SELECT data_dt, SONGID AS NBR, count(*) AS c FROM play GROUP BY data_dt, SONGID),
+tops AS (
+  SELECT c.D, c.NBR,
+    max(dl.c) FILTER (WHERE date_diff('day', strptime(dl.data_dt, '%Y%m%d'), strptime(c.D, '%Y%m%d')) <= 7)
+      AS RCT_7_TOP_SING_CNT,
+    max(dl.c) AS RCT_30_TOP_SING_CNT
+  FROM cur c JOIN daily dl ON dl.NBR = c.NBR AND dl.data_dt <= c.D
+   AND dl.data_dt >= strftime(strptime(c.D, '%Y%m%d') - INTERVAL 30 DAY, '%Y%m%d')
+  GROUP BY c.D, c.NBR),
+features AS (
+  SELECT A.NBR, B.NAME, B.SOURCE, B.ALBUM, B.PRDCT, B.LANG, B.VIDEO_FORMAT, B.DUR,
+         B.SINGER1, B.SINGER2, B.SINGER1ID, B.SINGER2ID, B.MAC_TIME,
+         CAST(A.SING_CNT AS BIGINT) AS SING_CNT, CAST(0 AS BIGINT) AS SUPP_CNT,
+         CAST(A.USR_CNT AS BIGINT) AS USR_CNT, CAST(A.ORDR_CNT AS BIGINT) AS ORDR_CNT,
+         CAST(G.RCT_7_SING_CNT AS BIGINT) AS RCT_7_SING_CNT, CAST(0 AS BIGINT) AS RCT_7_SUPP_CNT,
+         CAST(T.RCT_7_TOP_SING_CNT AS BIGINT) AS RCT_7_TOP_SING_CNT, CAST(0 AS BIGINT) AS RCT_7_TOP_SUPP_CNT,
+         CAST(G.RCT_7_USR_CNT AS BIGINT) AS RCT_7_USR_CNT, CAST(G.RCT_7_ORDR_CNT AS BIGINT) AS RCT_7_ORDR_CNT,
+         CAST(G.RCT_30_SING_CNT AS BIGINT) AS RCT_30_SING_CNT, CAST(0 AS BIGINT) AS RCT_30_SUPP_CNT,
+         CAST(T.RCT_30_TOP_SING_CNT AS BIGINT) AS RCT_30_TOP_SING_CNT, CAST(0 AS BIGINT) AS RCT_30_TOP_SUPP_CNT,
+         CAST(G.RCT_30_USR_CNT AS BIGINT) AS RCT_30_USR_CNT, CAST(G.RCT_30_ORDR_CNT AS BIGINT) AS RCT_30_ORDR_CNT,
+         A.D AS data_dt
+  FROM cur A JOIN cat B ON A.NBR = B.NBR
+  JOIN agg G ON A.D = G.D AND A.NBR = G.NBR
+  JOIN tops T ON A.D = T.D AND A.NBR = T.NBR)"""
+
+ORACLES.update({
+    "song_features_all_days": f"WITH {FEATURES_ALL}\nSELECT * FROM features",
+    "song_rsi_all_days": f"""WITH {FEATURES_ALL},
+scored AS (SELECT *, {_rsi_cols()} FROM features),
+ranked AS (
+{_ranked('scored', ['NBR', 'NAME'], ['NBR'])})
+SELECT * FROM ranked""",
+})

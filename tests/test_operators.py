@@ -195,3 +195,18 @@ def test_feature_options(spark):
     some_user = log.select("UID").first()[0]
     no_user = {r.NBR: r for r in content.song_features(log, catalog, D, exclude_uid=some_user).collect()}
     assert sum(r.RCT_30_USR_CNT for r in no_user.values()) < sum(r.RCT_30_USR_CNT for r in base.values())
+
+
+def test_feature_series_equals_daily_job(spark):
+    from encore.functions.dates import days_before
+    from encore.sources import driver_tables as dt
+
+    log = dt.play_log(dt.load(spark, SF_SMALL, "events"))
+    catalog = content.clean_catalog(dt.song_catalog(dt.load(spark, SF_SMALL, "part")))
+    first = days_before(D, 9)
+    series = content.song_features_range(log, catalog, first, D)
+    got = sorted(map(tuple, series.collect()))
+    want = []
+    for i in range(0, 10):
+        want += [tuple(r) for r in content.song_features(log, catalog, days_before(D, i)).collect()]
+    assert got == sorted(want)

@@ -103,3 +103,20 @@ def test_scale_conf_sizes():
     conf = scale_conf(100 * (1 << 40), executor_cores=8, executors=1000)
     assert int(conf["spark.sql.shuffle.partitions"]) == 100 * (1 << 40) // (256 << 20)
     assert int(scale_conf(1 << 30, 8, 10)["spark.sql.shuffle.partitions"]) == 160
+
+
+def test_backfill_equals_daily_runs(spark, scratch):
+    from encore.plans.daily import backfill, run_content, run_machines, run_users
+
+    raw = raw_from_driver(spark, SF_SMALL)
+    bulk = Warehouse(os.path.join(scratch, "bulk"))
+    backfill(spark, bulk, raw, "20240128", "20240130")
+    daily = Warehouse(os.path.join(scratch, "daily"))
+    for day in ("20240128", "20240129", "20240130"):
+        run_content(spark, daily, raw, day)
+        run_machines(spark, daily, raw, day)
+        run_users(spark, daily, raw, day)
+    for key in ("song_features", "song_rsi", "singer_rsi", "mac_loc", "cnsm"):
+        assert _snapshot(spark, bulk.path(key)) == _snapshot(spark, daily.path(key)), key
+    days = lambda wh: {r[0] for r in spark.read.parquet(wh.path("usr")).select("data_dt").distinct().collect()}
+    assert {"20240128", "20240129", "20240130"} <= days(bulk)
