@@ -3,7 +3,7 @@ active list (J9)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import abnormal_type, channel_label, clock_part, date_part, gender_label, typed_null
@@ -130,3 +130,36 @@ def active_list(profiles: DataFrame, day: str, active_days: int = ACTIVE_DAYS,
         "REG_DT",
         "LEVEL",
     )
+
+
+def active_list_range(profiles: DataFrame, first_day: str, last_day: str, active_days: int = ACTIVE_DAYS,
+                      window_days: int = WINDOW_DAYS) -> DataFrame:
+    """``active_list`` for every day of [first_day, last_day] in one job.
+
+    Distinct active days per user, then a RANGE-frame count over each user's
+    day numbers: one window per user (at most one row per day), no self-join.
+    """
+    lo = days_before(first_day, window_days)
+    day_n = F.datediff(F.to_date(F.col(PARTITION_COL), "yyyyMMdd"), F.lit("1970-01-01").cast("date"))
+    days = (
+        between_days(profiles, lo, last_day).select("UID", PARTITION_COL).distinct()
+        .withColumn("_dn", day_n)
+    )
+    w = Window.partitionBy("UID").orderBy("_dn").rangeBetween(-window_days, 0)
+    qualified = (
+        days.withColumn("c", F.count(F.lit(1)).over(w))
+        .where((F.col("c") == active_days) & F.col(PARTITION_COL).between(F.lit(first_day), F.lit(last_day)))
+        .select("UID", PARTITION_COL)
+    )
+    joined = qualified.join(between_days(profiles, first_day, last_day), ["UID", PARTITION_COL], "inner")
+    return joined.select(
+        "UID",
+        channel_label("REG_CHNL").alias("REG_CHNL"),
+        "REF_UID",
+        gender_label("GDR").alias("GDR"),
+        "BIRTHDAY",
+        "MSISDN",
+        "REG_DT",
+        "LEVEL",
+        PARTITION_COL,
+    )

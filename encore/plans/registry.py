@@ -213,6 +213,11 @@ def active_list(spark, sf):
     return users.active_list(_profiles(spark, sf), BUSINESS_DAY)
 
 
+def active_list_all_days(spark, sf):
+    """The 7-of-8-days active list for every day of the month in one job."""
+    return users.active_list_range(_profiles(spark, sf), FIRST_DAY, BUSINESS_DAY)
+
+
 def new_users(spark, sf):
     from ..sources.tables import on_day
 
@@ -300,6 +305,7 @@ QUERIES.update({
     "user_union": user_union,
     "active_profile": active_profile,
     "active_list": active_list,
+    "active_list_all_days": active_list_all_days,
     "new_users": new_users,
     "address_parse": address_parse,
     "time14_clean": time14_clean,

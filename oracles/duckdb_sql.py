@@ -713,3 +713,23 @@ ranked AS (
 {_ranked('scored', ['NBR', 'NAME'], ['NBR'])})
 SELECT * FROM ranked""",
 })
+
+
+ORACLES.update({
+    "active_list_all_days": f"""WITH {PROFILES},
+days AS (SELECT DISTINCT UID, data_dt FROM profiles),
+counted AS (
+  SELECT a.UID, a.data_dt, count(*) AS c
+  FROM days a JOIN days b ON a.UID = b.UID AND b.data_dt <= a.data_dt
+   AND b.data_dt >= strftime(strptime(a.data_dt, '%Y%m%d') - INTERVAL 7 DAY, '%Y%m%d')
+  WHERE a.data_dt BETWEEN '{F1}' AND '{D}'
+  GROUP BY a.UID, a.data_dt)
+SELECT B.UID,
+  CASE WHEN B.REG_CHNL = '1' THEN '微信' WHEN B.REG_CHNL = '2' THEN '支付宝'
+       WHEN B.REG_CHNL = '3' THEN 'QQ' WHEN B.REG_CHNL = '4' THEN 'APP' ELSE '未知' END AS REG_CHNL,
+  B.REF_UID,
+  CASE WHEN B.GDR = '0' THEN '不明' WHEN B.GDR = '1' THEN '男' WHEN B.GDR = '2' THEN '女' ELSE '不明' END AS GDR,
+  B.BIRTHDAY, B.MSISDN, B.REG_DT, B.LEVEL, B.data_dt
+FROM counted A JOIN profiles B ON A.UID = B.UID AND A.data_dt = B.data_dt
+WHERE A.c = 7""",
+})
