@@ -15,9 +15,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import content
+from ..functions.dates import days_before, time14
+from ..functions.text import city_from_address, province_from_address
+from ..operators import content, location, machine, revenue, users
 from ..sources import client_log
 from ..sources import driver_tables as dt
+from ..sources.tables import on_day
+from ..streaming import windows as sw
 
 BUSINESS_DAY = "20240130"
 FIRST_DAY = "20240101"
@@ -120,30 +124,8 @@ def singer_rsi_top30(spark, sf):
     return _rounded(content.singer_rsi(_features(spark, sf), top_n=content.TOP_N))
 
 
-QUERIES: dict[str, Query] = {
-    "log_split_filter": log_split_filter,
-    "log_demux_counts": log_demux_counts,
-    "play_decode": play_decode,
-    "catalog_clean": catalog_clean,
-    "song_horizons": song_horizons,
-    "song_features": song_features,
-    "song_features_all_days": song_features_all_days,
-    "song_rsi_all_days": song_rsi_all_days,
-    "song_day": song_day,
-    "song_tops": song_tops,
-    "song_rsi": song_rsi,
-    "song_rsi_top30": song_rsi_top30,
-    "singer_rsi": singer_rsi,
-    "singer_rsi_top30": singer_rsi_top30,
-}
-
-
 # ----------------------------------------------------------------------------- machines, users, revenue
 
-from ..functions.dates import days_before  # noqa: E402
-from ..operators import location, machine, revenue, users  # noqa: E402
-from ..operators.machine import clean_locations  # noqa: E402
-
 
 def _tables(spark, sf, *names):
     return [dt.load(spark, sf, n) for n in names]
@@ -219,8 +201,6 @@ def active_list_all_days(spark, sf):
 
 
 def new_users(spark, sf):
-    from ..sources.tables import on_day
-
     return revenue.new_users(on_day(_profiles(spark, sf), BUSINESS_DAY), BUSINESS_DAY)
 
 
@@ -230,21 +210,17 @@ def machine_ids(spark, sf):
 
 
 def machine_locations_clean(spark, sf):
-    return clean_locations(dt.machine_locations_a(dt.load(spark, sf, "supplier")))
+    return machine.clean_locations(dt.machine_locations_a(dt.load(spark, sf, "supplier")))
 
 
 def address_parse(spark, sf):
     """Province and city read from every raw machine address (STR7, STR8)."""
-    from ..functions.text import city_from_address, province_from_address
-
     raw = dt.machine_locations_a(dt.load(spark, sf, "supplier"))
     return raw.select("MID", "ADDR", province_from_address("ADDR").alias("PRVC"), city_from_address("ADDR").alias("CTY"))
 
 
 def time14_clean(spark, sf):
     """14-digit times of both machine systems normalised (DT3)."""
-    from ..functions.dates import time14
-
     supplier = dt.load(spark, sf, "supplier")
     a = dt.machine_locations_a(supplier).select(
         "MID", F.lit("A").alias("system"), time14("REV_TM").alias("T1"), time14("SALE_TM").alias("T2")
@@ -298,35 +274,8 @@ def merchant_share(spark, sf):
     return revenue.merchant_share(_machine_stat(spark, sf), BUSINESS_DAY)
 
 
-QUERIES.update({
-    "consumption_brief": consumption_brief,
-    "revenue_by_machine": revenue_by_machine,
-    "refund_by_machine": refund_by_machine,
-    "user_union": user_union,
-    "active_profile": active_profile,
-    "active_list": active_list,
-    "active_list_all_days": active_list_all_days,
-    "new_users": new_users,
-    "address_parse": address_parse,
-    "time14_clean": time14_clean,
-    "machine_ids": machine_ids,
-    "machine_locations_clean": machine_locations_clean,
-    "machine_profile": machine_profile,
-    "machine_mode_location": machine_mode_location,
-    "place_lookup": place_lookup,
-    "location_rollforward": location_rollforward,
-    "machine_stat": machine_stat,
-    "machine_stat_refunds": machine_stat_refunds,
-    "machine_mode_location_nonblank": machine_mode_location_nonblank,
-    "region_stat": region_stat,
-    "merchant_share": merchant_share,
-})
-
-
 # ----------------------------------------------------------------------------- streaming twins (batch)
 
-from ..streaming import windows as sw  # noqa: E402
-
 
 def _records(spark, sf):
     return dt.play_records(_events(spark, sf))
@@ -348,9 +297,44 @@ def hot_songs(spark, sf):
     return sw.top_songs(sw.song_counts(_records(spark, sf)))
 
 
-QUERIES.update({
+QUERIES: dict[str, Query] = {
+    "log_split_filter": log_split_filter,
+    "log_demux_counts": log_demux_counts,
+    "play_decode": play_decode,
+    "catalog_clean": catalog_clean,
+    "song_horizons": song_horizons,
+    "song_features": song_features,
+    "song_features_all_days": song_features_all_days,
+    "song_rsi_all_days": song_rsi_all_days,
+    "song_day": song_day,
+    "song_tops": song_tops,
+    "song_rsi": song_rsi,
+    "song_rsi_top30": song_rsi_top30,
+    "singer_rsi": singer_rsi,
+    "singer_rsi_top30": singer_rsi_top30,
+    "consumption_brief": consumption_brief,
+    "revenue_by_machine": revenue_by_machine,
+    "refund_by_machine": refund_by_machine,
+    "user_union": user_union,
+    "active_profile": active_profile,
+    "active_list": active_list,
+    "active_list_all_days": active_list_all_days,
+    "new_users": new_users,
+    "address_parse": address_parse,
+    "time14_clean": time14_clean,
+    "machine_ids": machine_ids,
+    "machine_locations_clean": machine_locations_clean,
+    "machine_profile": machine_profile,
+    "machine_mode_location": machine_mode_location,
+    "place_lookup": place_lookup,
+    "location_rollforward": location_rollforward,
+    "machine_stat": machine_stat,
+    "machine_stat_refunds": machine_stat_refunds,
+    "machine_mode_location_nonblank": machine_mode_location_nonblank,
+    "region_stat": region_stat,
+    "merchant_share": merchant_share,
     "pv_sliding": pv_sliding,
     "uv_batch5s": uv_batch5s,
     "uv_exact": uv_exact,
     "hot_songs": hot_songs,
-})
+}
