@@ -1,5 +1,6 @@
 """Command line: run the daily jobs for a business date, or a streaming job.
 
+    python -m encore ingest  --log /landing/clientlog/20240130 --warehouse /shared/wh
     python -m encore daily   --date 20240130 --warehouse /shared/wh --sf-dir /root/testdata/sf0.01 [--jobs content,machines,users,revenue]
     python -m encore stream  --job hot_songs|pv_uv --source /path/to/records --out /shared/boards [--kafka host:9092 --topic t]
 
@@ -32,6 +33,10 @@ def main(argv=None) -> None:
     d.add_argument("--sf-dir", required=True, help="folder of the driver tables the raw layer is derived from")
     d.add_argument("--jobs", default="content,machines,users,revenue")
     d.add_argument("--checkpoint")
+    g = sub.add_parser("ingest")
+    g.add_argument("--log", required=True, help="client log text (plain or gz), one or more files")
+    g.add_argument("--warehouse", required=True)
+    g.add_argument("--checkpoint")
     s = sub.add_parser("stream")
     s.add_argument("--job", choices=["hot_songs", "pv_uv"], required=True)
     s.add_argument("--source", help="folder of record files (parquet)")
@@ -43,6 +48,10 @@ def main(argv=None) -> None:
 
     spark = build_session(app=f"encore-{args.cmd}")
     checkpoint_dir(spark, fallback=args.checkpoint)
+    if args.cmd == "ingest":
+        for row in daily.run_ingest(spark, daily.Warehouse(args.warehouse), args.log).collect():
+            print(f"{row['data_dt']}: {row['unparsable']} unparsable play payloads dropped")
+        return
     if args.cmd == "daily":
         wh = daily.Warehouse(args.warehouse)
         raw = daily.raw_from_driver(spark, args.sf_dir)

@@ -23,6 +23,8 @@ from ..sources import schemas
 from ..sources.tables import _exists, on_day
 
 TABLES = {
+    "requests": "ALL_CLIENT_TABLES",
+    "play_log": "TO_CLIENT_SONG_PLAY_OPERATE_REQ_D",
     "song_base": "TW_SONG_BASEINFO_D",
     "song_features": "TW_SONG_FTUR_D",
     "song_rsi": "TW_SONG_RSI_D",
@@ -78,6 +80,19 @@ def _read(spark: SparkSession, wh: Warehouse, key: str, day: str) -> DataFrame:
     return on_day(spark.read.parquet(wh.path(key)), day)
 
 
+def run_ingest(spark: SparkSession, wh: Warehouse, log_path: str) -> DataFrame:
+    """J1: raw client-log text -> one directory per (day, request type) and the
+    play-log table partitioned by day.  Returns unparsable play payloads per
+    day (dropped from the play log) for the run report."""
+    from ..sources import client_log
+
+    requests = client_log.split_requests(client_log.read_client_log(spark, log_path))
+    client_log.write_demultiplexed(requests, wh.path("requests"))
+    landed = spark.read.parquet(wh.path("requests"))
+    write_partition(client_log.decode_play_requests(landed), wh.path("play_log"))
+    return client_log.unparsable_play_requests(landed)
+
+
 def run_content(spark: SparkSession, wh: Warehouse, raw: RawTables, day: str) -> None:
     overwrite_table(content.clean_catalog(raw.song_info), wh.path("song_base"))
     catalog = spark.read.parquet(wh.path("song_base"))

@@ -120,3 +120,17 @@ def test_backfill_equals_daily_runs(spark, scratch):
         assert _snapshot(spark, bulk.path(key)) == _snapshot(spark, daily.path(key)), key
     days = lambda wh: {r[0] for r in spark.read.parquet(wh.path("usr")).select("data_dt").distinct().collect()}
     assert {"20240128", "20240129", "20240130"} <= days(bulk)
+
+
+def test_ingest_lands_play_log(spark, scratch):
+    from encore.plans.daily import run_ingest
+
+    events = dt.load(spark, SF_SMALL, "events")
+    log_path = os.path.join(scratch, "landing")
+    dt.client_log_lines(events).write.text(log_path)
+    wh = Warehouse(os.path.join(scratch, "wh"))
+    report = run_ingest(spark, wh, log_path)
+    assert report.count() == 0
+    landed = spark.read.parquet(wh.path("play_log"))
+    expected = dt.play_log(events.where(F.col("event_type").isin("view", "click", "purchase")))
+    assert sorted(map(tuple, landed.select(*expected.columns).collect())) == sorted(map(tuple, expected.collect()))
