@@ -36,7 +36,9 @@ def haversine_km(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Colu
     dp = p2 - p1
     dl = F.radians(lng2) - F.radians(lng1)
     a = F.pow(F.sin(dp / 2), 2) + F.cos(p1) * F.cos(p2) * F.pow(F.sin(dl / 2), 2)
-    return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.least(F.lit(1.0), F.sqrt(a)))
+    root = F.sqrt(a)
+    # clamp rounding above 1; NULL stays NULL (least() alone would skip it)
+    return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.when(root > 1.0, F.lit(1.0)).otherwise(root))
 
 
 def _cell(c: Column, step: float) -> Column:
@@ -138,13 +140,15 @@ def _level(pending: DataFrame, plc: DataFrame, bounds, s: float, place_cols: lis
     joined = cand.join(cells, ["_ni", "_nj"], "left").withColumn(
         "distance_km", haversine_km(F.col("_lat"), F.col("_lng"), F.col("_plat"), F.col("_plng"))
     )
+    # rows of empty neighbour cells get a NULL ordering, which min_by skips
+    order = F.when(F.col("place_id").isNotNull(), F.struct("distance_km", "place_id"))
     best = joined.groupBy("_k").agg(
         F.first("_lat").alias("_lat"),
         F.first("_lng").alias("_lng"),
         F.first("_ci").alias("_ci"),
         F.first("_cj").alias("_cj"),
         F.first("_p").alias("_p"),
-        F.min_by(F.struct("place_id", "distance_km", *place_cols), F.struct("distance_km", "place_id")).alias("_b"),
+        F.min_by(F.struct("place_id", "distance_km", *place_cols), order).alias("_b"),
     )
     covers = (
         (F.col("_ci") - 1 <= F.floor(F.lit(bounds["lat0"]) / s))

@@ -33,7 +33,11 @@ def mode_per_key(df: DataFrame, key: str, count_col: str, tie_cols: list[str]) -
     key holding a large share of the rows is reduced before the shuffle.
     """
     others = [c for c in df.columns if c != key]
-    order = F.struct(-F.col(count_col), *[F.col(c) for c in tie_cols])
+    # explicit NULL placement in the ties (NULL sorts like '' would: first)
+    order = F.struct(
+        -F.col(count_col),
+        *[x for c in tie_cols for x in (F.col(c).isNotNull(), F.col(c))],
+    )
     best = F.min_by(F.struct(*[F.col(c) for c in others]), order)
     return df.groupBy(key).agg(best.alias("_best")).select(key, "_best.*")
 
