@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import business_mode, time14
 from ..functions.text import city_from_address, fill_from_address, province_from_address
 from ..sources.schemas import PARTITION_COL
-from .small import dedupe_by_key, lookup_join
+from .small import BROADCAST_MAX_ROWS, all_at_most, dedupe_by_key, lookup_join
 
 SYSTEM_A_PRODUCT_TYPE = 2
 
@@ -70,15 +70,20 @@ def machine_profile(
         .join(b.withColumnRenamed("PRDCT_TYPE", "B_PRDCT_TYPE"), "MID", "left")
         .join(smap, "MID", "left")
     )
-    joined = lookup_join(joined, provinces.withColumnRenamed("PRVC", "B_PRVC"), "SCENE_PRVC_ID", "PRVC_ID")
-    joined = lookup_join(joined, cities.withColumnRenamed("CTY", "B_CTY"), "SCENE_CTY_ID", "CTY_ID")
-    joined = lookup_join(joined, areas, "SCENE_AREA_ID", "AREA_ID")
     store_cols = stores.select(
         "ID",
         F.col("GROUND_NM").alias("STORE_NM"),
         "TAG_NM", "SUB_TAG_NM", "SUB_SCENE_CATGY_NM", "SUB_SCENE_NM", "BRND_NM", "SUB_BRND_NM",
     )
-    joined = lookup_join(joined, store_cols, "STORE_ID", "ID")
+    lookups = [
+        (provinces.withColumnRenamed("PRVC", "B_PRVC"), "SCENE_PRVC_ID", "PRVC_ID"),
+        (cities.withColumnRenamed("CTY", "B_CTY"), "SCENE_CTY_ID", "CTY_ID"),
+        (areas, "SCENE_AREA_ID", "AREA_ID"),
+        (store_cols, "STORE_ID", "ID"),
+    ]
+    small = all_at_most([lk for lk, _, _ in lookups], BROADCAST_MAX_ROWS)
+    for (lookup, fact_key, lookup_key), is_small in zip(lookups, small):
+        joined = lookup_join(joined, lookup, fact_key, lookup_key, small=is_small)
     return joined.select(
         "MID",
         "MAC_NM",

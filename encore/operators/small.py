@@ -24,14 +24,29 @@ def has_at_most(df: DataFrame, n: int) -> bool:
     return df.limit(n + 1).count() <= n
 
 
-def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
+def all_at_most(dfs: list[DataFrame], n: int) -> list[bool]:
+    """``has_at_most`` for several frames in ONE job (each reads at most n + 1 rows)."""
+    if not dfs:
+        return []
+    tagged = None
+    for i, df in enumerate(dfs):
+        part = df.limit(n + 1).select(F.lit(i).alias("_i"))
+        tagged = part if tagged is None else tagged.unionByName(part)
+    counts = {r["_i"]: r["count"] for r in tagged.groupBy("_i").count().collect()}
+    return [counts.get(i, 0) <= n for i in range(len(dfs))]
+
+
+def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, small: bool | None = None) -> DataFrame:
+    if small is None:
+        small = has_at_most(df, max_rows)
+    return F.broadcast(df) if small else df
 
 
 def lookup_join(fact: DataFrame, lookup: DataFrame, fact_key: str, lookup_key: str,
-                max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Left join to a lookup keyed uniquely on ``lookup_key`` (de-duplicated here)."""
+                max_rows: int = BROADCAST_MAX_ROWS, small: bool | None = None) -> DataFrame:
+    """Left join to a lookup keyed uniquely on ``lookup_key`` (de-duplicated here).
+    ``small`` passes a size check already made (see ``all_at_most``)."""
     dim = dedupe_by_key(lookup, lookup_key)
-    dim = maybe_broadcast(dim, max_rows)
+    dim = maybe_broadcast(dim, max_rows, small)
     joined = fact.join(dim, fact[fact_key] == dim[lookup_key], "left")
     return joined.drop(dim[lookup_key]) if lookup_key != fact_key else joined
