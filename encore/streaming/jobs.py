@@ -52,7 +52,7 @@ def _apply_conf(spark: SparkSession) -> None:
 
 def start_hot_songs(records: DataFrame, out_path: str, name: str = "hot_songs",
                     watermark: str = DEFAULT_WATERMARK, trigger: dict | None = None,
-                    checkpoint_root: str | None = None) -> StreamingQuery:
+                    checkpoint_root: str | None = None, key: str = "songname") -> StreamingQuery:
     """J13: song counts per sliding window, top 30 per window.
 
     Append mode: a window is emitted once, complete, when the watermark
@@ -60,10 +60,10 @@ def start_hot_songs(records: DataFrame, out_path: str, name: str = "hot_songs",
     spark = records.sparkSession
     _apply_conf(spark)
     root = checkpoint_root or checkpoint_dir(spark)
-    counts = W.song_counts(records, watermark=watermark)
+    counts = W.song_counts(records, key=key, watermark=watermark)
     return (
         counts.writeStream.outputMode("append")
-        .foreachBatch(TopKReplaceSink(out_path))
+        .foreachBatch(TopKReplaceSink(out_path, key=key))
         .option("checkpointLocation", sub_dir(root, name))
         .trigger(**(trigger or {"processingTime": HOT_TRIGGER}))
         .queryName(name)

@@ -41,6 +41,15 @@ def read_latest(spark: SparkSession, path: str) -> DataFrame | None:
     return None if b is None else spark.read.parquet(f"{path}/{BATCH_DIR}={b}")
 
 
+def current_board(spark: SparkSession, path: str) -> DataFrame | None:
+    """The newest closed window of the latest board snapshot."""
+    board = read_latest(spark, path)
+    if board is None:
+        return None
+    last = board.agg(F.max("window_end").alias("_m"))
+    return board.join(last, board["window_end"] == last["_m"], "inner").drop("_m")
+
+
 class TopKReplaceSink:
     """Hot-song board: each trigger replaces the board with the top ``n`` songs
     of every window in the batch.  Empty batches leave the board as it is.

@@ -94,6 +94,10 @@ def test_hot_song_job_end_to_end(spark, scratch):
     q.awaitTermination(300)
     board = read_latest(spark, os.path.join(scratch, "board"))
     assert board is not None and board.count() > 0
+    from encore.streaming.sinks import current_board
+
+    now = current_board(spark, os.path.join(scratch, "board"))
+    assert now.select("window_end").distinct().count() == 1
     assert board.agg(F.max("rank")).first()[0] <= 30
     # append mode emits every window once: all boards together equal the batch twin
     every = spark.read.parquet(os.path.join(scratch, "board")).drop("batch_id").where(F.col("songname") != "zz")
