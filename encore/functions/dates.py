@@ -47,23 +47,26 @@ _MIN_EPOCH_MS = -62135596800000.0
 _MAX_EPOCH_MS = 253402300799000.0
 
 
-def normalize_post_time(c: ColumnOrName) -> Column:
+def normalize_post_time(c: ColumnOrName, zone: str = "UTC") -> Column:
     """Publish time as ``yyyy-MM-dd HH:mm:ss`` text.
 
-    Text that starts with a date-time keeps that prefix (re-formatted);
-    otherwise a decimal number is read as epoch milliseconds and formatted in
-    the session zone; otherwise ''.
+    Text that starts with a date-time keeps that prefix (re-formatted, no
+    zone involved); otherwise a decimal number is read as epoch milliseconds
+    and shown as wall time in ``zone`` -- a fixed zone, not the session's, so
+    the result does not depend on who runs the job; otherwise ''.
     """
     col = F.trim(as_col(c))
     prefix = F.regexp_extract(col, _TEXT_TIME_PREFIX, 0)
+    # parsed and formatted in the same (session) zone: the wall time is kept
     parsed_text = F.try_to_timestamp(F.nullif(prefix, F.lit("")), F.lit("y-M-d H:m:s"))
     as_number = col.try_cast("double")
-    millis = F.when(
+    instant = F.when(
         as_number.between(_MIN_EPOCH_MS, _MAX_EPOCH_MS), F.timestamp_millis(as_number.cast("bigint"))
     )
+    wall = F.convert_timezone(F.current_timezone(), F.lit(zone), instant.cast("timestamp_ntz"))
     return F.coalesce(
         F.date_format(parsed_text, TEXT_TIME_FMT),
-        F.date_format(millis, TEXT_TIME_FMT),
+        F.date_format(wall, TEXT_TIME_FMT),
         F.lit(""),
     )
 

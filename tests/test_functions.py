@@ -129,3 +129,17 @@ def test_singer_fields_one_parse_equals_per_field(spark):
     one = df.select(*E.singer_fields("c")).collect()
     per = df.select(*[E.singer_field("c", i, f) for f, i in (("name", 0), ("name", 1), ("id", 0), ("id", 1))]).collect()
     assert [tuple(r) for r in one] == [tuple(r) for r in per]
+
+
+def test_post_time_independent_of_session_zone(spark):
+    vals = ["2020-01-01 00:00:00.0", "1500000000000", "x"]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Shanghai")
+        shanghai = _one_col(spark, vals, E.normalize_post_time)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert shanghai == _one_col(spark, vals, E.normalize_post_time) == ["2020-01-01 00:00:00", "2017-07-14 02:40:00", ""]
+    assert _one_col(spark, ["1500000000000"], lambda c: E.normalize_post_time(c, zone="Asia/Shanghai")) == [
+        "2017-07-14 10:40:00"
+    ]
