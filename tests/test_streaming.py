@@ -112,3 +112,30 @@ def test_parse_records_drops_malformed(spark):
     )
     assert [r.mid for r in W.parse_records(raw).collect()] == ["m1"]
     assert W.malformed_records(raw).count() == 2
+
+
+def test_pv_uv_job_end_to_end(spark, scratch):
+    from pyspark.sql import Window
+
+    recs = dt.play_records(dt.load(spark, SF_SMALL, "events"))
+    src = os.path.join(scratch, "in")
+    recs.repartition(3).write.parquet(src)
+    last = recs.agg(F.max("ts")).first()[0]
+    spark.createDataFrame([(last + dtm.timedelta(hours=1), "zz", "zz", "0", "zz")], recs.schema) \
+        .write.mode("append").parquet(src)
+    stream = jobs.file_records(spark, src, recs.schema, max_files_per_trigger=2)
+    out = os.path.join(scratch, "kv")
+    queries = jobs.start_pv_uv(stream, out, watermark="0 seconds", trigger={"availableNow": True},
+                               checkpoint_root=os.path.join(scratch, "ck"))
+    for q in queries:
+        q.awaitTermination(300)
+
+    def latest(df, value):
+        w = Window.partitionBy("mid").orderBy(F.desc("window_end"))
+        return {(r.mid, r.window_end, r[value]) for r in
+                df.withColumn("_r", F.row_number().over(w)).where("_r = 1").collect()}
+
+    for name, twin, value in (("pv", W.pv_counts(recs), "pv"), ("uv", W.uv_exact_counts(recs), "uv")):
+        table = KeyedUpsertSink(os.path.join(out, name), ["mid"]).read_current(spark)
+        got = {(r.mid, r.window_end, r[value]) for r in table.where(F.col("mid") != "zz").collect()}
+        assert got == latest(twin, value)
