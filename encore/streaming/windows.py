@@ -96,6 +96,18 @@ def uv_exact_counts(records: DataFrame, window: str = PV_WINDOW, slide: str = PV
     return _flat(agg)
 
 
+def uv_approx_counts(records: DataFrame, window: str = PV_WINDOW, slide: str = PV_SLIDE,
+                     rsd: float = 0.02, watermark: str | None = None) -> DataFrame:
+    """Distinct visitors per machine per window with a HyperLogLog sketch:
+    one stateful operator whose state per window is fixed-size, for windows
+    holding very many users (relative standard deviation ``rsd``)."""
+    src = with_watermark(records, watermark)
+    agg = src.groupBy(F.window("ts", window, slide).alias("w"), "mid").agg(
+        F.approx_count_distinct("uid", rsd).alias("uv")
+    )
+    return _flat(agg)
+
+
 def song_counts(records: DataFrame, window: str = HOT_WINDOW, slide: str = HOT_SLIDE,
                 key: str = "songname", watermark: str | None = None) -> DataFrame:
     """Plays per song (by name, as the original; pass ``key='songid'`` to

@@ -171,3 +171,11 @@ def test_restart_from_checkpoint(spark, scratch):
     table = KeyedUpsertSink(os.path.join(out, "pv"), ["mid"]).read_current(spark)
     got = {(r.mid, r.window_end, r.pv) for r in table.where(F.col("mid") != "zz").collect()}
     assert got == want
+
+
+def test_uv_approx_close_to_exact(spark):
+    recs = dt.play_records(dt.load(spark, SF_SMALL, "events"))
+    exact = {(r.window_start, r.mid): r.uv for r in W.uv_exact_counts(recs).collect()}
+    approx = {(r.window_start, r.mid): r.uv for r in W.uv_approx_counts(recs).collect()}
+    assert exact.keys() == approx.keys()
+    assert all(abs(approx[k] - v) <= max(1, 0.1 * v) for k, v in exact.items())
