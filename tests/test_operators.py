@@ -210,3 +210,32 @@ def test_feature_series_equals_daily_job(spark):
     for i in range(0, 10):
         want += [tuple(r) for r in content.song_features(log, catalog, days_before(D, i)).collect()]
     assert got == sorted(want)
+
+
+def test_machine_profile_one_row_per_machine(spark):
+    from encore.operators import machine
+
+    mac_a = spark.createDataFrame([("m1", "s", "h", "v", "e", "u", "1", "t", "1", "1")], schemas.MAC_A)
+    loc_a = spark.createDataFrame(
+        [("m1", None, None, "湖北省武汉市洪山区", None, "20230101", "20230102")], schemas.MAC_LOC_A
+    )
+    b_rows = [("m1", t, "KTV", "标准版", 50.0, 1.0, 2.0, 3.0, "1", "20230301", "20230301", "1", "0", "0", "0",
+               "addr", "ground") for t in (1, 2)]  # two product types for one machine
+    admin_b = spark.createDataFrame(b_rows, schemas.MAC_ADMIN_B)
+    provinces = spark.createDataFrame([("0", "P-a"), ("0", "P-b")], schemas.PROVINCES)  # duplicate key
+    cities = spark.createDataFrame([("0", "C")], schemas.CITIES)
+    areas = spark.createDataFrame([("0", "A")], schemas.AREAS)
+    store_map = spark.createDataFrame([("m1", "9")], schemas.STORE_MAP)
+    stores = spark.createDataFrame([("9", "g", "t", "st", "sc", "ss", "b", "sb")], schemas.STORES)
+    out = machine.machine_profile(mac_a, loc_a, admin_b, provinces, cities, areas, store_map, stores, D).collect()
+    assert len(out) == 1
+    r = out[0]
+    assert (r.PRVC, r.CTY, r.AREA, r.STORE_NM, r.BUS_MODE, r.REV_TM) == ("湖北", "武汉", "A", "g", "联营", "20230101000000")
+
+
+def test_catalog_drops_blank_ids(spark):
+    from encore.sources import driver_tables as dt
+
+    songs = dt.song_catalog(dt.load(spark, SF_SMALL, "part")).limit(3)
+    blank = songs.limit(1).withColumn("NBR", F.lit(""))
+    assert content.clean_catalog(songs.unionByName(blank)).count() == 3
