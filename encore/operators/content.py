@@ -18,7 +18,7 @@ from ..functions import (
 )
 from ..functions.dates import days_before
 from ..sources.schemas import PARTITION_COL, SONG_INT_COLS
-from ..sources.tables import between_days
+from ..sources.tables import between_days, on_day
 from .ranking import global_row_number, rank_within
 
 # fixed values: trailing horizons (D-n .. D inclusive) and index periods
@@ -191,25 +191,65 @@ def song_day_counts(play_log: DataFrame) -> DataFrame:
     )
 
 
-def song_features(play_log: DataFrame, catalog: DataFrame, day: str,
-                  short_days: int = SHORT_DAYS, long_days: int = LONG_DAYS,
-                  likes: DataFrame | None = None, op_types: list[str] | None = None,
-                  exclude_uid: str | None = None) -> DataFrame:
-    """TW_SONG_FTUR_D for ``day``: songs played that day that are in the catalog.
+# HyperLogLog precision of the approximate mode (relative error ~1.6%)
+SKETCH_LG_K = 12
 
-    Like counts were never wired into the source system: without ``likes``
-    they are typed zero columns.  Best-day counts come from the log
-    (including ``day``), so the job is idempotent and order-independent.
-    """
-    plays = select_plays(play_log, op_types, exclude_uid)
-    counts = song_horizon_counts(plays, day, short_days, long_days).where(F.col("SING_CNT") > 0)
+
+def song_day_sketches(play_log: DataFrame, day: str | None = None) -> DataFrame:
+    """Per (day, song): plays plus mergeable HyperLogLog sketches of users and
+    orders.  A daily run reads ONLY that day's log partition; the sketches
+    (one small row per song and day) then serve every horizon."""
+    src = play_log if day is None else on_day(play_log, day)
+    return src.groupBy(PARTITION_COL, "SONGID").agg(
+        F.count(F.lit(1)).cast("bigint").alias("SING_CNT"),
+        F.hll_sketch_agg("UID", SKETCH_LG_K).alias("USR_SKETCH"),
+        F.hll_sketch_agg("ORDER_ID", SKETCH_LG_K).alias("ORDR_SKETCH"),
+    )
+
+
+def song_horizon_counts_from_sketches(sketches: DataFrame, day: str, short_days: int = SHORT_DAYS,
+                                      long_days: int = LONG_DAYS) -> DataFrame:
+    """``song_horizon_counts`` from daily sketches: reads songs x 31 small rows
+    instead of 31 days of plays; distinct counts are HLL estimates."""
+    lo_short, lo_long = days_before(day, short_days), days_before(day, long_days)
+    rows = between_days(sketches, lo_long, day)
+    today = F.col(PARTITION_COL) == F.lit(day)
+    in_short = F.col(PARTITION_COL) >= F.lit(lo_short)
+    zero = F.lit(0).cast("bigint")
+
+    def est(col: str, cond):
+        union = F.hll_union_agg(F.when(cond, F.col(col)) if cond is not None else F.col(col))
+        return F.coalesce(F.hll_sketch_estimate(union), zero)
+
+    return rows.groupBy("SONGID").agg(
+        F.coalesce(F.sum(F.when(today, F.col("SING_CNT"))), zero).alias("SING_CNT"),
+        est("USR_SKETCH", today).alias("USR_CNT"),
+        est("ORDR_SKETCH", today).alias("ORDR_CNT"),
+        F.coalesce(F.sum(F.when(in_short, F.col("SING_CNT"))), zero).alias("RCT_7_SING_CNT"),
+        F.coalesce(F.max(F.when(in_short, F.col("SING_CNT"))), zero).alias("RCT_7_TOP_SING_CNT"),
+        est("USR_SKETCH", in_short).alias("RCT_7_USR_CNT"),
+        est("ORDR_SKETCH", in_short).alias("RCT_7_ORDR_CNT"),
+        F.sum("SING_CNT").alias("RCT_30_SING_CNT"),
+        F.max("SING_CNT").alias("RCT_30_TOP_SING_CNT"),
+        est("USR_SKETCH", None).alias("RCT_30_USR_CNT"),
+        est("ORDR_SKETCH", None).alias("RCT_30_ORDR_CNT"),
+    )
+
+
+def song_features_from_sketches(sketches: DataFrame, catalog: DataFrame, day: str,
+                                short_days: int = SHORT_DAYS, long_days: int = LONG_DAYS) -> DataFrame:
+    """Approximate TW_SONG_FTUR_D (distinct users/orders estimated, plays exact)."""
+    counts = song_horizon_counts_from_sketches(sketches, day, short_days, long_days).where(F.col("SING_CNT") > 0)
+    return _assemble_features(counts, catalog, F.lit(day))
+
+
+def _assemble_features(counts: DataFrame, catalog: DataFrame, data_dt, like: dict | None = None,
+                       extra_join: DataFrame | None = None) -> DataFrame:
     zero = F.lit(0).cast("bigint")
     joined = counts.join(catalog.select(F.col("NBR").alias("SONGID"), *CATALOG_COLS), "SONGID", "inner")
-    if likes is not None:
-        joined = joined.join(like_horizon_counts(likes, day, short_days, long_days), "SONGID", "left")
-        like = {c: F.coalesce(F.col(c), zero) for c in LIKE_COLS}
-    else:
-        like = {c: zero for c in LIKE_COLS}
+    if extra_join is not None:
+        joined = joined.join(extra_join, "SONGID", "left")
+    like = like or {c: zero for c in LIKE_COLS}
     return joined.select(
         F.col("SONGID").alias("NBR"),
         *CATALOG_COLS,
@@ -229,10 +269,30 @@ def song_features(play_log: DataFrame, catalog: DataFrame, day: str,
         like["RCT_30_TOP_SUPP_CNT"].alias("RCT_30_TOP_SUPP_CNT"),
         "RCT_30_USR_CNT",
         "RCT_30_ORDR_CNT",
-        F.lit(day).alias(PARTITION_COL),
+        data_dt.alias(PARTITION_COL),
     )
 
 
+def song_features(play_log: DataFrame, catalog: DataFrame, day: str,
+                  short_days: int = SHORT_DAYS, long_days: int = LONG_DAYS,
+                  likes: DataFrame | None = None, op_types: list[str] | None = None,
+                  exclude_uid: str | None = None) -> DataFrame:
+    """TW_SONG_FTUR_D for ``day``: songs played that day that are in the catalog.
+
+    Like counts were never wired into the source system: without ``likes``
+    they are typed zero columns.  Best-day counts come from the log
+    (including ``day``), so the job is idempotent and order-independent.
+    """
+    plays = select_plays(play_log, op_types, exclude_uid)
+    counts = song_horizon_counts(plays, day, short_days, long_days).where(F.col("SING_CNT") > 0)
+    if likes is None:
+        return _assemble_features(counts, catalog, F.lit(day))
+    zero = F.lit(0).cast("bigint")
+    like_counts = like_horizon_counts(likes, day, short_days, long_days)
+    like = {c: F.coalesce(F.col(c), zero) for c in LIKE_COLS}
+    return _assemble_features(counts, catalog, F.lit(day), like=like, extra_join=like_counts)
+
+
 EPOCH_DAY = "19700101"
 
 
@@ -352,29 +412,7 @@ def song_features_range(play_log: DataFrame, catalog: DataFrame, first_day: str,
                         short_days: int = SHORT_DAYS, long_days: int = LONG_DAYS) -> DataFrame:
     """TW_SONG_FTUR_D for every day of [first_day, last_day] in one job (backfill)."""
     counts = song_horizon_series(play_log, first_day, last_day, short_days, long_days)
-    zero = F.lit(0).cast("bigint")
-    joined = counts.join(catalog.select(F.col("NBR").alias("SONGID"), *CATALOG_COLS), "SONGID", "inner")
-    return joined.select(
-        F.col("SONGID").alias("NBR"),
-        *CATALOG_COLS,
-        "SING_CNT",
-        zero.alias("SUPP_CNT"),
-        "USR_CNT",
-        "ORDR_CNT",
-        "RCT_7_SING_CNT",
-        zero.alias("RCT_7_SUPP_CNT"),
-        "RCT_7_TOP_SING_CNT",
-        zero.alias("RCT_7_TOP_SUPP_CNT"),
-        "RCT_7_USR_CNT",
-        "RCT_7_ORDR_CNT",
-        "RCT_30_SING_CNT",
-        zero.alias("RCT_30_SUPP_CNT"),
-        "RCT_30_TOP_SING_CNT",
-        zero.alias("RCT_30_TOP_SUPP_CNT"),
-        "RCT_30_USR_CNT",
-        "RCT_30_ORDR_CNT",
-        PARTITION_COL,
-    )
+    return _assemble_features(counts, catalog, F.col(PARTITION_COL))
 
 
 def tops_from_history(history: DataFrame, day: str, short_days: int = SHORT_DAYS,

@@ -27,6 +27,7 @@ TABLES = {
     "play_log": "TO_CLIENT_SONG_PLAY_OPERATE_REQ_D",
     "song_base": "TW_SONG_BASEINFO_D",
     "song_features": "TW_SONG_FTUR_D",
+    "song_sketch": "TW_SONG_DAY_SKETCH_D",
     "song_rsi": "TW_SONG_RSI_D",
     "singer_rsi": "TW_SINGER_RSI_D",
     "mac_base": "TW_MAC_BASEINFO_D",
@@ -93,10 +94,22 @@ def run_ingest(spark: SparkSession, wh: Warehouse, log_path: str) -> DataFrame:
     return client_log.unparsable_play_requests(landed)
 
 
-def run_content(spark: SparkSession, wh: Warehouse, raw: RawTables, day: str) -> None:
+def run_content(spark: SparkSession, wh: Warehouse, raw: RawTables, day: str,
+                approx_distinct: bool = False) -> None:
+    """J2-J5 for ``day``.  Exact by default (31 days of the play log are
+    scanned once).  With ``approx_distinct`` only today's log partition is
+    read: it becomes one row of plays and HLL sketches per song
+    (TW_SONG_DAY_SKETCH_D), and the horizons are merged from 31 days of
+    those rows -- distinct users/orders become estimates (~1.6%)."""
     overwrite_table(content.clean_catalog(raw.song_info), wh.path("song_base"))
     catalog = spark.read.parquet(wh.path("song_base"))
-    write_partition(content.song_features(raw.play_log, catalog, day), wh.path("song_features"))
+    if approx_distinct:
+        write_partition(content.song_day_sketches(raw.play_log, day), wh.path("song_sketch"))
+        sketches = spark.read.parquet(wh.path("song_sketch"))
+        features = content.song_features_from_sketches(sketches, catalog, day)
+    else:
+        features = content.song_features(raw.play_log, catalog, day)
+    write_partition(features, wh.path("song_features"))
     features = _read(spark, wh, "song_features", day)
     write_partition(content.song_rsi(features), wh.path("song_rsi"))
     write_partition(content.singer_rsi(features), wh.path("singer_rsi"))
@@ -186,6 +199,13 @@ def backfill(spark: SparkSession, wh: Warehouse, raw: RawTables, first_day: str,
         run_machines(spark, wh, raw, day)
 
 
+def backfill_sketches(spark: SparkSession, wh: Warehouse, raw: RawTables, first_day: str, last_day: str) -> None:
+    """Daily song sketches for a whole range in one job (seeds the approximate mode)."""
+    from ..sources.tables import between_days
+
+    write_partition(content.song_day_sketches(between_days(raw.play_log, first_day, last_day)), wh.path("song_sketch"))
+
+
 def raw_from_driver(spark: SparkSession, sf_dir: str) -> RawTables:
     """The stand-in raw tables derived from the driver's tables."""
     from ..sources import driver_tables as dt

@@ -239,3 +239,13 @@ def test_catalog_drops_blank_ids(spark):
     songs = dt.song_catalog(dt.load(spark, SF_SMALL, "part")).limit(3)
     blank = songs.limit(1).withColumn("NBR", F.lit(""))
     assert content.clean_catalog(songs.unionByName(blank)).count() == 3
+
+
+def test_sketch_features_match_exact_on_small_data(spark):
+    from encore.sources import driver_tables as dt
+
+    log = dt.play_log(dt.load(spark, SF_SMALL, "events"))
+    catalog = content.clean_catalog(dt.song_catalog(dt.load(spark, SF_SMALL, "part")))
+    exact = sorted(map(tuple, content.song_features(log, catalog, D).collect()))
+    approx = sorted(map(tuple, content.song_features_from_sketches(content.song_day_sketches(log), catalog, D).collect()))
+    assert approx == exact  # HLL keeps exact coupon lists at these cardinalities

@@ -134,3 +134,15 @@ def test_ingest_lands_play_log(spark, scratch):
     landed = spark.read.parquet(wh.path("play_log"))
     expected = dt.play_log(events.where(F.col("event_type").isin("view", "click", "purchase")))
     assert sorted(map(tuple, landed.select(*expected.columns).collect())) == sorted(map(tuple, expected.collect()))
+
+
+def test_approximate_content_mode(spark, scratch):
+    from encore.plans.daily import backfill_sketches, run_content
+
+    raw = raw_from_driver(spark, SF_SMALL)
+    exact, approx = Warehouse(os.path.join(scratch, "exact")), Warehouse(os.path.join(scratch, "approx"))
+    run_content(spark, exact, raw, "20240130")
+    backfill_sketches(spark, approx, raw, "20231231", "20240129")
+    run_content(spark, approx, raw, "20240130", approx_distinct=True)
+    assert _snapshot(spark, approx.path("song_features")) == _snapshot(spark, exact.path("song_features"))
+    assert _snapshot(spark, approx.path("song_rsi")) == _snapshot(spark, exact.path("song_rsi"))
