@@ -17,7 +17,7 @@ from .plans import daily
 from .session import build_session, checkpoint_dir
 
 JOBS = {
-    "content": lambda spark, wh, raw, day: daily.run_content(spark, wh, raw, day),
+    "content": lambda spark, wh, raw, day, approx=False: daily.run_content(spark, wh, raw, day, approx),
     "machines": lambda spark, wh, raw, day: daily.run_machines(spark, wh, raw, day),
     "users": lambda spark, wh, raw, day: daily.run_users(spark, wh, raw, day),
     "revenue": lambda spark, wh, raw, day: daily.run_revenue(spark, wh, day),
@@ -32,6 +32,8 @@ def main(argv=None) -> None:
     d.add_argument("--warehouse", required=True)
     d.add_argument("--sf-dir", required=True, help="folder of the driver tables the raw layer is derived from")
     d.add_argument("--jobs", default="content,machines,users,revenue")
+    d.add_argument("--approx-distinct", action="store_true",
+                   help="song features from daily HLL sketches (reads only the day's play log)")
     d.add_argument("--checkpoint")
     g = sub.add_parser("ingest")
     g.add_argument("--log", required=True, help="client log text (plain or gz), one or more files")
@@ -56,7 +58,10 @@ def main(argv=None) -> None:
         wh = daily.Warehouse(args.warehouse)
         raw = daily.raw_from_driver(spark, args.sf_dir)
         for job in args.jobs.split(","):
-            JOBS[job](spark, wh, raw, args.date)
+            if job == "content":
+                JOBS[job](spark, wh, raw, args.date, args.approx_distinct)
+            else:
+                JOBS[job](spark, wh, raw, args.date)
         return
 
     from .streaming import jobs
