@@ -40,7 +40,7 @@ def concat_strict(*cols: ColumnOrName) -> Column:
 
 
 # ---------------------------------------------------------------------------
-# Address parsing.  Fixed values that must equal the reference's rules:
+# Address parsing.  Fixed values of the data model:
 # the province-level names matched in the free-text address, in the order
 # they are tested, each with the short name it maps to.
 # ---------------------------------------------------------------------------
