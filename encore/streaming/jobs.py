@@ -80,7 +80,7 @@ def start_pv_uv(records: DataFrame, out_path: str, name: str = "pv_uv", exact_uv
     root = checkpoint_root or checkpoint_dir(spark)
     trig = trigger or {"processingTime": PV_TRIGGER}
     pv = (
-        W.pv_counts(records, watermark=watermark)
+        W.pv_counts(records, watermark=watermark, panes=True)
         .writeStream.outputMode("append")
         .foreachBatch(KeyedUpsertSink(sub_dir(out_path, "pv"), ["mid"]))
         .option("checkpointLocation", sub_dir(root, f"{name}_pv"))

@@ -58,6 +58,10 @@ def test_stream_pv_equals_batch(spark, scratch):
     _stream_equals_batch(spark, scratch, "pv_stream", W.pv_counts)
 
 
+def test_stream_paned_pv_equals_batch(spark, scratch):
+    _stream_equals_batch(spark, scratch, "pv_paned_stream", lambda r, **kw: W.pv_counts(r, panes=True, **kw))
+
+
 def test_stream_uv_batch_equals_batch(spark, scratch):
     _stream_equals_batch(spark, scratch, "uvb_stream", W.uv_batch_counts)
 
@@ -179,3 +183,10 @@ def test_uv_approx_close_to_exact(spark):
     approx = {(r.window_start, r.mid): r.uv for r in W.uv_approx_counts(recs).collect()}
     assert exact.keys() == approx.keys()
     assert all(abs(approx[k] - v) <= max(1, 0.1 * v) for k, v in exact.items())
+
+
+def test_paned_pv_equals_direct(spark):
+    recs = dt.play_records(dt.load(spark, SF_SMALL, "events"))
+    paned = sorted(map(tuple, W.pv_counts(recs).collect()))
+    direct = sorted(map(tuple, W.pv_counts(recs, panes=False).collect()))
+    assert paned == direct
