@@ -40,8 +40,13 @@ def _stream_bench(spark, sf_dir: str, scratch: str) -> tuple[float, dict]:
     stream = jobs.file_records(spark, src, recs.schema, max_files_per_trigger=8)
     t0 = time.perf_counter()
     queries = []
-    paned_pv = lambda r, **kw: W.pv_counts(r, panes=True, **kw)  # noqa: E731 (the streaming job setting)
-    for name, fn in (("pv", paned_pv), ("uv", W.uv_exact_counts)):
+    def paned_pv(r, **kw):  # the streaming job's settings
+        return W.pv_counts(r, panes=True, **kw)
+
+    def paned_uv(r, **kw):
+        return W.uv_exact_counts(r, panes=True, **kw)
+
+    for name, fn in (("pv", paned_pv), ("uv", paned_uv)):
         queries.append(
             fn(stream, watermark="30 seconds").writeStream.format("noop").outputMode("append")
             .option("checkpointLocation", os.path.join(scratch, f"ck_{name}"))

@@ -60,7 +60,7 @@ def start_hot_songs(records: DataFrame, out_path: str, name: str = "hot_songs",
     spark = records.sparkSession
     _apply_conf(spark)
     root = checkpoint_root or checkpoint_dir(spark)
-    counts = W.song_counts(records, key=key, watermark=watermark)
+    counts = W.song_counts(records, key=key, watermark=watermark, panes=True)
     return (
         counts.writeStream.outputMode("append")
         .foreachBatch(TopKReplaceSink(out_path, key=key))
@@ -88,7 +88,10 @@ def start_pv_uv(records: DataFrame, out_path: str, name: str = "pv_uv", exact_uv
         .queryName(f"{name}_pv")
         .start()
     )
-    uv_frame = (W.uv_exact_counts if exact_uv else W.uv_batch_counts)(records, watermark=watermark)
+    if exact_uv:
+        uv_frame = W.uv_exact_counts(records, watermark=watermark, panes=True)
+    else:
+        uv_frame = W.uv_batch_counts(records, watermark=watermark)
     uv = (
         uv_frame.writeStream.outputMode("append")
         .foreachBatch(KeyedUpsertSink(sub_dir(out_path, "uv"), ["mid"]))

@@ -97,12 +97,17 @@ def uv_batch_counts(records: DataFrame, window: str = PV_WINDOW, slide: str = PV
 
 
 def uv_exact_counts(records: DataFrame, window: str = PV_WINDOW, slide: str = PV_SLIDE,
-                    watermark: str | None = None) -> DataFrame:
+                    watermark: str | None = None, panes: bool = False) -> DataFrame:
     """Distinct visitors per machine per sliding window (the stated intent).
 
     Two-level aggregation: (window, machine, user) first, then users per
-    (window, machine); no per-key set is held in one task."""
+    (window, machine); no per-key set is held in one task.  With ``panes``
+    the (machine, user) pairs are first made distinct per ``slide`` pane, so
+    a user's repeated events within a pane touch one state row."""
     src = with_watermark(records, watermark)
+    if panes:
+        src = src.groupBy(F.window("ts", slide).alias("p"), "mid", "uid").agg(F.count(F.lit(1)).alias("_k"))
+        src = src.select(F.window_time("p").alias("ts"), "mid", "uid")
     per_user = src.groupBy(F.window("ts", window, slide).alias("w"), "mid", "uid").agg(
         F.count(F.lit(1)).alias("_n")
     )
@@ -123,11 +128,18 @@ def uv_approx_counts(records: DataFrame, window: str = PV_WINDOW, slide: str = P
 
 
 def song_counts(records: DataFrame, window: str = HOT_WINDOW, slide: str = HOT_SLIDE,
-                key: str = "songname", watermark: str | None = None) -> DataFrame:
+                key: str = "songname", watermark: str | None = None, panes: bool = False) -> DataFrame:
     """Plays per song (by name, as the original; pass ``key='songid'`` to
-    keep same-titled songs apart) per sliding window."""
+    keep same-titled songs apart) per sliding window; ``panes`` as in
+    ``pv_counts``."""
     src = with_watermark(records, watermark)
-    agg = src.groupBy(F.window("ts", window, slide).alias("w"), key).agg(F.count(F.lit(1)).alias("times"))
+    if not panes:
+        agg = src.groupBy(F.window("ts", window, slide).alias("w"), key).agg(F.count(F.lit(1)).alias("times"))
+        return _flat(agg)
+    per_pane = src.groupBy(F.window("ts", slide).alias("p"), key).agg(F.count(F.lit(1)).alias("n"))
+    agg = per_pane.groupBy(F.window(F.window_time("p"), window, slide).alias("w"), key).agg(
+        F.sum("n").alias("times")
+    )
     return _flat(agg)
 
 

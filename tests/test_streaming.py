@@ -185,8 +185,13 @@ def test_uv_approx_close_to_exact(spark):
     assert all(abs(approx[k] - v) <= max(1, 0.1 * v) for k, v in exact.items())
 
 
-def test_paned_pv_equals_direct(spark):
+def test_paned_counts_equal_direct(spark):
     recs = dt.play_records(dt.load(spark, SF_SMALL, "events"))
-    paned = sorted(map(tuple, W.pv_counts(recs).collect()))
-    direct = sorted(map(tuple, W.pv_counts(recs, panes=False).collect()))
-    assert paned == direct
+    for fn in (W.pv_counts, W.uv_exact_counts, W.song_counts):
+        paned = sorted(map(tuple, fn(recs, panes=True).collect()))
+        direct = sorted(map(tuple, fn(recs, panes=False).collect()))
+        assert paned == direct, fn.__name__
+
+
+def test_stream_paned_uv_equals_batch(spark, scratch):
+    _stream_equals_batch(spark, scratch, "uvx_paned_stream", lambda r, **kw: W.uv_exact_counts(r, panes=True, **kw))
