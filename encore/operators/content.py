@@ -333,9 +333,13 @@ def song_horizon_series(play_log: DataFrame, first_day: str, last_day: str,
                 F.struct(F.lit("o").alias("kind"), F.col("ORDER_ID").alias("key")),
             )
         ).alias("f"),
-    )
-    per_key = facts.groupBy("SONGID", F.col("f.kind").alias("kind"), F.col("f.key").alias("key"), "dn").agg(
-        F.count(F.lit(1)).alias("n")
+    ).select("SONGID", "dn", F.col("f.kind").alias("kind"), F.col("f.key").alias("key"))
+    # one shuffle on (song, kind, key) serves both the per-day aggregation and
+    # the next-active-day window below (a hot song is spread by key)
+    per_key = (
+        facts.repartition("SONGID", "kind", "key")
+        .groupBy("SONGID", "kind", "key", "dn")
+        .agg(F.count(F.lit(1)).alias("n"))
     )
     # every play has exactly one user fact (NULL user included): plays per song-day
     daily = per_key.where(F.col("kind") == "u").groupBy("SONGID", "dn").agg(F.sum("n").alias("SING_CNT"))
