@@ -66,8 +66,11 @@ def main() -> None:
                 if rec:
                     reads[ev["Stage ID"]].append(rec)
     print(f"hot song share of plays: {share:.3f}")
+    print("shuffle-reading stages with >= 1000 records (smaller ones are final merges of pre-aggregated rows):")
     for stage, recs in sorted(reads.items()):
         total = sum(recs)
+        if total < 1000:
+            continue
         print(f"stage {stage:3d}: tasks={len(recs):3d} records={total:9d} largest task share={max(recs) / total:.3f}")
 
 
