@@ -1,7 +1,9 @@
 """Skew check: one song holds a third of all plays.
 
 Builds the play log from ``events`` with every third play moved to song 0,
-runs the song-feature job (exact, one day) and the all-days backfill with
+and the orders with every third order moved to machine 0; runs the
+song-feature job (exact, one day), the all-days backfill and the machine
+revenue aggregation with
 Spark's event log in a scratch folder, and prints, per stage that reads a
 shuffle, the number of tasks and the largest task's share of the records
 read.  A hot key that landed in one task would show a share near 1/3.
@@ -23,7 +25,7 @@ sys.path.insert(0, ROOT)
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from encore.operators import content  # noqa: E402
+from encore.operators import content, revenue, users  # noqa: E402
 from encore.plans.registry import BUSINESS_DAY, FIRST_DAY  # noqa: E402
 from encore.session import build_session  # noqa: E402
 from encore.sources import driver_tables as dt  # noqa: E402
@@ -50,6 +52,12 @@ def main() -> None:
     content.song_features(log, catalog, BUSINESS_DAY).write.format("noop").mode("overwrite").save()
     spark.sparkContext.setJobGroup("backfill", "backfill")
     content.song_features_range(log, catalog, FIRST_DAY, BUSINESS_DAY).write.format("noop").mode("overwrite").save()
+    # one machine takes a third of all orders: machine revenue for every day
+    orders = dt.consumption(dt.load(spark, sf, "orders"))
+    hot_orders = orders.withColumn("MID", F.when(F.col("ID").cast("bigint") % 3 == 0, F.lit("0")).otherwise(F.col("MID")))
+    brief = users.consumption_brief(hot_orders)
+    spark.sparkContext.setJobGroup("revenue", "revenue")
+    revenue.revenue_and_refunds(brief).write.format("noop").mode("overwrite").save()
     spark.stop()
 
     reads = defaultdict(list)
