@@ -146,3 +146,12 @@ def test_approximate_content_mode(spark, scratch):
     run_content(spark, approx, raw, "20240130", approx_distinct=True)
     assert _snapshot(spark, approx.path("song_features")) == _snapshot(spark, exact.path("song_features"))
     assert _snapshot(spark, approx.path("song_rsi")) == _snapshot(spark, exact.path("song_rsi"))
+
+
+def test_gzip_log_round_trip(spark, scratch):
+    path = os.path.join(scratch, "gz")
+    dt.client_log_lines(dt.load(spark, SF_SMALL, "events")).write.option("compression", "gzip").text(path)
+    assert any(name.endswith(".gz") for name in os.listdir(path))
+    plays = client_log.decode_play_requests(client_log.split_requests(client_log.read_client_log(spark, path)))
+    events = dt.load(spark, SF_SMALL, "events")
+    assert plays.count() == events.where(F.col("event_type").isin("view", "click", "purchase")).count()
