@@ -91,7 +91,7 @@ def select_plays(play_log: DataFrame, op_types: list[str] | None = None,
 
 def like_horizon_counts(likes: DataFrame, day: str, short_days: int = SHORT_DAYS,
                         long_days: int = LONG_DAYS) -> DataFrame:
-    """Likes ``(SONGID, data_dt, n)`` -> the six like columns of the features."""
+    """Likes ``(SONGID, data_dt, n)`` -> the five like columns of the features."""
     lo_short, lo_long = days_before(day, short_days), days_before(day, long_days)
     daily = between_days(likes, lo_long, day).groupBy("SONGID", PARTITION_COL).agg(F.sum("n").alias("n"))
     in_short = F.col(PARTITION_COL) >= F.lit(lo_short)
