@@ -44,3 +44,21 @@ def test_mart_replace_keeps_table_definition():
     assert df.write.calls[0][1] == ("overwrite",)
     assert df.write.calls[1][1] == ("truncate", "true")
     assert df.write.calls[2][1][:2] == ("jdbc:x://h/db", "tm_song_rsi")
+
+
+class _StreamSession:
+    def __init__(self):
+        self.readStream = _Recorder()
+
+
+def test_kafka_source_wiring(spark):
+    from encore.streaming.jobs import kafka_records
+
+    fake = _StreamSession()
+    kafka_records(fake, "broker:9092", "logtopic", "earliest")
+    calls = [(c[0], c[1]) for c in fake.readStream.calls]
+    assert ("format", ("kafka",)) in calls
+    assert ("option", ("kafka.bootstrap.servers", "broker:9092")) in calls
+    assert ("option", ("subscribe", "logtopic")) in calls
+    assert ("option", ("startingOffsets", "earliest")) in calls
+    assert ("load", ()) in calls
