@@ -68,3 +68,49 @@ def machine_location(user_locations: DataFrame, gazetteer: DataFrame, day: str,
     """TW_MAC_LOC_D for ``day`` (22 columns + data_dt)."""
     today = locate(mode_location(user_locations, day, window_days, drop_blank_first), gazetteer, step)
     return roll_forward(today, yesterday, day)
+
+
+def mode_locations_for_days(user_locations: DataFrame, days: list[str], window_days: int = WINDOW_DAYS,
+                            drop_blank_first: bool = False) -> DataFrame:
+    """``mode_location`` for several days from ONE scan: each report is tagged
+    with every requested day whose window holds it (at most ``len(days)``
+    tags), then votes and modes are computed per (day, machine)."""
+    lo = days_before(min(days), window_days)
+    rows = between_days(user_locations, lo, max(days)).select("UID", "MID", "LAT", "LNG", PARTITION_COL)
+    tags = F.array(*[
+        F.when(F.col(PARTITION_COL).between(F.lit(days_before(d, window_days)), F.lit(d)), F.lit(d)) for d in days
+    ])
+    tagged = rows.select("UID", "MID", "LAT", "LNG", F.explode(F.filter(tags, lambda x: x.isNotNull())).alias("day"))
+    counts = (
+        tagged.distinct()
+        .groupBy("day", "MID", "LAT", "LNG")
+        .agg(F.count(F.lit(1)).alias("CNT"))
+        .select("day", "MID", F.col("LAT").alias("X"), F.col("LNG").alias("Y"), "CNT")
+    )
+    if drop_blank_first:
+        counts = counts.where(~_blank("X") & ~_blank("Y"))
+    best = mode_per_key(counts, ["day", "MID"], "CNT", ["X", "Y"])
+    return best.where(~_blank("X") & ~_blank("Y")).select(
+        "day", "MID", "X", "Y", F.col("CNT").cast("int").alias("CNT")
+    )
+
+
+def locate_days(modes: DataFrame, gazetteer: DataFrame, step: float | None = None) -> DataFrame:
+    """``locate`` for (day, machine) points in one nearest-place pass."""
+    keyed = modes.withColumn("_pk", F.concat_ws("|", "day", "MID"))
+    placed = nearest_place(keyed, gazetteer, "_pk", "X", "Y", GAZETTEER_PLACE_COLS, step=step)
+    return placed.select(
+        "day", "MID", "X", "Y", "CNT", *[null_to_empty(c).alias(c) for c in GAZETTEER_PLACE_COLS]
+    )
+
+
+def machine_location_with_yesterday(user_locations: DataFrame, gazetteer: DataFrame, day: str,
+                                    window_days: int = WINDOW_DAYS) -> DataFrame:
+    """TW_MAC_LOC_D for ``day`` when yesterday's snapshot is not stored: both
+    days' locations from one scan and one nearest-place pass, then the
+    roll-forward."""
+    prev = days_before(day, 1)
+    located = locate_days(mode_locations_for_days(user_locations, [prev, day], window_days), gazetteer)
+    today = located.where(F.col("day") == day).drop("day")
+    yesterday = located.where(F.col("day") == prev).drop("day")
+    return roll_forward(today, yesterday, day)

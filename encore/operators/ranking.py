@@ -24,7 +24,7 @@ def top_per_group(df: DataFrame, partition_cols: list, order_cols: list[Column],
     return rank_within(df, partition_cols, order_cols, name).where(F.col(name) <= n)
 
 
-def mode_per_key(df: DataFrame, key: str, count_col: str, tie_cols: list[str]) -> DataFrame:
+def mode_per_key(df: DataFrame, key, count_col: str, tie_cols: list[str]) -> DataFrame:
     """The row with the highest ``count_col`` per ``key``; ties go to the
     smallest ``tie_cols``.
 
@@ -32,14 +32,15 @@ def mode_per_key(df: DataFrame, key: str, count_col: str, tie_cols: list[str]) -
     map-side partial step (sort-based, as its buffer holds strings), so a
     key holding a large share of the rows is reduced before the shuffle.
     """
-    others = [c for c in df.columns if c != key]
+    keys = [key] if isinstance(key, str) else list(key)
+    others = [c for c in df.columns if c not in keys]
     # explicit NULL placement in the ties (NULL sorts like '' would: first)
     order = F.struct(
         -F.col(count_col),
         *[x for c in tie_cols for x in (F.col(c).isNotNull(), F.col(c))],
     )
     best = F.min_by(F.struct(*[F.col(c) for c in others]), order)
-    return df.groupBy(key).agg(best.alias("_best")).select(key, "_best.*")
+    return df.groupBy(*keys).agg(best.alias("_best")).select(*keys, "_best.*")
 
 
 def global_row_number(df: DataFrame, group_cols: list[str], order_cols: list[Column], name: str,

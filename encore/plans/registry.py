@@ -153,18 +153,15 @@ def _machine_profile(spark, sf):
     )
 
 
-def _located(spark, sf, day, yesterday=None):
+def _locations(spark, sf):
+    """Today's locations rolled forward over yesterday's (both computed here,
+    from one scan and one nearest-place pass)."""
     nation, region = _tables(spark, sf, "nation", "region")
-    return location.machine_location(
-        dt.user_locations(_events(spark, sf)), dt.gazetteer(nation, region), day, yesterday=yesterday
+    return location.machine_location_with_yesterday(
+        dt.user_locations(_events(spark, sf)), dt.gazetteer(nation, region), BUSINESS_DAY
     )
 
 
-def _locations(spark, sf):
-    prev = days_before(BUSINESS_DAY, 1)
-    return _located(spark, sf, BUSINESS_DAY, yesterday=_located(spark, sf, prev))
-
-
 def _machine_stat(spark, sf):
     return revenue.machine_stat(
         _machine_profile(spark, sf), _locations(spark, sf), _brief(spark, sf), _profiles(spark, sf), BUSINESS_DAY

@@ -249,3 +249,16 @@ def test_sketch_features_match_exact_on_small_data(spark):
     exact = sorted(map(tuple, content.song_features(log, catalog, D).collect()))
     approx = sorted(map(tuple, content.song_features_from_sketches(content.song_day_sketches(log), catalog, D).collect()))
     assert approx == exact  # HLL keeps exact coupon lists at these cardinalities
+
+
+def test_two_day_locations_in_one_pass(spark):
+    from encore.functions.dates import days_before
+    from encore.sources import driver_tables as dt
+
+    events = dt.load(spark, SF_SMALL, "events")
+    locs = dt.user_locations(events)
+    gaz = dt.gazetteer(dt.load(spark, SF_SMALL, "nation"), dt.load(spark, SF_SMALL, "region"))
+    prev = days_before(D, 1)
+    separate = location.machine_location(locs, gaz, D, yesterday=location.machine_location(locs, gaz, prev))
+    together = location.machine_location_with_yesterday(locs, gaz, D)
+    assert sorted(map(tuple, together.collect())) == sorted(map(tuple, separate.select(*together.columns).collect()))
