@@ -14,7 +14,7 @@ from __future__ import annotations
 import argparse
 
 from .plans import daily
-from .session import build_session, checkpoint_dir
+from .session import build_session, checkpoint_dir, scale_conf
 
 JOBS = {
     "content": lambda spark, wh, raw, day, approx=False: daily.run_content(spark, wh, raw, day, approx),
@@ -46,9 +46,16 @@ def main(argv=None) -> None:
     s.add_argument("--topic")
     s.add_argument("--out", required=True)
     s.add_argument("--checkpoint")
+    for p in (d, g, s):
+        p.add_argument("--input-bytes", type=int, help="approximate input volume: sizes splits/shuffles")
+        p.add_argument("--executors", type=int, default=1)
+        p.add_argument("--executor-cores", type=int, default=8)
     args = parser.parse_args(argv)
 
     spark = build_session(app=f"encore-{args.cmd}")
+    if args.input_bytes:
+        for key, value in scale_conf(args.input_bytes, args.executor_cores, args.executors).items():
+            spark.conf.set(key, value)
     checkpoint_dir(spark, fallback=args.checkpoint)
     if args.cmd == "ingest":
         for row in daily.run_ingest(spark, daily.Warehouse(args.warehouse), args.log).collect():
