@@ -46,6 +46,7 @@ def main(argv=None) -> None:
     s.add_argument("--topic")
     s.add_argument("--out", required=True)
     s.add_argument("--checkpoint")
+    s.add_argument("--once", action="store_true", help="process what is available, then stop")
     for p in (d, g, s):
         p.add_argument("--input-bytes", type=int, help="approximate input volume: sizes splits/shuffles")
         p.add_argument("--executors", type=int, default=1)
@@ -78,10 +79,11 @@ def main(argv=None) -> None:
     else:
         # record files (ts, mid, uid, songid, songname); the schema is taken from the files present
         records = jobs.file_records(spark, args.source, spark.read.parquet(args.source).schema)
+    trigger = {"availableNow": True} if args.once else None
     if args.job == "hot_songs":
-        jobs.start_hot_songs(records, args.out).awaitTermination()
+        jobs.start_hot_songs(records, args.out, trigger=trigger).awaitTermination()
     else:
-        for q in jobs.start_pv_uv(records, args.out):
+        for q in jobs.start_pv_uv(records, args.out, trigger=trigger):
             q.awaitTermination()
 
 
