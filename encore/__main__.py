@@ -2,7 +2,7 @@
 
     python -m encore ingest  --log /landing/clientlog/20240130 --warehouse /shared/wh
     python -m encore daily   --date 20240130 --warehouse /shared/wh --sf-dir /root/testdata/sf0.01 [--jobs content,machines,users,revenue]
-    python -m encore stream  --job hot_songs|pv_uv --source /path/to/records --out /shared/boards [--kafka host:9092 --topic t]
+    python -m encore stream  --job hot_songs|pv_uv --source /path/to/records --out /shared/boards [--kafka host:9092 --topic t] [--once]
 
 The checkpoint folder comes from ``spark.checkpoint.dir`` of the session
 (set it with ``--conf`` in spark-submit); ``--checkpoint`` is only used when
