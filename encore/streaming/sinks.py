@@ -64,14 +64,18 @@ class TopKReplaceSink:
         self.path, self.n, self.key, self.write = path, n, key, write
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        ranked = top_songs(batch, self.n, self.key)
-        target = f"{self.path}/{BATCH_DIR}={batch_id}"
-        if self.write is not None:
-            self.write(ranked, target)
-        else:
-            ranked.write.mode("overwrite").parquet(target)
+        batch.persist()  # two actions below: compute the micro-batch once
+        try:
+            if batch.isEmpty():
+                return
+            ranked = top_songs(batch, self.n, self.key)
+            target = f"{self.path}/{BATCH_DIR}={batch_id}"
+            if self.write is not None:
+                self.write(ranked, target)
+            else:
+                ranked.write.mode("overwrite").parquet(target)
+        finally:
+            batch.unpersist()
 
 
 class KeyedUpsertSink:
@@ -127,10 +131,14 @@ class KeyedUpsertSink:
         return None if rows is None else self.merge(rows)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        spark = batch.sparkSession
-        batch.write.mode("overwrite").parquet(f"{self.path}/delta/{BATCH_DIR}={batch_id}")
+        batch.persist()  # emptiness check + write: compute the micro-batch once
+        try:
+            if batch.isEmpty():
+                return
+            spark = batch.sparkSession
+            batch.write.mode("overwrite").parquet(f"{self.path}/delta/{BATCH_DIR}={batch_id}")
+        finally:
+            batch.unpersist()
         if (batch_id + 1) % self.compact_every == 0:
             rows = self._pending_rows(spark, upto=batch_id)
             self.merge(rows).write.mode("overwrite").parquet(f"{self.path}/snapshot/{BATCH_DIR}={batch_id}")
