@@ -47,6 +47,14 @@ def _parsed(raw: DataFrame, value_col: str, ts_col: str) -> DataFrame:
     )
 
 
+def by_arrival(records: DataFrame) -> DataFrame:
+    """Window by arrival instead of event time, as the original dashboards
+    did: every record of a micro-batch gets the batch's time stamp
+    (``current_timestamp()`` is fixed per batch), so all window functions
+    below group by when data arrived.  Use a zero-delay watermark."""
+    return records.withColumn("ts", F.current_timestamp())
+
+
 def _flat(df: DataFrame, win: str = "w") -> DataFrame:
     others = [c for c in df.columns if c != win]
     return df.select(

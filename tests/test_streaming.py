@@ -195,3 +195,19 @@ def test_paned_counts_equal_direct(spark):
 
 def test_stream_paned_uv_equals_batch(spark, scratch):
     _stream_equals_batch(spark, scratch, "uvx_paned_stream", lambda r, **kw: W.uv_exact_counts(r, panes=True, **kw))
+
+
+def test_arrival_time_windows(spark, scratch):
+    recs = dt.play_records(dt.load(spark, SF_SMALL, "events"))
+    src = os.path.join(scratch, "in")
+    recs.write.parquet(src)
+    stream = W.by_arrival(jobs.file_records(spark, src, recs.schema))
+    q = (
+        W.pv_counts(stream, window="10 seconds", slide="10 seconds", watermark="0 seconds")
+        .writeStream.outputMode("update").format("memory").queryName("arrival_pv")
+        .option("checkpointLocation", os.path.join(scratch, "ck")).trigger(availableNow=True).start()
+    )
+    q.awaitTermination(300)
+    out = spark.table("arrival_pv")
+    assert out.agg(F.sum("pv")).first()[0] == recs.count()
+    assert out.select("window_start").distinct().count() == 1
