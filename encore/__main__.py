@@ -47,6 +47,7 @@ def main(argv=None) -> None:
     s.add_argument("--out", required=True)
     s.add_argument("--checkpoint")
     s.add_argument("--once", action="store_true", help="process what is available, then stop")
+    s.add_argument("--by-arrival", action="store_true", help="window by arrival time, as the original")
     for p in (d, g, s):
         p.add_argument("--input-bytes", type=int, help="approximate input volume: sizes splits/shuffles")
         p.add_argument("--executors", type=int, default=1)
@@ -81,9 +82,9 @@ def main(argv=None) -> None:
         records = jobs.file_records(spark, args.source, spark.read.parquet(args.source).schema)
     trigger = {"availableNow": True} if args.once else None
     if args.job == "hot_songs":
-        jobs.start_hot_songs(records, args.out, trigger=trigger).awaitTermination()
+        jobs.start_hot_songs(records, args.out, trigger=trigger, arrival_time=args.by_arrival).awaitTermination()
     else:
-        for q in jobs.start_pv_uv(records, args.out, trigger=trigger):
+        for q in jobs.start_pv_uv(records, args.out, trigger=trigger, arrival_time=args.by_arrival):
             q.awaitTermination()
 
 

@@ -52,7 +52,8 @@ def _apply_conf(spark: SparkSession) -> None:
 
 def start_hot_songs(records: DataFrame, out_path: str, name: str = "hot_songs",
                     watermark: str = DEFAULT_WATERMARK, trigger: dict | None = None,
-                    checkpoint_root: str | None = None, key: str = "songname") -> StreamingQuery:
+                    checkpoint_root: str | None = None, key: str = "songname",
+                    arrival_time: bool = False) -> StreamingQuery:
     """J13: song counts per sliding window, top 30 per window.
 
     Append mode: a window is emitted once, complete, when the watermark
@@ -60,6 +61,8 @@ def start_hot_songs(records: DataFrame, out_path: str, name: str = "hot_songs",
     spark = records.sparkSession
     _apply_conf(spark)
     root = checkpoint_root or checkpoint_dir(spark)
+    if arrival_time:
+        records, watermark = W.by_arrival(records), "0 seconds"
     counts = W.song_counts(records, key=key, watermark=watermark, panes=True)
     return (
         counts.writeStream.outputMode("append")
@@ -73,8 +76,11 @@ def start_hot_songs(records: DataFrame, out_path: str, name: str = "hot_songs",
 
 def start_pv_uv(records: DataFrame, out_path: str, name: str = "pv_uv", exact_uv: bool = True,
                 watermark: str = DEFAULT_WATERMARK, trigger: dict | None = None,
-                checkpoint_root: str | None = None) -> tuple[StreamingQuery, StreamingQuery]:
+                checkpoint_root: str | None = None,
+                arrival_time: bool = False) -> tuple[StreamingQuery, StreamingQuery]:
     """J14: page views and visitors per machine, upserted by machine."""
+    if arrival_time:
+        records, watermark = W.by_arrival(records), "0 seconds"
     spark = records.sparkSession
     _apply_conf(spark)
     root = checkpoint_root or checkpoint_dir(spark)
