@@ -42,3 +42,17 @@ def test_int_list_truncates_like_java(spark, lists):
     df = spark.createDataFrame([(t,) for t in texts], "c string")
     got = [r[0] for r in df.select(E.int_list("c")).collect()]
     assert got == [[int(x) for x in xs] for xs in lists]
+
+
+# names drawn from characters that are not address delimiters
+_name = st.text(alphabet=st.sampled_from(list("安宁和平东西南北中山水林阳江河湖海")), min_size=1, max_size=4)
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.tuples(_name, _name, _name), min_size=1, max_size=20))
+def test_province_city_district_addresses(spark, parts):
+    rows = [(f"{p}省{c}市{d}区",) for p, c, d in parts] + [(f"北京市{d}区",) for _, _, d in parts]
+    df = spark.createDataFrame(rows, "a string")
+    got = df.select(E.province_from_address("a"), E.city_from_address("a")).collect()
+    want = [(p, c) for p, c, _ in parts] + [("北京", d) for _, _, d in parts]
+    assert [tuple(r) for r in got] == want
