@@ -16,7 +16,10 @@ def split_dropping_trailing(c: ColumnOrName, sep: str = "&") -> Column:
     ``a&b&`` gives ``[a, b]`` (Spark's ``split`` alone would give ``[a, b, '']``).
     """
     quoted = re.escape(sep)
-    trimmed = F.regexp_replace(as_col(c), f"({quoted})+$", "")
+    if len(sep) == 1:
+        trimmed = F.rtrim(as_col(c), F.lit(sep))  # plain trailing-character trim, no regex
+    else:
+        trimmed = F.regexp_replace(as_col(c), f"({quoted})+$", "")
     return F.split(trimmed, quoted)
 
 
