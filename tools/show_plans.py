@@ -27,11 +27,33 @@ def show(title: str, df) -> None:
     df.explain("formatted")
 
 
+def shape_table(spark, sf: str) -> None:
+    """Scans, exchanges and join/aggregate kinds of every registered query
+    (static plans, AQE off, so the counts do not depend on runtime sizes)."""
+    import re
+
+    from encore.plans.registry import QUERIES
+
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    print(f"{'query':32s} scans exchanges broadcasts smj sort_aggs")
+    for name, fn in QUERIES.items():
+        plan = fn(spark, sf)._jdf.queryExecution().executedPlan().toString()
+        scans = len(re.findall(r"FileScan parquet", plan)) + plan.count("Scan ExistingRDD")
+        print(f"{name:32s} {scans:5d} {plan.count('Exchange ') - plan.count('BroadcastExchange'):9d} "
+              f"{plan.count('BroadcastExchange'):10d} {plan.count('SortMergeJoin'):3d} {plan.count('SortAggregate'):9d}")
+    spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     scratch = tempfile.mkdtemp(prefix="encore-plans-")
     spark = build_session(master="local[8]", shuffle_partitions=8,
                           extra={"spark.checkpoint.dir": os.path.join(scratch, "ck")})
+    print("=" * 100)
+    print("Plan shape of every registered query (driver tables)")
+    print("=" * 100)
+    shape_table(spark, sf)
     wh = Warehouse(os.path.join(scratch, "wh"))
     log_path = os.path.join(scratch, "landing")
     dt.client_log_lines(dt.load(spark, sf, "events")).write.text(log_path)
