@@ -82,6 +82,16 @@ def new_users(profiles_day: DataFrame, day: str) -> DataFrame:
     )
 
 
+def new_users_all_days(profiles: DataFrame) -> DataFrame:
+    """``new_users`` for every day at once: users whose registration day is
+    the day they are active, per (day, machine)."""
+    return (
+        profiles.where(F.col("REG_DT") == F.col(PARTITION_COL))
+        .groupBy(PARTITION_COL, F.col("REG_MID").alias("MID"))
+        .agg(F.count("UID").alias("NEW_USR_CNT"))
+    )
+
+
 def machine_stat(profile: DataFrame, locations: DataFrame, brief: DataFrame, profiles: DataFrame,
                  day: str, include_refund_only: bool = False) -> DataFrame:
     """TW_MAC_STAT_D for ``day`` (29 columns + data_dt).

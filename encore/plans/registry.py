@@ -201,6 +201,10 @@ def new_users(spark, sf):
     return revenue.new_users(on_day(_profiles(spark, sf), BUSINESS_DAY), BUSINESS_DAY)
 
 
+def new_users_all_days(spark, sf):
+    return revenue.new_users_all_days(_profiles(spark, sf))
+
+
 def machine_ids(spark, sf):
     supplier = dt.load(spark, sf, "supplier")
     return machine.machine_ids(dt.machines_a(supplier), dt.machines_b(supplier))
@@ -317,6 +321,7 @@ QUERIES: dict[str, Query] = {
     "active_list": active_list,
     "active_list_all_days": active_list_all_days,
     "new_users": new_users,
+    "new_users_all_days": new_users_all_days,
     "address_parse": address_parse,
     "time14_clean": time14_clean,
     "machine_ids": machine_ids,

@@ -733,3 +733,10 @@ SELECT B.UID,
 FROM counted A JOIN profiles B ON A.UID = B.UID AND A.data_dt = B.data_dt
 WHERE A.c = 7""",
 })
+
+
+ORACLES.update({
+    "new_users_all_days": f"""WITH {PROFILES}
+SELECT data_dt, REG_MID AS MID, CAST(count(UID) AS BIGINT) AS NEW_USR_CNT
+FROM profiles WHERE REG_DT = data_dt GROUP BY data_dt, REG_MID""",
+})
