@@ -262,3 +262,15 @@ def test_two_day_locations_in_one_pass(spark):
     separate = location.machine_location(locs, gaz, D, yesterday=location.machine_location(locs, gaz, prev))
     together = location.machine_location_with_yesterday(locs, gaz, D)
     assert sorted(map(tuple, together.collect())) == sorted(map(tuple, separate.select(*together.columns).collect()))
+
+
+def test_merchant_rate_scale(spark):
+    stat = spark.createDataFrame(
+        [("m1", "a1", "wx", 1, 0, 1000, 0, 30.0, 10.0, 20.0, None, D)],
+        "MID string, AGE_ID string, PAY_TYPE string, REV_ORDR_CNT long, REF_ORDR_CNT long, TOT_REV long, "
+        "TOT_REF long, INV_RATE double, AGE_RATE double, COM_RATE double, PAR_RATE double, data_dt string",
+    )
+    literal = revenue.merchant_share(stat, D).first()
+    percent = revenue.merchant_share(stat, D, rate_scale=100).first()
+    assert float(literal.TOT_INV_REV) == 30000.0 and float(percent.TOT_INV_REV) == 300.0
+    assert float(literal.TOT_PAR_REV) == 0.0

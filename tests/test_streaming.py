@@ -211,3 +211,19 @@ def test_arrival_time_windows(spark, scratch):
     out = spark.table("arrival_pv")
     assert out.agg(F.sum("pv")).first()[0] == recs.count()
     assert out.select("window_start").distinct().count() == 1
+
+
+def test_hot_songs_by_id_keeps_same_titles_apart(spark):
+    data = [(T0, "m", "u", "1", "same"), (T0, "m", "u", "2", "same"), (T0, "m", "u", "2", "same")]
+    recs = spark.createDataFrame(data, "ts timestamp, mid string, uid string, songid string, songname string")
+    by_name = {r.songname: r.times for r in W.song_counts(recs).where(F.col("window_start") == F.lit(T0).cast("timestamp_ntz")).collect()}
+    by_id = {r.songid: r.times for r in W.song_counts(recs, key="songid").where(F.col("window_start") == F.lit(T0).cast("timestamp_ntz")).collect()}
+    assert by_name == {"same": 3} and by_id == {"1": 1, "2": 2}
+
+
+def test_upsert_ages_out_idle_keys(spark, scratch):
+    sink = KeyedUpsertSink(os.path.join(scratch, "kv"), ["mid"], compact_every=1, expire_before=lambda: 5)
+    schema = "mid string, pv long, window_end long"
+    sink(spark.createDataFrame([("m1", 1, 3), ("m2", 2, 6)], schema), 0)
+    sink(spark.createDataFrame([("m3", 4, 7)], schema), 1)
+    assert sorted(r.mid for r in read_latest(spark, os.path.join(scratch, "kv", "snapshot")).collect()) == ["m2", "m3"]
