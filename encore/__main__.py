@@ -1,6 +1,6 @@
 """Command line: run the daily jobs for a business date, or a streaming job.
 
-    python -m encore ingest  --log /landing/clientlog/20240130 --warehouse /shared/wh
+    python -m encore ingest  --log /landing/clientlog/20240130 --warehouse /shared/wh [--stream [--once]]
     python -m encore daily   --date 20240130 --warehouse /shared/wh --sf-dir /root/testdata/sf0.01 [--jobs content,machines,users,revenue]
     python -m encore stream  --job hot_songs|pv_uv --source /path/to/records --out /shared/boards [--kafka host:9092 --topic t] [--once]
 
@@ -39,6 +39,8 @@ def main(argv=None) -> None:
     g.add_argument("--log", required=True, help="client log text (plain or gz), one or more files")
     g.add_argument("--warehouse", required=True)
     g.add_argument("--checkpoint")
+    g.add_argument("--stream", action="store_true", help="keep ingesting new files as they land")
+    g.add_argument("--once", action="store_true", help="with --stream: ingest what is there, then stop")
     s = sub.add_parser("stream")
     s.add_argument("--job", choices=["hot_songs", "pv_uv"], required=True)
     s.add_argument("--source", help="folder of record files (parquet)")
@@ -59,6 +61,14 @@ def main(argv=None) -> None:
         for key, value in scale_conf(args.input_bytes, args.executor_cores, args.executors).items():
             spark.conf.set(key, value)
     checkpoint_dir(spark, fallback=args.checkpoint)
+    if args.cmd == "ingest" and args.stream:
+        from .streaming import jobs
+
+        wh = daily.Warehouse(args.warehouse)
+        trigger = {"availableNow": True} if args.once else None
+        for q in jobs.start_log_ingest(spark, args.log, wh.path("requests"), wh.path("play_log"), trigger=trigger):
+            q.awaitTermination()
+        return
     if args.cmd == "ingest":
         for row in daily.run_ingest(spark, daily.Warehouse(args.warehouse), args.log).collect():
             print(f"{row['data_dt']}: {row['unparsable']} unparsable play payloads dropped")

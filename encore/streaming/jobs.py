@@ -107,3 +107,34 @@ def start_pv_uv(records: DataFrame, out_path: str, name: str = "pv_uv", exact_uv
         .start()
     )
     return pv, uv
+
+
+def start_log_ingest(spark: SparkSession, landing: str, requests_path: str, play_log_path: str,
+                     name: str = "log_ingest", trigger: dict | None = None,
+                     checkpoint_root: str | None = None) -> tuple[StreamingQuery, StreamingQuery]:
+    """J1 as a stream: new client-log files under ``landing`` are split and
+    decoded as they arrive and appended (file sink, exactly once via the
+    checkpoint) to the request table partitioned by (day, request type) and
+    to the play-log table partitioned by day."""
+    from ..sources import client_log
+    from ..sources.schemas import PARTITION_COL
+
+    root = checkpoint_root or checkpoint_dir(spark)
+    trig = trigger or {"processingTime": "1 minute"}
+    lines = spark.readStream.text(landing)
+    requests = client_log.split_requests(lines)
+    req_q = (
+        requests.writeStream.format("parquet").outputMode("append")
+        .partitionBy(PARTITION_COL, "req_type")
+        .option("path", requests_path)
+        .option("checkpointLocation", sub_dir(root, f"{name}_requests"))
+        .trigger(**trig).queryName(f"{name}_requests").start()
+    )
+    play_q = (
+        client_log.decode_play_requests(requests).writeStream.format("parquet").outputMode("append")
+        .partitionBy(PARTITION_COL)
+        .option("path", play_log_path)
+        .option("checkpointLocation", sub_dir(root, f"{name}_plays"))
+        .trigger(**trig).queryName(f"{name}_plays").start()
+    )
+    return req_q, play_q

@@ -227,3 +227,23 @@ def test_upsert_ages_out_idle_keys(spark, scratch):
     sink(spark.createDataFrame([("m1", 1, 3), ("m2", 2, 6)], schema), 0)
     sink(spark.createDataFrame([("m3", 4, 7)], schema), 1)
     assert sorted(r.mid for r in read_latest(spark, os.path.join(scratch, "kv", "snapshot")).collect()) == ["m2", "m3"]
+
+
+def test_log_ingest_stream_equals_batch(spark, scratch):
+    from encore.sources import client_log
+
+    events = dt.load(spark, SF_SMALL, "events")
+    landing = os.path.join(scratch, "landing")
+    dt.client_log_lines(events).repartition(3).write.text(landing)
+    req_path, play_path = os.path.join(scratch, "requests"), os.path.join(scratch, "plays")
+    for q in jobs.start_log_ingest(spark, landing, req_path, play_path, trigger={"availableNow": True},
+                                   checkpoint_root=os.path.join(scratch, "ck")):
+        q.awaitTermination(300)
+    batch_reqs = client_log.split_requests(client_log.read_client_log(spark, landing))
+    streamed_reqs = spark.read.parquet(req_path)
+    assert sorted(map(tuple, streamed_reqs.select(*batch_reqs.columns).collect())) == \
+        sorted(map(tuple, batch_reqs.collect()))
+    batch_plays = client_log.decode_play_requests(batch_reqs)
+    streamed_plays = spark.read.parquet(play_path)
+    assert sorted(map(tuple, streamed_plays.select(*batch_plays.columns).collect())) == \
+        sorted(map(tuple, batch_plays.collect()))
