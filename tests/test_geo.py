@@ -41,3 +41,27 @@ def test_far_points_and_high_latitude(spark):
     places = [(1, 10.0, 10.0, "a"), (2, 10.0, 10.9, "b"), (3, 80.0, 0.0, "c")]
     points = [("x", 10.0, 10.44), ("y", 10.0, 10.46), ("z", -60.0, 170.0), ("n", 85.0, 170.0)]
     _check(spark, points, places, step=0.25)
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_lat = st.floats(min_value=-85, max_value=85, allow_nan=False)
+_lng = st.floats(min_value=-150, max_value=150, allow_nan=False)
+
+
+@settings(max_examples=8, deadline=None)
+@given(
+    st.lists(st.tuples(_lat, _lng), min_size=1, max_size=12, unique=True),
+    st.lists(st.tuples(_lat, _lng), min_size=1, max_size=15),
+)
+def test_global_random_points(spark, places, points):
+    plc = [(i, la, ln, f"p{i}") for i, (la, ln) in enumerate(places)]
+    pts = [(f"m{i}", la, ln) for i, (la, ln) in enumerate(points)]
+    pdf = spark.createDataFrame(pts, "k string, lat double, lng double")
+    gdf = spark.createDataFrame(plc, "place_id long, lat double, lng double, ADDR string")
+    got = {r.k: (r.place_id, r.distance_km) for r in nearest_place(pdf, gdf, "k", "lat", "lng", COLS).collect()}
+    for k, la, ln in pts:
+        best = min(plc, key=lambda p: (_hav(la, ln, p[1], p[2]), p[0]))
+        # equal distance to float precision counts as a tie (either place is nearest)
+        assert abs(got[k][1] - _hav(la, ln, best[1], best[2])) < 1e-6, (k, la, ln, got[k], best)
