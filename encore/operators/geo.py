@@ -15,7 +15,8 @@ the nearest place of every point is found with equi-joins on grid cells:
   every place.  Only those few points are re-processed; the pending set is
   materialised between levels so lineage stays short.
 
-Longitudes are taken in [-180, 180) without wrap-around at the antimeridian.
+Longitude cells wrap around the antimeridian (the cell size is snapped to
+divide 360 degrees), so points near +-180 find places across it.
 """
 
 from __future__ import annotations
@@ -45,6 +46,17 @@ def _cell(c: Column, step: float) -> Column:
     return F.floor(c / F.lit(step)).cast("bigint")
 
 
+def _lng_cells(step: float) -> tuple[float, int]:
+    """A longitude step that divides 360 exactly (<= ``step``) and the number
+    of cells around the globe, so neighbour cells wrap at the antimeridian."""
+    n = max(1, math.ceil(360.0 / step))
+    return 360.0 / n, n
+
+
+def _lng_cell(c: Column, step: float, n: int) -> Column:
+    return F.pmod(F.floor((c + F.lit(180.0)) / F.lit(step)).cast("bigint"), F.lit(n))
+
+
 def _guard_km(lat: Column, step: float) -> Column:
     """Lower bound of the distance from a point to anything outside its 3 x 3 box."""
     span = math.radians(min(step, 90.0))
@@ -127,16 +139,17 @@ def nearest_place(
 def _level(pending: DataFrame, plc: DataFrame, bounds, s: float, place_cols: list[str], last: bool) -> DataFrame:
     """Nearest candidate of each pending point within its 3 x 3 cells, and
     whether that candidate is provably the nearest overall (``_exact``)."""
+    s, n_lng = _lng_cells(s)
     offsets = F.array(*[F.lit(i) for i in (-1, 0, 1)])
     cand = (
         pending.withColumn("_ci", _cell(F.col("_lat"), s))
-        .withColumn("_cj", _cell(F.col("_lng"), s))
+        .withColumn("_cj", _lng_cell(F.col("_lng"), s, n_lng))
         .withColumn("_di", F.explode(offsets))
         .withColumn("_dj", F.explode(offsets))
         .withColumn("_ni", F.col("_ci") + F.col("_di"))
-        .withColumn("_nj", F.col("_cj") + F.col("_dj"))
+        .withColumn("_nj", F.pmod(F.col("_cj") + F.col("_dj"), F.lit(n_lng)))
     )
-    cells = plc.withColumn("_ni", _cell(F.col("_plat"), s)).withColumn("_nj", _cell(F.col("_plng"), s))
+    cells = plc.withColumn("_ni", _cell(F.col("_plat"), s)).withColumn("_nj", _lng_cell(F.col("_plng"), s, n_lng))
     joined = cand.join(cells, ["_ni", "_nj"], "left").withColumn(
         "distance_km", haversine_km(F.col("_lat"), F.col("_lng"), F.col("_plat"), F.col("_plng"))
     )
@@ -150,11 +163,15 @@ def _level(pending: DataFrame, plc: DataFrame, bounds, s: float, place_cols: lis
         F.first("_p").alias("_p"),
         F.min_by(F.struct("place_id", "distance_km", *place_cols), order).alias("_b"),
     )
+    lng0 = math.floor((bounds["lng0"] + 180.0) / s) % n_lng
+    lng1 = math.floor((bounds["lng1"] + 180.0) / s) % n_lng
+    lng_covered = F.lit(n_lng <= 3) | (
+        (F.col("_cj") - 1 <= F.lit(lng0)) & (F.col("_cj") + 1 >= F.lit(lng1))
+    )
     covers = (
         (F.col("_ci") - 1 <= F.floor(F.lit(bounds["lat0"]) / s))
         & (F.col("_ci") + 1 >= F.floor(F.lit(bounds["lat1"]) / s))
-        & (F.col("_cj") - 1 <= F.floor(F.lit(bounds["lng0"]) / s))
-        & (F.col("_cj") + 1 >= F.floor(F.lit(bounds["lng1"]) / s))
+        & lng_covered
     )
     found = F.col("_b.place_id").isNotNull()
     exact = found & (F.lit(last) | covers | (F.col("_b.distance_km") <= _guard_km(F.col("_lat"), s)))

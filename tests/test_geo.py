@@ -47,7 +47,7 @@ from hypothesis import given, settings  # noqa: E402
 from hypothesis import strategies as st  # noqa: E402
 
 _lat = st.floats(min_value=-85, max_value=85, allow_nan=False)
-_lng = st.floats(min_value=-150, max_value=150, allow_nan=False)
+_lng = st.floats(min_value=-180, max_value=179.999, allow_nan=False)
 
 
 @settings(max_examples=8, deadline=None)
@@ -65,3 +65,9 @@ def test_global_random_points(spark, places, points):
         best = min(plc, key=lambda p: (_hav(la, ln, p[1], p[2]), p[0]))
         # equal distance to float precision counts as a tie (either place is nearest)
         assert abs(got[k][1] - _hav(la, ln, best[1], best[2])) < 1e-6, (k, la, ln, got[k], best)
+
+
+def test_across_the_antimeridian(spark):
+    places = [(1, 10.0, -179.9, "east of the line"), (2, 10.0, 178.0, "west")]
+    points = [("x", 10.0, 179.9), ("y", 10.0, -179.5), ("z", 10.0, 178.9)]
+    _check(spark, points, places, step=0.25)
