@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..session import checkpoint_dir, sub_dir
 from . import windows as W
-from .sinks import KeyedUpsertSink, TopKReplaceSink
+from .sinks import KeyedUpsertSink, PvUvSink, TopKReplaceSink
 
 # State for many keys over a long watermark belongs off-heap.
 STREAMING_CONF = {
@@ -77,14 +77,30 @@ def start_hot_songs(records: DataFrame, out_path: str, name: str = "hot_songs",
 def start_pv_uv(records: DataFrame, out_path: str, name: str = "pv_uv", exact_uv: bool = True,
                 watermark: str = DEFAULT_WATERMARK, trigger: dict | None = None,
                 checkpoint_root: str | None = None,
-                arrival_time: bool = False) -> tuple[StreamingQuery, StreamingQuery]:
-    """J14: page views and visitors per machine, upserted by machine."""
+                arrival_time: bool = False) -> tuple[StreamingQuery, ...]:
+    """J14: page views and visitors per machine, upserted by machine into
+    ``out_path/pv`` and ``out_path/uv``.
+
+    Exact visitors: ONE query (one read of the stream) feeds both tables.
+    The original per-batch visitor form needs its own bucketed chain, so it
+    runs as a second query."""
     if arrival_time:
         records, watermark = W.by_arrival(records), "0 seconds"
     spark = records.sparkSession
     _apply_conf(spark)
     root = checkpoint_root or checkpoint_dir(spark)
     trig = trigger or {"processingTime": PV_TRIGGER}
+    if exact_uv:
+        both = (
+            W.pv_uv_counts(records, watermark=watermark, panes=True)
+            .writeStream.outputMode("append")
+            .foreachBatch(PvUvSink(out_path))
+            .option("checkpointLocation", sub_dir(root, name))
+            .trigger(**trig)
+            .queryName(name)
+            .start()
+        )
+        return (both,)
     pv = (
         W.pv_counts(records, watermark=watermark, panes=True)
         .writeStream.outputMode("append")
@@ -94,10 +110,7 @@ def start_pv_uv(records: DataFrame, out_path: str, name: str = "pv_uv", exact_uv
         .queryName(f"{name}_pv")
         .start()
     )
-    if exact_uv:
-        uv_frame = W.uv_exact_counts(records, watermark=watermark, panes=True)
-    else:
-        uv_frame = W.uv_batch_counts(records, watermark=watermark)
+    uv_frame = W.uv_batch_counts(records, watermark=watermark)
     uv = (
         uv_frame.writeStream.outputMode("append")
         .foreachBatch(KeyedUpsertSink(sub_dir(out_path, "uv"), ["mid"]))

@@ -142,3 +142,20 @@ class KeyedUpsertSink:
         if (batch_id + 1) % self.compact_every == 0:
             rows = self._pending_rows(spark, upto=batch_id)
             self.merge(rows).write.mode("overwrite").parquet(f"{self.path}/snapshot/{BATCH_DIR}={batch_id}")
+
+
+class PvUvSink:
+    """One micro-batch of (window, machine, pv, uv) rows upserted into the
+    page-view and the visitor tables (each a ``KeyedUpsertSink``)."""
+
+    def __init__(self, path: str, compact_every: int = 20):
+        self.pv = KeyedUpsertSink(f"{path}/pv", ["mid"], compact_every=compact_every)
+        self.uv = KeyedUpsertSink(f"{path}/uv", ["mid"], compact_every=compact_every)
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            self.pv(batch.select("window_start", "window_end", "mid", "pv"), batch_id)
+            self.uv(batch.select("window_start", "window_end", "mid", "uv"), batch_id)
+        finally:
+            batch.unpersist()

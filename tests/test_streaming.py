@@ -247,3 +247,12 @@ def test_log_ingest_stream_equals_batch(spark, scratch):
     streamed_plays = spark.read.parquet(play_path)
     assert sorted(map(tuple, streamed_plays.select(*batch_plays.columns).collect())) == \
         sorted(map(tuple, batch_plays.collect()))
+
+
+def test_pv_uv_combined_equals_separate(spark):
+    recs = dt.play_records(dt.load(spark, SF_SMALL, "events"))
+    for panes in (False, True):
+        both = {(r.window_start, r.mid): (r.pv, r.uv) for r in W.pv_uv_counts(recs, panes=panes).collect()}
+        pv = {(r.window_start, r.mid): r.pv for r in W.pv_counts(recs).collect()}
+        uv = {(r.window_start, r.mid): r.uv for r in W.uv_exact_counts(recs).collect()}
+        assert both == {k: (pv[k], uv[k]) for k in pv}
