@@ -58,3 +58,11 @@ def test_entry(spark):
     df = ent.entry(spark)
     assert df.count() > 0
     assert df.columns == ["PERIOD", "NBR", "NAME", "RSI", "RSI_RANK", "data_dt"]
+
+
+def test_columns_are_named(spark):
+    """Every output column is aliased (no generated names) and unique."""
+    for name, fn in ent.queries().items():
+        cols = fn(spark, SF_SMALL).columns
+        assert len(cols) == len(set(cols)), name
+        assert not any("(" in c or " " in c for c in cols), (name, cols)
