@@ -18,6 +18,8 @@ from .sinks import KeyedUpsertSink, PvUvSink, TopKReplaceSink
 STREAMING_CONF = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # commit each batch's state changes instead of uploading state snapshots every batch
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 # fixed values: trigger intervals of the two dashboards
 HOT_TRIGGER = "20 seconds"
