@@ -2,6 +2,7 @@
 
     python -m encore ingest  --log /landing/clientlog/20240130 --warehouse /shared/wh [--stream [--once]]
     python -m encore daily   --date 20240130 --warehouse /shared/wh --sf-dir /root/testdata/sf0.01 [--jobs content,machines,users,revenue]
+    python -m encore backfill --from 20240101 --to 20240130 --warehouse /shared/wh --sf-dir /root/testdata/sf0.01 [--sketches]
     python -m encore stream  --job hot_songs|pv_uv --source /path/to/records --out /shared/boards [--kafka host:9092 --topic t] [--once]
 
 The checkpoint folder comes from ``spark.checkpoint.dir`` of the session
@@ -35,6 +36,13 @@ def main(argv=None) -> None:
     d.add_argument("--approx-distinct", action="store_true",
                    help="song features from daily HLL sketches (reads only the day's play log)")
     d.add_argument("--checkpoint")
+    b = sub.add_parser("backfill")
+    b.add_argument("--from", dest="first", required=True, help="first business date yyyyMMdd")
+    b.add_argument("--to", dest="last", required=True, help="last business date yyyyMMdd")
+    b.add_argument("--warehouse", required=True)
+    b.add_argument("--sf-dir", required=True)
+    b.add_argument("--sketches", action="store_true", help="also seed the daily song sketches")
+    b.add_argument("--checkpoint")
     g = sub.add_parser("ingest")
     g.add_argument("--log", required=True, help="client log text (plain or gz), one or more files")
     g.add_argument("--warehouse", required=True)
@@ -50,7 +58,7 @@ def main(argv=None) -> None:
     s.add_argument("--checkpoint")
     s.add_argument("--once", action="store_true", help="process what is available, then stop")
     s.add_argument("--by-arrival", action="store_true", help="window by arrival time, as the original")
-    for p in (d, g, s):
+    for p in (d, b, g, s):
         p.add_argument("--input-bytes", type=int, help="approximate input volume: sizes splits/shuffles")
         p.add_argument("--executors", type=int, default=1)
         p.add_argument("--executor-cores", type=int, default=8)
@@ -61,6 +69,13 @@ def main(argv=None) -> None:
         for key, value in scale_conf(args.input_bytes, args.executor_cores, args.executors).items():
             spark.conf.set(key, value)
     checkpoint_dir(spark, fallback=args.checkpoint)
+    if args.cmd == "backfill":
+        wh = daily.Warehouse(args.warehouse)
+        raw = daily.raw_from_driver(spark, args.sf_dir)
+        daily.backfill(spark, wh, raw, args.first, args.last)
+        if args.sketches:
+            daily.backfill_sketches(spark, wh, raw, args.first, args.last)
+        return
     if args.cmd == "ingest" and args.stream:
         from .streaming import jobs
 
