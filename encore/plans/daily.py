@@ -176,7 +176,8 @@ def backfill(spark: SparkSession, wh: Warehouse, raw: RawTables, first_day: str,
     whole range (song features via ``song_features_range``, rankings,
     consumption brief, active profiles); machine locations roll forward day
     by day, so they loop over the dates (each iteration one distributed job
-    reading yesterday's partition)."""
+    reading yesterday's partition), and so do the revenue marts, whose
+    grain is every machine on every day."""
     from ..functions.dates import days_before
     from ..sources.tables import between_days
 
@@ -197,6 +198,9 @@ def backfill(spark: SparkSession, wh: Warehouse, raw: RawTables, first_day: str,
         d = days_before(d, 1)
     for day in reversed(days):
         run_machines(spark, wh, raw, day)
+    # per-machine-per-day grain (idle machines included): one job per day
+    for day in reversed(days):
+        run_revenue(spark, wh, day)
 
 
 def backfill_sketches(spark: SparkSession, wh: Warehouse, raw: RawTables, first_day: str, last_day: str) -> None:

@@ -106,7 +106,7 @@ def test_scale_conf_sizes():
 
 
 def test_backfill_equals_daily_runs(spark, scratch):
-    from encore.plans.daily import backfill, run_content, run_machines, run_users
+    from encore.plans.daily import backfill, run_content, run_machines, run_revenue, run_users
 
     raw = raw_from_driver(spark, SF_SMALL)
     bulk = Warehouse(os.path.join(scratch, "bulk"))
@@ -116,7 +116,8 @@ def test_backfill_equals_daily_runs(spark, scratch):
         run_content(spark, daily, raw, day)
         run_machines(spark, daily, raw, day)
         run_users(spark, daily, raw, day)
-    for key in ("song_features", "song_rsi", "singer_rsi", "mac_loc", "cnsm"):
+        run_revenue(spark, daily, day)
+    for key in ("song_features", "song_rsi", "singer_rsi", "mac_loc", "cnsm", "mac_stat", "region", "merchant"):
         assert _snapshot(spark, bulk.path(key)) == _snapshot(spark, daily.path(key)), key
     days = lambda wh: {r[0] for r in spark.read.parquet(wh.path("usr")).select("data_dt").distinct().collect()}
     assert {"20240128", "20240129", "20240130"} <= days(bulk)
