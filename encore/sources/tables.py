@@ -62,12 +62,14 @@ def ensure_parallelism(df: DataFrame, path: str, min_partitions: int | None = No
     scan below the repartition.
     """
     spark = df.sparkSession
-    if _size(spark, path) < min_bytes:
+    try:
+        if _size(spark, path) < min_bytes:
+            return df
+        target = min_partitions or spark.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # no JVM/RDD access (e.g. a remote session): leave the scan as is
         return df
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    return df.repartition(target) if current < target else df
 
 
 def _size(spark: SparkSession, path: str) -> int:
