@@ -59,7 +59,7 @@ def global_row_number(df: DataFrame, group_cols: list[str], order_cols: list[Col
     under the size check.
     """
     from ..session import materialize
-    from .small import maybe_broadcast
+    from .small import BROADCAST_MAX_ROWS, has_at_most, maybe_broadcast
 
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -76,6 +76,10 @@ def global_row_number(df: DataFrame, group_cols: list[str], order_cols: list[Col
     )
     before = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = stats.withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    joined = placed.join(maybe_broadcast(offsets.drop("_n")), ["_pid", *group_cols], "inner")
+    offsets = offsets.drop("_n")
+    # narrow rows (partition id, group keys, two longs): the exact row bound is
+    # the size proof; the optimizer would estimate this aggregate at its input's size
+    small = has_at_most(offsets, BROADCAST_MAX_ROWS)
+    joined = placed.join(maybe_broadcast(offsets, small=small), ["_pid", *group_cols], "inner")
     ranked = joined.withColumn(name, (F.col("_offset") + F.col("_pos") - F.col("_first") + 1).cast("int"))
     return ranked.drop("_pid", "_pos", "_first", "_offset")

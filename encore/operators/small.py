@@ -5,10 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A lookup is broadcast only when it is proven to hold at most this many rows;
-# beyond it the join stays a shuffle join (and AQE may still pick a broadcast
-# from runtime sizes under spark.sql.autoBroadcastJoinThreshold).
+# A lookup is broadcast only when it is proven to hold at most this many rows
+# AND the optimizer's size estimate (conservative for file scans) is at most
+# this many bytes; beyond either the join stays a shuffle join (AQE may still
+# pick a broadcast from runtime sizes under spark.sql.autoBroadcastJoinThreshold).
 BROADCAST_MAX_ROWS = 200_000
+BROADCAST_MAX_BYTES = 64 << 20
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """The optimizer's size estimate of ``df`` (plan statistics, no job)."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:
+        return None
+
+
+def _bytes_ok(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    size = estimated_bytes(df)
+    return size is not None and size <= max_bytes
 
 
 def dedupe_by_key(df: DataFrame, key: str) -> DataFrame:
@@ -33,12 +48,12 @@ def all_at_most(dfs: list[DataFrame], n: int) -> list[bool]:
         part = df.limit(n + 1).select(F.lit(i).alias("_i"))
         tagged = part if tagged is None else tagged.unionByName(part)
     counts = {r["_i"]: r["count"] for r in tagged.groupBy("_i").count().collect()}
-    return [counts.get(i, 0) <= n for i in range(len(dfs))]
+    return [counts.get(i, 0) <= n and _bytes_ok(df) for i, df in enumerate(dfs)]
 
 
 def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, small: bool | None = None) -> DataFrame:
     if small is None:
-        small = has_at_most(df, max_rows)
+        small = has_at_most(df, max_rows) and _bytes_ok(df)
     return F.broadcast(df) if small else df
 
 
