@@ -127,10 +127,17 @@ def start_pv_uv(records: DataFrame, out_path: str, name: str = "pv_uv", exact_uv
 def start_log_ingest(spark: SparkSession, landing: str, requests_path: str, play_log_path: str,
                      name: str = "log_ingest", trigger: dict | None = None,
                      checkpoint_root: str | None = None) -> tuple[StreamingQuery, StreamingQuery]:
-    """J1 as a stream: new client-log files under ``landing`` are split and
-    decoded as they arrive and appended (file sink, exactly once via the
-    checkpoint) to the request table partitioned by (day, request type) and
-    to the play-log table partitioned by day."""
+    """J1 as a stream: new client-log files under ``landing`` are split as
+    they arrive and appended (file sink, exactly once via the checkpoint) to
+    the request table partitioned by (day, request type); a second query
+    streams that table (the sink's commit log marks complete files) and
+    appends decoded plays to the play-log table partitioned by day.  The raw
+    text is read once; the second query reads compact parquet.
+
+    With an ``availableNow`` trigger the two run one after the other; with
+    a processing-time trigger they run side by side."""
+    from pyspark.sql import types as T
+
     from ..sources import client_log
     from ..sources.schemas import PARTITION_COL
 
@@ -145,8 +152,20 @@ def start_log_ingest(spark: SparkSession, landing: str, requests_path: str, play
         .option("checkpointLocation", sub_dir(root, f"{name}_requests"))
         .trigger(**trig).queryName(f"{name}_requests").start()
     )
+    if "availableNow" in trig:
+        req_q.awaitTermination()
+    else:  # the second stream may start before the first one's first commit
+        jvm = spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(requests_path)
+        hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(hpath)
+    landed_schema = T.StructType([
+        T.StructField("payload", T.StringType()),
+        T.StructField(PARTITION_COL, T.StringType()),
+        T.StructField("req_type", T.StringType()),
+    ])
+    landed = spark.readStream.schema(landed_schema).parquet(requests_path)
     play_q = (
-        client_log.decode_play_requests(requests).writeStream.format("parquet").outputMode("append")
+        client_log.decode_play_requests(landed).writeStream.format("parquet").outputMode("append")
         .partitionBy(PARTITION_COL)
         .option("path", play_log_path)
         .option("checkpointLocation", sub_dir(root, f"{name}_plays"))
