@@ -94,6 +94,12 @@ def run_ingest(spark: SparkSession, wh: Warehouse, log_path: str) -> DataFrame:
     return client_log.unparsable_play_requests(landed)
 
 
+def _release(spark: SparkSession) -> None:
+    """Drop in-memory intermediates (ranking placement, nearest-place levels)
+    once a job's tables are written: later jobs read the written tables."""
+    spark.catalog.clearCache()
+
+
 def run_content(spark: SparkSession, wh: Warehouse, raw: RawTables, day: str,
                 approx_distinct: bool = False) -> None:
     """J2-J5 for ``day``.  Exact by default (31 days of the play log are
@@ -115,6 +121,7 @@ def run_content(spark: SparkSession, wh: Warehouse, raw: RawTables, day: str,
     write_partition(content.singer_rsi(features), wh.path("singer_rsi"))
     for key, mart in (("song_rsi", "tm_song_rsi"), ("singer_rsi", "tm_singer_rsi")):
         wh.mart(stamp_day(content.top_ranked(_read(spark, wh, key, day)), day), mart)
+    _release(spark)
 
 
 def run_machines(spark: SparkSession, wh: Warehouse, raw: RawTables, day: str) -> None:
@@ -127,6 +134,7 @@ def run_machines(spark: SparkSession, wh: Warehouse, raw: RawTables, day: str) -
     write_partition(
         location.machine_location(raw.user_locations, raw.gazetteer, day, yesterday=yesterday), wh.path("mac_loc")
     )
+    _release(spark)
 
 
 def _yesterday_locations(spark: SparkSession, wh: Warehouse, day: str) -> DataFrame | None:
@@ -187,6 +195,7 @@ def backfill(spark: SparkSession, wh: Warehouse, raw: RawTables, first_day: str,
     features = between_days(spark.read.parquet(wh.path("song_features")), first_day, last_day)
     write_partition(content.song_rsi(features), wh.path("song_rsi"))
     write_partition(content.singer_rsi(features), wh.path("singer_rsi"))
+    _release(spark)
     write_partition(users.consumption_brief(between_days(raw.consumption, first_day, last_day)), wh.path("cnsm"))
     everyone = users.all_users(raw.users_wechat, raw.users_alipay, raw.users_qq, raw.users_app)
     write_partition(

@@ -24,6 +24,8 @@ CORE_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoint files of lineage cuts are removed once their frames are gone
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
