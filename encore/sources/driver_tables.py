@@ -1,11 +1,13 @@
 """Raw (ODS) tables of the venue business, derived from the driver's tables.
 
 The test environment provides TPC-H-like tables plus an ``events`` stream,
-no karaoke data.  Each function below is a pure projection (plus, for the
-two place tables, a join of the two fixed geography tables) of a driver
-table into one raw table of the domain, so every job downstream reads the
-whole driver data and its work grows with it.  The same derivations are
-mirrored in SQL by the DuckDB oracles.
+no karaoke data.  Each function below turns one driver table into one raw
+table of the domain with row-level rules -- projections, plus a segment or
+account-balance rule where a source system only knows part of the rows, and
+for the gazetteer a join of the two fixed geography tables -- so every job
+downstream reads the whole driver data and its work grows with it.  The
+expected results of the same derivations are written independently in SQL
+for the DuckDB oracles.
 
 Role mapping:
 
