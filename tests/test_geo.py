@@ -50,7 +50,7 @@ _lat = st.floats(min_value=-85, max_value=85, allow_nan=False)
 _lng = st.floats(min_value=-180, max_value=179.999, allow_nan=False)
 
 
-@settings(max_examples=8, deadline=None)
+@settings(max_examples=8, deadline=None, derandomize=True)
 @given(
     st.lists(st.tuples(_lat, _lng), min_size=1, max_size=12, unique=True),
     st.lists(st.tuples(_lat, _lng), min_size=1, max_size=15),

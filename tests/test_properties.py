@@ -18,7 +18,7 @@ def java_split(s: str, sep: str = "&") -> list[str]:
 lines = st.text(alphabet=st.sampled_from(["a", "b", "&", "{", "}"]), max_size=24)
 
 
-@settings(max_examples=60, deadline=None)
+@settings(max_examples=60, deadline=None, derandomize=True)
 @given(st.lists(lines, min_size=1, max_size=40))
 def test_split_matches_java(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "c string")
@@ -35,7 +35,7 @@ def test_split_matches_java(spark, values):
 numbers = st.floats(min_value=-1e6, max_value=1e6, allow_nan=False).map(lambda x: round(x, 2))
 
 
-@settings(max_examples=40, deadline=None)
+@settings(max_examples=40, deadline=None, derandomize=True)
 @given(st.lists(st.lists(numbers, min_size=1, max_size=5), min_size=1, max_size=20))
 def test_int_list_truncates_like_java(spark, lists):
     texts = ["[" + ",".join(repr(float(x)) for x in xs) + "]" for xs in lists]
@@ -48,7 +48,7 @@ def test_int_list_truncates_like_java(spark, lists):
 _name = st.text(alphabet=st.sampled_from(list("安宁和平东西南北中山水林阳江河湖海")), min_size=1, max_size=4)
 
 
-@settings(max_examples=40, deadline=None)
+@settings(max_examples=40, deadline=None, derandomize=True)
 @given(st.lists(st.tuples(_name, _name, _name), min_size=1, max_size=20))
 def test_province_city_district_addresses(spark, parts):
     rows = [(f"{p}省{c}市{d}区",) for p, c, d in parts] + [(f"北京市{d}区",) for _, _, d in parts]
