@@ -46,6 +46,24 @@ def _rounded(df: DataFrame, col: str = "RSI") -> DataFrame:
     return df.withColumn(col, F.round(col, SCORE_DIGITS))
 
 
+def _neutral(df: DataFrame, nullable_ints: tuple[str, ...] = ()) -> DataFrame:
+    """Engine-neutral presentation for cross-engine value checks (the
+    operators keep their types): decimals as doubles, integer columns that
+    hold NULLs as doubles, arrays as comma-joined text -- so Spark and the
+    SQL twin export the same values whether read as rows or as pandas."""
+    from pyspark.sql import types as T
+
+    cols = []
+    for f in df.schema.fields:
+        c = F.col(f.name)
+        if isinstance(f.dataType, T.DecimalType) or f.name in nullable_ints:
+            c = c.cast("double")
+        elif isinstance(f.dataType, T.ArrayType):
+            c = F.array_join(c, ",")
+        cols.append(c.alias(f.name))
+    return df.select(*cols)
+
+
 # ----------------------------------------------------------------------------- J1
 
 def log_demux_counts(spark, sf):
@@ -73,7 +91,7 @@ def play_decode(spark, sf):
 # ----------------------------------------------------------------------------- J2-J5
 
 def catalog_clean(spark, sf):
-    return _catalog(spark, sf)
+    return _neutral(_catalog(spark, sf))
 
 
 def song_horizons(spark, sf):
@@ -184,17 +202,20 @@ def user_union(spark, sf):
     return _all_users(spark, sf)
 
 
+_PROFILE_INTS = ("USR_EXP", "SCORE", "LEVEL")
+
+
 def active_profile(spark, sf):
-    return _profiles(spark, sf)
+    return _neutral(_profiles(spark, sf), _PROFILE_INTS)
 
 
 def active_list(spark, sf):
-    return users.active_list(_profiles(spark, sf), BUSINESS_DAY)
+    return _neutral(users.active_list(_profiles(spark, sf), BUSINESS_DAY), _PROFILE_INTS)
 
 
 def active_list_all_days(spark, sf):
     """The 7-of-8-days active list for every day of the month in one job."""
-    return users.active_list_range(_profiles(spark, sf), FIRST_DAY, BUSINESS_DAY)
+    return _neutral(users.active_list_range(_profiles(spark, sf), FIRST_DAY, BUSINESS_DAY), _PROFILE_INTS)
 
 
 def new_users(spark, sf):
@@ -268,11 +289,11 @@ def machine_mode_location_nonblank(spark, sf):
 
 
 def region_stat(spark, sf):
-    return revenue.region_stat(_machine_stat(spark, sf), BUSINESS_DAY)
+    return _neutral(revenue.region_stat(_machine_stat(spark, sf), BUSINESS_DAY))
 
 
 def merchant_share(spark, sf):
-    return revenue.merchant_share(_machine_stat(spark, sf), BUSINESS_DAY)
+    return _neutral(revenue.merchant_share(_machine_stat(spark, sf), BUSINESS_DAY))
 
 
 # ----------------------------------------------------------------------------- streaming twins (batch)

@@ -56,7 +56,7 @@ CATALOG = f"""cat AS (
 {_INTS},
     CASE p_partkey % 4 WHEN 0 THEN p_brand || ' Music' WHEN 3 THEN NULL ELSE '乐心曲库' END AS AUTH_CO,
     CAST(p_size % 2 AS INTEGER) AS STATE,
-    CASE WHEN p_partkey % 4 = 0 THEN [CAST(p_size AS INTEGER), CAST(p_size % 7 AS INTEGER)]
+    CASE WHEN p_partkey % 4 = 0 THEN CAST(p_size AS VARCHAR) || ',' || CAST(p_size % 7 AS VARCHAR)
          ELSE NULL END AS PRDCT_TYPE
   FROM part)"""
 
@@ -503,14 +503,17 @@ ORACLES.update({
     "revenue_by_machine": f"WITH {BRIEF}\n{_by_type(0, 'REV', 'CNSM_USR_CNT')}",
     "refund_by_machine": f"WITH {BRIEF}\n{_by_type(2, 'REF', 'REF_USR_CNT')}",
     "user_union": f"WITH {USERS}\nSELECT * FROM users",
-    "active_profile": f"WITH {PROFILES}\nSELECT * FROM profiles",
+    "active_profile": f"""WITH {PROFILES}
+SELECT * REPLACE (CAST(USR_EXP AS DOUBLE) AS USR_EXP, CAST(SCORE AS DOUBLE) AS SCORE,
+                  CAST(LEVEL AS DOUBLE) AS LEVEL)
+FROM profiles""",
     "active_list": f"""WITH {PROFILES}
 SELECT A.UID,
   CASE WHEN B.REG_CHNL = '1' THEN '微信' WHEN B.REG_CHNL = '2' THEN '支付宝'
        WHEN B.REG_CHNL = '3' THEN 'QQ' WHEN B.REG_CHNL = '4' THEN 'APP' ELSE '未知' END AS REG_CHNL,
   B.REF_UID,
   CASE WHEN B.GDR = '0' THEN '不明' WHEN B.GDR = '1' THEN '男' WHEN B.GDR = '2' THEN '女' ELSE '不明' END AS GDR,
-  B.BIRTHDAY, B.MSISDN, B.REG_DT, B.LEVEL
+  B.BIRTHDAY, B.MSISDN, B.REG_DT, CAST(B.LEVEL AS DOUBLE) AS LEVEL
 FROM (SELECT UID, count(DISTINCT data_dt) AS c FROM profiles
       WHERE data_dt BETWEEN '{D7}' AND '{D}' GROUP BY UID HAVING count(DISTINCT data_dt) = 7) A,
      profiles B
@@ -525,7 +528,8 @@ WHERE B.data_dt = '{D}' AND A.UID = B.UID""",
     "machine_stat": f"WITH {STAT}\nSELECT * FROM stat",
     "region_stat": f"""WITH {STAT}
 SELECT PRVC, CTY, CAST(count(MID) AS BIGINT) AS MAC_CNT, CAST(count(DISTINCT MID) AS BIGINT) AS MAC_DISTINCT_CNT,
-  CAST(sum(TOT_REV) AS {_MONEY}) AS MAC_REV, CAST(sum(TOT_REF) AS {_MONEY}) AS MAC_REF,
+  CAST(CAST(sum(TOT_REV) AS {_MONEY}) AS DOUBLE) AS MAC_REV,
+  CAST(CAST(sum(TOT_REF) AS {_MONEY}) AS DOUBLE) AS MAC_REF,
   CAST(sum(REV_ORDR_CNT) AS BIGINT) AS MAC_REV_ORDR_CNT, CAST(sum(REF_ORDR_CNT) AS BIGINT) AS MAC_REF_ORDR_CNT,
   CAST(sum(CNSM_USR_CNT) AS BIGINT) AS MAC_CNSM_USR_CNT, CAST(sum(REF_USR_CNT) AS BIGINT) AS MAC_REF_USR_CNT,
   '{D}' AS data_dt
@@ -534,10 +538,10 @@ FROM stat WHERE data_dt = '{D}' GROUP BY PRVC, CTY""",
 SELECT AGE_ID AS ADMIN_ID, PAY_TYPE,
   CAST(sum(REV_ORDR_CNT) AS BIGINT) AS REV_ORDR_CNT, CAST(sum(REF_ORDR_CNT) AS BIGINT) AS REF_ORDR_CNT,
   CAST(sum(TOT_REV) AS DOUBLE) AS TOT_REV, CAST(sum(TOT_REF) AS DOUBLE) AS TOT_REF,
-  CAST(sum(TOT_REV * coalesce(INV_RATE, 0)) AS {_MONEY}) AS TOT_INV_REV,
-  CAST(sum(TOT_REV * coalesce(AGE_RATE, 0)) AS {_MONEY}) AS TOT_AGE_REV,
-  CAST(sum(TOT_REV * coalesce(COM_RATE, 0)) AS {_MONEY}) AS TOT_COM_REV,
-  CAST(sum(TOT_REV * coalesce(PAR_RATE, 0)) AS {_MONEY}) AS TOT_PAR_REV,
+  CAST(CAST(sum(TOT_REV * coalesce(INV_RATE, 0)) AS {_MONEY}) AS DOUBLE) AS TOT_INV_REV,
+  CAST(CAST(sum(TOT_REV * coalesce(AGE_RATE, 0)) AS {_MONEY}) AS DOUBLE) AS TOT_AGE_REV,
+  CAST(CAST(sum(TOT_REV * coalesce(COM_RATE, 0)) AS {_MONEY}) AS DOUBLE) AS TOT_COM_REV,
+  CAST(CAST(sum(TOT_REV * coalesce(PAR_RATE, 0)) AS {_MONEY}) AS DOUBLE) AS TOT_PAR_REV,
   '{D}' AS data_dt
 FROM stat WHERE data_dt = '{D}' GROUP BY AGE_ID, PAY_TYPE""",
 })
@@ -729,7 +733,7 @@ SELECT B.UID,
        WHEN B.REG_CHNL = '3' THEN 'QQ' WHEN B.REG_CHNL = '4' THEN 'APP' ELSE '未知' END AS REG_CHNL,
   B.REF_UID,
   CASE WHEN B.GDR = '0' THEN '不明' WHEN B.GDR = '1' THEN '男' WHEN B.GDR = '2' THEN '女' ELSE '不明' END AS GDR,
-  B.BIRTHDAY, B.MSISDN, B.REG_DT, B.LEVEL, B.data_dt
+  B.BIRTHDAY, B.MSISDN, B.REG_DT, CAST(B.LEVEL AS DOUBLE) AS LEVEL, B.data_dt
 FROM counted A JOIN profiles B ON A.UID = B.UID AND A.data_dt = B.data_dt
 WHERE A.c = 7""",
 })
