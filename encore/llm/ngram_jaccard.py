@@ -6,10 +6,13 @@ than k words: the whole sequence as one shingle).  Two documents link when
 
 1. *Exact copies of a set* collapse to one representative by a 128-bit set
    fingerprint, so a group of copies is one row from here on.
-2. *Order.*  A count sketch of all shingles (fixed size, summed per block of
-   cells) gives every shingle a frequency class.  The order (class, hash) puts
-   passages that many documents share last.  It only steers cost: any one
-   order gives the same links.
+2. *Order.*  Two count sketches over all documents, of shingles and of words
+   (fixed size, summed per block of cells), give every shingle a frequency
+   class: the larger of its own count above the sketch's noise, which finds
+   passages that many documents share, and of the count that its words'
+   frequencies make likely, which finds chance combinations of common words
+   at any corpus size.  The order (class, hash) puts both last.  It only
+   steers cost: any one order gives the same links.
 3. *Light sets* (fewer than x shingles) emit one key per subset that a linked
    partner may share: all subsets with at most ``n - ceil(t n)`` elements
    left out.  Sets that meet on a key of s elements link when s is enough for
@@ -45,7 +48,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from encore.llm.common import Workspace, components, grouped, keep_ids, texts_of
-from encore.llm.text import mix, shingles, word_hashes
+from encore.llm.text import mix, shingle_hashes, shingles, word_hashes
 
 #: Cells of the count sketch (one byte each where it is broadcast).
 SKETCH_BITS = 20
@@ -53,6 +56,9 @@ CELLS_PER_BLOCK = 1024
 #: Sets of this many shingles or more are always heavy.
 MAX_LIGHT = 64
 BLOCK = 512
+BITS_PER_ELEMENT = 4
+#: Steps of a frequency class per doubling.
+STEPS = 4
 
 
 def least_overlap(n: int, t: int) -> int:
@@ -90,11 +96,10 @@ def _fingerprint(tokens: np.ndarray) -> tuple[int, int]:
     return int(a.astype(np.int64)), int(b.astype(np.int64))
 
 
-def _sets(batches, id_col: str, text_col: str, k: int):
+def _words(batches, id_col: str, text_col: str):
     for batch in batches:
         ids = batch.column(batch.schema.get_field_index(id_col)).to_pylist()
-        for i, words in zip(ids, word_hashes(texts_of(batch, text_col)), strict=True):
-            yield i, shingles(words, k)
+        yield from zip(ids, word_hashes(texts_of(batch, text_col)), strict=True)
 
 
 PROFILE = "id long, n int, f1 long, f2 long, block int, cells binary"
@@ -102,7 +107,7 @@ PROFILE = "id long, n int, f1 long, f2 long, block int, cells binary"
 
 def _profile(id_col: str, text_col: str, k: int):
     def run(batches):
-        sketch = np.zeros(1 << SKETCH_BITS, dtype=np.uint32)
+        sketch = np.zeros(2 << SKETCH_BITS, dtype=np.uint32)  # shingles, then words
         rows: list[tuple] = []
 
         def out():
@@ -113,9 +118,11 @@ def _profile(id_col: str, text_col: str, k: int):
                  pa.array(cols[3], pa.int64()), pa.array(nulls, pa.int32()), pa.array(nulls, pa.binary())],
                 ["id", "n", "f1", "f2", "block", "cells"])
 
-        for i, tokens in _sets(batches, id_col, text_col, k):
+        for i, words in _words(batches, id_col, text_col):
+            tokens = shingles(words, k)
             rows.append((i, len(tokens), *_fingerprint(tokens)))
             np.add.at(sketch, _cell(tokens), 1)
+            np.add.at(sketch, _cell(words) + (1 << SKETCH_BITS), 1)
             if len(rows) >= 10_000:
                 yield out()
                 rows = []
@@ -150,9 +157,10 @@ INDEX = "id long, n int, f1 long, f2 long, prefix array<long>, bitmap binary, ke
 
 
 def bitmap(tokens: np.ndarray) -> np.ndarray:
-    """One bit per hash cell, at least as many bits as elements."""
+    """One bit per hash cell, at least BITS_PER_ELEMENT times as many bits as
+    elements."""
     bits = 64
-    while bits < len(tokens):
+    while bits < BITS_PER_ELEMENT * len(tokens):
         bits *= 2
     on = np.zeros(bits, dtype=np.uint8)
     on[(tokens & np.uint64(bits - 1)).astype(np.int64)] = 1
@@ -192,6 +200,30 @@ def _subset_keys(tokens: np.ndarray, t: int) -> list[tuple[int, int, int]]:
     return [(signed(a), signed(b), s) for a, b, s in out]
 
 
+def frequency_classes(sketch: np.ndarray) -> tuple[np.ndarray, float]:
+    """One byte per cell: STEPS * log2 of the count above the noise for
+    shingles, of the count for words; and log2 of all words."""
+    own, words = sketch[:1 << SKETCH_BITS].astype(np.float64), sketch[1 << SKETCH_BITS:].astype(np.float64)
+    noise = np.median(own) + 6 * np.sqrt(np.median(own) + 1)
+    both = np.concatenate([np.maximum(own - noise, 1), np.maximum(words, 1)])
+    return np.minimum(STEPS * np.log2(both), 255).astype(np.uint8), float(np.log2(max(words.sum(), 1)))
+
+
+def ordered(words: np.ndarray, k: int, classes: np.ndarray, log_total: float) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted distinct shingles, their frequency classes)."""
+    tokens = shingle_hashes(words, k)
+    m = min(k, len(words))
+    common = classes[_cell(words) + (1 << SKETCH_BITS)].astype(np.float64)
+    likely = np.full(len(tokens), -(m - 1) * STEPS * log_total)
+    for j in range(m):
+        likely += common[j:len(words) - m + 1 + j]
+    order = np.argsort(tokens)
+    tokens, likely = tokens[order], likely[order]
+    first = np.concatenate(([True], tokens[1:] != tokens[:-1]))
+    tokens = tokens[first]
+    return tokens, np.maximum(classes[_cell(tokens)], np.maximum(likely[first], 0)).astype(np.int64)
+
+
 def _index(id_col: str, text_col: str, k: int, t: int, x: int, classes):
     listed = least_overlap(x, t)
 
@@ -206,14 +238,15 @@ def _index(id_col: str, text_col: str, k: int, t: int, x: int, classes):
                  pa.array(c[4], pa.list_(pa.int64())), pa.array(c[5], pa.binary()), pa.array(c[6], pa.list_(kind))],
                 ["id", "n", "f1", "f2", "prefix", "bitmap", "keys"])
 
-        for i, tokens in _sets(batches, id_col, text_col, k):
-            n = len(tokens)
-            if not n or i is None:
+        for i, words in _words(batches, id_col, text_col):
+            if not len(words) or i is None:
                 continue
+            tokens, rank = ordered(words, k, *classes.value)
+            n = len(tokens)
             prefix = np.empty(0, np.uint64)
             if n >= listed:
                 # classes first, hashes within a class: the tokens are sorted by hash
-                prefix = tokens[np.argsort(classes.value[_cell(tokens)], kind="stable")[:n - least_overlap(n, t) + 1]]
+                prefix = tokens[np.argsort(rank, kind="stable")[:n - least_overlap(n, t) + 1]]
             keys = [dict(k1=a, k2=b, s=s) for a, b, s in _subset_keys(tokens, t)] if n < x else []
             rows.append((i, n, *_fingerprint(tokens), prefix.view(np.int64), bitmap(tokens).tobytes(), keys))
             if len(rows) >= 1000:
@@ -299,9 +332,9 @@ def _block_pairs(t: int, x: int):
 def _token_sets(id_col: str, text_col: str, k: int):
     def run(batches):
         ids, values = [], []
-        for i, tokens in _sets(batches, id_col, text_col, k):
+        for i, words in _words(batches, id_col, text_col):
             ids.append(i)
-            values.append(tokens.view(np.int64))
+            values.append(shingles(words, k).view(np.int64))
             if len(ids) >= 500:
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(values, pa.list_(pa.int64()))], ["id", "tokens"])
                 ids, values = [], []
@@ -323,12 +356,12 @@ def ngram_components(docs: DataFrame, k: int = 5, t: int = 80, id_col: str = "do
     sets = profile.where("block is null").select("id", "n", "f1", "f2")
     cells = ws.put(profile.where("block is not null").select("block", "cells")
                    .repartition("block").mapInArrow(_add_cells, "block int, cells binary"))
-    sketch = np.zeros(1 << SKETCH_BITS, dtype=np.uint64)
-    for row in cells.collect():  # 2**SKETCH_BITS counters, whatever the input
+    sketch = np.zeros(2 << SKETCH_BITS, dtype=np.uint64)
+    for row in cells.collect():  # 2**(SKETCH_BITS + 1) counters, whatever the input
         sketch[row["block"] * CELLS_PER_BLOCK:(row["block"] + 1) * CELLS_PER_BLOCK] = np.frombuffer(row["cells"], np.uint64)
-    total = float(sketch.sum())
-    mean_list = float((sketch.astype(np.float64) ** 2).sum() / total - total / len(sketch)) if total else 0.0
-    classes = spark.sparkContext.broadcast(np.log2(np.maximum(sketch, 1)).astype(np.uint8))
+    own = sketch[:1 << SKETCH_BITS].astype(np.float64)
+    mean_list = float((own**2).sum() / own.sum() - own.sum() / len(own)) if own.sum() else 0.0
+    classes = spark.sparkContext.broadcast(frequency_classes(sketch))
 
     reps = ws.put(sets.where("n > 0 and id is not null").groupBy("n", "f1", "f2")
                   .agg(F.min("id").alias("rep"), F.count("*").alias("copies")))

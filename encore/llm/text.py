@@ -108,9 +108,9 @@ def word_hashes(texts: list[bytes], lower: bool = True) -> list[np.ndarray]:
     return out
 
 
-def shingles(words: np.ndarray, k: int) -> np.ndarray:
-    """Sorted distinct hashes of the k-word shingles; a shorter sequence is
-    one shingle of its own; no words, no shingles."""
+def shingle_hashes(words: np.ndarray, k: int) -> np.ndarray:
+    """Hash of every k-word shingle, in order; a shorter sequence is one
+    shingle of its own; no words, no shingles."""
     if len(words) == 0:
         return words
     m = min(k, len(words))
@@ -119,8 +119,13 @@ def shingles(words: np.ndarray, k: int) -> np.ndarray:
         total *= np.uint64(0xD6E8FEB86659FD93)
         total += words[j:len(words) - m + 1 + j]
         total ^= total >> np.uint64(32)
-    total = np.sort(mix(total))
-    return total[np.concatenate(([True], total[1:] != total[:-1]))]
+    return mix(total)
+
+
+def shingles(words: np.ndarray, k: int) -> np.ndarray:
+    """Sorted distinct hashes of the k-word shingles."""
+    total = np.sort(shingle_hashes(words, k))
+    return total[np.concatenate(([True], total[1:] != total[:-1]))] if len(total) else total
 
 
 def utf8(value) -> bytes:
