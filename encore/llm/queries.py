@@ -15,6 +15,7 @@ from encore.llm.labelled import bucket_of
 from encore.llm.mixing import mix
 from encore.llm.ngram_jaccard import ngram_components
 from encore.llm.quality_rules import quality_rules
+from encore.llm.sentencepiece_scan import token_digests
 from encore.llm.suffix_dedup import remove_repeats
 from encore.llm.token_counts import token_counts
 from encore.llm.toxicity import toxicity_scores
@@ -52,6 +53,12 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"), length=400).drop("removed")
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: n_pieces, pieces_sha256 (of the ids as 32-bit numbers)
+    and whether the decoded text is the text again."""
+    return token_digests(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_round_trip(table(spark, sf_dir, "pages"), min_revisit=1000)
 
@@ -90,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_quality_rules": op2_quality_rules,
     "op3_suffix_dedup": op3_suffix_dedup,
+    "op4_sentencepiece": op4_sentencepiece,
     "op5_warc": op5_warc,
     "op6_toxicity": op6_toxicity,
     "op7_mixing": op7_mixing,

@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from encore.llm.common import Workspace, grouped, keep_ids, texts_of
-from encore.llm.text import mix
+from encore.llm.text import mix, powers
 
 LENGTH = 400
 BATCHES = 4
@@ -56,25 +56,15 @@ PIECE = 1 << 20
 #: Low bits of a packed hash that hold the position in a piece.
 _AT = np.uint64((1 << 24) - 1)
 _BASE = 0x5851F42D4C957F2D
-_kept: dict[int, np.ndarray] = {}
-
-
-def _powers(base: int, n: int) -> np.ndarray:
-    if base not in _kept or len(_kept[base]) < n:
-        got = np.full(max(n, 1 << 16), base, dtype=np.uint64)
-        got[0] = 1
-        np.multiply.accumulate(got, out=got)
-        _kept[base] = got
-    return _kept[base][:n]
 
 
 def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
     """Hash of the gram that starts at each position."""
     n = len(data)
     total = np.zeros(n + 1, dtype=np.uint64)
-    np.multiply(data, _powers(_BASE, n), out=total[1:])
+    np.multiply(data, powers(_BASE, n), out=total[1:])
     np.cumsum(total, out=total)
-    return mix((total[gram:] - total[:-gram]) * _powers(pow(_BASE, -1, 1 << 64), n)[:n - gram + 1])
+    return mix((total[gram:] - total[:-gram]) * powers(pow(_BASE, -1, 1 << 64), n)[:n - gram + 1])
 
 
 def sparse_suffixes(text: bytes, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -224,7 +214,7 @@ def window_keys(bodies: list[bytes], lefts: np.ndarray, length: int):
         tail = raw[at + gram:]
         right[:len(tail), i] = tail
         n_right[i] = len(tail)
-    weight = _powers(_BASE, side)
+    weight = powers(_BASE, side)
     before = np.zeros(len(bodies), dtype=np.uint64)
     after = np.zeros(len(bodies), dtype=np.uint64)
     for j in range(side):
@@ -252,7 +242,7 @@ def repeated_offsets(bodies: list[bytes], lefts: np.ndarray, length: int) -> np.
         right[i, :n_right[i]] = raw[at + gram:]
     value = np.zeros((len(bodies), side + 1), dtype=np.uint64)
     after = np.zeros((len(bodies), side + 1), dtype=np.uint64)
-    weight = _powers(_BASE, side)
+    weight = powers(_BASE, side)
     np.cumsum((left + np.uint64(1)) * weight, axis=1, out=value[:, 1:])
     np.cumsum((right + np.uint64(1)) * weight, axis=1, out=after[:, 1:])
     value = mix(value) + np.uint64(0x9E3779B97F4A7C15) * mix(after[:, ::-1])

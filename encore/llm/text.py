@@ -36,7 +36,7 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 _powers: dict[int, np.ndarray] = {}
 
 
-def _power(base: int, n: int) -> np.ndarray:
+def powers(base: int, n: int) -> np.ndarray:
     """base**0 .. base**(n-1) modulo 2**64 (kept for the next piece)."""
     got = _powers.get(base)
     if got is None or len(got) < n:
@@ -59,9 +59,9 @@ def _hash_piece(data: bytes, lower: bool) -> tuple[np.ndarray, np.ndarray]:
         edge = np.concatenate((edge, [len(raw)]))
     start, end = edge[0::2], edge[1::2]
     total = np.zeros(len(raw) + 1, dtype=np.uint64)
-    np.multiply(raw, _power(_BASE, len(raw)), out=total[1:])
+    np.multiply(raw, powers(_BASE, len(raw)), out=total[1:])
     np.cumsum(total, out=total)
-    value = (total[end] - total[start]) * _power(_INVERSE, len(raw))[start]
+    value = (total[end] - total[start]) * powers(_INVERSE, len(raw))[start]
     return start, mix(value + (end - start).astype(np.uint64))
 
 
