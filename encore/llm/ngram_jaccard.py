@@ -50,13 +50,14 @@ from pyspark.sql import functions as F
 from encore.llm.common import Workspace, components, grouped, keep_ids, texts_of
 from encore.llm.text import mix, shingle_hashes, shingles, word_hashes
 
-#: Cells of the count sketch (one byte each where it is broadcast).
-SKETCH_BITS = 20
-CELLS_PER_BLOCK = 1024
+#: Cells of the count sketches (one byte each where they are broadcast).
+SKETCH_BITS = 22
+WORD_BITS = 20
+CELLS_PER_BLOCK = 4096
 #: Sets of this many shingles or more are always heavy.
 MAX_LIGHT = 64
 BLOCK = 512
-BITS_PER_ELEMENT = 4
+LEAST_BITS = 1024
 #: Steps of a frequency class per doubling.
 STEPS = 4
 
@@ -89,6 +90,33 @@ def _cell(tokens: np.ndarray) -> np.ndarray:
     return (tokens >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
 
 
+def _word_cell(words: np.ndarray) -> np.ndarray:
+    return (words >> np.uint64(64 - WORD_BITS)).astype(np.int64) + (1 << SKETCH_BITS)
+
+
+def _new_sketch(kind) -> np.ndarray:
+    """Cells of the shingles, then of the words."""
+    return np.zeros((1 << SKETCH_BITS) + (1 << WORD_BITS), dtype=kind)
+
+
+def pack_cells(cells: np.ndarray) -> bytes:
+    """Counters of one block: pairs of place and count where most are 0."""
+    at = np.flatnonzero(cells)
+    if 6 * len(at) < 4 * len(cells):
+        return b"s" + at.astype("<u2").tobytes() + cells[at].astype("<u4").tobytes()
+    return b"d" + cells.astype("<u4").tobytes()
+
+
+def unpack_cells(data: bytes) -> np.ndarray:
+    out = np.zeros(CELLS_PER_BLOCK, dtype=np.uint64)
+    if data[:1] == b"s":
+        n = (len(data) - 1) // 6
+        out[np.frombuffer(data, "<u2", n, 1)] = np.frombuffer(data, "<u4", n, 1 + 2 * n)
+    else:
+        out[:] = np.frombuffer(data, "<u4", -1, 1)
+    return out
+
+
 def _fingerprint(tokens: np.ndarray) -> tuple[int, int]:
     """Two 64-bit sums over the set (any order, signed)."""
     a = mix(tokens).sum(dtype=np.uint64)
@@ -107,7 +135,7 @@ PROFILE = "id long, n int, f1 long, f2 long, block int, cells binary"
 
 def _profile(id_col: str, text_col: str, k: int):
     def run(batches):
-        sketch = np.zeros(2 << SKETCH_BITS, dtype=np.uint32)  # shingles, then words
+        sketch = _new_sketch(np.uint32)
         rows: list[tuple] = []
 
         def out():
@@ -122,19 +150,20 @@ def _profile(id_col: str, text_col: str, k: int):
             tokens = shingles(words, k)
             rows.append((i, len(tokens), *_fingerprint(tokens)))
             np.add.at(sketch, _cell(tokens), 1)
-            np.add.at(sketch, _cell(words) + (1 << SKETCH_BITS), 1)
+            np.add.at(sketch, _word_cell(words), 1)
             if len(rows) >= 10_000:
                 yield out()
                 rows = []
         if rows:
             yield out()
-        blocks = [b for b in range(len(sketch) // CELLS_PER_BLOCK)
-                  if sketch[b * CELLS_PER_BLOCK:(b + 1) * CELLS_PER_BLOCK].any()]
-        if blocks:
+        sketch = sketch.reshape(-1, CELLS_PER_BLOCK)
+        every = np.flatnonzero(sketch.any(axis=1)).tolist()
+        for at in range(0, len(every), 256):
+            blocks = every[at:at + 256]
             none = pa.nulls(len(blocks), pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [none, pa.nulls(len(blocks), pa.int32()), none, none, pa.array(blocks, pa.int32()),
-                 pa.array([sketch[b * CELLS_PER_BLOCK:(b + 1) * CELLS_PER_BLOCK].tobytes() for b in blocks], pa.binary())],
+                 pa.array([pack_cells(sketch[b]) for b in blocks], pa.binary())],
                 ["id", "n", "f1", "f2", "block", "cells"])
 
     return run
@@ -145,7 +174,7 @@ def _add_cells(batches):
     total: dict[int, np.ndarray] = {}
     for batch in batches:
         for b, cells in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            part = np.frombuffer(cells, dtype=np.uint32).astype(np.uint64)
+            part = unpack_cells(cells)
             total[b] = total[b] + part if b in total else part
     if total:
         yield pa.RecordBatch.from_arrays(
@@ -157,10 +186,9 @@ INDEX = "id long, n int, f1 long, f2 long, prefix array<long>, bitmap binary, ke
 
 
 def bitmap(tokens: np.ndarray) -> np.ndarray:
-    """One bit per hash cell, at least BITS_PER_ELEMENT times as many bits as
-    elements."""
-    bits = 64
-    while bits < BITS_PER_ELEMENT * len(tokens):
+    """One bit per hash cell, at least as many bits as elements."""
+    bits = LEAST_BITS
+    while bits < len(tokens):
         bits *= 2
     on = np.zeros(bits, dtype=np.uint8)
     on[(tokens & np.uint64(bits - 1)).astype(np.int64)] = 1
@@ -213,7 +241,7 @@ def ordered(words: np.ndarray, k: int, classes: np.ndarray, log_total: float) ->
     """(sorted distinct shingles, their frequency classes)."""
     tokens = shingle_hashes(words, k)
     m = min(k, len(words))
-    common = classes[_cell(words) + (1 << SKETCH_BITS)].astype(np.float64)
+    common = classes[_word_cell(words)].astype(np.float64)
     likely = np.full(len(tokens), -(m - 1) * STEPS * log_total)
     for j in range(m):
         likely += common[j:len(words) - m + 1 + j]
@@ -356,8 +384,8 @@ def ngram_components(docs: DataFrame, k: int = 5, t: int = 80, id_col: str = "do
     sets = profile.where("block is null").select("id", "n", "f1", "f2")
     cells = ws.put(profile.where("block is not null").select("block", "cells")
                    .repartition("block").mapInArrow(_add_cells, "block int, cells binary"))
-    sketch = np.zeros(2 << SKETCH_BITS, dtype=np.uint64)
-    for row in cells.collect():  # 2**(SKETCH_BITS + 1) counters, whatever the input
+    sketch = _new_sketch(np.uint64)
+    for row in cells.toLocalIterator():  # as many counters as the sketches have, whatever the input
         sketch[row["block"] * CELLS_PER_BLOCK:(row["block"] + 1) * CELLS_PER_BLOCK] = np.frombuffer(row["cells"], np.uint64)
     own = sketch[:1 << SKETCH_BITS].astype(np.float64)
     mean_list = float((own**2).sum() / own.sum() - own.sum() / len(own)) if own.sum() else 0.0
@@ -376,10 +404,11 @@ def ngram_components(docs: DataFrame, k: int = 5, t: int = 80, id_col: str = "do
 
     # inverted lists with two members or more
     posts = index.select(F.explode("prefix").alias("token"), "id", "n")
-    lists = posts.groupBy("token").agg(
-        F.count("*").alias("members"), F.min("id").alias("c1"), F.max("id").alias("c2"),
-        F.min_by("id", F.xxhash64("id", "token")).alias("c3")).where("members > 1")
+    lists = posts.groupBy("token").agg(F.count("*").alias("members")).where("members > 1")
     posts = ws.put(posts.join(lists, "token"))
+    one = F.struct("id", "n")
+    centres = posts.groupBy("token").agg(
+        F.array(F.min(one), F.max(one), F.min_by(one, F.xxhash64("id", "token"))).alias("centres"))
 
     light = index.where("size(keys) > 0").select(F.explode("keys").alias("key"), "id", "n").select("key.*", "id", "n")
     centres = light.groupBy("k1", "k2", "s").agg(F.min(F.struct("n", "id")).alias("c"), F.count("*").alias("members")).where("members > 1")
@@ -389,14 +418,17 @@ def ngram_components(docs: DataFrame, k: int = 5, t: int = 80, id_col: str = "do
     def pair(a, b):
         return F.least(a, b).alias("a"), F.greatest(a, b).alias("b")
 
-    stars = posts.select("id", F.explode(F.array("c1", "c2", "c3")).alias("c")).select(*pair(F.col("id"), F.col("c")))
+    def sizes_fit(a, b):
+        return F.lit(100) * F.least(a, b) >= F.lit(t) * F.greatest(a, b)
+
+    stars = posts.join(centres, "token").select("id", "n", F.explode("centres").alias("c")).where(
+        sizes_fit("n", "c.n")).select(*pair(F.col("id"), F.col("c.id")))
     stars = stars.union(light.select(*pair(F.col("a"), F.col("b")))).where("a != b").distinct()
 
     def with_maps(pairs: DataFrame) -> DataFrame:
         one = bitmaps.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("bitmap").alias("ma"))
         two = bitmaps.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("bitmap").alias("mb"))
-        fits = F.lit(100) * F.least("na", "nb") >= F.lit(t) * F.greatest("na", "nb")
-        both = pairs.join(one, "a").join(two, "b").where(fits).select("a", "b", "na", "nb", "ma", "mb")
+        both = pairs.join(one, "a").join(two, "b").select("a", "b", "na", "nb", "ma", "mb")
         return both.mapInArrow(_bitmap_filter(t), "a long, b long")
 
     def verified(pairs: DataFrame) -> DataFrame:

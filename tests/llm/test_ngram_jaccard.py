@@ -94,3 +94,10 @@ def test_bitmaps_bound_the_difference():
         w = min(len(p), len(q))
         differ = int(np.bitwise_count(J.fold(p, w) ^ J.fold(q, w)).sum())
         assert differ <= len(np.setxor1d(a, b))
+
+
+def test_sketch_blocks_round_trip():
+    rng = np.random.default_rng(1)
+    for share in (0.0, 0.01, 0.9):
+        cells = (rng.integers(1, 1 << 32, J.CELLS_PER_BLOCK) * (rng.random(J.CELLS_PER_BLOCK) < share)).astype(np.uint32)
+        assert (J.unpack_cells(J.pack_cells(cells)) == cells).all()
