@@ -411,8 +411,8 @@ def ngram_components(docs: DataFrame, k: int = 5, t: int = 80, id_col: str = "do
         F.array(F.min(one), F.max(one), F.min_by(one, F.xxhash64("id", "token"))).alias("centres"))
 
     light = index.where("size(keys) > 0").select(F.explode("keys").alias("key"), "id", "n").select("key.*", "id", "n")
-    centres = light.groupBy("k1", "k2", "s").agg(F.min(F.struct("n", "id")).alias("c"), F.count("*").alias("members")).where("members > 1")
-    light = light.join(centres, ["k1", "k2", "s"]).where(
+    smallest = light.groupBy("k1", "k2", "s").agg(F.min(F.struct("n", "id")).alias("c"), F.count("*").alias("members")).where("members > 1")
+    light = light.join(smallest, ["k1", "k2", "s"]).where(
         F.col("s") * (100 + t) >= F.lit(t) * (F.col("n") + F.col("c.n"))).select(F.col("id").alias("a"), F.col("c.id").alias("b"))
 
     def pair(a, b):
