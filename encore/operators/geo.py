@@ -1,32 +1,36 @@
 """Reverse geocoding as a distributed nearest-place join (JN8).
 
 The original called a web map service ten points at a time from inside
-``mapPartitions``.  Here the place table is a DataFrame (a gazetteer) and
-the nearest place of every point is found with equi-joins on grid cells:
-
-* points and places are bucketed into cells of ``step`` degrees;
-* each point is expanded to its 3 x 3 neighbour cells (the point side is
-  the small side: one row per machine) and joined to the places of those
-  cells; ``min_by`` keeps the closest (ties: smallest ``place_id``);
-* the answer is exact when the best distance is within the guaranteed
-  radius of the neighbourhood -- the shortest great-circle distance from
-  the point to anything outside it.  Points that do not pass move to the
-  next level with a cell twice as large, until the neighbourhood covers
-  every place.  Only those few points are re-processed; the pending set is
-  materialised between levels so lineage stays short.
-
-Longitude cells wrap around the antimeridian (the cell size is snapped to
-divide 360 degrees), so points near +-180 find places across it.
+``mapPartitions``.  Here the place table is a DataFrame (a gazetteer) and the
+nearest place of every point is found by a search down a pyramid of occupied
+cells:
+
+* level 0 is the globe; every cell splits into ``FAN`` x ``FAN`` cells; the
+  pyramid holds one row per *occupied* cell with one place of it;
+* a point starts at level 0.  At each level its cells are replaced by their
+  occupied children (an equi-join on the parent cell).  The place kept with a
+  child gives an upper bound of the nearest distance, the distance from the
+  point to the child's box a lower bound; children that cannot hold the
+  nearest place are dropped;
+* at the last level the places of the cells left are compared exactly (ties:
+  smallest ``place_id``).
+
+A point far from every place, or among very many, keeps a handful of cells per
+level: work per point follows the depth, which follows the logarithm of the
+number of places.  Nothing is capped: every level compares every cell that the
+bounds leave, and every point comes back.  Only ids, coordinates and distances
+take part; the names are joined at the end.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .small import maybe_broadcast
 
 # fixed value: mean Earth radius (km)
 EARTH_RADIUS_KM = 6371.0088
@@ -42,137 +46,92 @@ def haversine_km(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Colu
     return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.when(root > 1.0, F.lit(1.0)).otherwise(root))
 
 
-def _cell(c: Column, step: float) -> Column:
-    return F.floor(c / F.lit(step)).cast("bigint")
+#: Cells per side that a cell splits into.
+FAN = 8
+#: Slack of the bounds against rounding (km).
+SLACK_KM = 1e-6
 
 
-def _lng_cells(step: float) -> tuple[float, int]:
-    """A longitude step that divides 360 exactly (<= ``step``) and the number
-    of cells around the globe, so neighbour cells wrap at the antimeridian."""
-    n = max(1, math.ceil(360.0 / step))
-    return 360.0 / n, n
+def usable_coordinate(c: Column, most: float) -> Column:
+    """The coordinate as a double; NULL if it is no number or out of range."""
+    value = c.try_cast("double")
+    return F.when(value.between(-most, most), value)  # NaN is greater than any number
 
 
-def _lng_cell(c: Column, step: float, n: int) -> Column:
-    return F.pmod(F.floor((c + F.lit(180.0)) / F.lit(step)).cast("bigint"), F.lit(n))
+def _cells(lat: Column, lng: Column, level: int) -> tuple[Column, Column]:
+    n = FAN ** level
 
+    def at(c: Column, low: float, span: float) -> Column:
+        return F.least(F.floor((c - F.lit(low)) * F.lit(n / span)).cast("bigint"), F.lit(n - 1))
 
-def _guard_km(lat: Column, step: float) -> Column:
-    """Lower bound of the distance from a point to anything outside its 3 x 3 box."""
-    span = math.radians(min(step, 90.0))
-    along_meridian = F.lit(EARTH_RADIUS_KM * span)
-    across = F.lit(EARTH_RADIUS_KM) * F.asin(F.cos(F.radians(lat)) * F.lit(math.sin(span)))
-    return F.least(along_meridian, across)
+    return at(lat, -90.0, 180.0), at(lng, -180.0, 360.0)
 
 
-def mean_spacing(bounds, floor_deg: float = 1e-4, cap_deg: float = 90.0) -> float:
-    """Average distance between places, in degrees, from their bounding box."""
-    height = max(bounds["lat1"] - bounds["lat0"], floor_deg)
-    width = max(bounds["lng1"] - bounds["lng0"], floor_deg)
-    return min(max(math.sqrt(height * width / bounds["n"]), floor_deg), cap_deg)
+def box_distance_km(lat: Column, lng: Column, lat0: Column, lat1: Column, lng0: Column, lng1: Column) -> Column:
+    """Least great-circle distance from a point to a latitude/longitude box.
+
+    Inside the box's longitudes the way is along the meridian; elsewhere the
+    nearest point lies on one of the two meridian edges, at an end or where
+    the great circle from the point meets the edge at a right angle.
+    """
+    inside = (lng >= lng0) & (lng <= lng1)
+    along = F.lit(EARTH_RADIUS_KM) * F.radians(F.greatest(lat0 - lat, lat - lat1, F.lit(0.0)))
+
+    def edge(at: Column) -> Column:
+        foot = F.degrees(F.atan2(F.sin(F.radians(lat)), F.cos(F.radians(lat)) * F.cos(F.radians(at - lng))))
+        nearest = F.least(F.greatest(foot, lat0), lat1)
+        return F.least(*[haversine_km(lat, lng, x, at) for x in (lat0, lat1, nearest)])
+
+    return F.when(inside, along).otherwise(F.least(edge(lng0), edge(lng1)))
+
+
+def pyramid_depth(n_places: int) -> int:
+    """Levels until a cell of an even gazetteer holds about one place."""
+    return 1 + max(1, math.ceil(math.log(max(n_places, 2), FAN * FAN)))
 
 
-def nearest_place(
-    points: DataFrame,
-    places: DataFrame,
-    key: str,
-    lat: str,
-    lng: str,
-    place_cols: list[str],
-    step: float | None = None,
-    max_levels: int = 24,
-) -> DataFrame:
+def nearest_place(points: DataFrame, places: DataFrame, key: str, lat: str, lng: str, place_cols: list[str]) -> DataFrame:
     """``points`` -> every point column + ``place_id, distance_km, *place_cols``.
 
     Every point with a usable coordinate gets the exact nearest place; a
-    point with no coordinate (or an empty gazetteer) gets NULLs.  Without
-    ``step`` the first cell size is the mean place spacing (bounding-box
-    area / place count), so a cell holds about one place whatever the
-    gazetteer's density; the result is exact for any step.
-
-    Per level one result is materialised (checkpoint under
-    ``spark.checkpoint.dir`` when set): it holds the resolved points and the
-    ones that move on, so no level is computed twice.
+    point without one (NULL, text that is no number, NaN, out of range), or
+    an empty gazetteer, gives NULLs.  ``key`` names the points in messages
+    only: rows are told apart by position, so repeated keys are points of
+    their own.
     """
-    point_cols = points.columns
-    pts = points.select(
-        F.col(key).alias("_k"),
-        F.col(lat).cast("double").alias("_lat"),
-        F.col(lng).cast("double").alias("_lng"),
-        F.struct(*[F.col(c) for c in point_cols]).alias("_p"),
-    )
-    plc = places.select(
-        F.col("place_id"), F.col("lat").alias("_plat"), F.col("lng").alias("_plng"), *place_cols
-    ).where(F.col("_plat").isNotNull() & F.col("_plng").isNotNull())
-    bounds = plc.agg(
-        F.min("_plat").alias("lat0"), F.max("_plat").alias("lat1"),
-        F.min("_plng").alias("lng0"), F.max("_plng").alias("lng1"),
-        F.count(F.lit(1)).alias("n"),
-    ).first()
-    usable = F.col("_lat").isNotNull() & F.col("_lng").isNotNull()
-    empty_place = [
-        F.lit(None).cast("bigint").alias("place_id"),
-        F.lit(None).cast("double").alias("distance_km"),
-        *[F.lit(None).cast("string").alias(c) for c in place_cols],
-    ]
-    parts = [pts.where(~usable).select("_p", *empty_place)]
-    if bounds is not None and bounds["n"]:
-        if step is None:
-            step = mean_spacing(bounds)
-        pending = pts.where(usable)
-        for level in range(max_levels):
-            s = step * (2 ** level)
-            last = level == max_levels - 1
-            best = materialize(_level(pending, plc, bounds, s, place_cols, last))
-            parts.append(best.where("_exact").select("_p", "_b.*"))
-            pending = best.where(~F.col("_exact")).select("_k", "_lat", "_lng", "_p")
-            if last or pending.isEmpty():
-                break
-    else:
-        parts.append(pts.where(usable).select("_p", *empty_place))
-    result = parts[0]
-    for p in parts[1:]:
-        result = result.unionByName(p)
-    return result.select("_p.*", "place_id", "distance_km", *place_cols)
-
-
-def _level(pending: DataFrame, plc: DataFrame, bounds, s: float, place_cols: list[str], last: bool) -> DataFrame:
-    """Nearest candidate of each pending point within its 3 x 3 cells, and
-    whether that candidate is provably the nearest overall (``_exact``)."""
-    s, n_lng = _lng_cells(s)
-    offsets = F.array(*[F.lit(i) for i in (-1, 0, 1)])
-    cand = (
-        pending.withColumn("_ci", _cell(F.col("_lat"), s))
-        .withColumn("_cj", _lng_cell(F.col("_lng"), s, n_lng))
-        .withColumn("_di", F.explode(offsets))
-        .withColumn("_dj", F.explode(offsets))
-        .withColumn("_ni", F.col("_ci") + F.col("_di"))
-        .withColumn("_nj", F.pmod(F.col("_cj") + F.col("_dj"), F.lit(n_lng)))
-    )
-    cells = plc.withColumn("_ni", _cell(F.col("_plat"), s)).withColumn("_nj", _lng_cell(F.col("_plng"), s, n_lng))
-    joined = cand.join(cells, ["_ni", "_nj"], "left").withColumn(
-        "distance_km", haversine_km(F.col("_lat"), F.col("_lng"), F.col("_plat"), F.col("_plng"))
-    )
-    # rows of empty neighbour cells get a NULL ordering, which min_by skips
-    order = F.when(F.col("place_id").isNotNull(), F.struct("distance_km", "place_id"))
-    best = joined.groupBy("_k").agg(
-        F.first("_lat").alias("_lat"),
-        F.first("_lng").alias("_lng"),
-        F.first("_ci").alias("_ci"),
-        F.first("_cj").alias("_cj"),
-        F.first("_p").alias("_p"),
-        F.min_by(F.struct("place_id", "distance_km", *place_cols), order).alias("_b"),
-    )
-    lng0 = math.floor((bounds["lng0"] + 180.0) / s) % n_lng
-    lng1 = math.floor((bounds["lng1"] + 180.0) / s) % n_lng
-    lng_covered = F.lit(n_lng <= 3) | (
-        (F.col("_cj") - 1 <= F.lit(lng0)) & (F.col("_cj") + 1 >= F.lit(lng1))
-    )
-    covers = (
-        (F.col("_ci") - 1 <= F.floor(F.lit(bounds["lat0"]) / s))
-        & (F.col("_ci") + 1 >= F.floor(F.lit(bounds["lat1"]) / s))
-        & lng_covered
+    rows = materialize(points.withColumn("_k", F.monotonically_increasing_id()))
+    here = materialize(
+        rows.select("_k", usable_coordinate(F.col(lat), 90.0).alias("_lat"), usable_coordinate(F.col(lng), 180.0).alias("_lng"))
+        .where("_lat is not null and _lng is not null")
     )
-    found = F.col("_b.place_id").isNotNull()
-    exact = found & (F.lit(last) | covers | (F.col("_b.distance_km") <= _guard_km(F.col("_lat"), s)))
-    return best.withColumn("_exact", exact)
+    usable = places.withColumn("_plat", usable_coordinate(F.col("lat"), 90.0)).withColumn(
+        "_plng", usable_coordinate(F.col("lng"), 180.0)).where("_plat is not null and _plng is not null")
+    # places on the same spot: the smallest id answers
+    spots = materialize(usable.groupBy("_plat", "_plng").agg(F.min("place_id").alias("place_id")))
+    depth = pyramid_depth(spots.count())
+
+    now = here.withColumn("_ci", F.lit(0).cast("bigint")).withColumn("_cj", F.lit(0).cast("bigint"))
+    for level in range(1, depth + 1):
+        ci, cj = _cells(F.col("_plat"), F.col("_plng"), level)
+        children = spots.select(ci.alias("_i"), cj.alias("_j"), "_plat", "_plng").groupBy("_i", "_j").agg(
+            F.min(F.struct("_plat", "_plng")).alias("_s"))
+        children = children.select(
+            F.floor(F.col("_i") / FAN).cast("bigint").alias("_ci"), F.floor(F.col("_j") / FAN).cast("bigint").alias("_cj"), "_i", "_j", "_s")
+        high, wide = 180.0 / FAN ** level, 360.0 / FAN ** level
+        opened = now.join(maybe_broadcast(children), ["_ci", "_cj"]).select(
+            "_k", "_lat", "_lng", "_i", "_j",
+            haversine_km(F.col("_lat"), F.col("_lng"), F.col("_s._plat"), F.col("_s._plng")).alias("_most"),
+            box_distance_km(F.col("_lat"), F.col("_lng"), F.col("_i") * high - 90.0, (F.col("_i") + 1) * high - 90.0,
+                            F.col("_j") * wide - 180.0, (F.col("_j") + 1) * wide - 180.0).alias("_least"))
+        bound = F.min("_most").over(Window.partitionBy("_k"))  # a few cells per point
+        now = materialize(opened.withColumn("_bound", bound).where(F.col("_least") <= F.col("_bound") + SLACK_KM).select(
+            "_k", "_lat", "_lng", F.col("_i").alias("_ci"), F.col("_j").alias("_cj")))
+    ci, cj = _cells(F.col("_plat"), F.col("_plng"), depth)
+    leaves = spots.withColumn("_ci", ci).withColumn("_cj", cj)
+    best = now.join(maybe_broadcast(leaves), ["_ci", "_cj"]).groupBy("_k").agg(F.min(F.struct(
+        haversine_km(F.col("_lat"), F.col("_lng"), F.col("_plat"), F.col("_plng")).alias("distance_km"), "place_id")).alias("_b"))
+    best = best.select("_k", "_b.place_id", "_b.distance_km")
+    names = places.groupBy("place_id").agg(F.min(F.struct(*place_cols)).alias("_n")) if place_cols else places.select("place_id").distinct()
+    found = best.join(maybe_broadcast(names), "place_id", "left")
+    named = [F.col(f"_n.{c}").alias(c) for c in place_cols]
+    return rows.join(found, "_k", "left").select(*[F.col(c) for c in points.columns], "place_id", "distance_km", *named)

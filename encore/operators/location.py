@@ -47,9 +47,9 @@ def mode_location(user_locations: DataFrame, day: str, window_days: int = WINDOW
     return best.where(~_blank("X") & ~_blank("Y")).select("MID", "X", "Y", F.col("CNT").cast("int").alias("CNT"))
 
 
-def locate(modes: DataFrame, gazetteer: DataFrame, step: float | None = None) -> DataFrame:
+def locate(modes: DataFrame, gazetteer: DataFrame) -> DataFrame:
     """Attach the nearest place; unmatched place fields become ''."""
-    placed = nearest_place(modes, gazetteer, "MID", "X", "Y", GAZETTEER_PLACE_COLS, step=step)
+    placed = nearest_place(modes, gazetteer, "MID", "X", "Y", GAZETTEER_PLACE_COLS)
     return placed.select("MID", "X", "Y", "CNT", *[null_to_empty(c).alias(c) for c in GAZETTEER_PLACE_COLS])
 
 
@@ -64,9 +64,9 @@ def roll_forward(today: DataFrame, yesterday: DataFrame | None, day: str) -> Dat
 
 def machine_location(user_locations: DataFrame, gazetteer: DataFrame, day: str,
                      yesterday: DataFrame | None = None, window_days: int = WINDOW_DAYS,
-                     drop_blank_first: bool = False, step: float | None = None) -> DataFrame:
+                     drop_blank_first: bool = False) -> DataFrame:
     """TW_MAC_LOC_D for ``day`` (22 columns + data_dt)."""
-    today = locate(mode_location(user_locations, day, window_days, drop_blank_first), gazetteer, step)
+    today = locate(mode_location(user_locations, day, window_days, drop_blank_first), gazetteer)
     return roll_forward(today, yesterday, day)
 
 
@@ -95,10 +95,10 @@ def mode_locations_for_days(user_locations: DataFrame, days: list[str], window_d
     )
 
 
-def locate_days(modes: DataFrame, gazetteer: DataFrame, step: float | None = None) -> DataFrame:
+def locate_days(modes: DataFrame, gazetteer: DataFrame) -> DataFrame:
     """``locate`` for (day, machine) points in one nearest-place pass."""
     keyed = modes.withColumn("_pk", F.concat_ws("|", "day", "MID"))
-    placed = nearest_place(keyed, gazetteer, "_pk", "X", "Y", GAZETTEER_PLACE_COLS, step=step)
+    placed = nearest_place(keyed, gazetteer, "_pk", "X", "Y", GAZETTEER_PLACE_COLS)
     return placed.select(
         "day", "MID", "X", "Y", "CNT", *[null_to_empty(c).alias(c) for c in GAZETTEER_PLACE_COLS]
     )

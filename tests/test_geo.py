@@ -15,10 +15,10 @@ def _hav(a, b, c, d):
     return 2 * EARTH_RADIUS_KM * math.asin(min(1.0, math.sqrt(h)))
 
 
-def _check(spark, points, places, step):
+def _check(spark, points, places):
     pts = spark.createDataFrame(points, "k string, lat double, lng double")
     plc = spark.createDataFrame(places, "place_id long, lat double, lng double, ADDR string")
-    got = {r.k: r.place_id for r in nearest_place(pts, plc, "k", "lat", "lng", COLS, step=step).collect()}
+    got = {r.k: r.place_id for r in nearest_place(pts, plc, "k", "lat", "lng", COLS).collect()}
     assert set(nearest_place(pts, plc, "k", "lat", "lng", COLS).columns) >= {"k", "lat", "lng", "place_id"}
     for k, la, ln in points:
         if la is None or ln is None:
@@ -34,13 +34,13 @@ def test_dense_and_sparse(spark):
     places = [(i, rng.uniform(20, 45), rng.uniform(75, 130), f"p{i}") for i in range(60)]
     points = [(f"m{i}", rng.uniform(18, 47), rng.uniform(70, 135)) for i in range(80)]
     points.append(("none", None, None))
-    _check(spark, points, places, step=0.5)
+    _check(spark, points, places)
 
 
 def test_far_points_and_high_latitude(spark):
     places = [(1, 10.0, 10.0, "a"), (2, 10.0, 10.9, "b"), (3, 80.0, 0.0, "c")]
     points = [("x", 10.0, 10.44), ("y", 10.0, 10.46), ("z", -60.0, 170.0), ("n", 85.0, 170.0)]
-    _check(spark, points, places, step=0.25)
+    _check(spark, points, places)
 
 
 from hypothesis import given, settings  # noqa: E402
@@ -70,4 +70,43 @@ def test_global_random_points(spark, places, points):
 def test_across_the_antimeridian(spark):
     places = [(1, 10.0, -179.9, "east of the line"), (2, 10.0, 178.0, "west")]
     points = [("x", 10.0, 179.9), ("y", 10.0, -179.5), ("z", 10.0, 178.9)]
-    _check(spark, points, places, step=0.25)
+    _check(spark, points, places)
+
+
+def test_every_point_comes_back(spark):
+    """Malformed, far and repeated points; places on one spot and at the edges."""
+    points = [("a", "abc", "1"), ("b", "", ""), ("c", "NaN", "3"), ("d", "91", "0"), ("e", "0", "-180.5"), ("f", None, "1"),
+              ("g", "0", "0"), ("g", "0", "0"), ("h", "90", "180"), ("i", "-90", "-180"), ("j", "1e1", " 10 ")]
+    pts = spark.createDataFrame(points, "k string, lat string, lng string")
+    places = [(5, 10.0, 10.0, "x"), (4, 10.0, 10.0, "y"), (6, 90.0, 0.0, "pole"), (7, -90.0, 180.0, "south"), (8, None, 1.0, "none")]
+    plc = spark.createDataFrame(places, "place_id long, lat double, lng double, ADDR string")
+    got = sorted((r.k, r.place_id, r.ADDR) for r in nearest_place(pts, plc, "k", "lat", "lng", COLS).collect())
+    none = [(k, None, None) for k in "abcdef"]
+    assert got == [*none, ("g", 4, "y"), ("g", 4, "y"), ("h", 6, "pole"), ("i", 7, "south"), ("j", 4, "y")]
+    empty = nearest_place(pts, plc.limit(0), "k", "lat", "lng", COLS)
+    assert empty.count() == len(points) and empty.where("place_id is not null").count() == 0
+
+
+def test_far_points_open_few_cells(spark, monkeypatch):
+    """Points at one far spot: the cells left per point stay a handful at every level."""
+    from encore.operators import geo
+
+    rng = random.Random(3)
+    places = [(i, rng.uniform(20, 45), rng.uniform(75, 130), "p") for i in range(2000)]
+    points = [(f"m{i}", 0.0, 0.0) for i in range(50)] + [(f"n{i}", -60.0, -80.0) for i in range(50)]
+    sizes = []
+    keep = geo.materialize
+
+    def spy(df):
+        out = keep(df)
+        if "_ci" in out.columns:
+            sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(geo, "materialize", spy)
+    pts = spark.createDataFrame(points, "k string, lat double, lng double")
+    plc = spark.createDataFrame(places, "place_id long, lat double, lng double, ADDR string")
+    got = {r.k: r.place_id for r in geo.nearest_place(pts, plc, "k", "lat", "lng", COLS).collect()}
+    for k, la, ln in (points[0], points[50]):
+        assert got[k] == min(places, key=lambda p: (_hav(la, ln, p[1], p[2]), p[0]))[0]
+    assert len(sizes) >= 2 and max(sizes) <= 20 * len(points)
