@@ -26,8 +26,12 @@ def labelled_sample(ws: Workspace, docs: DataFrame, labels: DataFrame, label_col
     left out; half is 0 or 1 by the id."""
     one = labels.where(learn & F.col(label_col).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy(
         F.col("doc_id").cast("long").alias("doc_id")).agg(F.min(label_col).alias("label"), F.max(label_col).alias("top"))
-    order = F.xxhash64("doc_id", F.lit("sample"))
-    chosen = ws.put(one.where("label = top").orderBy(order, "doc_id").limit(limit).select(
+    one = ws.put(one.where("label = top").withColumn("order", F.xxhash64("doc_id", F.lit("sample"))))
+    # a share by hash that holds about twice the sample, so that few rows of
+    # a large table are sorted for it
+    share = min(1.0, 2 * limit / max(1, one.count()))
+    few = one.where(F.pmod("order", F.lit(1 << 30)) < int(share * (1 << 30)) + 1)
+    chosen = ws.put(few.orderBy(F.pmod("order", F.lit(1 << 30)), "doc_id").limit(limit).select(
         "doc_id", F.col("label").cast("int").alias("label"), F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)).cast("int").alias("half")))
     # at most ``limit`` rows of 16 bytes
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")

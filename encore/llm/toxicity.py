@@ -5,7 +5,8 @@ A text's features are the hashed byte n-grams (A-Z lower-cased, one space at
 each end) that occur in it.  On the labelled sample, r = log of the ratio of
 a feature's smoothed document shares in the two classes; a feature that
 occurs takes the value r, and a logistic regression is fitted over the
-``keep`` features with the largest |r| * sqrt(documents).
+``keep`` features whose documents are least like a draw from all (the largest
+deviations of the toxic count in standard deviations).
 
 The fit reads at most ``sample`` labelled documents; the counts per feature
 are summed in Spark, the regression sees a sparse matrix of the sample.
@@ -112,7 +113,7 @@ def _score_rows(model, id_col: str):
     return run
 
 
-def fit(rows: np.ndarray, cols: np.ndarray, y: np.ndarray, r: np.ndarray, ridge: float = 1e-4, rounds: int = 400,
+def fit(rows: np.ndarray, cols: np.ndarray, y: np.ndarray, r: np.ndarray, ridge: float = 2e-4, rounds: int = 400,
         rate: float = 0.05) -> tuple[np.ndarray, float]:
     """Logistic regression over the scaled sparse features (full-batch Adam);
     returns the weight per feature (times r) and the bias."""
@@ -129,7 +130,7 @@ def fit(rows: np.ndarray, cols: np.ndarray, y: np.ndarray, r: np.ndarray, ridge:
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", learn: Column | None = None,
-                    sample: int = 16_000, keep: int = 8_192, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                    sample: int = 16_000, keep: int = 2_048, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Returns (id_col, score) for every row of ``docs``."""
     spark = docs.sparkSession
     ws = Workspace(spark, "toxicity")
@@ -144,7 +145,10 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, label_col: str = "toxic"
     counts = known.select("label", "text").mapInArrow(_class_counts, "cell int, clean long, toxic long").groupBy("cell").agg(
         F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).where("clean + toxic >= 3")
     ratio = F.log((F.col("toxic") + 1) / (size[1] + 2)) - F.log((F.col("clean") + 1) / (size[0] + 2))
-    best = counts.select("cell", ratio.alias("r"), (F.abs(ratio) * F.sqrt(F.col("clean") + F.col("toxic"))).alias("rank"))
+    every, share = size[0] + size[1], size[1] / (size[0] + size[1])
+    n = F.col("clean") + F.col("toxic")
+    spread = F.greatest(n * share * (1 - share) * (1 - n / (every + 1)), F.lit(1e-9))
+    best = counts.select("cell", ratio.alias("r"), (F.abs(F.col("toxic") - n * share) / F.sqrt(spread)).alias("rank"))
     best = best.orderBy(F.desc("rank"), "cell").limit(keep).collect()  # at most ``keep`` rows
     cells = np.array([b["cell"] for b in best], dtype=np.int64)
     r = np.array([b["r"] for b in best], dtype=np.float64)

@@ -44,6 +44,8 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 
 LEVEL = 3
 DICT_SIZE = 32768
+#: Pages that the dictionary is trained on, about (8 KB of each).
+DICT_PAGES = 200
 #: Payload bytes of one archive, about (a larger record has one of its own).
 ARCHIVE_BYTES = 4 << 20
 
@@ -257,15 +259,18 @@ def write_pages(pages: DataFrame, folder: str, min_revisit: int = 1000) -> int:
     html = F.coalesce("html", F.lit(""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), html.alias("text"))
     keys = ws.put(rows.select("page_id", F.sha1(F.col("text").cast("binary")).alias("digest"), F.octet_length("text").cast("long").alias("size")))
-    total = keys.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    total, filled = keys.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count_if(F.col("size") > 0)).first()
     archives = max(1, -(-int(total) // ARCHIVE_BYTES))
     # payloads that occur more than once: who answers for them
     keepers = ws.put(keys.where(F.col("size") >= min_revisit).groupBy("digest", "size").agg(
         F.max("page_id").alias("keeper"), F.count("*").alias("rows"),
         F.count("page_id").alias("with_id")).where("rows > 1"))
 
-    sample = rows.where("length(text) > 0").orderBy(F.xxhash64("page_id", "text")).limit(200)
-    dictionary = train_dictionary([bytes(r[0]) for r in sample.select(F.substring(F.col("text").cast("binary"), 1, 8192)).collect()])
+    # about DICT_PAGES pages chosen by hash, wherever they lie
+    share = min(1.0, DICT_PAGES / max(1, filled))
+    sample = rows.where(F.length("text") > 0).where(F.pmod(F.xxhash64("page_id", "url"), F.lit(1 << 30)) < int(share * (1 << 30)) + 1)
+    heads = sample.select(F.substring(F.col("text").cast("binary"), 1, 8192).alias("head")).limit(2 * DICT_PAGES)
+    dictionary = train_dictionary([bytes(r["head"]) for r in heads.collect()])
     shared = spark.sparkContext.broadcast(dictionary)  # DICT_SIZE bytes
 
     joined = rows.withColumn("digest", F.sha1(F.col("text").cast("binary"))).withColumn("size", F.octet_length("text").cast("long")).join(
