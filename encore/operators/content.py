@@ -18,6 +18,7 @@ from ..functions import (
 )
 from ..functions.dates import days_before
 from ..sources.schemas import PARTITION_COL, SONG_INT_COLS
+from ..session import materialize
 from ..sources.tables import between_days, on_day
 from .ranking import global_row_number, rank_within
 
@@ -317,32 +318,30 @@ def song_horizon_series(play_log: DataFrame, first_day: str, last_day: str,
       song gives, for every day, the number of keys active in the window --
       exact, O(1) rows per fact, no per-day explosion and no sets.
 
-    Every window is per song (<= number of days rows) or per (song, key), so
-    a hot song is spread over reducers by key before any per-song step.
+    The log is read once: plays are counted per (song, day) and keys per
+    (song, kind, key, day), with a map-side step, and that table is written;
+    every branch reads it.  So a user, or "no user", who holds half of a hot
+    song's plays is one row per day before any shuffle, and every window is
+    per song or per (song, key) with at most one row per day.
     """
     lo = days_before(first_day, long_days)
     rows = between_days(play_log, lo, last_day).select(
         "SONGID", "UID", "ORDER_ID", _day_number(F.col(PARTITION_COL)).alias("dn")
     )
-    facts = rows.select(
-        "SONGID",
-        "dn",
-        F.explode(
-            F.array(
-                F.struct(F.lit("u").alias("kind"), F.col("UID").alias("key")),
-                F.struct(F.lit("o").alias("kind"), F.col("ORDER_ID").alias("key")),
-            )
-        ).alias("f"),
-    ).select("SONGID", "dn", F.col("f.kind").alias("kind"), F.col("f.key").alias("key"))
-    # one shuffle on (song, kind, key) serves both the per-day aggregation and
-    # the next-active-day window below (a hot song is spread by key)
-    per_key = (
-        facts.repartition("SONGID", "kind", "key")
-        .groupBy("SONGID", "kind", "key", "dn")
+    def fact(kind: str, key):
+        return F.struct(F.lit(kind).alias("kind"), key.alias("key"))
+
+    # one scan: every play is a play fact, a user fact and an order fact (the
+    # last two only with a key); counting them per day is combined map-side
+    facts = F.filter(
+        F.array(fact("p", F.lit("")), fact("u", F.col("UID")), fact("o", F.col("ORDER_ID"))), lambda f: f["key"].isNotNull()
+    )
+    per_key = materialize(
+        rows.select("SONGID", "dn", F.explode(facts).alias("f"))
+        .groupBy("SONGID", F.col("f.kind").alias("kind"), F.col("f.key").alias("key"), "dn")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    # every play has exactly one user fact (NULL user included): plays per song-day
-    daily = per_key.where(F.col("kind") == "u").groupBy("SONGID", "dn").agg(F.sum("n").alias("SING_CNT"))
+    daily = per_key.where(F.col("kind") == "p").select("SONGID", "dn", F.col("n").alias("SING_CNT"))
     by_day = Window.partitionBy("SONGID").orderBy("dn")
     w_short, w_long = by_day.rangeBetween(-short_days, 0), by_day.rangeBetween(-long_days, 0)
     plays = daily.select(
@@ -355,7 +354,7 @@ def song_horizon_series(play_log: DataFrame, first_day: str, last_day: str,
         F.max("SING_CNT").over(w_long).cast("bigint").alias("RCT_30_TOP_SING_CNT"),
     )
     nxt = F.lead("dn").over(Window.partitionBy("SONGID", "kind", "key").orderBy("dn"))
-    keyed = per_key.where(F.col("key").isNotNull()).select("SONGID", "kind", "dn", nxt.alias("_next"))
+    keyed = per_key.where(F.col("kind") != "p").select("SONGID", "kind", "dn", nxt.alias("_next"))
 
     def _end(h: int):
         stop = F.col("dn") + F.lit(h + 1)

@@ -43,10 +43,15 @@ def mode_per_key(df: DataFrame, key, count_col: str, tie_cols: list[str]) -> Dat
     return df.groupBy(*keys).agg(best.alias("_best")).select(*keys, "_best.*")
 
 
+#: Rows that one task of a global ranking sorts.
+RANK_ROWS = 250_000
+
+
 def global_row_number(df: DataFrame, group_cols: list[str], order_cols: list[Column], name: str,
                       num_partitions: int | None = None) -> DataFrame:
     """``row_number() over (partition by group_cols order by order_cols)`` for
     a few very large groups (e.g. one ranking per day over the whole catalog).
+    The number of tasks follows the number of rows, not the shuffle setting.
 
     A plain window sorts each group in one task.  Here the rows are
     range-partitioned on (group, order) over ``num_partitions`` tasks and
@@ -61,12 +66,12 @@ def global_row_number(df: DataFrame, group_cols: list[str], order_cols: list[Col
     from ..session import materialize
     from .small import BROADCAST_MAX_ROWS, has_at_most, maybe_broadcast
 
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = materialize(df)  # counted, then ranked
+    n = num_partitions or max(1, -(-rows.count() // RANK_ROWS))
     keys = [F.col(g) for g in group_cols]
     # materialised once: the offsets and the final rows read the same placement
     placed = materialize(
-        df.repartitionByRange(n, *keys, *order_cols)
+        rows.repartitionByRange(n, *keys, *order_cols)
         .sortWithinPartitions(*keys, *order_cols)
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_pos", F.monotonically_increasing_id())

@@ -161,10 +161,12 @@ def merchant_share(stat: DataFrame, day: str, rate_scale: float = 1.0) -> DataFr
 
     Rates are multiplied as stored (``rate_scale=1``); pass 100 to treat them
     as percentages."""
-    rev = F.col("TOT_REV")
+    rev = F.col("TOT_REV").cast("decimal(18,0)")
 
     def share(rate: str) -> Column:
-        return F.sum(rev * F.coalesce(F.col(rate), F.lit(0.0)) / F.lit(rate_scale)).cast(MONEY)
+        # decimals add up to the same digits in any order of the rows
+        part = rev * F.coalesce(F.col(rate), F.lit(0.0)).cast("decimal(12,6)")
+        return (F.sum(part) / F.lit(rate_scale).cast("decimal(12,6)")).cast(MONEY)
 
     return on_day(stat, day).groupBy(F.col("AGE_ID").alias("ADMIN_ID"), "PAY_TYPE").agg(
         F.sum("REV_ORDR_CNT").alias("REV_ORDR_CNT"),

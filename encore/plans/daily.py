@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.dates import days_before
 from ..operators import content, location, machine, revenue, users
+from ..session import release_materialized
 from ..sinks import overwrite_table, stamp_day, write_mart, write_partition
 from ..sources import schemas
 from ..sources.tables import _exists, on_day
@@ -94,12 +95,6 @@ def run_ingest(spark: SparkSession, wh: Warehouse, log_path: str) -> DataFrame:
     return client_log.unparsable_play_requests(landed)
 
 
-def _release(spark: SparkSession) -> None:
-    """Drop in-memory intermediates (ranking placement, nearest-place levels)
-    once a job's tables are written: later jobs read the written tables."""
-    spark.catalog.clearCache()
-
-
 def run_content(spark: SparkSession, wh: Warehouse, raw: RawTables, day: str,
                 approx_distinct: bool = False) -> None:
     """J2-J5 for ``day``.  Exact by default (31 days of the play log are
@@ -121,7 +116,7 @@ def run_content(spark: SparkSession, wh: Warehouse, raw: RawTables, day: str,
     write_partition(content.singer_rsi(features), wh.path("singer_rsi"))
     for key, mart in (("song_rsi", "tm_song_rsi"), ("singer_rsi", "tm_singer_rsi")):
         wh.mart(stamp_day(content.top_ranked(_read(spark, wh, key, day)), day), mart)
-    _release(spark)
+    release_materialized()
 
 
 def run_machines(spark: SparkSession, wh: Warehouse, raw: RawTables, day: str) -> None:
@@ -134,7 +129,7 @@ def run_machines(spark: SparkSession, wh: Warehouse, raw: RawTables, day: str) -
     write_partition(
         location.machine_location(raw.user_locations, raw.gazetteer, day, yesterday=yesterday), wh.path("mac_loc")
     )
-    _release(spark)
+    release_materialized()
 
 
 def _yesterday_locations(spark: SparkSession, wh: Warehouse, day: str) -> DataFrame | None:
@@ -195,7 +190,7 @@ def backfill(spark: SparkSession, wh: Warehouse, raw: RawTables, first_day: str,
     features = between_days(spark.read.parquet(wh.path("song_features")), first_day, last_day)
     write_partition(content.song_rsi(features), wh.path("song_rsi"))
     write_partition(content.singer_rsi(features), wh.path("singer_rsi"))
-    _release(spark)
+    release_materialized()
     write_partition(users.consumption_brief(between_days(raw.consumption, first_day, last_day)), wh.path("cnsm"))
     everyone = users.all_users(raw.users_wechat, raw.users_alipay, raw.users_qq, raw.users_app)
     write_partition(
@@ -224,23 +219,24 @@ def raw_from_driver(spark: SparkSession, sf_dir: str) -> RawTables:
     from ..sources import driver_tables as dt
 
     t = {n: dt.load(spark, sf_dir, n) for n in ("events", "part", "supplier", "nation", "region", "orders", "customer")}
+    machines = dt.machine_count(spark, sf_dir)
     return RawTables(
-        play_log=dt.play_log(t["events"]),
+        play_log=dt.play_log(t["events"], machines),
         song_info=dt.song_catalog(t["part"]),
-        mac_a=dt.machines_a(t["supplier"]),
-        mac_loc_a=dt.machine_locations_a(t["supplier"]),
-        mac_b=dt.machines_b(t["supplier"]),
+        mac_a=dt.machines_a(dt.known_to_a(t["supplier"])),
+        mac_loc_a=dt.machine_locations_a(dt.known_location(t["supplier"])),
+        mac_b=dt.machines_b(dt.known_to_b(t["supplier"])),
         provinces=dt.provinces(t["region"]),
         cities=dt.cities(t["nation"]),
         areas=dt.areas(t["nation"]),
-        store_map=dt.store_map(t["supplier"]),
+        store_map=dt.store_map(dt.known_store(t["supplier"])),
         stores=dt.stores(t["nation"]),
-        user_locations=dt.user_locations(t["events"]),
-        gazetteer=dt.gazetteer(t["nation"], t["region"]),
-        consumption=dt.consumption(t["orders"]),
-        users_wechat=dt.users_wechat(t["customer"]),
-        users_alipay=dt.users_alipay(t["customer"]),
-        users_qq=dt.users_qq(t["customer"]),
-        users_app=dt.users_app(t["customer"]),
+        user_locations=dt.user_locations(t["events"], machines),
+        gazetteer=dt.gazetteer(t["customer"], t["nation"], t["region"]),
+        consumption=dt.consumption(t["orders"], machines),
+        users_wechat=dt.users_wechat(t["customer"], machines),
+        users_alipay=dt.users_alipay(t["customer"], machines),
+        users_qq=dt.users_qq(t["customer"], machines),
+        users_app=dt.users_app(t["customer"], machines),
         logins=dt.logins(t["events"]),
     )

@@ -20,7 +20,7 @@ from ..functions.text import city_from_address, province_from_address
 from ..operators import content, location, machine, revenue, users
 from ..sources import client_log
 from ..sources import driver_tables as dt
-from ..sources.tables import on_day
+from ..sources.tables import normalize_nulls, on_day
 from ..streaming import windows as sw
 
 BUSINESS_DAY = "20240130"
@@ -34,12 +34,28 @@ def _events(spark, sf):
     return dt.load(spark, sf, "events")
 
 
+def _plays(spark, sf):
+    return dt.play_log(_events(spark, sf), dt.machine_count(spark, sf))
+
+
+def _lines(spark, sf):
+    return dt.client_log_lines(_events(spark, sf), dt.machine_count(spark, sf))
+
+
+def _reports(spark, sf):
+    return dt.user_locations(_events(spark, sf), dt.machine_count(spark, sf))
+
+
+def _places(spark, sf):
+    return dt.gazetteer(*_tables(spark, sf, "customer", "nation", "region"))
+
+
 def _catalog(spark, sf):
     return content.clean_catalog(dt.song_catalog(dt.load(spark, sf, "part")))
 
 
 def _features(spark, sf):
-    return content.song_features(dt.play_log(_events(spark, sf)), _catalog(spark, sf), BUSINESS_DAY)
+    return content.song_features(_plays(spark, sf), _catalog(spark, sf), BUSINESS_DAY)
 
 
 def _rounded(df: DataFrame, col: str = "RSI") -> DataFrame:
@@ -68,13 +84,13 @@ def _neutral(df: DataFrame, nullable_ints: tuple[str, ...] = ()) -> DataFrame:
 
 def log_demux_counts(spark, sf):
     """Lines per (day, request type) after the six-part filter (STR1-2, FLT1, SNK5 grain)."""
-    reqs = client_log.split_requests(dt.client_log_lines(_events(spark, sf)))
+    reqs = client_log.split_requests(_lines(spark, sf))
     return reqs.groupBy("data_dt", "req_type").agg(F.count(F.lit(1)).alias("n_lines"))
 
 
 def log_split_filter(spark, sf):
     """Lines kept and dropped by the six-part rule, per day of the line's time stamp."""
-    lines = dt.client_log_lines(_events(spark, sf))
+    lines = _lines(spark, sf)
     parts = client_log.split_dropping_trailing(F.col("value"), client_log.SEPARATOR)
     kept = client_log.has_parts(parts, client_log.LINE_PARTS)
     return lines.groupBy(F.substring("value", 1, 8).alias("data_dt")).agg(
@@ -84,7 +100,7 @@ def log_split_filter(spark, sf):
 
 def play_decode(spark, sf):
     """Decoded song-play requests (FLT6, JS1)."""
-    reqs = client_log.split_requests(dt.client_log_lines(_events(spark, sf)))
+    reqs = client_log.split_requests(_lines(spark, sf))
     return client_log.decode_play_requests(reqs)
 
 
@@ -95,7 +111,7 @@ def catalog_clean(spark, sf):
 
 
 def song_horizons(spark, sf):
-    return content.song_horizon_counts(dt.play_log(_events(spark, sf)), BUSINESS_DAY)
+    return content.song_horizon_counts(_plays(spark, sf), BUSINESS_DAY)
 
 
 def song_features(spark, sf):
@@ -103,7 +119,7 @@ def song_features(spark, sf):
 
 
 def _features_all_days(spark, sf):
-    return content.song_features_range(dt.play_log(_events(spark, sf)), _catalog(spark, sf), FIRST_DAY, BUSINESS_DAY)
+    return content.song_features_range(_plays(spark, sf), _catalog(spark, sf), FIRST_DAY, BUSINESS_DAY)
 
 
 def song_features_all_days(spark, sf):
@@ -118,12 +134,12 @@ def song_rsi_all_days(spark, sf):
 
 def song_day(spark, sf):
     """Per-day song counts for every day (AG1, AG3)."""
-    return content.song_day_counts(dt.play_log(_events(spark, sf)))
+    return content.song_day_counts(_plays(spark, sf))
 
 
 def song_tops(spark, sf):
     """Best single-day counts over the 7 / 30-day horizons from the daily table (AG8, AG9)."""
-    return content.tops_from_history(content.song_day_counts(dt.play_log(_events(spark, sf))), BUSINESS_DAY)
+    return content.tops_from_history(content.song_day_counts(_plays(spark, sf)), BUSINESS_DAY)
 
 
 def song_rsi(spark, sf):
@@ -150,12 +166,13 @@ def _tables(spark, sf, *names):
 
 
 def _brief(spark, sf):
-    return users.consumption_brief(dt.consumption(dt.load(spark, sf, "orders")))
+    return users.consumption_brief(dt.consumption(dt.load(spark, sf, "orders"), dt.machine_count(spark, sf)))
 
 
 def _all_users(spark, sf):
     cust = dt.load(spark, sf, "customer")
-    return users.all_users(dt.users_wechat(cust), dt.users_alipay(cust), dt.users_qq(cust), dt.users_app(cust))
+    n = dt.machine_count(spark, sf)
+    return users.all_users(*[of(cust, n) for of in (dt.users_wechat, dt.users_alipay, dt.users_qq, dt.users_app)])
 
 
 def _profiles(spark, sf):
@@ -165,8 +182,9 @@ def _profiles(spark, sf):
 def _machine_profile(spark, sf):
     supplier, nation, region = _tables(spark, sf, "supplier", "nation", "region")
     return machine.machine_profile(
-        dt.machines_a(supplier), dt.machine_locations_a(supplier), dt.machines_b(supplier),
-        dt.provinces(region), dt.cities(nation), dt.areas(nation), dt.store_map(supplier), dt.stores(nation),
+        dt.machines_a(dt.known_to_a(supplier)), dt.machine_locations_a(dt.known_location(supplier)),
+        dt.machines_b(dt.known_to_b(supplier)),
+        dt.provinces(region), dt.cities(nation), dt.areas(nation), dt.store_map(dt.known_store(supplier)), dt.stores(nation),
         BUSINESS_DAY,
     )
 
@@ -174,10 +192,7 @@ def _machine_profile(spark, sf):
 def _locations(spark, sf):
     """Today's locations rolled forward over yesterday's (both computed here,
     from one scan and one nearest-place pass)."""
-    nation, region = _tables(spark, sf, "nation", "region")
-    return location.machine_location_with_yesterday(
-        dt.user_locations(_events(spark, sf)), dt.gazetteer(nation, region), BUSINESS_DAY
-    )
+    return location.machine_location_with_yesterday(_reports(spark, sf), _places(spark, sf), BUSINESS_DAY)
 
 
 def _machine_stat(spark, sf):
@@ -228,7 +243,7 @@ def new_users_all_days(spark, sf):
 
 def machine_ids(spark, sf):
     supplier = dt.load(spark, sf, "supplier")
-    return machine.machine_ids(dt.machines_a(supplier), dt.machines_b(supplier))
+    return machine.machine_ids(dt.machines_a(dt.known_to_a(supplier)), dt.machines_b(dt.known_to_b(supplier)))
 
 
 def machine_locations_clean(spark, sf):
@@ -258,13 +273,11 @@ def machine_profile(spark, sf):
 
 
 def machine_mode_location(spark, sf):
-    return location.mode_location(dt.user_locations(_events(spark, sf)), BUSINESS_DAY)
+    return location.mode_location(_reports(spark, sf), BUSINESS_DAY)
 
 
 def place_lookup(spark, sf):
-    nation, region = _tables(spark, sf, "nation", "region")
-    modes = location.mode_location(dt.user_locations(_events(spark, sf)), BUSINESS_DAY)
-    return location.locate(modes, dt.gazetteer(nation, region))
+    return location.locate(location.mode_location(_reports(spark, sf), BUSINESS_DAY), _places(spark, sf))
 
 
 def location_rollforward(spark, sf):
@@ -285,7 +298,7 @@ def machine_stat_refunds(spark, sf):
 
 def machine_mode_location_nonblank(spark, sf):
     """Modal coordinate chosen among non-blank reports only."""
-    return location.mode_location(dt.user_locations(_events(spark, sf)), BUSINESS_DAY, drop_blank_first=True)
+    return location.mode_location(_reports(spark, sf), BUSINESS_DAY, drop_blank_first=True)
 
 
 def region_stat(spark, sf):
@@ -300,11 +313,11 @@ def merchant_share(spark, sf):
 
 
 def _records(spark, sf):
-    return dt.play_records(_events(spark, sf))
+    return dt.play_records(_events(spark, sf), dt.machine_count(spark, sf))
 
 
 def pv_sliding(spark, sf):
-    return sw.pv_counts(_records(spark, sf))
+    return sw.pv_counts(_records(spark, sf), panes=True)
 
 
 def uv_batch5s(spark, sf):
@@ -312,11 +325,42 @@ def uv_batch5s(spark, sf):
 
 
 def uv_exact(spark, sf):
-    return sw.uv_exact_counts(_records(spark, sf))
+    return sw.uv_exact_counts(_records(spark, sf), panes=True)
+
+
+def pv_uv(spark, sf):
+    """The dashboards' one chain: page views and visitors together (SM3-4)."""
+    return sw.pv_uv_counts(_records(spark, sf), panes=True)
 
 
 def hot_songs(spark, sf):
-    return sw.top_songs(sw.song_counts(_records(spark, sf)))
+    return sw.top_songs(sw.song_counts(_records(spark, sf), panes=True))
+
+
+def record_parse(spark, sf):
+    """Messages of the bus parsed to records, per minute: kept and malformed (JS5)."""
+    raw = dt.record_messages(_events(spark, sf), dt.machine_count(spark, sf))
+
+    def minute(df):
+        return df.select(F.date_trunc("minute", "ts").cast("timestamp_ntz").alias("minute"), "*")
+
+    kept = minute(sw.parse_records(raw)).groupBy("minute").agg(
+        F.count(F.lit(1)).alias("kept"), F.count("uid").alias("with_user"), F.sum(F.length("songname")).alias("name_chars"))
+    lost = minute(sw.malformed_records(raw)).groupBy("minute").agg(F.count(F.lit(1)).alias("malformed"))
+    return kept.join(lost, "minute", "full").select(
+        "minute", *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("kept", "with_user", "name_chars", "malformed")])
+
+
+def play_tab_text(spark, sf):
+    """Decoded plays as tab-joined text (STR3)."""
+    return client_log.to_tab_text(play_decode(spark, sf))
+
+
+def null_text_clean(spark, sf):
+    """Raw rows that write a missing value as '' or the text null, cleaned (the
+    ingest boundary of the raw layers)."""
+    raw = dt.user_rows_with_null_text(dt.load(spark, sf, "customer"), dt.machine_count(spark, sf))
+    return normalize_nulls(raw)
 
 
 QUERIES: dict[str, Query] = {
@@ -359,5 +403,9 @@ QUERIES: dict[str, Query] = {
     "pv_sliding": pv_sliding,
     "uv_batch5s": uv_batch5s,
     "uv_exact": uv_exact,
+    "pv_uv": pv_uv,
     "hot_songs": hot_songs,
+    "record_parse": record_parse,
+    "play_tab_text": play_tab_text,
+    "null_text_clean": null_text_clean,
 }

@@ -71,16 +71,28 @@ def sub_dir(base: str, *parts: str) -> str:
     return os.path.join(base, *parts)
 
 
+_held: list = []
+
+
 def materialize(df):
     """Cut lineage: reliable checkpoint into ``spark.checkpoint.dir`` when the
-    session names one (survives executor loss), else an in-memory cache
-    (recomputed from lineage if a block is lost).  Never a local checkpoint."""
+    session names one (survives executor loss; its files go with the frame),
+    else an in-memory cache (recomputed from lineage if a block is lost), held
+    until ``release_materialized``.  Never a local checkpoint."""
     spark = df.sparkSession
     path = spark.conf.get("spark.checkpoint.dir", None)
     if path:
         spark.sparkContext.setCheckpointDir(path)
         return df.checkpoint(eager=True)
-    return df.cache()
+    cached = df.cache()
+    _held.append(cached)
+    return cached
+
+
+def release_materialized() -> None:
+    """Drops what ``materialize`` cached, and nothing else of the session."""
+    while _held:
+        _held.pop().unpersist()
 
 
 MB = 1 << 20

@@ -69,21 +69,15 @@ def unparsable_play_requests(requests: DataFrame) -> DataFrame:
     )
 
 
-def other_requests(requests: DataFrame) -> DataFrame:
-    """Every non-play request, payload kept as raw JSON text."""
-    return requests.where(F.col("req_type") != F.lit(PLAY_REQUEST))
-
-
-def write_demultiplexed(requests: DataFrame, path: str, files_per_type: int = 8) -> None:
+def write_demultiplexed(requests: DataFrame, path: str) -> None:
     """One directory per (day, request type); the type is not repeated in the rows.
 
-    Rows are spread by (day, type, hash of the payload modulo
-    ``files_per_type``): a request type holding most of the log is written by
-    ``files_per_type`` tasks instead of one, and no directory gets more than
-    that many files."""
-    salt = F.pmod(F.xxhash64("payload"), F.lit(files_per_type))
+    The rows are rebalanced by (day, type): at run time a type that holds most
+    of the log is split by the bytes it has
+    (``spark.sql.adaptive.advisoryPartitionSizeInBytes``), and small ones
+    share a task, so tasks and files follow the volume."""
     (
-        requests.repartition(PARTITION_COL, "req_type", salt)
+        requests.hint("rebalance", PARTITION_COL, "req_type")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(PARTITION_COL, "req_type")

@@ -2,10 +2,10 @@
 
 The test environment provides TPC-H-like tables plus an ``events`` stream,
 no karaoke data.  Each function below turns one driver table into one raw
-table of the domain with row-level rules -- projections, plus a segment or
-account-balance rule where a source system only knows part of the rows, and
-for the gazetteer a join of the two fixed geography tables -- so every job
-downstream reads the whole driver data and its work grows with it.  The
+table of the domain with row-level rules -- projections, a segment rule that
+deals all customers over the channels, and joins to the two fixed geography
+tables -- so every job downstream reads the whole driver data and its work
+grows with it: machines with the suppliers, places with the customers.  The
 expected results of the same derivations are written independently in SQL
 for the DuckDB oracles.
 
@@ -19,7 +19,7 @@ machine systems A, B   ``supplier``; province/city/area/store lookups from ``reg
 consumption orders     ``orders`` (days mapped onto the January 2024 business month)
 user channels          ``customer`` split by market segment
 logins, user GPS       ``events``
-gazetteer              ``nation`` x ``region``
+gazetteer              ``customer`` with ``nation`` and ``region``
 =====================  ==========================================
 """
 
@@ -32,7 +32,8 @@ from ..functions.dates import day_of
 from .schemas import PARTITION_COL, SONG_INT_COLS
 from .tables import ensure_parallelism
 
-MACHINE_MODULUS = 100
+#: Machines where a caller does not count the suppliers.
+MACHINES = 100
 SONG_NAME_PREFIX = "song-"
 
 DRIVER_TABLES = [
@@ -46,6 +47,11 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ensure_parallelism(spark.read.parquet(path), path)
 
 
+def machine_count(spark: SparkSession, sf_dir: str) -> int:
+    """Machines of the business: one per supplier (a count of the file's footer)."""
+    return max(1, spark.read.parquet(f"{sf_dir}/supplier.parquet").count())
+
+
 def _s(c: Column) -> Column:
     return c.cast("string")
 
@@ -63,14 +69,14 @@ def _case(key: Column, values: list, default=None) -> Column:
 
 # --------------------------------------------------------------------------- play log
 
-def play_log(events: DataFrame) -> DataFrame:
+def play_log(events: DataFrame, machines: int = MACHINES) -> DataFrame:
     """TO_CLIENT_SONG_PLAY_OPERATE_REQ_D: one play operation per event."""
     song = F.get_json_object("props", "$.k")
     uid = _s(F.col("user_id"))
     day = day_of("ts")
     return events.select(
         song.alias("SONGID"),
-        _s(F.col("user_id") % MACHINE_MODULUS).alias("MID"),
+        _s(F.col("user_id") % machines).alias("MID"),
         F.col("event_type").alias("OPTRATE_TYPE"),
         uid.alias("UID"),
         F.when(F.col("event_type") == "purchase", F.lit("1")).otherwise(F.lit("0")).alias("CONSUME_TYPE"),
@@ -87,7 +93,7 @@ def play_log(events: DataFrame) -> DataFrame:
 LOGIN_REQUEST = "MINIK_CLIENT_ADVERTISEMENT_RECORD_REQ"
 
 
-def client_log_lines(events: DataFrame) -> DataFrame:
+def client_log_lines(events: DataFrame, machines: int = MACHINES) -> DataFrame:
     """Raw ``&``-separated log lines (``value``), one per event.
 
     ``signup`` events become a non-play request; ``error`` events are
@@ -100,7 +106,7 @@ def client_log_lines(events: DataFrame) -> DataFrame:
     payload = F.to_json(
         F.struct(
             song.alias("songid"),
-            (F.col("user_id") % MACHINE_MODULUS).alias("mid"),
+            (F.col("user_id") % machines).alias("mid"),
             F.col("event_type").alias("optrate_type"),
             F.col("user_id").alias("uid"),
             F.when(F.col("event_type") == "purchase", F.lit("1")).otherwise(F.lit("0")).alias("consume_type"),
@@ -118,7 +124,7 @@ def client_log_lines(events: DataFrame) -> DataFrame:
     line = F.concat_ws(
         "&",
         F.date_format("ts", "yyyyMMddHHmmss"),
-        _s(F.col("user_id") % MACHINE_MODULUS),
+        _s(F.col("user_id") % machines),
         req,
         body,
         F.lit("v2.1"),
@@ -127,29 +133,53 @@ def client_log_lines(events: DataFrame) -> DataFrame:
     return events.select(line.alias("value"))
 
 
-def play_records(events: DataFrame) -> DataFrame:
+#: First instant of the stream, and how much faster than the events it runs:
+#: the events' month becomes twelve minutes, so a window holds many records.
+STREAM_START = "2024-01-01 00:00:00"
+STREAM_SPEED = 3600
+
+
+def play_records(events: DataFrame, machines: int = MACHINES) -> DataFrame:
     """Stream records (both topics): event time (UTC ``TIMESTAMP``, as watermarks
-    require), machine, user, song id and name."""
+    require), machine, user (some without one), song id and name."""
     song = F.get_json_object("props", "$.k")
+    start = F.unix_micros(F.lit(STREAM_START).cast("timestamp"))
+    since = F.unix_micros(F.col("ts").cast("timestamp")) - start
+    user = F.col("user_id")
     return events.select(
-        F.col("ts").cast("timestamp").alias("ts"),
-        _s(F.col("user_id") % MACHINE_MODULUS).alias("mid"),
-        _s(F.col("user_id")).alias("uid"),
+        F.timestamp_micros(start + F.floor(since / F.lit(STREAM_SPEED)).cast("bigint")).alias("ts"),
+        _s(user % machines).alias("mid"),
+        F.when(F.col("event_id") % 23 != 0, _s(user)).alias("uid"),
         song.alias("songid"),
         F.concat(F.lit(SONG_NAME_PREFIX), song).alias("songname"),
     )
 
 
+def record_messages(events: DataFrame, machines: int = MACHINES) -> DataFrame:
+    """The records as a message bus delivers them: (timestamp, value), the value
+    JSON text; the messages of one song in 19 are cut off in the middle."""
+    body = F.to_json(F.struct("mid", "uid", "songid", "songname"))
+    return play_records(events, machines).select(
+        F.col("ts").alias("timestamp"),
+        F.when(F.pmod(F.col("songid").cast("bigint"), F.lit(19)) == 7, F.substring(body, 1, 12)).otherwise(body).alias("value"),
+    )
+
+
 # --------------------------------------------------------------------------- song catalog
 
+#: Singers of the stand-in catalog.
+SINGERS = 97
+
+
 def song_catalog(part: DataFrame) -> DataFrame:
     """TO_SONG_INFO_D with the raw JSON / text encodings the cleaner must handle."""
     k = F.col("p_partkey")
     size = F.col("p_size")
-    brand_id = F.substring_index("p_brand", "#", -1)
-    one_singer = F.concat(F.lit('[{"name":"'), F.col("p_brand"), F.lit('","id":"'), brand_id, F.lit('"}]'))
+    singer_id = _s(k % SINGERS)
+    singer = F.concat(F.lit("singer-"), singer_id)
+    one_singer = F.concat(F.lit('[{"name":"'), singer, F.lit('","id":"'), singer_id, F.lit('"}]'))
     two_singers = F.concat(
-        F.lit('[{"name":"'), F.col("p_brand"), F.lit('","id":"'), brand_id,
+        F.lit('[{"name":"'), singer, F.lit('","id":"'), singer_id,
         F.lit('"},{"name":"'), F.col("p_type"), F.lit('","id":"'), _s(size), F.lit('"}]'),
     )
     ints = [(((size + i) % (i + 2)).cast("int")).alias(c) for i, c in enumerate(SONG_INT_COLS)]
@@ -227,18 +257,31 @@ ADDRESSES = [
     "吉林省延边朝鲜族自治州",
 ]
 KNOWN_PROVINCE, KNOWN_CITY = "江西", "南昌"
-# Which machines each source system knows (overlapping, neither complete),
-# decided by the supplier's account balance.
-SYSTEM_A_MIN_BALANCE = 0
-LOCATED_MIN_BALANCE = 1000
-SYSTEM_B_MAX_BALANCE = 8000
-STORE_MAX_BALANCE = 9000
+
+
+# Which machines a source system knows (overlapping, neither complete), by id:
+# used where the systems are put together (J6), not by the parsers of a system.
+
+def known_to_a(supplier: DataFrame) -> DataFrame:
+    return supplier.where(F.col("s_suppkey") % 10 != 3)
+
+
+def known_to_b(supplier: DataFrame) -> DataFrame:
+    return supplier.where(F.col("s_suppkey") % 10 != 7)
+
+
+def known_location(supplier: DataFrame) -> DataFrame:
+    return supplier.where(F.col("s_suppkey") % 11 != 5)
+
+
+def known_store(supplier: DataFrame) -> DataFrame:
+    return supplier.where(F.col("s_suppkey") % 8 != 6)
 
 
 def machines_a(supplier: DataFrame) -> DataFrame:
-    """TO_YCAK_MAC_D: system A lists the machines of accounts in credit."""
+    """TO_YCAK_MAC_D: system A's list of machines."""
     s = F.col("s_suppkey")
-    return supplier.where(F.col("s_acctbal") >= SYSTEM_A_MIN_BALANCE).select(
+    return supplier.select(
         _s(s).alias("MID"),
         F.col("s_name").alias("SRL_ID"),
         F.concat(F.lit("HW"), _s(s)).alias("HARD_ID"),
@@ -257,7 +300,7 @@ def machine_locations_a(supplier: DataFrame) -> DataFrame:
     s = F.col("s_suppkey")
     addr = F.element_at(F.array(*[F.lit(a) for a in ADDRESSES]), F.col("s_nationkey") + 1)
     null = F.lit(None).cast("string")
-    return supplier.where(F.col("s_acctbal") >= LOCATED_MIN_BALANCE).select(
+    return supplier.select(
         _s(s).alias("MID"),
         _case(s % 5, [KNOWN_PROVINCE, KNOWN_PROVINCE], null).alias("PRVC"),
         _case(s % 5, [KNOWN_CITY, null, KNOWN_CITY], null).alias("CTY"),
@@ -269,10 +312,10 @@ def machine_locations_a(supplier: DataFrame) -> DataFrame:
 
 
 def machines_b(supplier: DataFrame) -> DataFrame:
-    """TO_YCBK_MAC_ADMIN_MAP_D: system B's contract view, for accounts under its cap."""
+    """TO_YCBK_MAC_ADMIN_MAP_D: system B's contract view."""
     s = F.col("s_suppkey")
     null = F.lit(None).cast("string")
-    return supplier.where(F.col("s_acctbal") <= SYSTEM_B_MAX_BALANCE).select(
+    return supplier.select(
         _s(s).alias("MID"),
         F.when(s % 6 == 1, F.lit(1)).otherwise(F.lit(2)).cast("int").alias("PRDCT_TYPE"),
         F.concat(F.lit("KTV-"), _s(s)).alias("MAC_NM"),
@@ -309,7 +352,7 @@ def areas(nation: DataFrame) -> DataFrame:
 
 def store_map(supplier: DataFrame) -> DataFrame:
     s = F.col("s_suppkey")
-    return supplier.where(F.col("s_acctbal") <= STORE_MAX_BALANCE).select(
+    return supplier.select(
         _s(s).alias("MID"), _s(F.col("s_nationkey")).alias("STORE_ID")
     )
 
@@ -333,7 +376,7 @@ def stores(nation: DataFrame) -> DataFrame:
 BUSINESS_YEAR, BUSINESS_MONTH = 2024, 1
 
 
-def consumption(orders: DataFrame) -> DataFrame:
+def consumption(orders: DataFrame, machines: int = MACHINES) -> DataFrame:
     """TO_YCAK_CNSM_D: orders as coin purchases (cents) on the business month."""
     o = F.col("o_orderkey")
     cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
@@ -345,7 +388,7 @@ def consumption(orders: DataFrame) -> DataFrame:
         _s(o).alias("ID"),
         F.concat(F.lit("T"), _s(o)).alias("TRD_ID"),
         F.col("o_custkey").alias("UID"),
-        _s(F.col("o_custkey") % MACHINE_MODULUS).alias("MID"),
+        _s(F.col("o_custkey") % machines).alias("MID"),
         F.lit("2").alias("PRDCD_TYPE"),
         F.col("o_orderpriority").alias("PAY_TYPE"),
         F.concat(day, F.lpad(_s(o % 24), 2, "0"), F.lit("0000")).alias("ACT_TM"),
@@ -368,15 +411,17 @@ def consumption(orders: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------------------- users
 
-# fixed values of the stand-in: market segment of each user channel
-CHANNEL_SEGMENTS = {"wechat": "AUTOMOBILE", "alipay": "BUILDING", "qq": "FURNITURE", "app": "MACHINERY"}
+# fixed values of the stand-in: market segments of each user channel (all five)
+CHANNEL_SEGMENTS = {
+    "wechat": ["AUTOMOBILE"], "alipay": ["BUILDING"], "qq": ["FURNITURE"], "app": ["MACHINERY", "HOUSEHOLD"],
+}
 
 
-def _user_common(customer: DataFrame, segment: str) -> tuple[DataFrame, list[Column]]:
+def _user_common(customer: DataFrame, segments: list[str], machines: int) -> tuple[DataFrame, list[Column]]:
     c = F.col("c_custkey")
     cols = [
         _s(c).alias("UID"),
-        _s(c % MACHINE_MODULUS).alias("REG_MID"),
+        _s(c % machines).alias("REG_MID"),
         F.when(c % 7 == 6, F.lit(None).cast("string")).otherwise(_s(F.col("c_nationkey") % 3)).alias("GDR"),
         F.concat(_s(c % 30 + 1970), F.lit("-0"), _s(c % 9 + 1), F.lit("-1"), _s(c % 10)).alias("BIRTHDAY"),
         F.concat(F.lit("138"), _s(c + 10000000)).alias("MSISDN"),
@@ -391,16 +436,16 @@ def _user_common(customer: DataFrame, segment: str) -> tuple[DataFrame, list[Col
         (F.col("c_nationkey") * 10).cast("int").alias("SCORE"),
         (c % 5 + 1).cast("int").alias("LEVEL"),
     ]
-    return customer.where(F.col("c_mktsegment") == segment), cols
+    return customer.where(F.col("c_mktsegment").isin(segments)), cols
 
 
-def users_wechat(customer: DataFrame) -> DataFrame:
-    df, cols = _user_common(customer, CHANNEL_SEGMENTS["wechat"])
+def users_wechat(customer: DataFrame, machines: int = MACHINES) -> DataFrame:
+    df, cols = _user_common(customer, CHANNEL_SEGMENTS["wechat"], machines)
     return df.select(*cols, F.concat(F.lit("wx_"), _s(F.col("c_custkey"))).alias("WX_ID"))
 
 
-def users_alipay(customer: DataFrame) -> DataFrame:
-    df, cols = _user_common(customer, CHANNEL_SEGMENTS["alipay"])
+def users_alipay(customer: DataFrame, machines: int = MACHINES) -> DataFrame:
+    df, cols = _user_common(customer, CHANNEL_SEGMENTS["alipay"], machines)
     c = F.col("c_custkey")
     return df.select(
         *cols,
@@ -411,42 +456,73 @@ def users_alipay(customer: DataFrame) -> DataFrame:
     )
 
 
-def users_qq(customer: DataFrame) -> DataFrame:
-    df, cols = _user_common(customer, CHANNEL_SEGMENTS["qq"])
+def users_qq(customer: DataFrame, machines: int = MACHINES) -> DataFrame:
+    df, cols = _user_common(customer, CHANNEL_SEGMENTS["qq"], machines)
     return df.select(*cols, F.concat(F.lit("qq_"), _s(F.col("c_custkey"))).alias("QQID"))
 
 
-def users_app(customer: DataFrame) -> DataFrame:
-    df, cols = _user_common(customer, CHANNEL_SEGMENTS["app"])
+def users_app(customer: DataFrame, machines: int = MACHINES) -> DataFrame:
+    df, cols = _user_common(customer, CHANNEL_SEGMENTS["app"], machines)
     return df.select(*cols, F.concat(F.lit("app_"), _s(F.col("c_custkey"))).alias("APP_ID"))
 
 
+def user_rows_with_null_text(customer: DataFrame, machines: int = MACHINES) -> DataFrame:
+    """Rows of a raw user table as text export leaves them: a missing value is
+    the text ``null`` or blank."""
+    c = F.col("c_custkey")
+    return customer.select(
+        _s(c).alias("UID"),
+        F.when(c % 7 == 6, F.lit("null")).otherwise(_s(F.col("c_nationkey") % 3)).alias("GDR"),
+        F.when(c % 5 == 1, F.lit("")).when(c % 5 == 2, F.lit("null")).otherwise(F.col("c_name")).alias("NAME"),
+        F.when(c % 4 == 3, F.lit(None).cast("string")).otherwise(_s(c % machines)).alias("REG_MID"),
+    )
+
+
 def logins(events: DataFrame) -> DataFrame:
     """TO_YCAK_USR_LOGIN_D: one row per event (duplicates on purpose)."""
     return events.select(_s(F.col("user_id")).alias("UID"), day_of("ts").alias(PARTITION_COL))
 
 
-def user_locations(events: DataFrame) -> DataFrame:
-    """TO_YCAK_USR_LOC_D: users report the machine they stand at; some errors report blanks."""
-    v = F.floor("value")
-    blank = (F.col("event_type") == "error") & (F.col("event_id") % 4 == 0)
+#: Machine ids that users report, per machine of the business (most are unknown to it).
+REPORTED_PER_MACHINE = 20
+
+
+def _degrees(thousandths: Column) -> Column:
+    """Whole thousandths of a degree (not negative) as text."""
+    return F.concat(_s(F.floor(thousandths / 1000)), F.lit("."), F.lpad(_s(thousandths % 1000), 3, "0"))
+
+
+def user_locations(events: DataFrame, machines: int = MACHINES) -> DataFrame:
+    """TO_YCAK_USR_LOC_D: users report the machine they stand at.  Each machine
+    has a spot of its own and some reports stray from it; a few machines are
+    far away, report text or a latitude that does not exist; some errors
+    report blanks."""
+    e = F.col("event_id")
+    m = e % (machines * REPORTED_PER_MACHINE)
+    stray = F.when(F.col("user_id") % 7 == 0, F.lit(11)).otherwise(F.lit(0))
+    blank = (F.col("event_type") == "error") & (e % 4 == 0)
+    lat = F.when(m % 50 == 7, F.concat(F.lit("-"), _degrees(m * 37 % 60000))).when(m % 41 == 5, F.lit("north")).when(
+        m % 43 == 9, F.lit("123.4")).otherwise(_degrees(18000 + (m * 7919 + stray) % 36000))
+    lng = F.when(m % 50 == 7, F.concat(F.lit("-"), _degrees(m * 53 % 170000))).otherwise(_degrees(73000 + (m * 6007 + stray) % 62000))
     return events.select(
         _s(F.col("user_id")).alias("UID"),
-        _s(F.col("event_id") % MACHINE_MODULUS).alias("MID"),
-        F.when(blank, F.lit("")).otherwise(F.concat(_s(v % 3 + 30), F.lit(".5"))).alias("LAT"),
-        F.when(blank, F.lit("")).otherwise(F.concat(_s(v % 2 + 110), F.lit(".25"))).alias("LNG"),
+        _s(m).alias("MID"),
+        F.when(blank, F.lit("")).otherwise(lat).alias("LAT"),
+        F.when(blank, F.lit("")).otherwise(lng).alias("LNG"),
         day_of("ts").alias(PARTITION_COL),
     )
 
 
-def gazetteer(nation: DataFrame, region: DataFrame) -> DataFrame:
-    """Reference places for reverse geocoding: one per nation, on a 5 x 5 lattice."""
-    n = F.col("n_nationkey")
-    joined = nation.join(region, nation["n_regionkey"] == region["r_regionkey"], "inner")
+def gazetteer(customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
+    """Reference places for reverse geocoding: one per customer, so it grows
+    with the data."""
+    c, n = F.col("c_custkey"), F.col("n_nationkey")
+    joined = customer.join(nation, customer["c_nationkey"] == nation["n_nationkey"]).join(
+        region, nation["n_regionkey"] == region["r_regionkey"])
     return joined.select(
-        n.cast("bigint").alias("place_id"),
-        ((n % 5 * 10 + 303).cast("double") / F.lit(10.0)).alias("lat"),
-        ((F.floor(n / 5) * 7 + 1100).cast("double") / F.lit(10.0)).alias("lng"),
+        c.cast("bigint").alias("place_id"),
+        _degrees(18000 + c * 7577 % 36000).cast("double").alias("lat"),
+        _degrees(73000 + c * 9973 % 62000).cast("double").alias("lng"),
         F.concat(F.col("r_name"), F.lit(" "), F.col("n_name")).alias("ADDR"),
         F.col("r_name").alias("PRVC"),
         F.col("n_name").alias("CTY"),
@@ -455,7 +531,7 @@ def gazetteer(nation: DataFrame, region: DataFrame) -> DataFrame:
         _s(n + 100000).alias("AD_CD"),
         F.concat(F.lit("town-"), _s(n % 4)).alias("TOWN_SHIP"),
         _s(n * 1000).alias("TOWN_CD"),
-        F.concat(F.lit("nb-"), _s(n)).alias("NB_NM"),
+        F.concat(F.lit("nb-"), _s(c)).alias("NB_NM"),
         F.lit("residential").alias("NB_TP"),
         F.concat(F.lit("bd-"), _s(n)).alias("BD_NM"),
         F.lit("mall").alias("BD_TP"),

@@ -51,19 +51,18 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType, sep: st
 
 def ensure_parallelism(df: DataFrame, path: str, min_partitions: int | None = None,
                        min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
-    """Spread an under-split scan over the cluster's cores.
+    """Spread the scan of one file over the cores (the stand-in tables).
 
     A file written as a single row group is read by one task whatever the
     split size, so every per-row expression after it runs on one core.  When
-    the input holds at least ``min_bytes`` and the scan yields fewer
+    the input is one file of at least ``min_bytes`` and the scan yields fewer
     partitions than ``min_partitions`` (default: the default parallelism),
-    the rows are round-robin repartitioned.  Small lookups and scans of many
-    files are left untouched; column pruning and filters still reach the
-    scan below the repartition.
+    the rows are round-robin repartitioned.  A folder of files, as every
+    table of a warehouse is, is never touched.
     """
     spark = df.sparkSession
     try:
-        if _size(spark, path) < min_bytes:
+        if not _is_file(spark, path) or _size(spark, path) < min_bytes:
             return df
         target = min_partitions or spark.sparkContext.defaultParallelism
         current = df.rdd.getNumPartitions()
@@ -72,6 +71,11 @@ def ensure_parallelism(df: DataFrame, path: str, min_partitions: int | None = No
     return df.repartition(target) if current < target else df
 
 
+def _is_file(spark: SparkSession, path: str) -> bool:
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(hpath).isFile()
+
+
 def _size(spark: SparkSession, path: str) -> int:
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from .windows import HOT_TOP_N, top_songs
 
 BATCH_DIR = "batch_id"
+#: Boards and snapshots that stay for readers that opened one just before.
+KEEP = 3
 
 
 def _fs(spark: SparkSession, path: str):
@@ -23,17 +25,29 @@ def _fs(spark: SparkSession, path: str):
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
 
 
-def latest_batch(spark: SparkSession, path: str) -> int | None:
-    """Highest committed batch directory under ``path`` (metadata listing only)."""
+def committed_batches(spark: SparkSession, path: str) -> list[int]:
+    """Committed batch directories under ``path``, ascending (metadata listing only)."""
     fs, hpath = _fs(spark, path)
     if not fs.exists(hpath):
-        return None
+        return []
     ids = []
     for st in fs.listStatus(hpath):
         name = st.getPath().getName()
         if name.startswith(f"{BATCH_DIR}=") and fs.exists(st.getPath().suffix("/_SUCCESS")):
             ids.append(int(name.split("=", 1)[1]))
-    return max(ids) if ids else None
+    return sorted(ids)
+
+
+def latest_batch(spark: SparkSession, path: str) -> int | None:
+    ids = committed_batches(spark, path)
+    return ids[-1] if ids else None
+
+
+def drop_batches(spark: SparkSession, path: str, ids: list[int]) -> None:
+    """Removes batch directories that nothing reads any more."""
+    fs, _ = _fs(spark, path)
+    for i in ids:
+        fs.delete(_fs(spark, f"{path}/{BATCH_DIR}={i}")[1], True)
 
 
 def read_latest(spark: SparkSession, path: str) -> DataFrame | None:
@@ -74,6 +88,8 @@ class TopKReplaceSink:
                 self.write(ranked, target)
             else:
                 ranked.write.mode("overwrite").parquet(target)
+                spark = batch.sparkSession
+                drop_batches(spark, self.path, committed_batches(spark, self.path)[:-KEEP])
         finally:
             batch.unpersist()
 
@@ -83,9 +99,11 @@ class KeyedUpsertSink:
     append-only deltas plus periodic snapshots.
 
     Each batch writes only its own rows (``delta/batch_id=N``, overwritten on
-    replay), so a trigger costs O(batch), not O(table).  Every
-    ``compact_every`` batches the latest snapshot and the newer deltas are
-    merged into ``snapshot/batch_id=N``.  Per key the row with the greatest
+    replay), so a trigger costs O(batch), not O(table).  Once
+    ``compact_every`` deltas wait, the latest snapshot and they are merged
+    into ``snapshot/batch_id=N``; then the merged deltas go, and all but the
+    last ``KEEP`` snapshots.  A replayed batch that a snapshot holds already
+    is not written again.  Per key the row with the greatest
     ``version_col`` (the window end) wins, so replayed or late batches never
     move a key backwards; ``expire_before`` ages out keys whose last window
     is too old.  ``read_current`` gives the table as of the last batch.
@@ -110,8 +128,7 @@ class KeyedUpsertSink:
         parts = []
         if snap_id is not None:
             parts.append(spark.read.parquet(f"{self.path}/snapshot/{BATCH_DIR}={snap_id}"))
-        fs, hpath = _fs(spark, f"{self.path}/delta")
-        if fs.exists(hpath):
+        if committed_batches(spark, f"{self.path}/delta"):
             deltas = spark.read.parquet(f"{self.path}/delta")
             cond = F.lit(True)
             if snap_id is not None:
@@ -131,17 +148,22 @@ class KeyedUpsertSink:
         return None if rows is None else self.merge(rows)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        snapshot = latest_batch(spark, f"{self.path}/snapshot")
+        if snapshot is not None and batch_id <= snapshot:
+            return  # a replay of rows that the snapshot holds
         batch.persist()  # emptiness check + write: compute the micro-batch once
         try:
-            if batch.isEmpty():
-                return
-            spark = batch.sparkSession
-            batch.write.mode("overwrite").parquet(f"{self.path}/delta/{BATCH_DIR}={batch_id}")
+            if not batch.isEmpty():
+                batch.write.mode("overwrite").parquet(f"{self.path}/delta/{BATCH_DIR}={batch_id}")
         finally:
             batch.unpersist()
-        if (batch_id + 1) % self.compact_every == 0:
+        waiting = committed_batches(spark, f"{self.path}/delta")
+        if len(waiting) >= self.compact_every:
             rows = self._pending_rows(spark, upto=batch_id)
             self.merge(rows).write.mode("overwrite").parquet(f"{self.path}/snapshot/{BATCH_DIR}={batch_id}")
+            drop_batches(spark, f"{self.path}/delta", [i for i in waiting if i <= batch_id])
+            drop_batches(spark, f"{self.path}/snapshot", committed_batches(spark, f"{self.path}/snapshot")[:-KEEP])
 
 
 class PvUvSink:

@@ -4,7 +4,8 @@ Every function takes a records DataFrame ``(ts, mid, uid, songid,
 songname)`` and works unchanged on a batch DataFrame (the oracle twin and
 backfills) or a streaming one (with a watermark on ``ts``).  The original
 windows were by arrival batch; here they are by event time, so late rows
-within the watermark still land in the right window.
+within the watermark still land in the right window.  A record without a
+user is a page view and no visitor, in every form of the visitor count.
 """
 
 from __future__ import annotations
@@ -99,7 +100,7 @@ def uv_batch_counts(records: DataFrame, window: str = PV_WINDOW, slide: str = PV
     src = with_watermark(records, watermark)
     per_bucket = src.groupBy(F.window("ts", bucket).alias("b"), "mid", "uid").agg(F.count(F.lit(1)).alias("_n"))
     agg = per_bucket.groupBy(F.window(F.window_time("b"), window, slide).alias("w"), "mid").agg(
-        F.count(F.lit(1)).alias("uv")
+        F.count("uid").alias("uv")
     )
     return _flat(agg)
 
@@ -119,7 +120,7 @@ def uv_exact_counts(records: DataFrame, window: str = PV_WINDOW, slide: str = PV
     per_user = src.groupBy(F.window("ts", window, slide).alias("w"), "mid", "uid").agg(
         F.count(F.lit(1)).alias("_n")
     )
-    agg = per_user.groupBy("w", "mid").agg(F.count(F.lit(1)).alias("uv"))
+    agg = per_user.groupBy("w", "mid").agg(F.count("uid").alias("uv"))
     return _flat(agg)
 
 

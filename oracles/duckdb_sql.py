@@ -1,746 +1,453 @@
 """DuckDB twins of the registered queries (the correctness oracle).
 
-Written independently of the Spark code path: the oracles follow the
-original job structure (separate per-horizon ``count(DISTINCT …)`` passes,
-comma/left joins, brute-force nearest place) and compute the expected
-cleaned values of the stand-in raw tables directly from the driver columns
-instead of re-parsing the JSON/text encodings.
+Each statement is written from the definition of its output columns: the
+stand-in rules are applied to the driver tables row by row, codes and labels
+come from small VALUES tables, counts over several periods are filtered
+aggregates of one grouping, and a pick of one row per key is the head of an
+ordered list.  Nothing is parsed that the rules can compute.
 """
 
 from __future__ import annotations
 
 from encore.functions.dates import days_before
 from encore.plans.registry import BUSINESS_DAY, FIRST_DAY, SCORE_DIGITS
-from encore.sources.schemas import SONG_INT_COLS
+from encore.sources.schemas import GAZETTEER_PLACE_COLS, SONG_INT_COLS
 
-D = BUSINESS_DAY
-D7 = days_before(D, 7)
-D30 = days_before(D, 30)
-R = SCORE_DIGITS
+DAY = BUSINESS_DAY
+YESTERDAY = days_before(DAY, 1)
 
-PLAY = """play AS (
-  SELECT json_extract_string(props, '$.k') AS SONGID,
-         CAST(user_id % 100 AS VARCHAR) AS MID,
-         CAST(user_id AS VARCHAR) AS UID,
-         CAST(event_id AS VARCHAR) AS ORDER_ID,
-         strftime(ts, '%Y%m%d') AS data_dt
-  FROM events)"""
 
-_INTS = ",\n".join(f"    CAST((p_size + {i}) % ({i + 2}) AS INTEGER) AS {c}" for i, c in enumerate(SONG_INT_COLS))
+def _date(day: str) -> str:
+    return f"DATE '{day[:4]}-{day[4:6]}-{day[6:]}'"
 
-CATALOG = f"""cat AS (
-  SELECT CAST(p_partkey AS VARCHAR) AS NBR,
-    CASE WHEN p_partkey % 10 = 3 THEN p_name || ' (live)' ELSE p_name END AS NAME,
-    CAST(p_size % 3 AS INTEGER) AS SOURCE,
-    CASE p_partkey % 5 WHEN 0 THEN p_type WHEN 1 THEN '《' || p_type || '》'
-         WHEN 2 THEN NULL ELSE '暂无专辑' END AS ALBUM,
-    'label-' || p_brand AS PRDCT,
-    CASE WHEN p_size % 2 = 0 THEN '国语' ELSE '粤语' END AS LANG,
-    p_type AS VIDEO_FORMAT,
-    CAST(p_size * 10 AS INTEGER) AS DUR,
-    CASE WHEN p_partkey % 4 = 3 THEN '' ELSE p_brand END AS SINGER1,
-    CASE WHEN p_partkey % 4 = 0 THEN p_type ELSE '' END AS SINGER2,
-    CASE WHEN p_partkey % 4 = 3 THEN '' ELSE split_part(p_brand, '#', 2) END AS SINGER1ID,
-    CASE WHEN p_partkey % 4 = 0 THEN CAST(p_size AS VARCHAR) ELSE '' END AS SINGER2ID,
-    CAST(0 AS INTEGER) AS MAC_TIME,
-    CASE p_partkey % 4
-      WHEN 0 THEN '2019-' || lpad(CAST(p_size % 12 + 1 AS VARCHAR), 2, '0') || '-15 20:30:00'
-      WHEN 1 THEN strftime(epoch_ms(1500000000000 + p_partkey * 3600000), '%Y-%m-%d %H:%M:%S')
-      ELSE '' END AS POST_TIME,
-    upper(substring(p_name, 1, 1)) AS PINYIN_FST,
-    p_name AS PINYIN,
-    CAST(p_partkey % 2 AS INTEGER) AS SING_TYPE,
-    p_brand AS ORI_SINGER,
-    'lyricist-' || CAST(p_size % 7 AS VARCHAR) AS LYRICIST,
-    'composer-' || CAST(p_size % 5 AS VARCHAR) AS COMPOSER,
-{_INTS},
-    CASE p_partkey % 4 WHEN 0 THEN p_brand || ' Music' WHEN 3 THEN NULL ELSE '乐心曲库' END AS AUTH_CO,
-    CAST(p_size % 2 AS INTEGER) AS STATE,
-    CASE WHEN p_partkey % 4 = 0 THEN CAST(p_size AS VARCHAR) || ',' || CAST(p_size % 7 AS VARCHAR)
-         ELSE NULL END AS PRDCT_TYPE
-  FROM part)"""
-
-
-def _horizon(name: str, lo: str, prefix: str) -> str:
-    return f"""{name} AS (
-  SELECT SONGID AS NBR, count(*) AS {prefix}SING_CNT, count(DISTINCT UID) AS {prefix}USR_CNT,
-         count(DISTINCT ORDER_ID) AS {prefix}ORDR_CNT
-  FROM play WHERE data_dt BETWEEN '{lo}' AND '{D}' GROUP BY SONGID)"""
-
-
-TOPS = f"""daily AS (
-  SELECT SONGID AS NBR, data_dt, count(*) AS c FROM play
-  WHERE data_dt BETWEEN '{D30}' AND '{D}' GROUP BY SONGID, data_dt),
-tops AS (
-  SELECT NBR,
-         max(CASE WHEN data_dt BETWEEN '{D7}' AND '{D}' THEN c ELSE 0 END) AS RCT_7_TOP_SING_CNT,
-         max(c) AS RCT_30_TOP_SING_CNT
-  FROM daily GROUP BY NBR)"""
-
-FEATURES = f"""{PLAY},
-{_horizon('cur', D, '')},
-{_horizon('p7', D7, 'RCT_7_')},
-{_horizon('p30', D30, 'RCT_30_')},
-{TOPS},
-{CATALOG},
-features AS (
-  SELECT A.NBR, B.NAME, B.SOURCE, B.ALBUM, B.PRDCT, B.LANG, B.VIDEO_FORMAT, B.DUR,
-         B.SINGER1, B.SINGER2, B.SINGER1ID, B.SINGER2ID, B.MAC_TIME,
-         CAST(A.SING_CNT AS BIGINT) AS SING_CNT, CAST(0 AS BIGINT) AS SUPP_CNT,
-         CAST(A.USR_CNT AS BIGINT) AS USR_CNT, CAST(A.ORDR_CNT AS BIGINT) AS ORDR_CNT,
-         CAST(coalesce(C.RCT_7_SING_CNT, 0) AS BIGINT) AS RCT_7_SING_CNT,
-         CAST(0 AS BIGINT) AS RCT_7_SUPP_CNT,
-         CAST(coalesce(E.RCT_7_TOP_SING_CNT, 0) AS BIGINT) AS RCT_7_TOP_SING_CNT,
-         CAST(0 AS BIGINT) AS RCT_7_TOP_SUPP_CNT,
-         CAST(coalesce(C.RCT_7_USR_CNT, 0) AS BIGINT) AS RCT_7_USR_CNT,
-         CAST(coalesce(C.RCT_7_ORDR_CNT, 0) AS BIGINT) AS RCT_7_ORDR_CNT,
-         CAST(coalesce(P.RCT_30_SING_CNT, 0) AS BIGINT) AS RCT_30_SING_CNT,
-         CAST(0 AS BIGINT) AS RCT_30_SUPP_CNT,
-         CAST(coalesce(E.RCT_30_TOP_SING_CNT, 0) AS BIGINT) AS RCT_30_TOP_SING_CNT,
-         CAST(0 AS BIGINT) AS RCT_30_TOP_SUPP_CNT,
-         CAST(coalesce(P.RCT_30_USR_CNT, 0) AS BIGINT) AS RCT_30_USR_CNT,
-         CAST(coalesce(P.RCT_30_ORDR_CNT, 0) AS BIGINT) AS RCT_30_ORDR_CNT,
-         '{D}' AS data_dt
-  FROM cur A
-  JOIN cat B ON A.NBR = B.NBR
-  LEFT JOIN p7 C ON A.NBR = C.NBR
-  LEFT JOIN p30 P ON A.NBR = P.NBR
-  LEFT JOIN tops E ON A.NBR = E.NBR)"""
-
-
-def _rsi_cols() -> str:
-    return """10 * pow(0.63 * 0.8 * ln(SING_CNT / 1 + 1) + 0.63 * 0.2 * ln(SUPP_CNT / 1 + 1), 2) AS RSI_1D,
-    10 * pow((0.63 * ln(RCT_7_SING_CNT / 7 + 1) + 0.37 * ln(RCT_7_TOP_SING_CNT + 1)) * 0.8
-           + (0.63 * ln(RCT_7_SUPP_CNT / 7 + 1) + 0.37 * ln(RCT_7_TOP_SUPP_CNT + 1)) * 0.2, 2) AS RSI_7D,
-    10 * pow((0.63 * ln(RCT_30_SING_CNT / 30 + 1) + 0.37 * ln(RCT_30_TOP_SING_CNT + 1)) * 0.8
-           + (0.63 * ln(RCT_30_SUPP_CNT / 30 + 1) + 0.37 * ln(RCT_30_TOP_SUPP_CNT + 1)) * 0.2, 2) AS RSI_30D"""
-
-
-def _ranked(source: str, keys: list[str], ties: list[str]) -> str:
-    key_list = ", ".join(keys)
-    order_ties = ", ".join(f"{t} ASC" for t in ties)
-    parts = []
-    for period, col in (("1", "RSI_1D"), ("7", "RSI_7D"), ("30", "RSI_30D")):
-        parts.append(
-            f"""SELECT '{period}' AS PERIOD, {key_list}, round({col}, {R}) AS RSI,
-       CAST(row_number() OVER (PARTITION BY data_dt ORDER BY {col} DESC, {order_ties}) AS INTEGER) AS RSI_RANK,
-       data_dt
-FROM {source}"""
-        )
-    return "\nUNION ALL\n".join(parts)
-
-
-SONG_SCORED = f"""{FEATURES},
-scored AS (SELECT *, {_rsi_cols()} FROM features),
-ranked AS (
-{_ranked('scored', ['NBR', 'NAME'], ['NBR'])})"""
-
-_SUMS = ", ".join(
-    f"CAST(sum({c}) AS BIGINT) AS {c}"
-    for c in [
-        "SING_CNT", "SUPP_CNT", "RCT_7_SING_CNT", "RCT_7_SUPP_CNT", "RCT_7_TOP_SING_CNT", "RCT_7_TOP_SUPP_CNT",
-        "RCT_30_SING_CNT", "RCT_30_SUPP_CNT", "RCT_30_TOP_SING_CNT", "RCT_30_TOP_SUPP_CNT",
-    ]
-)
-
-SINGER_SCORED = f"""{FEATURES},
-singers AS (SELECT data_dt, SINGER1ID, SINGER1, {_SUMS} FROM features GROUP BY data_dt, SINGER1ID, SINGER1),
-scored AS (SELECT *, {_rsi_cols()} FROM singers),
-ranked AS (
-{_ranked('scored', ['SINGER1ID', 'SINGER1'], ['SINGER1ID', 'SINGER1'])})"""
-
-PLAY_REQ = "MINIK_CLIENT_SONG_PLAY_OPERATE_REQ"
-OTHER_REQ = "MINIK_CLIENT_ADVERTISEMENT_RECORD_REQ"
 
-ORACLES: dict[str, str] = {
-    "log_demux_counts": f"""
-SELECT strftime(ts, '%Y%m%d') AS data_dt,
-       CASE WHEN event_type = 'signup' THEN '{OTHER_REQ}' ELSE '{PLAY_REQ}' END AS req_type,
-       CAST(count(*) AS BIGINT) AS n_lines
-FROM events WHERE event_type <> 'error' GROUP BY 1, 2""",
-    "play_decode": """
-SELECT json_extract_string(props, '$.k') AS SONGID, CAST(user_id % 100 AS VARCHAR) AS MID,
-       event_type AS OPTRATE_TYPE, CAST(user_id AS VARCHAR) AS UID,
-       CASE WHEN event_type = 'purchase' THEN '1' ELSE '0' END AS CONSUME_TYPE,
-       CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) AS DUR_TIME,
-       CAST(user_id AS VARCHAR) || '-' || strftime(ts, '%Y%m%d') AS SESSION_ID,
-       'song-' || json_extract_string(props, '$.k') AS SONGNAME,
-       CAST(user_id % 5 AS VARCHAR) AS PKG_ID, CAST(event_id AS VARCHAR) AS ORDER_ID,
-       strftime(ts, '%Y%m%d') AS data_dt
-FROM events WHERE event_type IN ('view', 'click', 'purchase')""",
-    "catalog_clean": f"WITH {CATALOG}\nSELECT * FROM cat",
-    "song_horizons": f"""WITH {PLAY},
-{_horizon('cur', D, '')},
-{_horizon('p7', D7, 'RCT_7_')},
-{_horizon('p30', D30, 'RCT_30_')},
-{TOPS}
-SELECT P.NBR AS SONGID,
-       CAST(coalesce(A.SING_CNT, 0) AS BIGINT) AS SING_CNT,
-       CAST(coalesce(A.USR_CNT, 0) AS BIGINT) AS USR_CNT,
-       CAST(coalesce(A.ORDR_CNT, 0) AS BIGINT) AS ORDR_CNT,
-       CAST(coalesce(C.RCT_7_SING_CNT, 0) AS BIGINT) AS RCT_7_SING_CNT,
-       CAST(coalesce(E.RCT_7_TOP_SING_CNT, 0) AS BIGINT) AS RCT_7_TOP_SING_CNT,
-       CAST(coalesce(C.RCT_7_USR_CNT, 0) AS BIGINT) AS RCT_7_USR_CNT,
-       CAST(coalesce(C.RCT_7_ORDR_CNT, 0) AS BIGINT) AS RCT_7_ORDR_CNT,
-       CAST(P.RCT_30_SING_CNT AS BIGINT) AS RCT_30_SING_CNT,
-       CAST(E.RCT_30_TOP_SING_CNT AS BIGINT) AS RCT_30_TOP_SING_CNT,
-       CAST(P.RCT_30_USR_CNT AS BIGINT) AS RCT_30_USR_CNT,
-       CAST(P.RCT_30_ORDR_CNT AS BIGINT) AS RCT_30_ORDR_CNT
-FROM p30 P LEFT JOIN cur A ON P.NBR = A.NBR LEFT JOIN p7 C ON P.NBR = C.NBR
-LEFT JOIN tops E ON P.NBR = E.NBR""",
-    "song_features": f"WITH {FEATURES}\nSELECT * FROM features",
-    "song_rsi": f"WITH {SONG_SCORED}\nSELECT * FROM ranked",
-    "song_rsi_top30": f"WITH {SONG_SCORED}\nSELECT * FROM ranked WHERE RSI_RANK <= 30",
-    "singer_rsi": f"WITH {SINGER_SCORED}\nSELECT * FROM ranked",
-    "singer_rsi_top30": f"WITH {SINGER_SCORED}\nSELECT * FROM ranked WHERE RSI_RANK <= 30",
-}
+TODAY = _date(DAY)
+_TEXT_DAY = "strftime({}, '%Y%m%d')"
+COUNT = "CAST({} AS BIGINT)"
 
 
-# ============================================================================ orders, users
-
-D1 = days_before(D, 1)
-
-CNSM = """cnsm AS (
-  SELECT CAST(o_orderkey AS VARCHAR) AS ID, 'T' || CAST(o_orderkey AS VARCHAR) AS TRD_ID,
-    o_custkey AS UID, CAST(o_custkey % 100 AS VARCHAR) AS MID, '2' AS PRDCD_TYPE,
-    o_orderpriority AS PAY_TYPE,
-    strftime(make_date(2024, 1, day(o_orderdate)), '%Y%m%d')
-      || lpad(CAST(o_orderkey % 24 AS VARCHAR), 2, '0') || '0000' AS ACT_TM,
-    CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE CAST(o_orderkey % 3 AS VARCHAR) END AS PKG_ID,
-    CASE WHEN o_orderstatus = 'O' THEN -1 ELSE 1 END * CAST(round(o_totalprice * 100) AS BIGINT) AS AMT,
-    CAST(o_orderkey AS VARCHAR) AS ORDR_ID,
-    CASE WHEN o_orderkey % 4 = 0 THEN 'new-year' ELSE NULL END AS ACTV_NM,
-    CAST(round(o_totalprice * 100) AS BIGINT) AS PKG_PRC, CAST(0 AS BIGINT) AS PKG_DSCNT,
-    CAST(o_orderkey % 2 AS VARCHAR) AS CPN_TYPE,
-    CASE WHEN o_orderstatus = 'F' THEN 1 WHEN o_orderstatus = 'P' THEN 2
-         WHEN o_orderkey % 2 = 0 THEN 3 ELSE 4 END AS ORDR_TYPE,
-    strftime(make_date(2024, 1, day(o_orderdate)), '%Y%m%d') AS data_dt
-  FROM orders)"""
-
-BRIEF = f"""{CNSM},
-brief AS (
-  SELECT ID, TRD_ID, CAST(UID AS VARCHAR) AS UID, MID, PRDCD_TYPE, PAY_TYPE, ACT_TM, PKG_ID,
-    CASE WHEN AMT < 0 THEN AMT * -1 ELSE AMT END AS COIN_PRC, CAST(1 AS INTEGER) AS COIN_CNT,
-    ACT_TM AS UPDATE_TM, ORDR_ID, ACTV_NM, PKG_PRC, PKG_DSCNT, CPN_TYPE,
-    CAST(CASE WHEN ORDR_TYPE = 1 THEN 0 WHEN ORDR_TYPE = 2 THEN 1
-              WHEN ORDR_TYPE = 3 THEN 2 WHEN ORDR_TYPE = 4 THEN 2 END AS INTEGER) AS ABN_TYP,
-    data_dt
-  FROM cnsm)"""
-
-
-def _by_type(abn: int, prefix: str, users: str) -> str:
-    return f"""SELECT data_dt, MID, PKG_ID, PAY_TYPE,
-  CAST(count(DISTINCT UID) AS BIGINT) AS {users},
-  CAST(sum(COIN_CNT * COIN_PRC) AS BIGINT) AS TOT_{prefix},
-  CAST(count(ORDR_ID) AS BIGINT) AS {prefix}_ORDR_CNT
-FROM brief WHERE ABN_TYP = {abn} GROUP BY data_dt, MID, PKG_ID, PAY_TYPE"""
-
-
-_USER_BASE = """cust AS (
-  SELECT c_custkey AS c, c_mktsegment AS seg,
-    CAST(c_custkey AS VARCHAR) AS UID, CAST(c_custkey % 100 AS VARCHAR) AS REG_MID,
-    CASE WHEN c_custkey % 7 = 6 THEN NULL ELSE CAST(c_nationkey % 3 AS VARCHAR) END AS GDR,
-    CAST(c_custkey % 30 + 1970 AS VARCHAR) || '-0' || CAST(c_custkey % 9 + 1 AS VARCHAR)
-      || '-1' || CAST(c_custkey % 10 AS VARCHAR) AS BIRTHDAY,
-    '138' || CAST(c_custkey + 10000000 AS VARCHAR) AS MSISDN,
-    CAST(c_nationkey AS VARCHAR) AS LOC_ID, CAST(c_custkey % 3 AS VARCHAR) AS LOG_MDE,
-    strftime(make_date(2024, 1, CAST(c_custkey % 30 + 1 AS INTEGER)), '%Y%m%d') AS REG_DT,
-    lpad(CAST(c_custkey % 24 AS VARCHAR), 2, '0') || '1500' AS REG_TM,
-    CAST(c_custkey % 1000 AS INTEGER) AS USR_EXP, CAST(c_nationkey * 10 AS INTEGER) AS SCORE,
-    CAST(c_custkey % 5 + 1 AS INTEGER) AS LEVEL
-  FROM customer)"""
-
-
-def _channel(code: str, prefix: str, seg: str, log_mode="LOG_MDE", score="SCORE", utype="'2'",
-             cert="CAST(NULL AS VARCHAR)", stdnt="CAST(NULL AS VARCHAR)") -> str:
-    return f"""SELECT UID, REG_MID, '{code}' AS REG_CHNL, '{prefix}' || UID AS REF_UID, GDR, BIRTHDAY, MSISDN,
-    LOC_ID, {log_mode} AS LOG_MDE, REG_DT, REG_TM, USR_EXP, {score} AS SCORE, LEVEL,
-    {utype} AS USR_TYPE, {cert} AS IS_CERT, {stdnt} AS IS_STDNT
-  FROM cust WHERE seg = '{seg}'"""
-
-
-USERS = f"""{_USER_BASE},
-users AS (
-  {_channel('1', 'wx_', 'AUTOMOBILE')}
-  UNION ALL
-  {_channel('2', 'ali_', 'BUILDING', utype="CASE WHEN c % 3 = 1 THEN '1' ELSE '2' END",
-            cert="CASE WHEN c % 2 = 0 THEN '1' ELSE '0' END", stdnt="CASE WHEN c % 5 = 0 THEN '1' ELSE '0' END")}
-  UNION ALL
-  {_channel('3', 'qq_', 'FURNITURE')}
-  UNION ALL
-  {_channel('4', 'app_', 'MACHINERY', log_mode='CAST(NULL AS VARCHAR)', score='CAST(0 AS INTEGER)')})"""
-
-PROFILES = f"""{USERS},
-logins AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS UID, strftime(ts, '%Y%m%d') AS data_dt FROM events),
-profiles AS (
-  SELECT L.UID, U.REG_MID, U.REG_CHNL, U.REF_UID, U.GDR, U.BIRTHDAY, U.MSISDN, U.LOC_ID, U.LOG_MDE,
-         U.REG_DT, U.REG_TM, U.USR_EXP, U.SCORE, U.LEVEL, U.USR_TYPE, U.IS_CERT, U.IS_STDNT, L.data_dt
-  FROM logins L LEFT JOIN users U ON L.UID = U.UID)"""
-
-NEWU = f"""newu AS (
-  SELECT REG_MID AS MID, CAST(count(UID) AS BIGINT) AS NEW_USR_CNT FROM profiles
-  WHERE data_dt = '{D}' AND REG_DT = '{D}' GROUP BY REG_MID)"""
-
-# ============================================================================ machines
-
-# expected (province, city) of each stand-in address, worked out by hand from the rules
-_ADDR_ROWS = [
-    ("山西省太原市小店区", "山西", "太原"),
-    ("北京市朝阳区", "北京", "朝阳"),
-    ("重庆市城口县", "重庆", "城口"),
-    ("内蒙古自治区包头市", "内蒙古", "包头"),
-    ("新疆维吾尔自治区伊犁哈萨克自治州", "新疆", "伊犁哈萨克自治"),
-    ("四川省甘孜州", "四川", "甘孜"),
-    ("西藏自治区拉萨市", "西藏", "拉萨"),
-    ("上海市浦东新区", "上海", "浦东新"),
-    ("天津市和平区", "天津", "和平"),
-    ("广西壮族自治区南宁市青秀区", "广西", "南宁"),
-    ("宁夏回族自治区银川市兴庆区", "宁夏", "银川"),
-    ("广东省深圳市南山区", "广东", "深圳"),
-    ("浙江省杭州市西湖区", "浙江", "杭州"),
-    ("江西省南昌市红谷滩区", "江西", "南昌"),
-    ("湖北省武汉市洪山区", "湖北", "武汉"),
-    ("重庆市渝中区", "重庆", "渝中"),
-    ("新疆维吾尔自治区乌鲁木齐市天山区", "新疆", "乌鲁木齐"),
-    ("江苏省南京市鼓楼区", "江苏", "南京"),
-    ("香港特别行政区", "", ""),
-    ("福建省厦门市思明区", "福建", "厦门"),
-    ("湖南省长沙市岳麓区", "湖南", "长沙"),
-    ("云南省大理白族自治州", "云南", "大理白族自治"),
-    ("山东省青岛市市南区", "山东", "青岛"),
-    ("河南省郑州市金水区", "河南", "郑州"),
-    ("吉林省延边朝鲜族自治州", "吉林", "延边朝鲜族自治"),
-]
-_ADDR_VALUES = ",\n    ".join(f"({i}, '{a}', '{p}', '{c}')" for i, (a, p, c) in enumerate(_ADDR_ROWS))
-
-MACHINES = f"""sup AS (
-  SELECT s_suppkey AS s, s_name, s_nationkey, s_acctbal, CAST(s_suppkey AS VARCHAR) AS MID FROM supplier),
-addr AS (SELECT * FROM (VALUES
-    {_ADDR_VALUES}) t(nk, ADDR, P, C)),
-mac_a AS (
-  SELECT MID, s_name AS SRL_ID, 'HW' || MID AS HARD_ID, 'S' || CAST(s_nationkey AS VARCHAR) AS SONG_WHSE_VER,
-    'E' || CAST(s % 3 AS VARCHAR) AS EXEC_VER, 'U1' AS UI_VER,
-    CASE WHEN s_acctbal >= 0 THEN '1' ELSE '0' END AS STS,
-    '202401' || lpad(CAST(s % 30 + 1 AS VARCHAR), 2, '0') || '083000' AS CUR_LOGIN_TM,
-    CASE WHEN s % 2 = 0 THEN '1' ELSE '0' END AS PAY_SW,
-    CASE WHEN s % 3 = 0 THEN '0' ELSE '1' END AS IS_ONLINE
-  FROM sup WHERE s_acctbal >= 0),
-loc_all AS (
-  SELECT MID,
-    CASE WHEN s % 5 IN (0, 1) THEN '江西' ELSE addr.P END AS PRVC,
-    CASE WHEN s % 5 IN (0, 2) THEN '南昌' ELSE addr.C END AS CTY,
-    CASE WHEN s % 7 = 0 THEN NULL ELSE addr.ADDR || '-' || MID END AS ADDR_FMT,
-    CASE s % 3 WHEN 0 THEN '20230105093000' WHEN 1 THEN '20230105000000' ELSE '19700101000000' END AS REV_TM,
-    CASE s % 4 WHEN 0 THEN '20221201000000' WHEN 1 THEN '19700101000000' ELSE '20221201120000' END AS SALE_TM
-  FROM sup JOIN addr ON sup.s_nationkey = addr.nk WHERE s_acctbal >= 1000),
-loc AS (SELECT * FROM loc_all WHERE PRVC <> '' AND CTY <> ''),
-mac_b AS (
-  SELECT MID, CASE WHEN s % 6 = 1 THEN 1 ELSE 2 END AS PRDCT_TYPE, 'KTV-' || MID AS MAC_NM,
-    CASE WHEN s % 5 = 0 THEN '联营版' ELSE '标准版' END AS PKG_NM,
-    CAST((s * 7) % 150 AS DOUBLE) AS INV_RATE, CAST(s % 10 AS DOUBLE) AS AGE_RATE,
-    CAST(20 AS DOUBLE) AS COM_RATE,
-    CASE WHEN s % 9 = 0 THEN NULL ELSE CAST(s % 3 AS DOUBLE) END AS PAR_RATE,
-    CASE WHEN s % 2 = 0 THEN '1' ELSE '0' END AS IS_ACTV,
-    CASE s % 3 WHEN 0 THEN '20230301101010' WHEN 1 THEN '20230301000000' ELSE '19700101000000' END AS ACTV_TM,
-    CASE WHEN s % 3 = 0 THEN '0' ELSE '1' END AS HAD_MPAY_FUNC,
-    CAST(s_nationkey % 5 AS VARCHAR) AS SCENE_PRVC_ID, CAST(s_nationkey AS VARCHAR) AS SCENE_CTY_ID,
-    CAST((s_nationkey + 1) % 25 AS VARCHAR) AS SCENE_AREA_ID,
-    CASE WHEN s % 10 = 0 THEN NULL ELSE 'No.' || MID || ' Jiefang Rd ' END AS SCENE_ADDR,
-    s_name AS GROUND_NM
-  FROM sup WHERE s_acctbal <= 8000),
-prov AS (SELECT CAST(r_regionkey AS VARCHAR) AS PRVC_ID, r_name AS PRVC FROM region),
-city AS (SELECT CAST(n_nationkey AS VARCHAR) AS CTY_ID, n_name AS CTY FROM nation),
-area AS (SELECT CAST(n_nationkey AS VARCHAR) AS AREA_ID, n_name || '-district' AS AREA FROM nation),
-smap AS (SELECT MID, CAST(s_nationkey AS VARCHAR) AS STORE_ID FROM sup WHERE s_acctbal <= 9000),
-store AS (
-  SELECT CAST(n_nationkey AS VARCHAR) AS ID, 'store-' || n_name AS GROUND_NM,
-    CASE WHEN n_regionkey % 2 = 0 THEN 'KTV' ELSE 'Mall' END AS TAG_NM,
-    'tag-' || CAST(n_regionkey AS VARCHAR) AS SUB_TAG_NM,
-    'catgy-' || CAST(n_nationkey % 3 AS VARCHAR) AS SUB_SCENE_CATGY_NM,
-    'scene-' || CAST(n_nationkey % 4 AS VARCHAR) AS SUB_SCENE_NM,
-    'brand-' || CAST(n_regionkey AS VARCHAR) AS BRND_NM,
-    'sub-brand-' || CAST(n_nationkey AS VARCHAR) AS SUB_BRND_NM
-  FROM nation),
-ids AS (SELECT MID FROM mac_a UNION SELECT MID FROM mac_b),
-ycak AS (
-  SELECT T.MID, A.SRL_ID, A.HARD_ID, A.SONG_WHSE_VER, A.EXEC_VER, A.UI_VER, A.STS, A.CUR_LOGIN_TM,
-         A.PAY_SW, A.IS_ONLINE, L.PRVC, L.CTY, L.ADDR_FMT, L.REV_TM, L.SALE_TM
-  FROM ids T LEFT JOIN mac_a A ON T.MID = A.MID LEFT JOIN loc L ON T.MID = L.MID),
-ycbk AS (
-  SELECT T.MID, B.MAC_NM, B.PKG_NM, B.INV_RATE, B.AGE_RATE, B.COM_RATE, B.PAR_RATE, B.IS_ACTV,
-         B.ACTV_TM, B.HAD_MPAY_FUNC AS PAY_SW, P.PRVC, C.CTY, AR.AREA,
-         B.SCENE_ADDR || B.GROUND_NM AS ADDR, ST.GROUND_NM AS STORE_NM, ST.TAG_NM, ST.SUB_TAG_NM,
-         ST.SUB_SCENE_CATGY_NM, ST.SUB_SCENE_NM, ST.BRND_NM, ST.SUB_BRND_NM
-  FROM ids T LEFT JOIN mac_b B ON T.MID = B.MID
-  LEFT JOIN prov P ON B.SCENE_PRVC_ID = P.PRVC_ID
-  LEFT JOIN city C ON B.SCENE_CTY_ID = C.CTY_ID
-  LEFT JOIN area AR ON B.SCENE_AREA_ID = AR.AREA_ID
-  LEFT JOIN smap SM ON T.MID = SM.MID
-  LEFT JOIN store ST ON SM.STORE_ID = ST.ID),
-profile AS (
-  SELECT Y.MID, K.MAC_NM, Y.SONG_WHSE_VER, Y.EXEC_VER, Y.UI_VER, Y.HARD_ID, Y.SALE_TM, Y.REV_TM,
-    K.STORE_NM AS OPER_NM,
-    CASE WHEN Y.PRVC IS NULL THEN K.PRVC ELSE Y.PRVC END AS PRVC,
-    CASE WHEN Y.CTY IS NULL THEN K.CTY ELSE Y.CTY END AS CTY,
-    K.AREA,
-    CASE WHEN Y.ADDR_FMT IS NULL THEN K.ADDR ELSE Y.ADDR_FMT END AS ADDR,
-    K.STORE_NM, K.TAG_NM AS SCENCE_CATGY, K.SUB_SCENE_CATGY_NM AS SUB_SCENCE_CATGY,
-    K.SUB_TAG_NM AS SCENE, K.SUB_SCENE_NM AS SUB_SCENE, K.BRND_NM AS BRND, K.SUB_BRND_NM AS SUB_BRND,
-    K.PKG_NM AS PRDCT_NM, CAST(2 AS INTEGER) AS PRDCT_TYP,
-    CASE WHEN K.PKG_NM = '联营版' THEN '联营' WHEN K.INV_RATE < 100 THEN '联营' ELSE '卖断' END AS BUS_MODE,
-    K.INV_RATE, K.AGE_RATE, K.COM_RATE, K.PAR_RATE,
-    CASE WHEN Y.STS IS NULL THEN K.IS_ACTV ELSE Y.STS END AS IS_ACTV,
-    K.ACTV_TM,
-    CASE WHEN Y.PAY_SW IS NULL THEN K.PAY_SW ELSE Y.PAY_SW END AS PAY_SW,
-    K.STORE_NM AS PRTN_NM, Y.CUR_LOGIN_TM, '{D}' AS data_dt
-  FROM ycak Y LEFT JOIN ycbk K ON Y.MID = K.MID)"""
-
-# ============================================================================ locations
-
-_PLACE = [
-    "ADDR", "PRVC", "CTY", "CTY_CD", "DISTRICT", "AD_CD", "TOWN_SHIP", "TOWN_CD", "NB_NM", "NB_TP",
-    "BD_NM", "BD_TP", "STREET", "STREET_NB", "STREET_LOC", "STREET_DRCTION", "STREET_DSTANCE", "BUS_INFO",
-]
+def _query(*ctes: str, body: str) -> str:
+    return "WITH " + ",\n".join(ctes) + "\n" + body
 
-GAZ = """uloc AS (
-  SELECT CAST(user_id AS VARCHAR) AS UID, CAST(event_id % 100 AS VARCHAR) AS MID,
-    CASE WHEN event_type = 'error' AND event_id % 4 = 0 THEN ''
-         ELSE CAST(CAST(floor(value) AS BIGINT) % 3 + 30 AS VARCHAR) || '.5' END AS LAT,
-    CASE WHEN event_type = 'error' AND event_id % 4 = 0 THEN ''
-         ELSE CAST(CAST(floor(value) AS BIGINT) % 2 + 110 AS VARCHAR) || '.25' END AS LNG,
-    strftime(ts, '%Y%m%d') AS data_dt
-  FROM events),
-gaz AS (
-  SELECT CAST(n_nationkey AS BIGINT) AS place_id,
-    CAST(n_nationkey % 5 * 10 + 303 AS DOUBLE) / CAST(10 AS DOUBLE) AS lat,
-    CAST(floor(n_nationkey / 5) * 7 + 1100 AS DOUBLE) / CAST(10 AS DOUBLE) AS lng,
-    r_name || ' ' || n_name AS ADDR, r_name AS PRVC, n_name AS CTY, CAST(n_nationkey AS VARCHAR) AS CTY_CD,
-    n_name || '-D' AS DISTRICT, CAST(n_nationkey + 100000 AS VARCHAR) AS AD_CD,
-    'town-' || CAST(n_nationkey % 4 AS VARCHAR) AS TOWN_SHIP, CAST(n_nationkey * 1000 AS VARCHAR) AS TOWN_CD,
-    'nb-' || CAST(n_nationkey AS VARCHAR) AS NB_NM, 'residential' AS NB_TP,
-    'bd-' || CAST(n_nationkey AS VARCHAR) AS BD_NM, 'mall' AS BD_TP,
-    n_name || ' Street' AS STREET, CAST(n_nationkey % 9 + 1 AS VARCHAR) AS STREET_NB,
-    CAST(n_nationkey AS VARCHAR) AS STREET_LOC, 'N' AS STREET_DRCTION,
-    CAST(n_nationkey * 10 AS VARCHAR) AS STREET_DSTANCE, '[]' AS BUS_INFO
-  FROM nation JOIN region ON n_regionkey = r_regionkey)"""
-
-
-def _modes(name: str, day: str) -> str:
-    lo = days_before(day, 30)
-    return f"""{name}_counts AS (
-  SELECT MID, LAT AS X, LNG AS Y, count(*) AS CNT
-  FROM (SELECT DISTINCT UID, MID, LAT, LNG FROM uloc WHERE data_dt BETWEEN '{lo}' AND '{day}')
-  GROUP BY MID, LAT, LNG),
-{name} AS (
-  SELECT MID, X, Y, CAST(CNT AS INTEGER) AS CNT FROM (
-    SELECT *, row_number() OVER (PARTITION BY MID ORDER BY CNT DESC, X, Y) AS rk FROM {name}_counts)
-  WHERE rk = 1 AND X <> '' AND Y <> '')"""
-
-
-def _located(name: str, modes: str) -> str:
-    place_cols = ", ".join(f"coalesce(b.{c}, '') AS {c}" for c in _PLACE)
-    return f"""{name}_dist AS (
-  SELECT m.MID, g.*, 2 * 6371.0088 * asin(least(1.0, sqrt(
-      pow(sin((radians(g.lat) - radians(CAST(m.X AS DOUBLE))) / 2), 2)
-      + cos(radians(CAST(m.X AS DOUBLE))) * cos(radians(g.lat))
-        * pow(sin((radians(g.lng) - radians(CAST(m.Y AS DOUBLE))) / 2), 2)))) AS d
-  FROM {modes} m, gaz g),
-{name}_best AS (
-  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY MID ORDER BY d, place_id) AS rk FROM {name}_dist)
-  WHERE rk = 1),
-{name} AS (
-  SELECT m.MID, m.X, m.Y, m.CNT, {place_cols}
-  FROM {modes} m LEFT JOIN {name}_best b ON m.MID = b.MID)"""
-
-
-LOCATIONS = f"""{GAZ},
-{_modes('modes_d', D)},
-{_modes('modes_y', D1)},
-{_located('today', 'modes_d')},
-{_located('yest', 'modes_y')},
-locations AS (
-  SELECT *, '{D}' AS data_dt FROM today
-  UNION ALL
-  SELECT Y.*, '{D}' AS data_dt FROM yest Y WHERE Y.MID NOT IN (SELECT MID FROM today))"""
-
-STAT = f"""{BRIEF},
-{PROFILES},
-{NEWU},
-{MACHINES},
-{LOCATIONS},
-brief_d AS (SELECT * FROM brief WHERE data_dt = '{D}'),
-rev AS (
-  SELECT MID, PKG_ID, PAY_TYPE, count(DISTINCT UID) AS CNSM_USR_CNT, sum(COIN_CNT * COIN_PRC) AS TOT_REV,
-         count(ORDR_ID) AS REV_ORDR_CNT
-  FROM brief_d WHERE ABN_TYP = 0 GROUP BY MID, PKG_ID, PAY_TYPE),
-ref AS (
-  SELECT MID, PKG_ID, PAY_TYPE, count(DISTINCT UID) AS REF_USR_CNT, sum(COIN_CNT * COIN_PRC) AS TOT_REF,
-         count(ORDR_ID) AS REF_ORDR_CNT
-  FROM brief_d WHERE ABN_TYP = 2 GROUP BY MID, PKG_ID, PAY_TYPE),
-stat AS (
-  SELECT A.MID, A.MAC_NM, A.PRDCT_TYP, A.STORE_NM, A.BUS_MODE, A.PAY_SW, A.SCENCE_CATGY,
-    A.SUB_SCENCE_CATGY, A.SCENE, A.SUB_SCENE, A.BRND, A.SUB_BRND,
-    coalesce(B.PRVC, A.PRVC) AS PRVC, coalesce(B.CTY, A.CTY) AS CTY, coalesce(B.DISTRICT, A.AREA) AS AREA,
-    A.PRTN_NM AS AGE_ID, A.INV_RATE, A.AGE_RATE, A.COM_RATE, A.PAR_RATE, C.PKG_ID, C.PAY_TYPE,
-    CAST(coalesce(C.CNSM_USR_CNT, 0) AS BIGINT) AS CNSM_USR_CNT,
-    CAST(coalesce(R.REF_USR_CNT, 0) AS BIGINT) AS REF_USR_CNT,
-    CAST(coalesce(E.NEW_USR_CNT, 0) AS BIGINT) AS NEW_USR_CNT,
-    CAST(coalesce(C.REV_ORDR_CNT, 0) AS BIGINT) AS REV_ORDR_CNT,
-    CAST(coalesce(R.REF_ORDR_CNT, 0) AS BIGINT) AS REF_ORDR_CNT,
-    CAST(coalesce(C.TOT_REV, 0) AS BIGINT) AS TOT_REV,
-    CAST(coalesce(R.TOT_REF, 0) AS BIGINT) AS TOT_REF,
-    '{D}' AS data_dt
-  FROM profile A
-  LEFT JOIN locations B ON A.MID = B.MID
-  LEFT JOIN rev C ON A.MID = C.MID
-  LEFT JOIN ref R ON A.MID = R.MID AND C.MID = R.MID AND C.PKG_ID = R.PKG_ID AND C.PAY_TYPE = R.PAY_TYPE
-  LEFT JOIN newu E ON A.MID = E.MID)"""
-
-_MONEY = "DECIMAL(18,4)"
 
-ORACLES.update({
-    "consumption_brief": f"WITH {BRIEF}\nSELECT * FROM brief",
-    "revenue_by_machine": f"WITH {BRIEF}\n{_by_type(0, 'REV', 'CNSM_USR_CNT')}",
-    "refund_by_machine": f"WITH {BRIEF}\n{_by_type(2, 'REF', 'REF_USR_CNT')}",
-    "user_union": f"WITH {USERS}\nSELECT * FROM users",
-    "active_profile": f"""WITH {PROFILES}
-SELECT * REPLACE (CAST(USR_EXP AS DOUBLE) AS USR_EXP, CAST(SCORE AS DOUBLE) AS SCORE,
-                  CAST(LEVEL AS DOUBLE) AS LEVEL)
-FROM profiles""",
-    "active_list": f"""WITH {PROFILES}
-SELECT A.UID,
-  CASE WHEN B.REG_CHNL = '1' THEN '微信' WHEN B.REG_CHNL = '2' THEN '支付宝'
-       WHEN B.REG_CHNL = '3' THEN 'QQ' WHEN B.REG_CHNL = '4' THEN 'APP' ELSE '未知' END AS REG_CHNL,
-  B.REF_UID,
-  CASE WHEN B.GDR = '0' THEN '不明' WHEN B.GDR = '1' THEN '男' WHEN B.GDR = '2' THEN '女' ELSE '不明' END AS GDR,
-  B.BIRTHDAY, B.MSISDN, B.REG_DT, CAST(B.LEVEL AS DOUBLE) AS LEVEL
-FROM (SELECT UID, count(DISTINCT data_dt) AS c FROM profiles
-      WHERE data_dt BETWEEN '{D7}' AND '{D}' GROUP BY UID HAVING count(DISTINCT data_dt) = 7) A,
-     profiles B
-WHERE B.data_dt = '{D}' AND A.UID = B.UID""",
-    "new_users": f"WITH {PROFILES},\n{NEWU}\nSELECT * FROM newu",
-    "machine_ids": f"WITH {MACHINES}\nSELECT MID FROM ids",
-    "machine_locations_clean": f"WITH {MACHINES}\nSELECT * FROM loc",
-    "machine_profile": f"WITH {MACHINES}\nSELECT * FROM profile",
-    "machine_mode_location": f"WITH {GAZ},\n{_modes('modes_d', D)}\nSELECT * FROM modes_d",
-    "place_lookup": f"WITH {GAZ},\n{_modes('modes_d', D)},\n{_located('today', 'modes_d')}\nSELECT * FROM today",
-    "location_rollforward": f"WITH {LOCATIONS}\nSELECT * FROM locations",
-    "machine_stat": f"WITH {STAT}\nSELECT * FROM stat",
-    "region_stat": f"""WITH {STAT}
-SELECT PRVC, CTY, CAST(count(MID) AS BIGINT) AS MAC_CNT, CAST(count(DISTINCT MID) AS BIGINT) AS MAC_DISTINCT_CNT,
-  CAST(CAST(sum(TOT_REV) AS {_MONEY}) AS DOUBLE) AS MAC_REV,
-  CAST(CAST(sum(TOT_REF) AS {_MONEY}) AS DOUBLE) AS MAC_REF,
-  CAST(sum(REV_ORDR_CNT) AS BIGINT) AS MAC_REV_ORDR_CNT, CAST(sum(REF_ORDR_CNT) AS BIGINT) AS MAC_REF_ORDR_CNT,
-  CAST(sum(CNSM_USR_CNT) AS BIGINT) AS MAC_CNSM_USR_CNT, CAST(sum(REF_USR_CNT) AS BIGINT) AS MAC_REF_USR_CNT,
-  '{D}' AS data_dt
-FROM stat WHERE data_dt = '{D}' GROUP BY PRVC, CTY""",
-    "merchant_share": f"""WITH {STAT}
-SELECT AGE_ID AS ADMIN_ID, PAY_TYPE,
-  CAST(sum(REV_ORDR_CNT) AS BIGINT) AS REV_ORDR_CNT, CAST(sum(REF_ORDR_CNT) AS BIGINT) AS REF_ORDR_CNT,
-  CAST(sum(TOT_REV) AS DOUBLE) AS TOT_REV, CAST(sum(TOT_REF) AS DOUBLE) AS TOT_REF,
-  CAST(CAST(sum(TOT_REV * coalesce(INV_RATE, 0)) AS {_MONEY}) AS DOUBLE) AS TOT_INV_REV,
-  CAST(CAST(sum(TOT_REV * coalesce(AGE_RATE, 0)) AS {_MONEY}) AS DOUBLE) AS TOT_AGE_REV,
-  CAST(CAST(sum(TOT_REV * coalesce(COM_RATE, 0)) AS {_MONEY}) AS DOUBLE) AS TOT_COM_REV,
-  CAST(CAST(sum(TOT_REV * coalesce(PAR_RATE, 0)) AS {_MONEY}) AS DOUBLE) AS TOT_PAR_REV,
-  '{D}' AS data_dt
-FROM stat WHERE data_dt = '{D}' GROUP BY AGE_ID, PAY_TYPE""",
-})
+# the number of machines is the number of suppliers
+FLEET = "fleet AS (SELECT greatest(count(*), 1) AS n FROM supplier)"
 
+# ---------------------------------------------------------------------------- log lines
 
-# ============================================================================ streaming twins
+_ORDINARY = "'MINIK_CLIENT_SONG_PLAY_OPERATE_REQ'"
+_SPECIAL = "'MINIK_CLIENT_ADVERTISEMENT_RECORD_REQ'"
+_PLAY_COLUMNS = {
+    "SONGID": "props ->> '$.k'",
+    "MID": "CAST(user_id % n AS VARCHAR)",
+    "OPTRATE_TYPE": "event_type",
+    "UID": "CAST(user_id AS VARCHAR)",
+    "CONSUME_TYPE": "CAST(CAST(event_type = 'purchase' AS INTEGER) AS VARCHAR)",
+    "DUR_TIME": "CAST(CAST(floor(value) AS BIGINT) AS VARCHAR)",
+    "SESSION_ID": "CAST(user_id AS VARCHAR) || '-' || strftime(ts, '%Y%m%d')",
+    "SONGNAME": "'song-' || (props ->> '$.k')",
+    "PKG_ID": "CAST(user_id % 5 AS VARCHAR)",
+    "ORDER_ID": "CAST(event_id AS VARCHAR)",
+    "data_dt": "strftime(ts, '%Y%m%d')",
+}
+_PLAY_SELECT = ", ".join(f"{sql} AS {name}" for name, sql in _PLAY_COLUMNS.items())
+DECODED = f"decoded AS (SELECT {_PLAY_SELECT} FROM events, fleet WHERE event_type NOT IN ('signup', 'error'))"
+_TAB_ORDER = [c for c in _PLAY_COLUMNS if c != "data_dt"]
 
-RECORDS = """rec AS (
-  SELECT epoch_us(ts) AS t, CAST(user_id % 100 AS VARCHAR) AS mid, CAST(user_id AS VARCHAR) AS uid,
-         'song-' || json_extract_string(props, '$.k') AS songname
-  FROM events)"""
+# ---------------------------------------------------------------------------- songs
 
+_ints = ",\n  ".join(f"CAST((p_size + {i}) % {i + 2} AS INTEGER) AS {name}" for i, name in enumerate(SONG_INT_COLS))
+# by part key modulo 5: the album text; modulo 4: singers named, company
+SONGS = f"""albums(r5, pattern) AS (VALUES (0, '{{}}'), (1, '《{{}}》'), (2, NULL), (3, '暂无专辑'), (4, '暂无专辑')),
+kinds(r4, named, company) AS (VALUES (0, 2, '{{}} Music'), (1, 1, '乐心曲库'), (2, 1, '乐心曲库'), (3, 0, NULL)),
+songs AS (
+  SELECT CAST(p_partkey AS VARCHAR) AS NBR,
+  p_name || if(p_partkey % 10 = 3, ' (live)', '') AS NAME,
+  CAST(p_size % 3 AS INTEGER) AS SOURCE,
+  replace(pattern, '{{}}', p_type) AS ALBUM,
+  concat('label-', p_brand) AS PRDCT,
+  ['国语', '粤语'][p_size % 2 + 1] AS LANG,
+  p_type AS VIDEO_FORMAT,
+  CAST(p_size * 10 AS INTEGER) AS DUR,
+  if(named > 0, concat('singer-', p_partkey % 97), '') AS SINGER1,
+  if(named > 1, p_type, '') AS SINGER2,
+  if(named > 0, concat(p_partkey % 97), '') AS SINGER1ID,
+  if(named > 1, concat(p_size), '') AS SINGER2ID,
+  0::INTEGER AS MAC_TIME,
+  if(r4 = 0, strftime(make_timestamp(2019, p_size % 12 + 1, 15, 20, 30, 0), '%Y-%m-%d %H:%M:%S'),
+     if(r4 = 1, strftime(epoch_ms(1500000000000 + p_partkey * 3600000), '%Y-%m-%d %H:%M:%S'), '')) AS POST_TIME,
+  upper(p_name[1]) AS PINYIN_FST,
+  p_name AS PINYIN,
+  CAST(p_partkey % 2 AS INTEGER) AS SING_TYPE,
+  p_brand AS ORI_SINGER,
+  concat('lyricist-', p_size % 7) AS LYRICIST,
+  concat('composer-', p_size % 5) AS COMPOSER,
+  {_ints},
+  replace(company, '{{}}', p_brand) AS AUTH_CO,
+  CAST(p_size % 2 AS INTEGER) AS STATE,
+  if(r4 = 0, concat(p_size, ',', p_size % 7), NULL) AS PRDCT_TYPE
+  FROM part JOIN albums ON r5 = p_partkey % 5 JOIN kinds ON r4 = p_partkey % 4)"""
+
+PLAYS = "plays AS (SELECT props ->> '$.k' AS song, user_id AS who, event_id AS id, CAST(ts AS DATE) AS d FROM events)"
+
+# the periods: name of the columns, days back
+_PERIODS = {"": 0, "RCT_7_": 7, "RCT_30_": 30}
+_MEASURES = {"SING_CNT": "count(*)", "USR_CNT": "count(DISTINCT who)", "ORDR_CNT": "count(DISTINCT id)"}
+
+
+def _asked(songs: str) -> str:
+    """Counts of every asked (song, day) over its periods, and its best days."""
+    counts = ",\n    ".join(
+        COUNT.format(f"{agg} FILTER (p.d >= a.d - {back})") + f" AS {prefix}{name}"
+        for prefix, back in _PERIODS.items() for name, agg in _MEASURES.items())
+    return f"""{PLAYS},
+asked AS ({songs}),
+sung AS (
+  SELECT a.song, a.d, {counts}
+  FROM asked a JOIN plays p ON p.song = a.song AND p.d BETWEEN a.d - 30 AND a.d GROUP BY a.song, a.d),
+heights AS (SELECT song, d, count(*) AS n FROM plays GROUP BY ALL),
+best AS (
+  SELECT a.song, a.d, {COUNT.format('coalesce(max(n) FILTER (h.d >= a.d - 7), 0)')} AS RCT_7_TOP_SING_CNT,
+    {COUNT.format('max(n)')} AS RCT_30_TOP_SING_CNT
+  FROM asked a JOIN heights h ON h.song = a.song AND h.d BETWEEN a.d - 30 AND a.d GROUP BY a.song, a.d)"""
+
+
+_PLAYED_TODAY = f"SELECT DISTINCT song, d FROM plays WHERE d = {TODAY}"
+_PLAYED_ANY_DAY = f"SELECT DISTINCT song, d FROM plays WHERE d BETWEEN {_date(FIRST_DAY)} AND {TODAY}"
+_PLAYED_LATELY = f"SELECT DISTINCT song, {TODAY} AS d FROM plays WHERE d BETWEEN {TODAY} - 30 AND {TODAY}"
+
+_SONG_FIELDS = ["NAME", "SOURCE", "ALBUM", "PRDCT", "LANG", "VIDEO_FORMAT", "DUR", "SINGER1", "SINGER2", "SINGER1ID", "SINGER2ID", "MAC_TIME"]
+_LIKES = ["SUPP_CNT", "RCT_7_SUPP_CNT", "RCT_7_TOP_SUPP_CNT", "RCT_30_SUPP_CNT", "RCT_30_TOP_SUPP_CNT"]
+
+
+def _features(songs: str) -> str:
+    measured = [f"{p}{m}" for p in _PERIODS for m in _MEASURES] + ["RCT_7_TOP_SING_CNT", "RCT_30_TOP_SING_CNT"]
+    likes = ", ".join(f"0::BIGINT AS {c}" for c in _LIKES)
+    return f"""{_asked(songs)},
+{SONGS},
+features AS (
+  SELECT NBR, {', '.join(_SONG_FIELDS)}, {', '.join(measured)}, {likes}, {_TEXT_DAY.format('sung.d')} AS data_dt
+  FROM sung JOIN best USING (song, d) JOIN songs ON NBR = song)"""
 
-def _windows(src: str, time_col: str, size_s: int, slide_s: int, cols: str) -> str:
-    """Every sliding window [start, start + size) holding ``time_col`` (microseconds)."""
-    size, slide = size_s * 1_000_000, slide_s * 1_000_000
-    n = size_s // slide_s
-    return f"""SELECT make_timestamp(s) AS window_start, make_timestamp(s + {size}) AS window_end, {cols}
-  FROM (SELECT *, ({time_col} - ({time_col} % {slide})) - k * {slide} AS s
-        FROM {src}, range(0, {n}) r(k))
-  WHERE s <= {time_col} AND {time_col} < s + {size}"""
 
+def _index(sung: str, best: str | None, days: int) -> str:
+    """Popularity: nobody likes a song here, so its 20 percent add nothing."""
+    if best is None:
+        return f"10 * pow(0.63 * 0.8 * ln({sung} + 1), 2)"
+    return f"10 * pow((0.63 * ln({sung} / {days} + 1) + 0.37 * ln({best} + 1)) * 0.8, 2)"
 
-ORACLES.update({
-    "pv_sliding": f"""WITH {RECORDS},
-w AS ({_windows('rec', 't', 60, 5, 'mid')})
-SELECT window_start, window_end, mid, CAST(count(*) AS BIGINT) AS pv FROM w GROUP BY ALL""",
-    "uv_batch5s": f"""WITH {RECORDS},
-b AS (SELECT DISTINCT t - (t % 5000000) + 4999999 AS bt, mid, uid FROM rec),
-w AS ({_windows('b', 'bt', 60, 5, 'mid, uid')})
-SELECT window_start, window_end, mid, CAST(count(*) AS BIGINT) AS uv FROM w GROUP BY window_start, window_end, mid""",
-    "uv_exact": f"""WITH {RECORDS},
-w AS ({_windows('rec', 't', 60, 5, 'mid, uid')})
-SELECT window_start, window_end, mid, CAST(count(DISTINCT uid) AS BIGINT) AS uv FROM w GROUP BY ALL""",
-    "hot_songs": f"""WITH {RECORDS},
-w AS ({_windows('rec', 't', 60, 20, 'songname')}),
-c AS (SELECT window_start, window_end, songname, CAST(count(*) AS BIGINT) AS times FROM w GROUP BY ALL)
-SELECT * FROM (
-  SELECT *, CAST(row_number() OVER (PARTITION BY window_start, window_end ORDER BY times DESC, songname)
-                 AS INTEGER) AS rank FROM c)
-WHERE rank <= 30""",
-})
 
+def _charts(source: str, names: list[str]) -> str:
+    """One row per period, ranked by index, then names."""
+    entries = ", ".join(
+        f"{{'p': '{days}', 'v': {_index(sung, best, days)}}}"
+        for days, sung, best in ((1, "SING_CNT", None), (7, "RCT_7_SING_CNT", "RCT_7_TOP_SING_CNT"), (30, "RCT_30_SING_CNT", "RCT_30_TOP_SING_CNT")))
+    listed = ", ".join(names)
+    return f"""entries AS (SELECT {listed}, data_dt, unnest([{entries}]) AS e FROM {source}),
+charts AS (
+  SELECT e.p AS PERIOD, {listed}, round(e.v, {SCORE_DIGITS}) AS RSI, data_dt,
+    CAST(row_number() OVER (PARTITION BY data_dt, e.p ORDER BY e.v DESC, {listed}) AS INTEGER) AS RSI_RANK
+  FROM entries)"""
 
-ORACLES.update({
-    "song_day": f"""WITH {PLAY}
-SELECT data_dt, SONGID AS NBR, CAST(count(*) AS BIGINT) AS SING_CNT, CAST(0 AS BIGINT) AS SUPP_CNT,
-       CAST(count(DISTINCT UID) AS BIGINT) AS USR_CNT, CAST(count(DISTINCT ORDER_ID) AS BIGINT) AS ORDR_CNT
-FROM play GROUP BY data_dt, SONGID""",
-    "song_tops": f"""WITH {PLAY},
-daily AS (SELECT data_dt, SONGID AS NBR, count(*) AS SING_CNT, 0 AS SUPP_CNT FROM play GROUP BY data_dt, SONGID)
-SELECT NBR,
-  CAST(max(CASE WHEN data_dt BETWEEN '{D7}' AND '{D}' THEN SING_CNT ELSE 0 END) AS BIGINT) AS RCT_7_TOP_SING_CNT,
-  CAST(max(CASE WHEN data_dt BETWEEN '{D7}' AND '{D}' THEN SUPP_CNT ELSE 0 END) AS BIGINT) AS RCT_7_TOP_SUPP_CNT,
-  CAST(max(SING_CNT) AS BIGINT) AS RCT_30_TOP_SING_CNT,
-  CAST(max(SUPP_CNT) AS BIGINT) AS RCT_30_TOP_SUPP_CNT
-FROM daily WHERE data_dt BETWEEN '{D30}' AND '{D}' GROUP BY NBR""",
-})
 
+_SUMMED = [c for p in ("", "RCT_7_", "RCT_7_TOP_", "RCT_30_", "RCT_30_TOP_") for c in (f"{p}SING_CNT",)]
+SINGERS = f"""singers AS (
+  SELECT SINGER1ID, SINGER1, data_dt, {', '.join(f'sum({c}) AS {c}' for c in _SUMMED)} FROM features GROUP BY ALL)"""
 
-def _stat_select(group_join: str, rev: str, ref: str) -> str:
-    return f"""SELECT A.MID, A.MAC_NM, A.PRDCT_TYP, A.STORE_NM, A.BUS_MODE, A.PAY_SW, A.SCENCE_CATGY,
-    A.SUB_SCENCE_CATGY, A.SCENE, A.SUB_SCENE, A.BRND, A.SUB_BRND,
-    coalesce(B.PRVC, A.PRVC) AS PRVC, coalesce(B.CTY, A.CTY) AS CTY, coalesce(B.DISTRICT, A.AREA) AS AREA,
-    A.PRTN_NM AS AGE_ID, A.INV_RATE, A.AGE_RATE, A.COM_RATE, A.PAR_RATE, {rev}.PKG_ID, {rev}.PAY_TYPE,
-    CAST(coalesce({rev}.CNSM_USR_CNT, 0) AS BIGINT) AS CNSM_USR_CNT,
-    CAST(coalesce({ref}.REF_USR_CNT, 0) AS BIGINT) AS REF_USR_CNT,
-    CAST(coalesce(E.NEW_USR_CNT, 0) AS BIGINT) AS NEW_USR_CNT,
-    CAST(coalesce({rev}.REV_ORDR_CNT, 0) AS BIGINT) AS REV_ORDR_CNT,
-    CAST(coalesce({ref}.REF_ORDR_CNT, 0) AS BIGINT) AS REF_ORDR_CNT,
-    CAST(coalesce({rev}.TOT_REV, 0) AS BIGINT) AS TOT_REV,
-    CAST(coalesce({ref}.TOT_REF, 0) AS BIGINT) AS TOT_REF,
-    '{D}' AS data_dt
-  FROM profile A
-  LEFT JOIN locations B ON A.MID = B.MID
-  {group_join}
-  LEFT JOIN newu E ON A.MID = E.MID"""
+_song_charts = (_features(_PLAYED_TODAY), _charts("features", ["NBR", "NAME"]))
+_singer_charts = (_features(_PLAYED_TODAY), SINGERS, _charts("singers", ["SINGER1ID", "SINGER1"]))
+_lately = ["SING_CNT", "USR_CNT", "ORDR_CNT", "RCT_7_SING_CNT", "RCT_7_TOP_SING_CNT", "RCT_7_USR_CNT", "RCT_7_ORDR_CNT",
+           "RCT_30_SING_CNT", "RCT_30_TOP_SING_CNT", "RCT_30_USR_CNT", "RCT_30_ORDR_CNT"]
 
+ORACLES: dict[str, str] = {
+    "log_split_filter": f"""SELECT {_TEXT_DAY.format('ts')} AS data_dt, {COUNT.format("count_if(event_type != 'error')")} AS kept,
+  {COUNT.format("count_if(event_type = 'error')")} AS dropped FROM events GROUP BY 1""",
+    "log_demux_counts": f"""SELECT {_TEXT_DAY.format('ts')} AS data_dt, if(event_type = 'signup', {_SPECIAL}, {_ORDINARY}) AS req_type,
+  count(*) AS n_lines FROM events WHERE event_type != 'error' GROUP BY ALL""",
+    "play_decode": _query(FLEET, DECODED, body="SELECT * FROM decoded"),
+    "play_tab_text": _query(FLEET, DECODED, body=f"SELECT concat_ws(chr(9), {', '.join(_TAB_ORDER)}) AS value, data_dt FROM decoded"),
+    "catalog_clean": _query(SONGS, body="FROM songs"),
+    "song_horizons": _query(_asked(_PLAYED_LATELY), body=f"SELECT song AS SONGID, {', '.join(_lately)} FROM sung JOIN best USING (song, d)"),
+    "song_features": _query(_features(_PLAYED_TODAY), body="FROM features"),
+    "song_features_all_days": _query(_features(_PLAYED_ANY_DAY), body="FROM features"),
+    "song_rsi": _query(*_song_charts, body="FROM charts"),
+    "song_rsi_top30": _query(*_song_charts, body="FROM charts WHERE RSI_RANK <= 30"),
+    "song_rsi_all_days": _query(_features(_PLAYED_ANY_DAY), _charts("features", ["NBR", "NAME"]), body="FROM charts"),
+    "singer_rsi": _query(*_singer_charts, body="FROM charts"),
+    "singer_rsi_top30": _query(*_singer_charts, body="FROM charts WHERE RSI_RANK <= 30"),
+    "song_day": _query(PLAYS, body=f"""SELECT {_TEXT_DAY.format('d')} AS data_dt, song AS NBR, count(*) AS SING_CNT, 0::BIGINT AS SUPP_CNT,
+  count(DISTINCT who) AS USR_CNT, count(DISTINCT id) AS ORDR_CNT FROM plays GROUP BY song, d"""),
+    "song_tops": _query(_asked(_PLAYED_LATELY), body="""SELECT song AS NBR, RCT_7_TOP_SING_CNT, 0::BIGINT AS RCT_7_TOP_SUPP_CNT,
+  RCT_30_TOP_SING_CNT, 0::BIGINT AS RCT_30_TOP_SUPP_CNT FROM best"""),
+}
+
+# ---------------------------------------------------------------------------- orders and users
+
+# order status, and whether the key is odd, to the kind of order and of abnormality
+ORDERS = f"""{FLEET},
+outcome(status, odd, kind) AS (VALUES ('F', 0, 0), ('F', 1, 0), ('P', 0, 1), ('P', 1, 1), ('O', 0, 2), ('O', 1, 2)),
+bought AS (
+  SELECT concat(o_orderkey) AS ID, concat('T', o_orderkey) AS TRD_ID, concat(o_custkey) AS UID, concat(o_custkey % n) AS MID,
+    '2' AS PRDCD_TYPE, o_orderpriority AS PAY_TYPE,
+    strftime(make_timestamp(2024, 1, day(o_orderdate), o_orderkey % 24, 0, 0), '%Y%m%d%H%M%S') AS ACT_TM,
+    if(o_orderkey % 11 = 0, NULL, concat(o_orderkey % 3)) AS PKG_ID,
+    CAST(round(o_totalprice * 100) AS BIGINT) AS COIN_PRC, 1::INTEGER AS COIN_CNT, concat(o_orderkey) AS ORDR_ID,
+    if(o_orderkey % 4 = 0, 'new-year', NULL) AS ACTV_NM, 0::BIGINT AS PKG_DSCNT, concat(o_orderkey % 2) AS CPN_TYPE,
+    kind::INTEGER AS ABN_TYP, strftime(make_date(2024, 1, day(o_orderdate)), '%Y%m%d') AS data_dt
+  FROM orders, fleet JOIN outcome ON status = o_orderstatus AND odd = o_orderkey % 2)"""
+
+
+def _money_by(kind: int, users: str, word: str) -> str:
+    return _query(ORDERS, body=f"""SELECT data_dt, MID, PKG_ID, PAY_TYPE, count(DISTINCT UID) AS {users},
+  {COUNT.format('sum(COIN_PRC * COIN_CNT)')} AS TOT_{word}, count(ORDR_ID) AS {word}_ORDR_CNT FROM bought WHERE ABN_TYP = {kind} GROUP BY ALL""")
+
+
+# market segment to channel; how its users log on and score; what it knows of them
+USERS = f"""{FLEET},
+channels(segment, code, prefix, app, checked) AS (VALUES ('AUTOMOBILE', '1', 'wx_', false, false), ('BUILDING', '2', 'ali_', false, true),
+  ('FURNITURE', '3', 'qq_', false, false), ('MACHINERY', '4', 'app_', true, false), ('HOUSEHOLD', '4', 'app_', true, false)),
+people AS (
+  SELECT concat(c_custkey) AS UID, concat(c_custkey % n) AS REG_MID, code AS REG_CHNL, concat(prefix, c_custkey) AS REF_UID,
+    if(c_custkey % 7 = 6, NULL, concat(c_nationkey % 3)) AS GDR,
+    concat(1970 + c_custkey % 30, '-0', 1 + c_custkey % 9, '-1', c_custkey % 10) AS BIRTHDAY,
+    concat('138', 10000000 + c_custkey) AS MSISDN, concat(c_nationkey) AS LOC_ID, if(app, NULL, concat(c_custkey % 3)) AS LOG_MDE,
+    strftime(DATE '2024-01-01' + CAST(c_custkey % 30 AS INTEGER), '%Y%m%d') AS REG_DT,
+    concat(printf('%02d', c_custkey % 24), '1500') AS REG_TM,
+    CAST(c_custkey % 1000 AS INTEGER) AS USR_EXP, CAST(if(app, 0, c_nationkey * 10) AS INTEGER) AS SCORE, CAST(1 + c_custkey % 5 AS INTEGER) AS LEVEL,
+    if(checked AND c_custkey % 3 = 1, '1', '2') AS USR_TYPE,
+    if(checked, concat((c_custkey + 1) % 2), NULL) AS IS_CERT, if(checked, if(c_custkey % 5 = 0, '1', '0'), NULL) AS IS_STDNT
+  FROM customer, fleet JOIN channels ON segment = c_mktsegment)"""
+SEEN = "seen AS (SELECT DISTINCT concat(user_id) AS UID, CAST(ts AS DATE) AS d FROM events)"
+SEEN_PEOPLE = f"""{USERS},
+{SEEN},
+visits AS (SELECT seen.UID, people.* EXCLUDE (UID), {_TEXT_DAY.format('d')} AS data_dt, d FROM seen LEFT JOIN people USING (UID))"""
+LABELS = """channel_names(code, label) AS (VALUES ('1', '微信'), ('2', '支付宝'), ('3', 'QQ'), ('4', 'APP')),
+gender_names(code, label) AS (VALUES ('1', '男'), ('2', '女')),
+often AS (SELECT UID, d, count(*) OVER (PARTITION BY UID ORDER BY d RANGE BETWEEN INTERVAL 7 DAY PRECEDING AND CURRENT ROW) AS days FROM seen),
+listed AS (
+  SELECT v.UID, coalesce(c.label, '未知') AS REG_CHNL, REF_UID, coalesce(g.label, '不明') AS GDR, BIRTHDAY, MSISDN, REG_DT,
+    CAST(LEVEL AS DOUBLE) AS LEVEL, data_dt
+  FROM visits v JOIN often o ON o.UID = v.UID AND o.d = v.d AND days = 7
+  LEFT JOIN channel_names c ON c.code = REG_CHNL LEFT JOIN gender_names g ON g.code = GDR)"""
+_ARRIVALS = "SELECT REG_MID AS MID, count(UID) AS NEW_USR_CNT{} FROM visits WHERE REG_DT = data_dt{} GROUP BY ALL"
 
 ORACLES.update({
-    "machine_stat_refunds": f"""WITH {STAT},
-grp AS (
-  SELECT coalesce(C.MID, R.MID) AS MID, coalesce(C.PKG_ID, R.PKG_ID) AS PKG_ID,
-         coalesce(C.PAY_TYPE, R.PAY_TYPE) AS PAY_TYPE, C.CNSM_USR_CNT, C.TOT_REV, C.REV_ORDR_CNT,
-         R.REF_USR_CNT, R.TOT_REF, R.REF_ORDR_CNT
-  FROM rev C FULL OUTER JOIN ref R
-    ON C.MID IS NOT DISTINCT FROM R.MID AND C.PKG_ID IS NOT DISTINCT FROM R.PKG_ID
-   AND C.PAY_TYPE IS NOT DISTINCT FROM R.PAY_TYPE)
-{_stat_select('LEFT JOIN grp G ON A.MID = G.MID', 'G', 'G')}""",
-    "machine_mode_location_nonblank": f"""WITH {GAZ},
-nb_counts AS (
-  SELECT MID, LAT AS X, LNG AS Y, count(*) AS CNT
-  FROM (SELECT DISTINCT UID, MID, LAT, LNG FROM uloc
-        WHERE data_dt BETWEEN '{D30}' AND '{D}' AND LAT <> '' AND LNG <> '')
-  GROUP BY MID, LAT, LNG)
-SELECT MID, X, Y, CAST(CNT AS INTEGER) AS CNT FROM (
-  SELECT *, row_number() OVER (PARTITION BY MID ORDER BY CNT DESC, X, Y) AS rk FROM nb_counts)
-WHERE rk = 1""",
+    "consumption_brief": _query(ORDERS, body="""SELECT ID, TRD_ID, UID, MID, PRDCD_TYPE, PAY_TYPE, ACT_TM, PKG_ID, COIN_PRC, COIN_CNT,
+  ACT_TM AS UPDATE_TM, ORDR_ID, ACTV_NM, COIN_PRC AS PKG_PRC, PKG_DSCNT, CPN_TYPE, ABN_TYP, data_dt FROM bought"""),
+    "revenue_by_machine": _money_by(0, "CNSM_USR_CNT", "REV"),
+    "refund_by_machine": _money_by(2, "REF_USR_CNT", "REF"),
+    "user_union": _query(USERS, body="FROM people"),
+    "active_profile": _query(SEEN_PEOPLE, body="""SELECT * EXCLUDE (d) REPLACE (USR_EXP::DOUBLE AS USR_EXP, SCORE::DOUBLE AS SCORE,
+  LEVEL::DOUBLE AS LEVEL) FROM visits"""),
+    "active_list": _query(SEEN_PEOPLE, LABELS, body=f"SELECT * EXCLUDE (data_dt) FROM listed WHERE data_dt = '{DAY}'"),
+    "active_list_all_days": _query(SEEN_PEOPLE, LABELS, body=f"FROM listed WHERE data_dt BETWEEN '{FIRST_DAY}' AND '{DAY}'"),
+    "new_users": _query(SEEN_PEOPLE, body=_ARRIVALS.format("", f" AND data_dt = '{DAY}'")),
+    "new_users_all_days": _query(SEEN_PEOPLE, body=_ARRIVALS.format(", data_dt", "")),
+    "null_text_clean": _query(FLEET, body="""SELECT concat(c_custkey) AS UID, if(c_custkey % 7 = 6, NULL, concat(c_nationkey % 3)) AS GDR,
+  if(c_custkey % 5 IN (1, 2), NULL, c_name) AS NAME, if(c_custkey % 4 = 3, NULL, concat(c_custkey % n)) AS REG_MID FROM customer, fleet"""),
 })
 
+# ---------------------------------------------------------------------------- machines
+
+# province and city that the rules read from the address of each nation, by hand
+PARSED = [
+    ("山西省太原市小店区", "山西", "太原"), ("北京市朝阳区", "北京", "朝阳"), ("重庆市城口县", "重庆", "城口"),
+    ("内蒙古自治区包头市", "内蒙古", "包头"), ("新疆维吾尔自治区伊犁哈萨克自治州", "新疆", "伊犁哈萨克自治"),
+    ("四川省甘孜州", "四川", "甘孜"), ("西藏自治区拉萨市", "西藏", "拉萨"), ("上海市浦东新区", "上海", "浦东新"),
+    ("天津市和平区", "天津", "和平"), ("广西壮族自治区南宁市青秀区", "广西", "南宁"), ("宁夏回族自治区银川市兴庆区", "宁夏", "银川"),
+    ("广东省深圳市南山区", "广东", "深圳"), ("浙江省杭州市西湖区", "浙江", "杭州"), ("江西省南昌市红谷滩区", "江西", "南昌"),
+    ("湖北省武汉市洪山区", "湖北", "武汉"), ("重庆市渝中区", "重庆", "渝中"), ("新疆维吾尔自治区乌鲁木齐市天山区", "新疆", "乌鲁木齐"),
+    ("江苏省南京市鼓楼区", "江苏", "南京"), ("香港特别行政区", "", ""), ("福建省厦门市思明区", "福建", "厦门"),
+    ("湖南省长沙市岳麓区", "湖南", "长沙"), ("云南省大理白族自治州", "云南", "大理白族自治"), ("山东省青岛市市南区", "山东", "青岛"),
+    ("河南省郑州市金水区", "河南", "郑州"), ("吉林省延边朝鲜族自治州", "吉林", "延边朝鲜族自治"),
+]
+_parsed = ", ".join(f"({i}, '{a}', '{p}', '{c}')" for i, (a, p, c) in enumerate(PARSED))
+_NEVER = "19700101000000"
+# one row per supplier: who knows the machine, and all that is said of it
+FLEET_ROWS = f"""parsed(nation, raw, province, city) AS (VALUES {_parsed}),
+machines AS (
+  SELECT s_suppkey AS k, concat(s_suppkey) AS MID, s_name, s_acctbal, s_nationkey AS nk, raw, province, city,
+    k % 10 != 3 AS in_a, k % 10 != 7 AS in_b, k % 8 != 6 AS in_store,
+    if(k % 5 <= 1, '江西', province) AS own_province, if(k % 5 IN (0, 2), '南昌', city) AS own_city,
+    if(k % 7 = 0, NULL, concat(raw, '-', k)) AS own_address,
+    ['20230105093000', '20230105000000', '{_NEVER}'][k % 3 + 1] AS revised,
+    ['20221201000000', '{_NEVER}', '20221201120000', '20221201120000'][k % 4 + 1] AS sold,
+    ['20230301101010', '20230301000000', '{_NEVER}'][k % 3 + 1] AS activated,
+    ['20230201000000', '20230201090000'][k % 2 + 1] AS ordered,
+    k % 11 != 5 AND own_province != '' AND own_city != '' AS placed
+  FROM supplier JOIN parsed ON nation = s_nationkey)"""
+
+
+def _if(flag: str, value: str) -> str:
+    return f"if({flag}, {value}, NULL)"
+
+
+_scene = {"STORE_NM": "'store-' || here.n_name", "SCENCE_CATGY": "['KTV', 'Mall'][here.n_regionkey % 2 + 1]", "SCENE": "concat('tag-', here.n_regionkey)",
+          "SUB_SCENCE_CATGY": "concat('catgy-', nk % 3)", "SUB_SCENE": "concat('scene-', nk % 4)", "BRND": "concat('brand-', here.n_regionkey)",
+          "SUB_BRND": "concat('sub-brand-', nk)"}
+_profile = {
+    "MID": "MID", "MAC_NM": _if("in_b", "'KTV-' || MID"), "SONG_WHSE_VER": _if("in_a", "concat('S', nk)"), "EXEC_VER": _if("in_a", "concat('E', k % 3)"),
+    "UI_VER": _if("in_a", "'U1'"), "HARD_ID": _if("in_a", "'HW' || MID"), "SALE_TM": _if("placed", "sold"), "REV_TM": _if("placed", "revised"),
+    "OPER_NM": _if("in_store", _scene["STORE_NM"]), "PRVC": f"coalesce({_if('placed', 'own_province')}, {_if('in_b', 'r_name')})",
+    "CTY": f"coalesce({_if('placed', 'own_city')}, {_if('in_b', 'here.n_name')})", "AREA": _if("in_b", "next.n_name || '-district'"),
+    "ADDR": f"coalesce({_if('placed', 'own_address')}, {_if('in_b AND k % 10 != 0', 'concat(' + repr('No.') + ', k, ' + repr(' Jiefang Rd ') + ', s_name)')})",
+    **{c: _if("in_store", v) for c, v in _scene.items()},
+    "PRDCT_NM": _if("in_b", "if(k % 5 = 0, '联营版', '标准版')"), "PRDCT_TYP": "2::INTEGER",
+    "BUS_MODE": "if(in_b AND (k % 5 = 0 OR k * 7 % 150 < 100), '联营', '卖断')",
+    "INV_RATE": _if("in_b", "CAST(k * 7 % 150 AS DOUBLE)"), "AGE_RATE": _if("in_b", "CAST(k % 10 AS DOUBLE)"), "COM_RATE": _if("in_b", "20::DOUBLE"),
+    "PAR_RATE": _if("in_b AND k % 9 != 0", "CAST(k % 3 AS DOUBLE)"),
+    "IS_ACTV": "if(in_a, if(s_acctbal >= 0, '1', '0'), " + _if("in_b", "concat((k + 1) % 2)") + ")",
+    "ACTV_TM": _if("in_b", "activated"), "PAY_SW": "if(in_a, concat((k + 1) % 2), " + _if("in_b", "if(k % 3 = 0, '0', '1')") + ")",
+    "PRTN_NM": _if("in_store", _scene["STORE_NM"]), "CUR_LOGIN_TM": _if("in_a", "concat('202401', printf('%02d', k % 30 + 1), '083000')"),
+}
+PROFILES = f"""{FLEET_ROWS},
+profiles AS (
+  SELECT {', '.join(f'{v} AS {c}' for c, v in _profile.items())}, '{DAY}' AS data_dt
+  FROM machines JOIN nation here ON here.n_nationkey = nk
+  JOIN nation next ON next.n_nationkey = (nk + 1) % 25 JOIN region ON r_regionkey = nk % 5
+  WHERE in_a OR in_b)"""
+
+# ---------------------------------------------------------------------------- locations
+
+_thousandths = "concat(({0}) // 1000, '.', printf('%03d', ({0}) % 1000))"
+_spot = "{low} + (m * {step} + if(user_id % 7 = 0, 11, 0)) % {span}"
+REPORTS = f"""{FLEET},
+reports AS (
+  SELECT concat(user_id) AS UID, m, concat(m) AS MID, CAST(ts AS DATE) AS d, event_type = 'error' AND event_id % 4 = 0 AS empty,
+    if(empty, '', CASE WHEN m % 50 = 7 THEN '-' || {_thousandths.format('m * 37 % 60000')} WHEN m % 41 = 5 THEN 'north'
+      WHEN m % 43 = 9 THEN '123.4' ELSE {_thousandths.format(_spot.format(low=18000, step=7919, span=36000))} END) AS X,
+    if(empty, '', CASE WHEN m % 50 = 7 THEN '-' || {_thousandths.format('m * 53 % 170000')}
+      ELSE {_thousandths.format(_spot.format(low=73000, step=6007, span=62000))} END) AS Y
+  FROM (SELECT *, event_id % (n * 20) AS m FROM events, fleet))"""
+_named = {
+    "ADDR": "r_name || ' ' || n_name", "PRVC": "r_name", "CTY": "n_name", "CTY_CD": "concat(n_nationkey)", "DISTRICT": "n_name || '-D'",
+    "AD_CD": "concat(100000 + n_nationkey)", "TOWN_SHIP": "concat('town-', n_nationkey % 4)", "TOWN_CD": "concat(n_nationkey * 1000)",
+    "NB_NM": "concat('nb-', c_custkey)", "NB_TP": "'residential'", "BD_NM": "concat('bd-', n_nationkey)", "BD_TP": "'mall'",
+    "STREET": "n_name || ' Street'", "STREET_NB": "concat(n_nationkey % 9 + 1)", "STREET_LOC": "concat(n_nationkey)", "STREET_DRCTION": "'N'",
+    "STREET_DSTANCE": "concat(n_nationkey * 10)", "BUS_INFO": "'[]'",
+}
+PLACES = f"""places AS (
+  SELECT c_custkey AS id, CAST({_thousandths.format('18000 + c_custkey * 7577 % 36000')} AS DOUBLE) AS lat,
+    CAST({_thousandths.format('73000 + c_custkey * 9973 % 62000')} AS DOUBLE) AS lng, {', '.join(f'{_named[c]} AS {c}' for c in GAZETTEER_PLACE_COLS)}
+  FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey)"""
+
+
+def _favourites(days: list[str], blanks: bool = True) -> str:
+    """Each machine's most reported spot of the 31 days that end on a day."""
+    asked = ", ".join(f"({_date(d)})" for d in days)
+    first = "" if blanks else " WHERE X != '' AND Y != ''"
+    return f"""{REPORTS},
+days(day) AS (VALUES {asked}),
+votes AS (SELECT day, MID, X, Y, count(DISTINCT UID) AS n FROM reports JOIN days ON d BETWEEN day - 30 AND day{first} GROUP BY ALL),
+chosen AS (SELECT day, MID, (list({{'X': X, 'Y': Y, 'n': n}} ORDER BY n DESC, X, Y))[1] AS c FROM votes GROUP BY ALL),
+favourites AS (SELECT day, MID, c.X AS X, c.Y AS Y, CAST(c.n AS INTEGER) AS CNT FROM chosen WHERE c.X != '' AND c.Y != '')"""
+
+
+LOCATED = f"""{PLACES},
+points AS (SELECT DISTINCT X, Y, try_cast(X AS DOUBLE) AS lat, try_cast(Y AS DOUBLE) AS lng FROM favourites),
+nearest AS (
+  SELECT X, Y, min({{'d': 2 * 6371.0088 * asin(least(1, sqrt(pow(sin((radians(q.lat) - radians(p.lat)) / 2), 2)
+      + cos(radians(p.lat)) * cos(radians(q.lat)) * pow(sin((radians(q.lng) - radians(p.lng)) / 2), 2)))), 'id': id}}).id AS id
+  FROM points p, places q WHERE p.lat BETWEEN -90 AND 90 AND p.lng BETWEEN -180 AND 180 GROUP BY X, Y),
+located AS (
+  SELECT day, MID, X, Y, CNT, {', '.join(f"coalesce({c}, '') AS {c}" for c in GAZETTEER_PLACE_COLS)}
+  FROM favourites LEFT JOIN nearest USING (X, Y) LEFT JOIN places USING (id))"""
+LATEST = f"""{_favourites([DAY, YESTERDAY])},
+{LOCATED},
+latest AS (SELECT DISTINCT ON (MID) * EXCLUDE (day), '{DAY}' AS data_dt FROM located ORDER BY MID, day DESC)"""
+
+# ---------------------------------------------------------------------------- revenue
+
+
+def _renamed(ctes: str) -> str:
+    """The shared parts name the fleet once."""
+    return ctes.replace(f"{FLEET},\n", "")
+
+
+def _statement(both: bool) -> str:
+    """One row per machine and paid group.  Refunds belong to a revenue group
+    when package and pay type are known; with ``both`` every group counts."""
+    shown = "true" if both else "PKG_ID IS NOT NULL AND PAY_TYPE IS NOT NULL"
+    rows = "true" if both else "paid > 0"
+    money = [("CNSM_USR_CNT", "payers", "true"), ("REF_USR_CNT", "returners", shown), ("REV_ORDR_CNT", "paid", "true"),
+             ("REF_ORDR_CNT", "returned", shown), ("TOT_REV", "revenue", "true"), ("TOT_REF", "refunds", shown)]
+    kept = ["MID", "MAC_NM", "PRDCT_TYP", "STORE_NM", "BUS_MODE", "PAY_SW", "SCENCE_CATGY", "SUB_SCENCE_CATGY", "SCENE", "SUB_SCENE", "BRND",
+            "SUB_BRND", "INV_RATE", "AGE_RATE", "COM_RATE", "PAR_RATE"]
+    of = "FILTER (ABN_TYP = {})"
+    return f"""{ORDERS},
+{_renamed(SEEN_PEOPLE)},
+{PROFILES},
+{_renamed(LATEST)},
+arrivals AS ({_ARRIVALS.format('', f" AND data_dt = '{DAY}'")}),
+groups AS (
+  SELECT MID, PKG_ID, PAY_TYPE, count(DISTINCT UID) {of.format(0)} AS payers, count(DISTINCT UID) {of.format(2)} AS returners,
+    count(*) {of.format(0)} AS paid, count(*) {of.format(2)} AS returned,
+    sum(COIN_PRC) {of.format(0)} AS revenue, sum(COIN_PRC) {of.format(2)} AS refunds
+  FROM bought WHERE data_dt = '{DAY}' AND ABN_TYP IN (0, 2) GROUP BY ALL),
+statement AS (
+  SELECT {', '.join('p.' + c for c in kept)}, coalesce(l.PRVC, p.PRVC) AS PRVC, coalesce(l.CTY, p.CTY) AS CTY, coalesce(l.DISTRICT, p.AREA) AS AREA,
+    PRTN_NM AS AGE_ID, PKG_ID, PAY_TYPE, {', '.join(COUNT.format(f'coalesce(if({when}, {src}, 0), 0)') + f' AS {c}' for c, src, when in money)},
+    {COUNT.format('coalesce(NEW_USR_CNT, 0)')} AS NEW_USR_CNT, '{DAY}' AS data_dt
+  FROM profiles p LEFT JOIN latest l ON l.MID = p.MID LEFT JOIN (FROM groups WHERE {rows}) g ON g.MID = p.MID
+  LEFT JOIN arrivals a ON a.MID = p.MID)"""
+
 
-ORACLES.update({
-    "log_split_filter": """
-SELECT strftime(ts, '%Y%m%d') AS data_dt,
-       CAST(count(*) FILTER (WHERE event_type <> 'error') AS BIGINT) AS kept,
-       CAST(count(*) FILTER (WHERE event_type = 'error') AS BIGINT) AS dropped
-FROM events GROUP BY 1""",
-    "address_parse": f"""WITH {MACHINES}
-SELECT MID, addr.ADDR, addr.P AS PRVC, addr.C AS CTY
-FROM sup JOIN addr ON sup.s_nationkey = addr.nk WHERE s_acctbal >= 1000""",
-    "time14_clean": f"""WITH {MACHINES}
-SELECT MID, 'A' AS system, REV_TM AS T1, SALE_TM AS T2 FROM loc_all
-UNION ALL
-SELECT MID, 'B' AS system, ACTV_TM AS T1,
-       CASE WHEN s % 2 = 0 THEN '20230201000000' ELSE '20230201090000' END AS T2
-FROM mac_b JOIN sup USING (MID)""",
-})
+def _money(expr: str) -> str:
+    return f"CAST(CAST(sum({expr}) AS DECIMAL(18, 4)) AS DOUBLE)"
 
 
-# ============================================================================ every day (range joins)
-
-F1 = FIRST_DAY
-
-FEATURES_ALL = f"""{PLAY},
-{CATALOG},
-cur AS (
-  SELECT data_dt AS D, SONGID AS NBR, count(*) AS SING_CNT, count(DISTINCT UID) AS USR_CNT,
-         count(DISTINCT ORDER_ID) AS ORDR_CNT
-  FROM play WHERE data_dt BETWEEN '{F1}' AND '{D}' GROUP BY data_dt, SONGID),
-win AS (
-  SELECT c.D, c.NBR, p.UID, p.ORDER_ID,
-         date_diff('day', strptime(p.data_dt, '%Y%m%d'), strptime(c.D, '%Y%m%d')) AS age
-  FROM cur c JOIN play p ON p.SONGID = c.NBR AND p.data_dt <= c.D
-   AND p.data_dt >= strftime(strptime(c.D, '%Y%m%d') - INTERVAL 30 DAY, '%Y%m%d')),
-agg AS (
-  SELECT D, NBR,
-    count(*) FILTER (WHERE age <= 7) AS RCT_7_SING_CNT,
-    count(DISTINCT UID) FILTER (WHERE age <= 7) AS RCT_7_USR_CNT,
-    count(DISTINCT ORDER_ID) FILTER (WHERE age <= 7) AS RCT_7_ORDR_CNT,
-    count(*) AS RCT_30_SING_CNT, count(DISTINCT UID) AS RCT_30_USR_CNT,
-    count(DISTINCT ORDER_ID) AS RCT_30_ORDR_CNT
-  FROM win GROUP BY D, NBR),
-daily AS (SELECT data_dt, SONGID AS NBR, count(*) AS c FROM play GROUP BY data_dt, SONGID),
-tops AS (
-  SELECT c.D, c.NBR,
-    max(dl.c) FILTER (WHERE date_diff('day', strptime(dl.data_dt, '%Y%m%d'), strptime(c.D, '%Y%m%d')) <= 7)
-      AS RCT_7_TOP_SING_CNT,
-    max(dl.c) AS RCT_30_TOP_SING_CNT
-  FROM cur c JOIN daily dl ON dl.NBR = c.NBR AND dl.data_dt <= c.D
-   AND dl.data_dt >= strftime(strptime(c.D, '%Y%m%d') - INTERVAL 30 DAY, '%Y%m%d')
-  GROUP BY c.D, c.NBR),
-features AS (
-  SELECT A.NBR, B.NAME, B.SOURCE, B.ALBUM, B.PRDCT, B.LANG, B.VIDEO_FORMAT, B.DUR,
-         B.SINGER1, B.SINGER2, B.SINGER1ID, B.SINGER2ID, B.MAC_TIME,
-         CAST(A.SING_CNT AS BIGINT) AS SING_CNT, CAST(0 AS BIGINT) AS SUPP_CNT,
-         CAST(A.USR_CNT AS BIGINT) AS USR_CNT, CAST(A.ORDR_CNT AS BIGINT) AS ORDR_CNT,
-         CAST(G.RCT_7_SING_CNT AS BIGINT) AS RCT_7_SING_CNT, CAST(0 AS BIGINT) AS RCT_7_SUPP_CNT,
-         CAST(T.RCT_7_TOP_SING_CNT AS BIGINT) AS RCT_7_TOP_SING_CNT, CAST(0 AS BIGINT) AS RCT_7_TOP_SUPP_CNT,
-         CAST(G.RCT_7_USR_CNT AS BIGINT) AS RCT_7_USR_CNT, CAST(G.RCT_7_ORDR_CNT AS BIGINT) AS RCT_7_ORDR_CNT,
-         CAST(G.RCT_30_SING_CNT AS BIGINT) AS RCT_30_SING_CNT, CAST(0 AS BIGINT) AS RCT_30_SUPP_CNT,
-         CAST(T.RCT_30_TOP_SING_CNT AS BIGINT) AS RCT_30_TOP_SING_CNT, CAST(0 AS BIGINT) AS RCT_30_TOP_SUPP_CNT,
-         CAST(G.RCT_30_USR_CNT AS BIGINT) AS RCT_30_USR_CNT, CAST(G.RCT_30_ORDR_CNT AS BIGINT) AS RCT_30_ORDR_CNT,
-         A.D AS data_dt
-  FROM cur A JOIN cat B ON A.NBR = B.NBR
-  JOIN agg G ON A.D = G.D AND A.NBR = G.NBR
-  JOIN tops T ON A.D = T.D AND A.NBR = T.NBR)"""
+_summed = ", ".join(f"{COUNT.format(f'sum({c})')} AS {{}}{c}" for c in ("REV_ORDR_CNT", "REF_ORDR_CNT", "CNSM_USR_CNT", "REF_USR_CNT"))
+_shares = ", ".join(f"{_money(f'TOT_REV * coalesce({r}_RATE, 0)')} AS TOT_{r}_REV" for r in ("INV", "AGE", "COM", "PAR"))
+_b_times = "SELECT MID, 'B' AS system, activated AS T1, ordered AS T2 FROM machines"
 
 ORACLES.update({
-    "song_features_all_days": f"WITH {FEATURES_ALL}\nSELECT * FROM features",
-    "song_rsi_all_days": f"""WITH {FEATURES_ALL},
-scored AS (SELECT *, {_rsi_cols()} FROM features),
-ranked AS (
-{_ranked('scored', ['NBR', 'NAME'], ['NBR'])})
-SELECT * FROM ranked""",
+    "machine_ids": _query(FLEET_ROWS, body="SELECT MID FROM machines WHERE in_a OR in_b"),
+    "address_parse": _query(FLEET_ROWS, body="SELECT MID, raw AS ADDR, province AS PRVC, city AS CTY FROM machines"),
+    "time14_clean": _query(FLEET_ROWS, body=f"SELECT MID, 'A' AS system, revised AS T1, sold AS T2 FROM machines UNION ALL {_b_times}"),
+    "machine_locations_clean": _query(FLEET_ROWS, body="""SELECT MID, own_province AS PRVC, own_city AS CTY, own_address AS ADDR_FMT,
+  revised AS REV_TM, sold AS SALE_TM FROM machines WHERE own_province != '' AND own_city != ''"""),
+    "machine_profile": _query(PROFILES, body="FROM profiles"),
+    "machine_mode_location": _query(_favourites([DAY]), body="SELECT * EXCLUDE (day) FROM favourites"),
+    "machine_mode_location_nonblank": _query(_favourites([DAY], blanks=False), body="SELECT * EXCLUDE (day) FROM favourites"),
+    "place_lookup": _query(_favourites([DAY]), LOCATED, body="SELECT * EXCLUDE (day) FROM located"),
+    "location_rollforward": _query(LATEST, body="FROM latest"),
+    "machine_stat": _query(_statement(False), body="FROM statement"),
+    "machine_stat_refunds": _query(_statement(True), body="FROM statement"),
+    "region_stat": _query(_statement(False), body=f"""SELECT PRVC, CTY, count(MID) AS MAC_CNT, count(DISTINCT MID) AS MAC_DISTINCT_CNT,
+  {_money('TOT_REV')} AS MAC_REV, {_money('TOT_REF')} AS MAC_REF, {_summed.format(*['MAC_'] * 4)}, '{DAY}' AS data_dt FROM statement GROUP BY PRVC, CTY"""),
+    "merchant_share": _query(_statement(False), body=f"""SELECT AGE_ID AS ADMIN_ID, PAY_TYPE, {COUNT.format('sum(REV_ORDR_CNT)')} AS REV_ORDR_CNT,
+  {COUNT.format('sum(REF_ORDR_CNT)')} AS REF_ORDR_CNT, CAST(sum(TOT_REV) AS DOUBLE) AS TOT_REV, CAST(sum(TOT_REF) AS DOUBLE) AS TOT_REF,
+  {_shares}, '{DAY}' AS data_dt FROM statement GROUP BY AGE_ID, PAY_TYPE"""),
 })
 
+# ---------------------------------------------------------------------------- sliding windows
 
-ORACLES.update({
-    "active_list_all_days": f"""WITH {PROFILES},
-days AS (SELECT DISTINCT UID, data_dt FROM profiles),
-counted AS (
-  SELECT a.UID, a.data_dt, count(*) AS c
-  FROM days a JOIN days b ON a.UID = b.UID AND b.data_dt <= a.data_dt
-   AND b.data_dt >= strftime(strptime(a.data_dt, '%Y%m%d') - INTERVAL 7 DAY, '%Y%m%d')
-  WHERE a.data_dt BETWEEN '{F1}' AND '{D}'
-  GROUP BY a.UID, a.data_dt)
-SELECT B.UID,
-  CASE WHEN B.REG_CHNL = '1' THEN '微信' WHEN B.REG_CHNL = '2' THEN '支付宝'
-       WHEN B.REG_CHNL = '3' THEN 'QQ' WHEN B.REG_CHNL = '4' THEN 'APP' ELSE '未知' END AS REG_CHNL,
-  B.REF_UID,
-  CASE WHEN B.GDR = '0' THEN '不明' WHEN B.GDR = '1' THEN '男' WHEN B.GDR = '2' THEN '女' ELSE '不明' END AS GDR,
-  B.BIRTHDAY, B.MSISDN, B.REG_DT, CAST(B.LEVEL AS DOUBLE) AS LEVEL, B.data_dt
-FROM counted A JOIN profiles B ON A.UID = B.UID AND A.data_dt = B.data_dt
-WHERE A.c = 7""",
-})
+_START = "epoch_us(TIMESTAMP '2024-01-01 00:00:00')"
+RECORDS = f"""{FLEET},
+records AS (
+  SELECT {_START} + (epoch_us(ts) - {_START}) // 3600 AS t, concat(user_id % n) AS mid, if(event_id % 23 = 0, NULL, concat(user_id)) AS uid,
+    props ->> '$.k' AS songid, 'song-' || (props ->> '$.k') AS songname
+  FROM events, fleet)"""
+
+
+def _opened(rows: str, seconds: int, slide: int) -> str:
+    """Every row once per window that is open at its time ``t``."""
+    return f"""opened AS (
+  SELECT *, make_timestamp(start) AS window_start, make_timestamp(start + {seconds * 10**6}) AS window_end
+  FROM (SELECT *, (t // {slide * 10**6} - unnest(range({seconds // slide}))) * {slide * 10**6} AS start FROM {rows}))"""
 
 
+_BY = "window_start, window_end, mid"
 ORACLES.update({
-    "new_users_all_days": f"""WITH {PROFILES}
-SELECT data_dt, REG_MID AS MID, CAST(count(UID) AS BIGINT) AS NEW_USR_CNT
-FROM profiles WHERE REG_DT = data_dt GROUP BY data_dt, REG_MID""",
+    "pv_sliding": _query(RECORDS, _opened("records", 60, 5), body=f"SELECT {_BY}, count(*) AS pv FROM opened GROUP BY ALL"),
+    "uv_exact": _query(RECORDS, _opened("records", 60, 5), body=f"SELECT {_BY}, count(DISTINCT uid) AS uv FROM opened GROUP BY ALL"),
+    "pv_uv": _query(RECORDS, _opened("records", 60, 5), body=f"SELECT {_BY}, count(*) AS pv, count(DISTINCT uid) AS uv FROM opened GROUP BY ALL"),
+    "uv_batch5s": _query(RECORDS, "buckets AS (SELECT DISTINCT t // 5000000 * 5000000 AS t, mid, uid FROM records)", _opened("buckets", 60, 5),
+                         body=f"SELECT {_BY}, count(uid) AS uv FROM opened GROUP BY ALL"),
+    "hot_songs": _query(RECORDS, _opened("records", 60, 20), "tally AS (SELECT window_start, window_end, songname, count(*) AS times FROM opened GROUP BY ALL)",
+                        body="""SELECT *, CAST(row_number() OVER (PARTITION BY window_start ORDER BY times DESC, songname) AS INTEGER) AS rank
+FROM tally QUALIFY rank <= 30"""),
+    "record_parse": _query(RECORDS, body=f"""SELECT date_trunc('minute', make_timestamp(t)) AS minute, count_if(whole) AS kept,
+  count(if(whole, uid, NULL)) AS with_user, {COUNT.format('coalesce(sum(length(songname)) FILTER (whole), 0)')} AS name_chars,
+  count_if(NOT whole) AS malformed FROM (SELECT *, songid::BIGINT % 19 != 7 AS whole FROM records) GROUP BY 1"""),
 })
