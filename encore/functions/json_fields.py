@@ -84,7 +84,3 @@ def auth_company(c: ColumnOrName) -> Column:
     col = as_col(c)
     parsable = F.json_object_keys(col).isNotNull()
     return F.when(parsable, F.get_json_object(col, "$.name")).otherwise(F.lit(DEFAULT_COMPANY))
-
-
-def json_text_field(c: ColumnOrName, key: str) -> Column:
-    return F.get_json_object(as_col(c), f"$.{key}")

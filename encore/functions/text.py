@@ -37,11 +37,6 @@ def null_to_empty(c: ColumnOrName) -> Column:
     return F.coalesce(as_col(c).cast("string"), F.lit(""))
 
 
-def concat_strict(*cols: ColumnOrName) -> Column:
-    """``CONCAT`` with SQL semantics: NULL if any part is NULL."""
-    return F.concat(*[as_col(c) for c in cols])
-
-
 # ---------------------------------------------------------------------------
 # Address parsing.  Fixed values of the data model:
 # the province-level names matched in the free-text address, in the order

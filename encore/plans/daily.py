@@ -21,7 +21,7 @@ from ..operators import content, location, machine, revenue, users
 from ..session import release_materialized
 from ..sinks import overwrite_table, stamp_day, write_mart, write_partition
 from ..sources import schemas
-from ..sources.tables import _exists, on_day
+from ..sources.tables import _exists, on_day, read_table
 
 TABLES = {
     "requests": "ALL_CLIENT_TABLES",
@@ -214,6 +214,19 @@ def backfill_sketches(spark: SparkSession, wh: Warehouse, raw: RawTables, first_
     write_partition(content.song_day_sketches(between_days(raw.play_log, first_day, last_day)), wh.path("song_sketch"))
 
 
+def raw_from_tables(spark: SparkSession, root: str, wh: Warehouse | None = None, fmt: str = "parquet") -> RawTables:
+    """The raw layer under ``root``; the play log is the one that ``run_ingest``
+    wrote into the warehouse, where there is one."""
+    from ..sources.raw_tables import RAW_LAYER, read_raw
+
+    tables = {name: read_raw(spark, root, name, fmt) for name in RAW_LAYER if name != "play_log"}
+    if wh is not None and _exists(spark, wh.path("play_log")):
+        play_log = read_table(spark, wh.path("play_log"), schemas.PLAY_LOG)
+    else:
+        play_log = read_raw(spark, root, "play_log", fmt)
+    return RawTables(play_log=play_log, **tables)
+
+
 def raw_from_driver(spark: SparkSession, sf_dir: str) -> RawTables:
     """The stand-in raw tables derived from the driver's tables."""
     from ..sources import driver_tables as dt

@@ -37,6 +37,19 @@ def read_jdbc_table(
     )
 
 
-def import_snapshot(df: DataFrame, path: str) -> None:
-    """Replace the target directory with the snapshot."""
-    df.write.mode("overwrite").parquet(path)
+def import_table(spark: SparkSession, root: str, field: str, url: str, table: str, properties: dict[str, str],
+                 partition_column: str | None = None, num_partitions: int = 1) -> None:
+    """J0: one relational table into the raw layer, split by ranges of a numeric
+    column between its least and greatest value."""
+    from .raw_tables import write_raw
+
+    if partition_column is None:
+        df = read_jdbc_table(spark, url, table, properties)
+    else:
+        bounds = read_jdbc_table(
+            spark, url, f"(SELECT MIN({partition_column}) AS LOW, MAX({partition_column}) AS HIGH FROM {table}) B", properties).first()
+        if bounds is None or bounds[0] is None:
+            df = read_jdbc_table(spark, url, table, properties)
+        else:
+            df = read_jdbc_table(spark, url, table, properties, partition_column, int(bounds[0]), int(bounds[1]) + 1, num_partitions)
+    write_raw(df, root, field)

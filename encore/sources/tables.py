@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -93,14 +91,6 @@ def between_days(df: DataFrame, first: str, last: str) -> DataFrame:
     return df.where(F.col(PARTITION_COL).between(F.lit(first), F.lit(last)))
 
 
-def read_day_or_empty(spark: SparkSession, path: str, schema: T.StructType, day: str) -> DataFrame:
-    """One partition of a table, or an empty frame when the table/partition is absent."""
-    part = os.path.join(path, f"{PARTITION_COL}={day}")
-    if not _exists(spark, part):
-        return spark.createDataFrame([], schema)
-    return on_day(read_table(spark, path, schema), day)
-
-
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()

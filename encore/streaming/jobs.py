@@ -28,7 +28,9 @@ DEFAULT_WATERMARK = "30 seconds"
 
 
 def kafka_records(spark: SparkSession, servers: str, topic: str, starting_offsets: str = "earliest") -> DataFrame:
-    """Kafka topic -> records (needs the Kafka connector on the classpath)."""
+    """Kafka topic -> records (needs the Kafka connector on the classpath).
+    ``starting_offsets``: "earliest", "latest" or the connector's JSON of
+    offsets per topic and partition; a checkpoint, once there, goes first."""
     raw = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
@@ -52,10 +54,17 @@ def _apply_conf(spark: SparkSession) -> None:
         spark.conf.set(k, v)
 
 
+def jdbc_board(url: str, table: str, properties: dict[str, str] | None = None):
+    """A writer that replaces a relational board (see ``TopKReplaceSink``)."""
+    from ..sinks import write_mart
+
+    return lambda ranked, target: write_mart(ranked, table, jdbc_url=url, properties=properties)
+
+
 def start_hot_songs(records: DataFrame, out_path: str, name: str = "hot_songs",
                     watermark: str = DEFAULT_WATERMARK, trigger: dict | None = None,
                     checkpoint_root: str | None = None, key: str = "songname",
-                    arrival_time: bool = False) -> StreamingQuery:
+                    arrival_time: bool = False, write=None) -> StreamingQuery:
     """J13: song counts per sliding window, top 30 per window.
 
     Append mode: a window is emitted once, complete, when the watermark
@@ -68,7 +77,7 @@ def start_hot_songs(records: DataFrame, out_path: str, name: str = "hot_songs",
     counts = W.song_counts(records, key=key, watermark=watermark, panes=True)
     return (
         counts.writeStream.outputMode("append")
-        .foreachBatch(TopKReplaceSink(out_path, key=key))
+        .foreachBatch(TopKReplaceSink(out_path, key=key, write=write))
         .option("checkpointLocation", sub_dir(root, name))
         .trigger(**(trigger or {"processingTime": HOT_TRIGGER}))
         .queryName(name)
@@ -79,19 +88,44 @@ def start_hot_songs(records: DataFrame, out_path: str, name: str = "hot_songs",
 def start_pv_uv(records: DataFrame, out_path: str, name: str = "pv_uv", exact_uv: bool = True,
                 watermark: str = DEFAULT_WATERMARK, trigger: dict | None = None,
                 checkpoint_root: str | None = None,
-                arrival_time: bool = False) -> tuple[StreamingQuery, ...]:
+                arrival_time: bool = False, refresh: bool = False) -> tuple[StreamingQuery, ...]:
     """J14: page views and visitors per machine, upserted by machine into
     ``out_path/pv`` and ``out_path/uv``.
 
     Exact visitors: ONE query (one read of the stream) feeds both tables.
     The original per-batch visitor form needs its own bucketed chain, so it
-    runs as a second query."""
+    runs as a second query.
+
+    A window is written when it is complete.  With ``refresh`` page views are
+    written at every trigger, also of windows still open (update mode, which a
+    single aggregation allows), by a query of their own; the newest window per
+    machine wins in the table, and a later count of a window replaces it."""
     if arrival_time:
         records, watermark = W.by_arrival(records), "0 seconds"
     spark = records.sparkSession
     _apply_conf(spark)
     root = checkpoint_root or checkpoint_dir(spark)
     trig = trigger or {"processingTime": PV_TRIGGER}
+    if refresh:
+        pv = (
+            W.pv_counts(records, watermark=watermark)
+            .writeStream.outputMode("update")
+            .foreachBatch(KeyedUpsertSink(sub_dir(out_path, "pv"), ["mid"]))
+            .option("checkpointLocation", sub_dir(root, f"{name}_pv_refresh"))
+            .trigger(**trig)
+            .queryName(f"{name}_pv_refresh")
+            .start()
+        )
+        uv = (
+            W.uv_exact_counts(records, watermark=watermark, panes=True)
+            .writeStream.outputMode("append")
+            .foreachBatch(KeyedUpsertSink(sub_dir(out_path, "uv"), ["mid"]))
+            .option("checkpointLocation", sub_dir(root, f"{name}_uv"))
+            .trigger(**trig)
+            .queryName(f"{name}_uv")
+            .start()
+        )
+        return pv, uv
     if exact_uv:
         both = (
             W.pv_uv_counts(records, watermark=watermark, panes=True)

@@ -1,5 +1,7 @@
 """Golden rows and invariants of the job operators."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from encore.operators import content, location, revenue, users
@@ -174,6 +176,8 @@ def test_plans_stay_distributed_and_jvm_side(spark):
     """No registered query funnels all rows into one partition or calls Python per row."""
     for name, fn in registry.QUERIES.items():
         plan = fn(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        # the engine's own runtime filters gather one sketch
+        plan = re.sub(r"Exchange SinglePartition[^\n]*\n[^\n]*partial_bloom_filter_agg", "", plan)
         assert "SinglePartition" not in plan, name
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
 
