@@ -14,6 +14,7 @@ from encore.llm.exact_dedup import exact_groups
 from encore.llm.labelled import bucket_of
 from encore.llm.mixing import mix
 from encore.llm.ngram_jaccard import ngram_components
+from encore.llm.oracle_sql import ORACLES  # noqa: F401 (read by the entry module)
 from encore.llm.quality_rules import quality_rules
 from encore.llm.sentencepiece_scan import token_digests
 from encore.llm.suffix_dedup import remove_repeats
@@ -46,7 +47,8 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules(table(spark, sf_dir, "documents"))
+    out = quality_rules(table(spark, sf_dir, "documents"))
+    return out.withColumns({c: F.round(c, 6) for c in ("char_distance", "word_distance")})
 
 
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,5 +107,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_compression_quality": op9_compression_quality,
     "op10_token_counts": op10_token_counts,
 }
-
-ORACLES: dict[str, str] = {}
