@@ -64,7 +64,7 @@ judged AS (
   LEFT JOIN own oc ON oc.kind = 'c' AND oc.lang = c.lang LEFT JOIN own ow ON ow.kind = 'w' AND ow.lang = c.lang),
 measured AS (SELECT *, {_js('chars', 'rc', 'cd')}, {_js('used', 'rw', 'wd')} FROM judged)
 SELECT doc_id, n_words, word_chars, CAST(found[{list(CLASSES).index('symbol') + 1}] AS BIGINT) AS n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND coalesce(cd, 0) <= 0.2 AND coalesce(wd, 0) <= 0.6 AS kept, round(cd, 6) AS char_distance, round(wd, 6) AS word_distance
+  NOT base_failed AND coalesce(cd, 0) <= 0.27 AND coalesce(wd, 0) <= 0.6 AS kept, round(cd, 6) AS char_distance, round(wd, 6) AS word_distance
 FROM measured"""
 
 ORACLES: dict[str, str] = {"op2_quality_rules": QUALITY, "op5_warc": WARC, "op8_exact_dedup": EXACT}

@@ -123,7 +123,7 @@ def js_distance(p: Column, q: Column) -> Column:
 
 
 def quality_rules(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", min_words: int = 30,
-                  min_reference: int = 20_000, max_char_distance: float = 0.2,
+                  min_reference: int = 20_000, max_char_distance: float = 0.27,
                   max_word_distance: float = 0.6, **ids: str) -> DataFrame:
     """One row per row of ``docs``: id, counts, ``base_failed``, ``kept``,
     ``char_distance``, ``word_distance`` (null where a guard holds)."""
