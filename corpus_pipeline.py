@@ -3,7 +3,11 @@
 Every stage takes (spark, docs, sf_dir) and works on all that the stage
 before kept; ``run`` writes each stage's result as Parquet in the shared
 folder and reads it again as the next one's documents.  All stages but the
-last return the columns of ``documents``.
+last return the columns of ``documents``, whatever they are, unchanged.
+
+Defined cases: an empty table stays empty; rows with a null id cannot be
+named by a decision and stay (copies of each other are merged); a null text
+counts as empty; repeated rows become one in the second stage.
 """
 
 from __future__ import annotations
@@ -11,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from encore.llm.common import Workspace, keep_ids
+from encore.llm.common import WS, Workspace, keep_ids
 from encore.llm.compression_quality import quality_scores
 from encore.llm.exact_dedup import exact_groups
 from encore.llm.mixing import mix
@@ -37,9 +41,15 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Exact copies: the row with the smallest id stays."""
-    groups = exact_groups(docs)
-    return _leave(docs, groups.where("not kept").select("doc_id"))
+    """Exact copies: the row with the smallest id stays; of repeated rows of
+    one id, one."""
+    groups = Workspace(spark, "groups").put(exact_groups(docs))
+    stay = groups.where("kept").select("doc_id")
+    left = _leave(docs, groups.where("not kept").select("doc_id").join(stay, "doc_id", "left_anti"))
+    if groups.groupBy("doc_id").count().where("count > 1").isEmpty():
+        return left
+    body = F.regexp_replace(F.coalesce("text", F.lit("")), f"[{WS}]+", " ")
+    return left.withColumn("_body", body).dropDuplicates(["doc_id", "_body"]).drop("_body")
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
