@@ -93,26 +93,29 @@ def sparse_suffixes(text: bytes, length: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _scan(length: int):
-    """Per text: size, digest, sparse suffixes."""
+    """Per text: size, digest, distinct keys of its sparse suffixes, and which
+    of them it has twice (a text that repeats itself has few distinct ones)."""
 
     def run(batches):
         for batch in batches:
-            size, sha, key, place = [], [], [], []
+            size, sha, key, twice = [], [], [], []
             for text in texts_of(batch):
-                p, k = sparse_suffixes(text, length)
+                distinct, count = np.unique(sparse_suffixes(text, length)[1], return_counts=True)
                 size.append(len(text))
                 sha.append(hashlib.sha256(text).digest())
-                place.append(p.astype(np.int32) if len(text) < 1 << 31 else p)
-                key.append(k.view(np.int64))
+                key.append(distinct.view(np.int64))
+                twice.append(count > 1)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(size, pa.int64()), pa.array(sha, pa.binary()), pa.array(key, pa.list_(pa.int64())),
-                 pa.array(place, pa.list_(pa.int64()))], ["doc_id", "n_bytes", "sha", "keys", "places"])
+                 pa.array(twice, pa.list_(pa.bool_()))], ["doc_id", "n_bytes", "sha", "keys", "twice"])
 
     return run
 
 
 class SuffixFamily:
-    """Levels of sorted sparse suffixes (key, rid, place) in the shared folder."""
+    """Levels of sorted sparse suffixes (key, rid, twice) in the shared folder:
+    a suffix is found again in its text by its key.  The ranges are cut by key
+    and text, so a key that a third of all texts have spans many tasks."""
 
     def __init__(self, ws: Workspace):
         self.ws = ws
@@ -120,15 +123,15 @@ class SuffixFamily:
         self.hits: list[DataFrame] = []
 
     def _array(self, suffixes: DataFrame) -> DataFrame:
-        return self.ws.put(suffixes.repartitionByRange("key").sortWithinPartitions("key", "rid", "place"))
+        return self.ws.put(suffixes.repartitionByRange("key", "rid").sortWithinPartitions("key", "rid"))
 
     def add(self, suffixes: DataFrame) -> None:
         """Merge-scan a batch against the family, then let it enter."""
         array = self._array(suffixes)
-        own = array.groupBy("key").agg(F.count("*").alias("n"))
-        found = own.where("n > 1").select("key")
+        own = array.groupBy("key").agg(F.count("*").alias("n"), F.max("twice").alias("twice"))
+        found = own.where("n > 1 or twice").select("key")
         for _, level in self.levels:
-            found = found.unionByName(own.select("key").hint("merge").join(level.select("key"), "key", "left_semi"))
+            found = found.unionByName(own.select("key").hint("merge").join(level.select("key").distinct(), "key", "left_semi"))
         self.hits.append(self.ws.put(found.distinct()))
         size = 1
         while self.levels and self.levels[-1][0] == size:
@@ -174,9 +177,11 @@ def _surroundings(length: int):
         held = 0
         for batch in batches:
             out: list[tuple] = []
-            cols = [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("rid", "keys", "places")]
-            for rid, keys, places, text in zip(*cols, texts_of(batch), strict=True):
-                for key, place in zip(keys, places, strict=True):
+            cols = [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("rid", "keys")]
+            for rid, hits, text in zip(*cols, texts_of(batch), strict=True):
+                places, keys = sparse_suffixes(text, length)
+                hit = np.isin(keys.view(np.int64), np.array(hits, dtype=np.int64))
+                for key, place in zip(keys.view(np.int64)[hit].tolist(), places[hit].tolist(), strict=True):
                     begin = max(0, place - side)
                     body = text[begin:place + length]
                     digest = hashlib.blake2b(body + (place - begin).to_bytes(4, "little"), digest_size=16).digest()
@@ -362,28 +367,28 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES
     spark = docs.sparkSession
     ws = Workspace(spark, "suffix")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    scan = ws.put(rows.mapInArrow(_scan(length), "doc_id long, n_bytes long, sha binary, keys array<long>, places array<long>"))
+    scan = ws.put(rows.mapInArrow(_scan(length), "doc_id long, n_bytes long, sha binary, keys array<long>, twice array<boolean>"))
 
     # one row of each text takes part; it is named by a number
     distinct = scan.groupBy("sha").agg(F.count("*").alias("rows"))
     distinct = ws.put(distinct.withColumn("rid", F.monotonically_increasing_id()))
-    suffixes = scan.where(F.size("keys") > 0).join(distinct, "sha").select("sha", "rid", "rows", "keys", "places")
+    suffixes = scan.where(F.size("keys") > 0).join(distinct, "sha").select("sha", "rid", "rows", "keys", "twice")
     copied = suffixes.where("rows > 1").dropDuplicates(["rid"])
     suffixes = suffixes.where("rows = 1").unionByName(copied)
-    suffixes = ws.put(suffixes.select("rid", F.explode(F.arrays_zip("keys", "places")).alias("s")).select(
-        F.col("s.keys").alias("key"), "rid", F.col("s.places").alias("place")))
+    suffixes = ws.put(suffixes.select("rid", F.explode(F.arrays_zip("keys", "twice")).alias("s")).select(
+        F.col("s.keys").alias("key"), "rid", F.col("s.twice").alias("twice")))
     family = SuffixFamily(ws)
     for batch in range(batches):
         family.add(suffixes.where(F.pmod(F.xxhash64("rid"), F.lit(batches)) == batch))
     ws.drop(suffixes)
-    hits = family.hit_suffixes().groupBy("rid").agg(F.collect_list(F.struct("key", "place")).alias("s"))  # of one text
-    hits = ws.put(hits.join(distinct, "rid").select("rid", "sha", "s.key", "s.place").toDF("rid", "sha", "keys", "places"))
+    hits = family.hit_suffixes().groupBy("rid").agg(F.collect_list("key").alias("keys"))  # of one text
+    hits = ws.put(hits.join(distinct, "rid").select("rid", "sha", "keys"))
     family.close()
 
     # texts with hits, and what surrounds the hits
     need = ws.put(hits.select("sha"))
     texts = keep_ids(rows.select(F.unhex(F.sha2("text", 256)).alias("sha"), "text"), need, ["sha"])
-    texts = ws.put(texts.join(hits, "sha").select("rid", "text", "keys", "places").dropDuplicates(["rid"]), compression="zstd")
+    texts = ws.put(texts.join(hits, "sha").select("rid", "text", "keys").dropDuplicates(["rid"]), compression="zstd")
     found = ws.put(texts.mapInArrow(_surroundings(length), "kind int, rid long, place long, key long, c1 long, c2 long, l int, body binary, n long"),
                    text_batch=64, compression="zstd")
     around = found.where("kind = 1").select("key", "c1", "c2", "l", "body", "n")

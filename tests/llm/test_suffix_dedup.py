@@ -77,8 +77,8 @@ def test_levels_merge_geometrically(spark):
 
     family = S.SuffixFamily(Workspace(spark, "levels"))
     for i in range(5):
-        family.add(spark.createDataFrame([(k, i, k) for k in range(i, i + 3)], "key long, rid long, place long"))
+        family.add(spark.createDataFrame([(k, i, k == 6) for k in range(i, i + 3)], "key long, rid long, twice boolean"))
     assert [n for n, _ in family.levels] == [4, 1]
     hit = family.hit_suffixes()
-    assert sorted({r["key"] for r in hit.collect()}) == [1, 2, 3, 4, 5]
-    assert hit.count() == 13
+    assert sorted({r["key"] for r in hit.collect()}) == [1, 2, 3, 4, 5, 6]
+    assert hit.count() == 14
