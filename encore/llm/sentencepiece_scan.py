@@ -572,19 +572,23 @@ def _traced(path: str):
 def _long_ids(ws: Workspace, rows: DataFrame, path: str, chunk: int) -> DataFrame:
     """(rid, ids) of texts that are cut into chunks."""
     parts = ws.put(rows.mapInArrow(_cut(path, chunk), "rid long, no int, part string, size int"), text_batch=1, compression="zstd")
-    dealt = parts.repartition("rid", "no")
+    # few bytes are much work here: a fixed number of tasks, which run-time
+    # planning does not merge
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = parts.repartition(tasks, "rid", "no")
     matrices = ws.put(dealt.mapInArrow(_matrices(path), "rid long, no int, m array<double>").withColumn("block", F.expr(f"no div {COMBINE}").cast("int")))
     blocks = matrices.groupBy("rid", "block").applyInPandas(_block_product, "rid long, block int, m array<double>")
     before = blocks.groupBy("rid").applyInPandas(lambda f: _scan(f, "block"), "rid long, block int, v array<double>")
     vectors = ws.put(matrices.join(before, ["rid", "block"]).groupBy("rid", "block").applyInPandas(
         lambda f: _scan(f, "no"), "rid long, no int, v array<double>"))
-    maps = parts.join(vectors, ["rid", "no"]).select("rid", "no", "part", "size", "v").mapInArrow(_entry_maps(path), "rid long, no int, enter array<int>")
+    entered = ws.put(parts.join(vectors, ["rid", "no"]).select("rid", "no", "part", "size", "v"), compression="zstd")
+    maps = entered.repartition(tasks, "rid", "no").mapInArrow(_entry_maps(path), "rid long, no int, enter array<int>")
     leave = ws.put(maps.groupBy("rid").applyInPandas(_states, "rid long, no int, leave int"))
-    ids = parts.join(vectors, ["rid", "no"]).join(leave, ["rid", "no"]).select("rid", "no", "part", "size", "v", "leave").mapInArrow(
+    ids = entered.join(leave, ["rid", "no"]).select("rid", "no", "part", "size", "v", "leave").repartition(tasks, "rid", "no").mapInArrow(
         _traced(path), "rid long, no int, ids array<int>")
     ids = ids.groupBy("rid").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("no", "ids"))), lambda x: x["ids"])).alias("ids"))
     out = ws.put(ids)
-    ws.drop(parts, matrices, vectors, leave)
+    ws.drop(parts, entered, matrices, vectors, leave)
     return out
 
 
