@@ -44,6 +44,9 @@ def main() -> None:
     events = dt.load(spark, sf, "events")
     hot = events.withColumn(
         "props", F.when(F.col("event_id") % 3 == 0, F.lit('{"k": 0}')).otherwise(F.col("props"))
+    ).withColumn(
+        # "no user" (NULL, and user 0) makes half of the hot song's plays
+        "user_id", F.when(F.col("event_id") % 12 == 0, F.lit(0)).when(F.col("event_id") % 12 != 6, F.col("user_id"))
     )
     log = dt.play_log(hot)
     catalog = content.clean_catalog(dt.song_catalog(dt.load(spark, sf, "part")))
