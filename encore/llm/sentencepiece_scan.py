@@ -68,32 +68,44 @@ _BASE = 0x5851F42D4C957F2D
 
 class KnownWords:
     """Segmentations of words met before, by hash; the first KNOWN words that
-    a worker meets are kept, the others are solved again in every batch."""
+    a worker meets are kept, the others are solved again when they come."""
 
     def __init__(self):
         self.hashes, self.first, self.count = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
-        self.ids = np.empty(0, np.int32)
+        self.score, self.ids = np.empty(0), np.empty(0, np.int32)
+        self.waiting: list[tuple] = []
+        self.n_waiting = 0
 
     def look_up(self, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(where the ids begin or -1, how many, all ids)."""
+        """(where the ids begin or -1, how many, score)."""
         if not len(self.hashes):
-            return np.full(len(value), -1), np.zeros(len(value), np.int64), self.ids
+            return np.full(len(value), -1), np.zeros(len(value), np.int64), np.zeros(len(value))
         at = np.searchsorted(self.hashes, value)
         at[at == len(self.hashes)] = 0
         hit = self.hashes[at] == value
-        return np.where(hit, self.first[at], -1), np.where(hit, self.count[at], 0), self.ids
+        return np.where(hit, self.first[at], -1), np.where(hit, self.count[at], 0), np.where(hit, self.score[at], 0.0)
 
-    def add(self, value: np.ndarray, count: np.ndarray, ids: np.ndarray) -> None:
-        """Words in ascending order of their hashes, ids one after another."""
-        room = min(len(value), max(0, KNOWN - len(self.hashes)))
-        if not room:
+    def add(self, value: np.ndarray, count: np.ndarray, score: np.ndarray, ids: np.ndarray) -> None:
+        """Words (no two alike) with their ids one after another; they are
+        merged in once enough wait."""
+        if len(self.hashes) + self.n_waiting >= KNOWN:
             return
-        value, count = value[:room], count[:room]
+        self.waiting.append((value, count, score, ids))
+        self.n_waiting += len(value)
+        if self.n_waiting < 20_000 + len(self.hashes) // 4:
+            return
+        value, count, score, ids = (np.concatenate(x) for x in zip(*self.waiting, strict=True))
         first = np.cumsum(count) - count + len(self.ids)
+        value, one = np.unique(value, return_index=True)
         at = np.searchsorted(self.hashes, value)
-        self.hashes, self.first, self.count = (np.insert(a, at, b) for a, b in (
-            (self.hashes, value), (self.first, first), (self.count, count)))
-        self.ids = np.concatenate((self.ids, ids[:int(count.sum())]))
+        fresh = np.ones(len(value), dtype=bool)
+        if len(self.hashes):
+            fresh = self.hashes[np.minimum(at, len(self.hashes) - 1)] != value
+        at, value, one = at[fresh], value[fresh], one[fresh]
+        self.hashes, self.first, self.count, self.score = (np.insert(x, at, y) for x, y in (
+            (self.hashes, value), (self.first, first[one]), (self.count, count[one]), (self.score, score[one])))
+        self.ids = np.concatenate((self.ids, ids))
+        self.waiting, self.n_waiting = [], 0
 
 
 class Pieces:
@@ -282,6 +294,14 @@ def encode_batch(pieces: Pieces, texts: list[str]) -> list[np.ndarray]:
     head[_word_starts(codes, pieces.words)] = True
     heads = np.flatnonzero(head)
     tails = np.append(heads[1:], len(codes))
+    ids, count, _ = segment(pieces, codes, heads, tails)
+    cut = np.concatenate(([0], np.cumsum(count)))[np.searchsorted(heads, edges)]
+    return [ids[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
+
+
+def segment(pieces: Pieces, codes: np.ndarray, heads: np.ndarray, tails: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The words [head, tail), one after another: all ids in order, and per
+    word how many and the score.  Every distinct word is segmented once."""
     # distinct words by a 64-bit hash of their characters
     total = np.zeros(len(codes) + 1, dtype=np.uint64)
     np.multiply(codes + np.uint64(1), powers(_BASE, len(codes)), out=total[1:])
@@ -292,8 +312,8 @@ def encode_batch(pieces: Pieces, texts: list[str]) -> list[np.ndarray]:
     group = np.empty(len(heads), dtype=np.int64)
     group[order] = np.cumsum(new) - 1
     chosen = order[new]
-    known = pieces.known
-    first, count, ids = known.look_up(value[chosen])
+    first, count, score = pieces.known.look_up(value[chosen])
+    ids = pieces.known.ids
     miss = np.flatnonzero(first < 0)
     if len(miss):
         # the words not met before, one after another
@@ -302,16 +322,15 @@ def encode_batch(pieces: Pieces, texts: list[str]) -> list[np.ndarray]:
         own = codes[np.repeat(heads[some], lengths) + _ramp(lengths)]
         begin = np.cumsum(lengths) - lengths
         found, last, low, high = solve(pieces, own, begin, begin + lengths)
+        score[miss] = np.add.reduceat(np.where(found >= 0, pieces.scores[found], pieces.unknown_score), low)
         found, became = pieces.expand(found, own[last])
         place = np.concatenate(([0], np.cumsum(became)))
         first[miss] = place[low] + len(ids)
         count[miss] = place[high] - place[low]
-        known.add(value[some], count[miss], found)
         ids = np.concatenate((ids, found))
+        pieces.known.add(value[some], count[miss], score[miss], found)
     count = count[group]
-    ids = ids[np.repeat(first[group], count) + _ramp(count)]
-    cut = np.concatenate(([0], np.cumsum(count)))[np.searchsorted(heads, edges)]
-    return [ids[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
+    return ids[np.repeat(first[group], count) + _ramp(count)], count, score[group]
 
 
 class Chunk:
@@ -366,10 +385,7 @@ class Chunk:
                 entry[s] = 0.0
                 out[s] = self._exit(self._forward(0, self.reach, self.size, entry)[0], 0)
             return out
-        middle = 0.0
-        if self.last > self.first:
-            score = self._forward(self.first, self.last, self.last, None)[0]
-            middle = score[-1]
+        middle = self._middle()[1]
         leave = self._exit(self._forward(self.last, self.reach, self.size, None)[0], self.last)
         for s in range(min(self.states, self.first + 1)):
             entry = np.full(self.states, _LOST)
@@ -378,6 +394,15 @@ class Chunk:
             out[s] = into + middle + leave
         return out
 
+    def _middle(self) -> tuple[np.ndarray, float]:
+        """Ids and score of the whole words inside."""
+        if self.last == self.first:
+            return np.empty(0, np.int32), 0.0
+        codes = self.codes[self.first:self.last]
+        heads = np.concatenate(([0], _word_starts(codes, True)))
+        ids, _, score = segment(self.pieces, codes, heads, np.append(heads[1:], len(codes)))
+        return ids, float(score.sum())
+
     def _walk(self, back: np.ndarray, at: int) -> list[int]:
         """Positions of the path that ends at ``at``, last first."""
         path = [at]
@@ -412,11 +437,7 @@ class Chunk:
         else:
             _, back, piece = self._forward(0, self.first, self.first, entry)
             traced(0, back, piece, self.first)
-            if self.last > self.first:
-                codes = self.codes[self.first:self.last]
-                heads = np.concatenate(([0], _word_starts(codes, True)))
-                ids, last, _, _ = solve(self.pieces, codes, heads, np.append(heads[1:], len(codes)))
-                parts.append(self.pieces.expand(ids, codes[last])[0])
+            parts.append(self._middle()[0])
             _, back, piece = self._forward(self.last, self.reach, self.size, None)
             traced(self.last, back, piece, self.size + leave)
         return np.concatenate(parts) if parts else np.empty(0, np.int32)
