@@ -40,11 +40,12 @@ other than the id and the text are not read.
 
 from __future__ import annotations
 
+import zlib
 from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from encore.llm.common import Workspace, components, grouped, keep_ids, texts_of
@@ -58,6 +59,8 @@ CELLS_PER_BLOCK = 4096
 MAX_LIGHT = 64
 BLOCK = 512
 LEAST_BITS = 1024
+#: Longest inverted list whose members are put in order of size in one task.
+WINDOWED = 1000
 #: Steps of a frequency class per doubling.
 STEPS = 4
 
@@ -100,20 +103,17 @@ def _new_sketch(kind) -> np.ndarray:
 
 
 def pack_cells(cells: np.ndarray) -> bytes:
-    """Counters of one block: pairs of place and count where most are 0."""
-    at = np.flatnonzero(cells)
-    if 6 * len(at) < 4 * len(cells):
-        return b"s" + at.astype("<u2").tobytes() + cells[at].astype("<u4").tobytes()
-    return b"d" + cells.astype("<u4").tobytes()
+    """Counters of one block, small ones as bytes, deflated."""
+    large = np.flatnonzero(cells >= 255)
+    body = np.minimum(cells, 255).astype(np.uint8).tobytes() + large.astype("<u2").tobytes() + cells[large].astype("<u4").tobytes()
+    return zlib.compress(body, 1)
 
 
 def unpack_cells(data: bytes) -> np.ndarray:
-    out = np.zeros(CELLS_PER_BLOCK, dtype=np.uint64)
-    if data[:1] == b"s":
-        n = (len(data) - 1) // 6
-        out[np.frombuffer(data, "<u2", n, 1)] = np.frombuffer(data, "<u4", n, 1 + 2 * n)
-    else:
-        out[:] = np.frombuffer(data, "<u4", -1, 1)
+    body = zlib.decompress(data)
+    out = np.frombuffer(body, np.uint8, CELLS_PER_BLOCK).astype(np.uint64)
+    n = (len(body) - CELLS_PER_BLOCK) // 6
+    out[np.frombuffer(body, "<u2", n, CELLS_PER_BLOCK)] = np.frombuffer(body, "<u4", n, CELLS_PER_BLOCK + 2 * n)
     return out
 
 
@@ -170,7 +170,8 @@ def _profile(id_col: str, text_col: str, k: int):
 
 
 def _add_cells(batches):
-    """Sum of the cells of each block; a partition holds whole blocks."""
+    """Sum of the cells of each block, as steps of the logarithm (one byte per
+    cell); a partition holds whole blocks."""
     total: dict[int, np.ndarray] = {}
     for batch in batches:
         for b, cells in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -178,7 +179,7 @@ def _add_cells(batches):
             total[b] = total[b] + part if b in total else part
     if total:
         yield pa.RecordBatch.from_arrays(
-            [pa.array(list(total), pa.int32()), pa.array([v.tobytes() for v in total.values()], pa.binary())],
+            [pa.array(list(total), pa.int32()), pa.array([_steps(v).tobytes() for v in total.values()], pa.binary())],
             ["block", "cells"])
 
 
@@ -228,13 +229,26 @@ def _subset_keys(tokens: np.ndarray, t: int) -> list[tuple[int, int, int]]:
     return [(signed(a), signed(b), s) for a, b, s in out]
 
 
-def frequency_classes(sketch: np.ndarray) -> tuple[np.ndarray, float]:
-    """One byte per cell: STEPS * log2 of the count above the noise for
-    shingles, of the count for words; and log2 of all words."""
-    own, words = sketch[:1 << SKETCH_BITS].astype(np.float64), sketch[1 << SKETCH_BITS:].astype(np.float64)
-    noise = np.median(own) + 6 * np.sqrt(np.median(own) + 1)
-    both = np.concatenate([np.maximum(own - noise, 1), np.maximum(words, 1)])
-    return np.minimum(STEPS * np.log2(both), 255).astype(np.uint8), float(np.log2(max(words.sum(), 1)))
+def _steps(counts: np.ndarray) -> np.ndarray:
+    return np.minimum(np.round(STEPS * np.log2(counts.astype(np.float64) + 1)), 255).astype(np.uint8)
+
+
+def frequency_classes(steps: np.ndarray) -> tuple[np.ndarray, float, float]:
+    """From the sketches in steps of the logarithm: one byte per cell (steps of
+    the count above the noise for shingles, of the count for words), log2 of
+    all words, and the mean number of other sets that a shingle of a quiet
+    cell is likely to be met in."""
+    value = 2.0 ** (np.arange(256) / STEPS) - 1  # count of a step
+    own = np.bincount(steps[:1 << SKETCH_BITS], minlength=256)
+    words = np.bincount(steps[1 << SKETCH_BITS:], minlength=256)
+    middle = value[int(np.searchsorted(np.cumsum(own), own.sum() / 2))]
+    noise = middle + 6 * np.sqrt(middle + 1)
+    table = np.round(STEPS * np.log2(np.maximum(value - noise, 1))).astype(np.uint8)
+    classes = np.concatenate([table[steps[:1 << SKETCH_BITS]], steps[1 << SKETCH_BITS:]])
+    quiet = np.where(value <= noise, own, 0)
+    total, cells = float((quiet * value).sum()), max(1, int(quiet.sum()))
+    met = float((quiet * value**2).sum()) / total - total / cells - 1 if total else 0.0
+    return classes, float(np.log2(max((words * value).sum(), 1))), max(0.0, met)
 
 
 def ordered(words: np.ndarray, k: int, classes: np.ndarray, log_total: float) -> tuple[np.ndarray, np.ndarray]:
@@ -384,17 +398,16 @@ def ngram_components(docs: DataFrame, k: int = 5, t: int = 80, id_col: str = "do
     sets = profile.where("block is null").select("id", "n", "f1", "f2")
     cells = ws.put(profile.where("block is not null").select("block", "cells")
                    .repartition("block").mapInArrow(_add_cells, "block int, cells binary"))
-    sketch = _new_sketch(np.uint64)
-    for row in cells.toLocalIterator():  # as many counters as the sketches have, whatever the input
-        sketch[row["block"] * CELLS_PER_BLOCK:(row["block"] + 1) * CELLS_PER_BLOCK] = np.frombuffer(row["cells"], np.uint64)
-    own = sketch[:1 << SKETCH_BITS].astype(np.float64)
-    mean_list = float((own**2).sum() / own.sum() - own.sum() / len(own)) if own.sum() else 0.0
-    classes = spark.sparkContext.broadcast(frequency_classes(sketch))
+    sketch = _new_sketch(np.uint8)
+    for row in cells.toLocalIterator():  # one byte per cell, whatever the input
+        sketch[row["block"] * CELLS_PER_BLOCK:(row["block"] + 1) * CELLS_PER_BLOCK] = np.frombuffer(row["cells"], np.uint8)
+    steps, log_total, mean_list = frequency_classes(sketch)
+    classes = spark.sparkContext.broadcast((steps, log_total))
 
     reps = ws.put(sets.where("n > 0 and id is not null").groupBy("n", "f1", "f2")
                   .agg(F.min("id").alias("rep"), F.count("*").alias("copies")))
     sizes = {r["n"]: r["c"] for r in reps.where(F.col("n") < MAX_LIGHT * 2).groupBy("n").agg(F.count("*").alias("c")).collect()}
-    x = boundary(sizes, t, max(0.0, mean_list))
+    x = boundary(sizes, t, mean_list)
 
     copies = ws.put(sets.where("n > 0 and id is not null").join(reps.where("copies > 1"), ["n", "f1", "f2"])
                     .where("id != rep").select("id", "n", "f1", "f2"))
@@ -402,10 +415,16 @@ def ngram_components(docs: DataFrame, k: int = 5, t: int = 80, id_col: str = "do
     index = ws.put(keep_ids(index, copies, ["id", "n", "f1", "f2"], "left_anti"))
     bitmaps = index.select("id", "n", "bitmap")
 
-    # inverted lists with two members or more
+    # inverted lists with two members or more; in lists of ordinary length a
+    # member whose size is too far from that of every other is left out
     posts = index.select(F.explode("prefix").alias("token"), "id", "n")
     lists = posts.groupBy("token").agg(F.count("*").alias("members")).where("members > 1")
     posts = ws.put(posts.join(lists, "token"))
+    by_size = Window.partitionBy("token").orderBy("n", "id")
+    before, after = F.lag("n").over(by_size), F.lead("n").over(by_size)
+    near_size = (100 * F.col("before") >= t * F.col("n")) | (100 * F.col("n") >= t * F.col("after"))
+    usual = posts.where(F.col("members") <= WINDOWED).select("*", before.alias("before"), after.alias("after")).where(near_size)
+    posts = ws.put(usual.drop("before", "after").unionByName(posts.where(F.col("members") > WINDOWED)))
     one = F.struct("id", "n")
     centres = posts.groupBy("token").agg(
         F.array(F.min(one), F.max(one), F.min_by(one, F.xxhash64("id", "token"))).alias("centres"))
