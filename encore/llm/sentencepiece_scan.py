@@ -4,7 +4,7 @@ The encoding of a text is the segmentation of its normalised form into pieces
 of the model with the largest total score; of equal ones that whose last piece
 starts earliest, then the same for the rest (what a left-to-right Viterbi
 pass with strict improvement yields).  Characters without a piece become byte
-pieces.  For a model of unigram type this is the library's encoding.  The
+pieces.  This is the encoding of a unigram model, with exact sums.  The
 public model at hand is of BPE type, whose piece scores are negative merge
 ranks; its vocabulary and scores are used as they stand, so the segmentation
 is the one of least total rank, which is not always the one that merging pair
