@@ -598,9 +598,9 @@ def _long_ids(ws: Workspace, rows: DataFrame, path: str, chunk: int) -> DataFram
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = parts.repartition(tasks, "rid", "no")
     matrices = ws.put(dealt.mapInArrow(_matrices(path), "rid long, no int, m array<double>").withColumn("block", F.expr(f"no div {COMBINE}").cast("int")))
-    blocks = matrices.groupBy("rid", "block").applyInPandas(_block_product, "rid long, block int, m array<double>")
+    blocks = matrices.repartition(tasks, "rid", "block").groupBy("rid", "block").applyInPandas(_block_product, "rid long, block int, m array<double>")
     before = blocks.groupBy("rid").applyInPandas(lambda f: _scan(f, "block"), "rid long, block int, v array<double>")
-    vectors = ws.put(matrices.join(before, ["rid", "block"]).groupBy("rid", "block").applyInPandas(
+    vectors = ws.put(matrices.join(before, ["rid", "block"]).repartition(tasks, "rid", "block").groupBy("rid", "block").applyInPandas(
         lambda f: _scan(f, "no"), "rid long, no int, v array<double>"))
     entered = ws.put(parts.join(vectors, ["rid", "no"]).select("rid", "no", "part", "size", "v"), compression="zstd")
     maps = entered.repartition(tasks, "rid", "no").mapInArrow(_entry_maps(path), "rid long, no int, enter array<int>")
