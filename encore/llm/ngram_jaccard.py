@@ -31,6 +31,11 @@ than k words: the whole sequence as one shingle).  Two documents link when
    of different components that pass sizes and bitmaps are emitted, and
    verified exactly.  Nothing is capped: a list of any length is compared
    whole, and a group whose members the first pass joined costs nothing here.
+7. *Counting.*  Linked sets are in one component, so the links of a set are
+   counted there.  Where steps 3 to 6 verified every pair of a component, they
+   are the count; the sets of any other component are compared in blocks, all
+   block pairs in parallel and every pair in one of them, by exact overlap.
+   Only counts per set leave a block, never pairs.
 
 Defined cases: a null or empty text, or one of white space, has no shingle,
 links with nothing and is its own component.  Rows with equal id and text are
@@ -58,6 +63,11 @@ CELLS_PER_BLOCK = 4096
 #: Sets of this many shingles or more are always heavy.
 MAX_LIGHT = 64
 BLOCK = 512
+#: Sets and shingles of a block, on average, where links are counted.
+COUNT_SETS = 512
+COUNT_SHINGLES = 1 << 17
+#: Bytes of bit rows that counting holds; beyond that it looks shingles up.
+COUNT_BYTES = 32 << 20
 LEAST_BITS = 1024
 #: Longest inverted list whose members are put in order of size in one task.
 WINDOWED = 1000
@@ -386,10 +396,72 @@ def _token_sets(id_col: str, text_col: str, k: int):
     return run
 
 
+def count_links(sets: list[np.ndarray], copies: np.ndarray, split: int, t: int) -> np.ndarray:
+    """Per set the copies of the sets that it links with: of sets on the other
+    side of ``split``, of any other set if all are on one side.  Both sides
+    are in order of size."""
+    m = len(sets)
+    n = np.array([len(x) for x in sets], dtype=np.int64)
+    _, flat, seen = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    # shingles of one set alone are in no overlap
+    owner, held = np.repeat(np.arange(m), n), seen[flat] > 1
+    flat, owner = (np.cumsum(seen > 1) - 1)[flat[held]], owner[held]
+    width = int((seen > 1).sum())
+    words = -(-width // 64)
+    ends = np.searchsorted(owner, np.arange(m + 1))
+    bits = mark = None
+    if m * words * 8 <= COUNT_BYTES and words <= 2 * n.mean() + 1:
+        bits = np.zeros((m, words * 8), dtype=np.uint8)
+        np.bitwise_or.at(bits, (owner, flat >> 3), np.left_shift(1, flat & 7).astype(np.uint8))
+        bits = bits.view(np.uint64)
+    else:
+        mark = np.zeros(width, dtype=bool)
+    out = np.zeros(m, dtype=np.int64)
+    base = split if split < m else 0
+    for i in range(split):
+        low = base + int(np.searchsorted(n[base:], least_overlap(int(n[i]), t))) if base else i + 1
+        top = base + int(np.searchsorted(n[base:], 100 * n[i] // t, side="right"))
+        if low >= top:
+            continue
+        if bits is not None:
+            shared = np.bitwise_count(bits[low:top] & bits[i]).sum(axis=1, dtype=np.int64)
+        else:
+            own = flat[ends[i]:ends[i + 1]]
+            mark[own] = True
+            sums = np.concatenate(([0], np.cumsum(mark[flat[ends[low]:ends[top]]])))
+            shared = np.diff(sums[ends[low:top + 1] - ends[low]])
+            mark[own] = False
+        links = low + np.flatnonzero(shared * (100 + t) >= t * (n[i] + n[low:top]))
+        out[i] += copies[links].sum()
+        out[links] += copies[i]
+    return out
+
+
+def _block_links(t: int):
+    """Rows of one (component, block pair) after another: emits the part of
+    every set's links that this block pair holds."""
+
+    def run(batches):
+        for group in grouped(batches, ["comp", "lo", "hi"]):
+            ids, own, copies = (group.column(c).to_numpy() for c in ("id", "own", "copies"))
+            _, once = np.unique(ids, return_index=True)  # repeated rows
+            tokens = group.column("tokens").combine_chunks()
+            flat, at = tokens.values.to_numpy(zero_copy_only=False), tokens.offsets.to_numpy()
+            n = np.diff(at)
+            once = once[np.lexsort((n[once], own[once]))]
+            crossed = group.column("lo")[0].as_py() != group.column("hi")[0].as_py()
+            split = int((own[once] == own[once[0]]).sum())
+            if len(once) < 2 or crossed and split == len(once):
+                continue
+            links = count_links([flat[at[i]:at[i + 1]] for i in once], copies[once], split, t)
+            yield pa.RecordBatch.from_arrays([pa.array(ids[once], pa.int64()), pa.array(links, pa.int64())], ["rep", "links"])
+
+    return run
+
+
 def ngram_components(docs: DataFrame, k: int = 5, t: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Returns (id_col, n_shingles, component_id, n_links) per row of ``docs``; n_links
-    counts the verified links of the row's distinct set that the join needed
-    to settle its component."""
+    counts the other rows that the row links with, exact copies included."""
     spark = docs.sparkSession
     ws = Workspace(spark, "ngram")
     rows = docs.select(F.col(id_col).cast("long").alias(id_col), text_col)
@@ -465,6 +537,28 @@ def ngram_components(docs: DataFrame, k: int = 5, t: int = 80, id_col: str = "do
         ws.drop(own, need)
         return out
 
+    def link_counts(every: DataFrame, final: DataFrame) -> DataFrame:
+        """(rep, links): the copies of all sets that a set links with."""
+        weight = reps.select(F.col("rep").alias("id"), "n", "copies")
+        inside = ws.put(final.join(weight, "id"))
+        size = inside.groupBy("comp").agg(F.count("*").alias("m"), F.sum(F.col("n").cast("long")).alias("shingles"))
+        known = every.join(inside.select(F.col("id").alias("a"), "comp"), "a").groupBy("comp").agg(F.count("*").alias("pairs"))
+        left = size.join(known, "comp").where(2 * F.col("pairs") < F.col("m") * (F.col("m") - 1)).select(
+            "comp", F.greatest(F.ceil(F.col("m") / COUNT_SETS), F.ceil(F.col("shingles") / COUNT_SHINGLES)).alias("blocks"))
+        open_sets = ws.put(inside.join(left, "comp").select("id", "comp", "copies", "blocks"))
+        both = every.unionByName(every.select(F.col("a").alias("b"), F.col("b").alias("a")))
+        settled = keep_ids(both.select(F.col("a").alias("rep"), F.col("b").alias("id")),
+                           open_sets.select("id").withColumnRenamed("id", "rep"), ["rep"], "left_anti")
+        settled = settled.join(weight, "id").groupBy("rep").agg(F.sum("copies").alias("links"))
+        own = keep_ids(rows.withColumnRenamed(id_col, "id"), open_sets.select("id"), ["id"]).mapInArrow(
+            _token_sets("id", text_col, k), "id long, tokens array<long>")
+        own = own.join(open_sets, "id").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")))
+        own = own.withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        own = own.select("comp", F.least("own", "o").alias("lo"), F.greatest("own", "o").alias("hi"), "id", "own", "copies", "tokens")
+        own = own.repartition("comp", "lo", "hi").sortWithinPartitions("comp", "lo", "hi")
+        counted = own.mapInArrow(_block_links(t), "rep long, links long").groupBy("rep").agg(F.sum("links").alias("links"))
+        return settled.unionByName(counted)
+
     first = ws.put(with_maps(stars))
     links = verified(first)
     comps = ws.put(components(ws, links))
@@ -488,14 +582,15 @@ def ngram_components(docs: DataFrame, k: int = 5, t: int = 80, id_col: str = "do
     else:
         ws.drop(comps)
         final = ws.put(components(ws, every))
-    counts = every.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("n_links"))
-    of_rep = reps.join(final, reps["rep"] == final["id"], "left").select("n", "f1", "f2", "rep", F.coalesce("comp", "rep").alias("comp")).join(
-        counts, "rep", "left").drop("rep")
+    counts = ws.put(link_counts(every, final))
+    of_rep = reps.join(final, reps["rep"] == final["id"], "left").select(
+        "n", "f1", "f2", "rep", F.coalesce("comp", "rep").alias("comp"), "copies").join(counts, "rep", "left").select(
+        "n", "f1", "f2", "comp", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     out = sets.join(of_rep, ["n", "f1", "f2"], "left")
     out = ws.put(out.select(
         F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"),
         F.when(F.col("id").isNotNull(), F.coalesce("comp", "id")).alias("component_id"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
+        F.when(F.col("id").isNotNull(), F.coalesce("n_links", F.lit(0))).otherwise(0).cast("long").alias("n_links")))
     classes.unpersist()
-    ws.drop(profile, cells, reps, copies, links, more, every)
+    ws.drop(profile, cells, reps, copies, links, more, every, counts)
     return out

@@ -101,3 +101,37 @@ def test_sketch_blocks_round_trip():
     for share in (0.0, 0.01, 0.9):
         cells = (rng.integers(1, 1 << 32, J.CELLS_PER_BLOCK) * (rng.random(J.CELLS_PER_BLOCK) < share)).astype(np.uint32)
         assert (J.unpack_cells(J.pack_cells(cells)) == cells).all()
+
+
+def links_of(rows, k, t):
+    sets = [(i, sets_of(x, k)) for i, x in rows]
+    return sorted((i, sum(1 for a, (_, y) in enumerate(sets) if a != b and x and y and 100 * len(x & y) >= t * len(x | y)))
+                  for b, (i, x) in enumerate(sets))
+
+
+def group_of_near_copies(seed, members):
+    rng = random.Random(seed)
+    out = []
+    for size in (12, 150):
+        base = [rng.choice(WORD) + str(rng.randrange(300)) for _ in range(size)]
+        for m in range(members):
+            out.append(" ".join([*base[:size // 2], *base[size // 2 + 1 + m % 2:], f"edit{m}"]))
+    return out
+
+
+@pytest.mark.parametrize(("seed", "k", "t", "block", "held"), [(1, 3, 90, 1024, 1 << 27), (2, 5, 80, 7, 1 << 27), (3, 2, 60, 3, 0)])
+def test_links_equal_brute_force(spark, monkeypatch, seed, k, t, block, held):
+    monkeypatch.setattr(J, "COUNT_SETS", block)
+    monkeypatch.setattr(J, "COUNT_BYTES", held)
+    rows = corpus(seed)
+    rows += [(1000 + i, x) for i, x in enumerate(group_of_near_copies(seed, 30))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r["doc_id"], r["n_links"]) for r in J.ngram_components(docs, k=k, t=t).collect())
+    assert got == links_of(rows, k, t)
+
+
+def test_all_links_of_a_group_are_counted(spark):
+    base = [f"w{i}" for i in range(300)]
+    rows = [(m, " ".join([*base, f"edit{m}"])) for m in range(40)]
+    got = J.ngram_components(spark.createDataFrame([*rows, (None, rows[0][1])], "doc_id long, text string"), k=3, t=90).collect()
+    assert sorted((r["n_links"], r["doc_id"] is None) for r in got) == [(0, True)] + [(39, False)] * 40
