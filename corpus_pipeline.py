@@ -21,7 +21,7 @@ from encore.llm.exact_dedup import exact_groups
 from encore.llm.mixing import mix
 from encore.llm.ngram_jaccard import ngram_components
 from encore.llm.queries import CUT, MIX_TARGETS, table, tokenizer_path
-from encore.llm.sentencepiece_scan import encode
+from encore.llm.sentencepiece_bpe import encode
 
 #: Share of the tokens that reach the mixing stage and stay.
 MIX_BUDGET = 0.9

@@ -4,11 +4,9 @@ The encoding of a text is the segmentation of its normalised form into pieces
 of the model with the largest total score; of equal ones that whose last piece
 starts earliest, then the same for the rest (what a left-to-right Viterbi
 pass with strict improvement yields).  Characters without a piece become byte
-pieces.  This is the encoding of a unigram model, with exact sums.  The
-public model at hand is of BPE type, whose piece scores are negative merge
-ranks; its vocabulary and scores are used as they stand, so the segmentation
-is the one of least total rank, which is not always the one that merging pair
-by pair ends at.
+pieces.  This is the encoding of a unigram model, with exact sums.  Scores of
+a model of BPE type are negative merge ranks, of which this takes the least
+total, which is not that model's encoding: ``sentencepiece_bpe`` gives that.
 
 A text of more than ``chunk`` characters is cut into chunks.  The state at a
 cut is the number of characters by which the piece that crosses it reaches
@@ -651,10 +649,10 @@ def decode(frame: DataFrame, model_path: str, ids_col: str = "token_ids", out_co
     return kept.mapInArrow(run, schema).toDF(*names, out_col)
 
 
-def token_digests(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK) -> DataFrame:
+def token_digests(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK, encoder=encode) -> DataFrame:
     """Returns (id_col, n_pieces, pieces_sha256, round_trip) per row: the
     encoding of the whole text, and whether it decodes to the text."""
-    encoded = encode(docs.select(id_col, F.col(text_col).alias("text")), model_path, chunk=chunk)
+    encoded = encoder(docs.select(id_col, F.col(text_col).alias("text")), model_path, chunk=chunk)
 
     def run(batches):
         pieces = _load(model_path)
