@@ -65,3 +65,47 @@ def test_budget_beyond_the_corpus_keeps_all_and_empty_tables(spark):
 def test_uniform_is_uniform(spark):
     u = spark.range(4000).select(M.uniform("id", "s").alias("u")).agg(F.avg("u"), F.stddev("u")).first()
     assert u[0] == pytest.approx(0.5, abs=0.02) and u[1] == pytest.approx(12**-0.5, abs=0.02)
+
+
+def cells(seed, hot=1.0):
+    rng = np.random.default_rng(seed)
+    index = np.stack([x.ravel() for x in np.indices((4, 3, 2))], axis=1)
+    tokens = rng.integers(50, 1000, len(index)).astype(float)
+    tokens[index[:, 0] == 0] *= hot
+    return index, tokens
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_targets_are_met_where_cells_are_full(seed):
+    """Some cells would have probabilities beyond 1; the others make up."""
+    index, tokens = cells(seed, hot=6.0)
+    targets = [np.array([0.25] * 4), np.array([0.5, 0.3, 0.2]), np.array([0.6, 0.4])]
+    wanted = M.wanted_shares(index, tokens, targets)
+    most = M.largest_budget(index, tokens, wanted, tokens.sum()) / tokens.sum()
+    for part in (0.6, 0.95):
+        p, _ = M.fit(index, tokens, targets, most * part, False)
+        assert p.max() <= 1 and (p * tokens).sum() == pytest.approx(most * part * tokens.sum(), rel=1e-4)
+        for got, want in zip(M.reached_shares(index, p * tokens, [4, 3, 2]), wanted, strict=True):
+            assert got == pytest.approx(want, abs=1e-4)
+    p, _ = M.fit(index, tokens, targets, 1.0, True)
+    assert (p * tokens).sum() == pytest.approx(most * tokens.sum(), rel=5e-3)
+    for got, want in zip(M.reached_shares(index, p * tokens, [4, 3, 2]), wanted, strict=True):
+        assert got == pytest.approx(want, abs=2 * M.MET)
+
+
+def test_values_with_too_little_are_taken_whole():
+    got = M.attainable(np.array([60.0, 30.0, 10.0, 0.0]), np.array([0.4, 0.3, 0.3, 0.0]), 50.0)
+    assert got * 50 == pytest.approx([40 * 4 / 7, 40 * 3 / 7, 10, 0])
+    index = np.array([[0, 0, 0], [1, 0, 0], [2, 0, 0]])
+    p, _ = M.fit(index, np.array([60.0, 30.0, 10.0]), [np.array([0.4, 0.3, 0.3]), np.ones(1), np.ones(1)], 0.5, False)
+    assert p * [60, 30, 10] == pytest.approx([40 * 4 / 7, 40 * 3 / 7, 10], abs=1e-3)
+
+
+def test_rows_tell_wanted_and_reached_shares(spark):
+    got = M.mix(spark.createDataFrame(rows(), SCHEMA), TARGETS, budget=0.3).toPandas()
+    expected = got["probability"] * got["n_tokens"]
+    for m in M.MARGINALS:
+        for _, part in got.groupby(m):
+            assert part[f"{m}_reached"].iloc[0] == pytest.approx(expected[part.index].sum() / expected.sum(), abs=1e-9)
+    short = got[got["topic"] == "short"]
+    assert short["topic_reached"].iloc[0] < short["topic_wanted"].iloc[0] and (short["probability"][short["n_tokens"] > 0] > 0.99).all()
