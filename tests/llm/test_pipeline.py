@@ -74,3 +74,14 @@ def test_empty_table(spark, table_dir):
     docs = C.table(spark, table_dir, "documents").limit(0)
     for _, stage in C.STAGES:
         assert stage(spark, docs, table_dir).count() == 0
+
+
+def test_last_stage_decodes_its_ids(spark, monkeypatch):
+    texts = {1: "the of and", 2: "", 3: None, 4: " a  b▁c é日 ", 5: "x y " * 6000}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    out = C.tokens(spark, docs, "")
+    assert out.columns == ["doc_id", "token_ids", "n_tokens", "round_trip"]
+    assert sorted((r["doc_id"], r["round_trip"]) for r in out.collect()) == [(i, True) for i in texts]
+    encode = C.encode
+    monkeypatch.setattr(C, "encode", lambda docs, path: encode(docs, path).withColumn("token_ids", C.F.slice("token_ids", 1, 2)))
+    assert {r["doc_id"] for r in C.tokens(spark, docs, "").where("round_trip").collect()} == {2, 3}
