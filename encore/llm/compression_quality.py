@@ -96,20 +96,32 @@ def train_dictionary(samples: list[bytes]) -> bytes | None:
         return None
 
 
+def training_bytes(id_col: str, text_col: str, most: int) -> Column:
+    """Blocks of 1024 bytes, at most ``most`` bytes in all, from the whole
+    text, chosen by a hash of id and place and kept in order."""
+    data = F.encode(F.coalesce(F.col(text_col), F.lit("")), "utf-8")
+    every = F.sequence(F.lit(0), F.greatest(F.ceil(F.octet_length(data) / 1024).cast("int") - 1, F.lit(0)))
+    dealt = F.array_sort(F.transform(every, lambda i: F.struct(F.xxhash64(F.col(id_col), i).alias("h"), i.alias("i"))))
+    chosen = F.array_sort(F.transform(F.slice(dealt, 1, most // 1024), lambda x: x["i"]))
+    parts = F.transform(chosen, lambda i: F.hex(F.substring(data, i * 1024 + 1, F.lit(1024))))
+    return F.unhex(F.array_join(parts, ""))
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame, label_col: str = "quality", learn: Column | None = None,
-                   sample: int = 16_000, dict_docs: int = 1_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Returns (id_col, score) for every row of ``docs``."""
+                   sample: int = 16_000, dict_docs: int = 1_000, dict_bytes: int = DICT_BYTES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Returns (id_col, score) for every row of ``docs``.  The dictionaries are
+    trained on up to ``dict_docs`` texts a class, up to ``dict_bytes`` of each."""
     spark = docs.sparkSession
     ws = Workspace(spark, "compression")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     learn = F.lit(True) if learn is None else learn
     known = labelled_sample(ws, texts, labels, label_col, learn, sample)
 
-    # at most 2 * dict_docs rows of DICT_BYTES bytes
+    # at most 2 * dict_docs rows of dict_bytes bytes
     dicts: list[bytes | None] = []
     for label in (1, 0):
         some = known.where((F.col("half") == 0) & (F.col("label") == label)).orderBy(F.xxhash64("doc_id"), "doc_id").limit(dict_docs)
-        data = some.select(F.substring(F.encode(F.coalesce("text", F.lit("")), "utf-8"), 1, DICT_BYTES).alias("b")).collect()
+        data = some.select(training_bytes("doc_id", "text", dict_bytes).alias("b")).collect()
         dicts.append(train_dictionary([bytes(r["b"]) for r in data]))
     rest = known.where("half = 1")
     share = {r["label"]: r["n"] for r in rest.groupBy("label").agg(F.count("*").alias("n")).collect()}

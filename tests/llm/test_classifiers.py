@@ -94,3 +94,17 @@ def test_calibration_is_calibrated():
     y = (rng.random(20_000) < 1 / (1 + np.exp(-(2 * x[:, 0] - 1)))).astype(float)
     model = fit_logistic(x, y)
     assert model["weight"][0] / model["scale"][0] == pytest.approx(2, rel=0.1)
+
+
+def test_dictionaries_see_whole_texts(spark):
+    from encore.llm.compression_quality import training_bytes
+
+    long = "".join(f"{i:01023d} " for i in range(100))
+    rows = [(1, "short é text"), (2, None), (3, long), (4, long), (5, "é" * 3000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r[0]: bytes(r[1]) for r in frame.select("doc_id", training_bytes("doc_id", "text", 8192)).collect()}
+    assert got[1] == "short é text".encode() and got[2] == b"" and got[5] == ("é" * 3000).encode()
+    for i in (3, 4):
+        chosen = [int(x) for x in got[i].split()]
+        assert len(got[i]) == 8192 and chosen == sorted(set(chosen)) and max(chosen) > 8
+    assert got[3] != got[4]
