@@ -78,6 +78,12 @@ def keep_ids(df: DataFrame, ids: DataFrame, on: list[str], how: str = "left_semi
     return df.join(ids, on, how)
 
 
+def maybe_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` (a staged table) marked for broadcast if it has at most ``rows``
+    rows, which are counted; as it is otherwise."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     """The texts of a batch as UTF-8; null is empty."""
     column = batch.column(batch.schema.get_field_index(name))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from encore.llm.common import shared_dir
 from encore.llm.compression_quality import quality_scores
+from encore.llm.conversation_trie import rebuilt_trie
 from encore.llm.exact_dedup import exact_groups
 from encore.llm.labelled import bucket_of
 from encore.llm.mixing import mix
@@ -18,10 +19,12 @@ from encore.llm.oracle_sql import ORACLES  # noqa: F401 (read by the entry modul
 from encore.llm.quality_rules import quality_rules
 from encore.llm.sentencepiece_bpe import encode
 from encore.llm.sentencepiece_scan import token_digests
+from encore.llm.simhash import simhash_components
 from encore.llm.suffix_dedup import remove_repeats
 from encore.llm.token_counts import token_counts
 from encore.llm.toxicity import toxicity_scores
 from encore.llm.warc import warc_round_trip
+from encore.llm.whitening import whiten
 
 #: Target token shares: every source alike, languages and topics as listed.
 MIX_TARGETS = {
@@ -96,6 +99,18 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), tokenizer_path(), cache)
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rebuilt_trie(table(spark, sf_dir, "conversations"), group=20, most=4)
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(table(spark, sf_dir, "documents"), k=3, distance=2)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"), components=8)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_quality_rules": op2_quality_rules,
@@ -107,4 +122,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_compression_quality": op9_compression_quality,
     "op10_token_counts": op10_token_counts,
+    "op11_conversation_trie": op11_conversation_trie,
+    "op12_simhash": op12_simhash,
+    "op13_whitening": op13_whitening,
 }

@@ -65,7 +65,7 @@ def _hash_piece(data: bytes, lower: bool) -> tuple[np.ndarray, np.ndarray]:
     return start, mix(value + (end - start).astype(np.uint64))
 
 
-def _cut(text: bytes) -> Iterator[bytes]:
+def cut_at_white(text: bytes) -> Iterator[bytes]:
     """Pieces of about PIECE bytes that end at white space (or the end)."""
     at = 0
     while len(text) - at > 2 * PIECE:
@@ -98,7 +98,7 @@ def word_hashes(texts: list[bytes], lower: bool = True) -> list[np.ndarray]:
 
     for i, text in enumerate(texts):
         if len(text) > PIECE:
-            out[i] = np.concatenate([_hash_piece(p, lower)[1] for p in _cut(text) if p])
+            out[i] = np.concatenate([_hash_piece(p, lower)[1] for p in cut_at_white(text) if p])
             continue
         if size + len(text) > PIECE:
             flush()
