@@ -17,8 +17,9 @@ WS = r"\x20\x09-\x0D"
 #: Most rows of an id table that a join may broadcast (8 bytes each); larger
 #: ones are joined by a shuffle.
 BROADCAST_ROWS = 500_000
-#: Rows of an Arrow batch that carries whole texts.
+#: Rows and bytes of an Arrow batch that carries whole texts.
 TEXT_BATCH = 512
+BATCH_BYTES = 8 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -47,13 +48,15 @@ class Workspace:
     def put(self, df: DataFrame, text_batch: int = TEXT_BATCH, **options: str) -> DataFrame:
         self.names += 1
         path = f"{self.base}/{self.names}"
-        key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-        before = self.spark.conf.get(key)
-        self.spark.conf.set(key, str(text_batch))
+        limits = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(text_batch), "spark.sql.execution.arrow.maxBytesPerBatch": str(BATCH_BYTES)}
+        before = {key: self.spark.conf.get(key) for key in limits}
+        for key, value in limits.items():
+            self.spark.conf.set(key, value)
         try:
             df.write.options(**options).parquet(path)
         finally:
-            self.spark.conf.set(key, before)
+            for key, value in before.items():
+                self.spark.conf.set(key, value)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._staged = path
         return out

@@ -17,7 +17,6 @@ from encore.llm.mixing import mix
 from encore.llm.ngram_jaccard import ngram_components
 from encore.llm.oracle_sql import ORACLES  # noqa: F401 (read by the entry module)
 from encore.llm.quality_rules import quality_rules
-from encore.llm.sentencepiece_bpe import encode
 from encore.llm.sentencepiece_scan import token_digests
 from encore.llm.simhash import simhash_components
 from encore.llm.suffix_dedup import remove_repeats
@@ -61,8 +60,9 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: n_pieces, pieces_sha256 (of the ids as 32-bit numbers)
-    and whether the decoded text is the text again."""
-    return token_digests(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path(), encoder=encode)
+    and whether the ids decode to the text again.  Every text of a chunk's
+    length or more goes through the transfer matrices."""
+    return token_digests(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

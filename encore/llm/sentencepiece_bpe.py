@@ -165,8 +165,6 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", chunk: int
         chunk = (1 << 31) - 1
     spark = docs.sparkSession
     ws = Workspace(spark, "sentencepiece")
-    # a batch of rows holds whole texts, here and where the result is used
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(min(1000, int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")))))
     text = F.coalesce(F.col(text_col), F.lit(""))
     names = docs.columns
     short = docs.where(F.length(text) < chunk)

@@ -4,9 +4,11 @@ The encoding of a text is the segmentation of its normalised form into pieces
 of the model with the largest total score; of equal ones that whose last piece
 starts earliest, then the same for the rest (what a left-to-right Viterbi
 pass with strict improvement yields).  Characters without a piece become byte
-pieces.  This is the encoding of a unigram model, with exact sums.  Scores of
-a model of BPE type are negative merge ranks, of which this takes the least
-total, which is not that model's encoding: ``sentencepiece_bpe`` gives that.
+pieces.  This is the encoding of a unigram model.  A model of BPE type has no
+such scores: its pieces get those of a Zipf law over their ranks (see
+``zipf_scores``), which makes it a unigram model over the same vocabulary.
+All scores are rounded to sixteenths, so sums are exact.  The encoding by the
+merges of a BPE model is another one: ``sentencepiece_bpe`` gives that.
 
 A text of more than ``chunk`` characters is cut into chunks.  The state at a
 cut is the number of characters by which the piece that crosses it reaches
@@ -21,8 +23,10 @@ beyond.  Per chunk, in parallel:
    document to the states on the best path;
 4. every chunk is backtraced on its own between its two states.
 
-Vectors are shifted so that their largest entry is 0, so scores stay exact for
-whole-numbered scores at any length.  Words (a run of spaces and what follows
+Vectors are shifted so that their largest entry is 0, so scores stay exact at
+any length.  The text of a chunk is read once: with its matrix, a chunk leaves
+the pieces of its whole words and the few characters before its first and from
+its last word start on, which is all that the later steps need.  Words (a run of spaces and what follows
 up to the next space) are independent where no piece has a space inside, so
 each distinct word of a batch is segmented once, all words side by side.
 
@@ -50,6 +54,11 @@ from encore.llm.text import mix, powers
 
 #: Characters of a chunk; shorter texts are one.
 CHUNK = 16384
+#: Characters up to which a text's chunks are opened where the text is read;
+#: those of longer ones are dealt out to other tasks first.
+DEAL = 1 << 20
+#: Rows of an Arrow batch of whole texts.
+ROWS = 128
 #: Chunks combined in one task before the blocks of a document are.
 COMBINE = 64
 #: Bytes of texts segmented side by side.
@@ -106,6 +115,16 @@ class KnownWords:
         self.waiting, self.n_waiting = [], 0
 
 
+def zipf_scores(ranks: np.ndarray) -> np.ndarray:
+    """Logarithms of the probabilities that Zipf's law (with Mandelbrot's
+    offset) gives to these ranks, in sixteenths."""
+    weight = 1.0 / (ranks + 2.7)
+    return np.round(16 * np.log(weight / weight.sum())) / 16
+
+
+_UNIGRAM, _BPE = 1, 2
+
+
 class Pieces:
     """The model's pieces, looked up by hash, all positions at once."""
 
@@ -131,8 +150,15 @@ class Pieces:
             elif p.type in (p.NORMAL, p.USER_DEFINED):
                 self.normal[i] = True
         self.unknown_id = vocabulary.unk_id()
-        self.scores = scores
         normal = np.flatnonzero(self.normal)
+        kind = model.trainer_spec.model_type
+        if kind not in (_UNIGRAM, _BPE):
+            raise ValueError("this model is neither of unigram nor of BPE type")
+        if kind == _BPE:
+            scores[normal] = zipf_scores(-scores[normal])
+        else:
+            scores[normal] = np.round(16 * scores[normal]) / 16
+        self.scores = scores
         self.longest = max(len(self.names[i]) for i in normal)
         self.unknown_score = float(scores[normal].min()) - 10.0
         # a piece with a space after another character would join two words
@@ -191,6 +217,11 @@ class Pieces:
         return out, count
 
     def decode(self, ids) -> str:
+        ids = np.asarray(ids, dtype=np.int64)
+        if self.normal[ids].all():
+            text = "".join([self.names[i] for i in ids.tolist()]).replace(SPACE, " ")
+            return text[1:] if text.startswith(" ") else text
+        ids = ids.tolist()
         out, raw = [], bytearray()
         first_byte = {int(i): b for b, i in enumerate(self.byte_ids) if i >= 0}
         for i in ids:
@@ -331,114 +362,127 @@ def segment(pieces: Pieces, codes: np.ndarray, heads: np.ndarray, tails: np.ndar
     return ids[np.repeat(first[group], count) + _ramp(count)], count, score[group]
 
 
-class Chunk:
-    """One chunk [0, size) of a normalised text with the characters that
-    follow it, as far as a piece that starts inside may reach."""
-
-    def __init__(self, pieces: Pieces, codes: np.ndarray, size: int):
-        self.pieces, self.codes, self.size = pieces, codes, size
-        self.states = pieces.longest
-        starts = _word_starts(codes, pieces.words)
-        inside = starts[starts < size]
-        self.first = int(inside[0]) if len(inside) else None
-        self.last = int(inside[-1]) if len(inside) else None
-        beyond = starts[starts >= size]
-        self.reach = int(beyond[0]) if len(beyond) else len(codes)  # no piece of the last word goes further
-
-    def _forward(self, low: int, high: int, begin: int, entry: np.ndarray | None):
-        """Scores and pieces over [low, high]: from ``entry`` (state s enters
-        at s) or from ``low`` alone; only pieces that start before ``begin``."""
-        n = high - low
-        score = np.full(n + 1, _LOST)
-        back = np.full(n + 1, -1, dtype=np.int64)
-        piece = np.full(n + 1, -1, dtype=np.int32)
-        if entry is None:
-            score[0] = 0.0
-        else:
-            k = min(len(entry), n + 1)
-            score[:k] = entry[:k]
-        if n:
-            room = np.minimum(np.arange(n, 0, -1), self.states)
-            room[max(0, begin - low):] = 0
-            start, length, which, value = self.pieces.matches(self.codes[low:high], room)
-            order = np.lexsort((length, start))
-            for s, m, w, v in zip(start[order].tolist(), length[order].tolist(), which[order].tolist(), value[order].tolist(), strict=True):
-                total = score[s] + v
-                if total > score[s + m]:
-                    score[s + m], back[s + m], piece[s + m] = total, s, w
-        return score, back, piece
-
-    def _exit(self, score: np.ndarray, low: int) -> np.ndarray:
-        out = np.full(self.states, _LOST)
-        have = score[self.size - low:][:self.states]
+def _forward(pieces: Pieces, codes: np.ndarray, begin: int, entry: np.ndarray | None):
+    """Scores and pieces over ``codes``: from ``entry`` (state s enters at s)
+    or from the start alone; only pieces that start before ``begin``."""
+    n = len(codes)
+    score = np.full(n + 1, _LOST)
+    back = np.full(n + 1, -1, dtype=np.int64)
+    piece = np.full(n + 1, -1, dtype=np.int32)
+    if entry is None:
+        score[0] = 0.0
+    else:
+        k = min(len(entry), n + 1)
+        score[:k] = entry[:k]
+    if n:
+        room = np.minimum(np.arange(n, 0, -1), pieces.longest)
+        room[begin:] = 0
+        start, length, which, value = pieces.matches(codes, room)
+        order = np.lexsort((length, start))
+        for s, m, w, v in zip(start[order].tolist(), length[order].tolist(), which[order].tolist(), value[order].tolist(), strict=True):
+            total = score[s] + v
+            if total > score[s + m]:
+                score[s + m], back[s + m], piece[s + m] = total, s, w
+    return score, back, piece
+
+
+def _walk(back: np.ndarray, at: int) -> list[int]:
+    """Positions of the path that ends at ``at``, last first."""
+    path = [at]
+    while back[path[-1]] >= 0:
+        path.append(int(back[path[-1]]))
+    return path
+
+
+class Ends:
+    """The ends of a chunk.  ``head``: the characters before its first word
+    start; ``tail``: those from its last word start on, to where no piece of
+    that word reaches any more, ``room`` of them inside the chunk.  In a chunk
+    without a word start ``head`` is all of it and ``tail`` is None."""
+
+    def __init__(self, pieces: Pieces, head: np.ndarray, tail: np.ndarray | None, room: int):
+        self.pieces, self.head, self.tail, self.room = pieces, head, tail, room
+
+    def leaving(self, score: np.ndarray) -> np.ndarray:
+        out = np.full(self.pieces.longest, _LOST)
+        have = score[self.room:][:self.pieces.longest]
         out[:len(have)] = have
         return out
 
-    def matrix(self) -> np.ndarray:
+    def through(self, middle: float) -> np.ndarray:
         """Best score from entry state to exit state."""
-        out = np.full((self.states, self.states), _LOST)
-        if self.first is None:
-            for s in range(min(self.states, self.reach + 1)):
-                entry = np.full(self.states, _LOST)
-                entry[s] = 0.0
-                out[s] = self._exit(self._forward(0, self.reach, self.size, entry)[0], 0)
-            return out
-        middle = self._middle()[1]
-        leave = self._exit(self._forward(self.last, self.reach, self.size, None)[0], self.last)
-        for s in range(min(self.states, self.first + 1)):
-            entry = np.full(self.states, _LOST)
+        states = self.pieces.longest
+        out = np.full((states, states), _LOST)
+        leave = None if self.tail is None else self.leaving(_forward(self.pieces, self.tail, self.room, None)[0])
+        for s in range(min(states, len(self.head) + 1)):
+            entry = np.full(states, _LOST)
             entry[s] = 0.0
-            into = self._forward(0, self.first, self.first, entry)[0][-1]
-            out[s] = into + middle + leave
+            if self.tail is None:
+                out[s] = self.leaving(_forward(self.pieces, self.head, self.room, entry)[0])
+            else:
+                out[s] = _forward(self.pieces, self.head, len(self.head), entry)[0][-1] + middle + leave
         return out
 
-    def _middle(self) -> tuple[np.ndarray, float]:
-        """Ids and score of the whole words inside."""
-        if self.last == self.first:
-            return np.empty(0, np.int32), 0.0
-        codes = self.codes[self.first:self.last]
-        heads = np.concatenate(([0], _word_starts(codes, True)))
-        ids, _, score = segment(self.pieces, codes, heads, np.append(heads[1:], len(codes)))
-        return ids, float(score.sum())
-
-    def _walk(self, back: np.ndarray, at: int) -> list[int]:
-        """Positions of the path that ends at ``at``, last first."""
-        path = [at]
-        while back[path[-1]] >= 0:
-            path.append(int(back[path[-1]]))
-        return path
-
     def entry_states(self, entry: np.ndarray) -> list[int]:
         """For every exit state the entry state on the best path, or -1."""
-        if self.first is not None:
-            _, back, _ = self._forward(0, self.first, self.first, entry)
-            return [self._walk(back, self.first)[-1]] * self.states
-        score, back, _ = self._forward(0, self.reach, self.size, entry)
+        states = self.pieces.longest
+        if self.tail is not None:
+            _, back, _ = _forward(self.pieces, self.head, len(self.head), entry)
+            return [_walk(back, len(self.head))[-1]] * states
+        score, back, _ = _forward(self.pieces, self.head, self.room, entry)
         out = []
-        for s in range(self.states):
-            at = self.size + s
-            out.append(self._walk(back, at)[-1] if at < len(score) and np.isfinite(score[at]) else -1)
+        for s in range(states):
+            at = self.room + s
+            out.append(_walk(back, at)[-1] if at < len(score) and np.isfinite(score[at]) else -1)
         return out
 
-    def tokens(self, entry: np.ndarray, leave: int) -> np.ndarray:
-        """Ids of the pieces on the best path that leaves in state ``leave``."""
-        parts = []
+    def _traced(self, codes: np.ndarray, back: np.ndarray, piece: np.ndarray, at: int) -> np.ndarray:
+        path = np.array(_walk(back, at)[:-1][::-1], dtype=np.int64)
+        return self.pieces.expand(piece[path], codes[path - 1])[0]
+
+    def tokens(self, entry: np.ndarray, leave: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pieces before and after the whole words, on the best
+        path that leaves in state ``leave``."""
+        if self.tail is None:
+            _, back, piece = _forward(self.pieces, self.head, self.room, entry)
+            return self._traced(self.head, back, piece, self.room + leave), np.empty(0, np.int32)
+        _, back, piece = _forward(self.pieces, self.head, len(self.head), entry)
+        before = self._traced(self.head, back, piece, len(self.head))
+        _, back, piece = _forward(self.pieces, self.tail, self.room, None)
+        return before, self._traced(self.tail, back, piece, self.room + leave)
 
-        def traced(low, back, piece, at):
-            path = self._walk(back, at - low)[:-1][::-1]
-            ids = np.array([piece[p] for p in path], dtype=np.int32)
-            parts.append(self.pieces.expand(ids, self.codes[np.array(path, dtype=np.int64) + low - 1])[0])
 
-        if self.first is None:
-            _, back, piece = self._forward(0, self.reach, self.size, entry)
-            traced(0, back, piece, self.size + leave)
+class Chunk:
+    """One chunk [0, size) of a normalised text with the characters that
+    follow it, as far as a piece that starts inside may reach."""
+
+    def __init__(self, pieces: Pieces, codes: np.ndarray, size: int):
+        starts = _word_starts(codes, pieces.words)
+        inside = starts[starts < size]
+        beyond = starts[starts >= size]
+        reach = int(beyond[0]) if len(beyond) else len(codes)  # no piece of the last word goes further
+        if len(inside):
+            first, last = int(inside[0]), int(inside[-1])
+            self.ends = Ends(pieces, codes[:first], codes[last:reach], size - last)
         else:
-            _, back, piece = self._forward(0, self.first, self.first, entry)
-            traced(0, back, piece, self.first)
-            parts.append(self._middle()[0])
-            _, back, piece = self._forward(self.last, self.reach, self.size, None)
-            traced(self.last, back, piece, self.size + leave)
-        return np.concatenate(parts) if parts else np.empty(0, np.int32)
+            first = last = 0
+            self.ends = Ends(pieces, codes[:reach], None, size)
+        self.ids, score = np.empty(0, np.int32), 0.0
+        if last > first:
+            heads = np.concatenate(([0], _word_starts(codes[first:last], True)))
+            self.ids, _, scores = segment(pieces, codes[first:last], heads, np.append(heads[1:], last - first))
+            score = float(scores.sum())
+        self.score = score
+
+    def matrix(self) -> np.ndarray:
+        return self.ends.through(self.score)
+
+    def entry_states(self, entry: np.ndarray) -> list[int]:
+        return self.ends.entry_states(entry)
+
+    def tokens(self, entry: np.ndarray, leave: int) -> np.ndarray:
+        before, after = self.ends.tokens(entry, leave)
+        return np.concatenate((before, self.ids, after))
 
 
 def max_plus(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -463,56 +507,102 @@ def chunk_rows(text: str, chunk: int, longest: int) -> list[tuple[int, str, int]
     return [(i, full[at:at + chunk + longest - 1], min(chunk, len(full) - at)) for i, at in enumerate(range(0, len(full), chunk))]
 
 
-def _whole(path: str, fields: list[str], out_names: list[str]):
+def _text_of(codes: np.ndarray | None) -> str | None:
+    return None if codes is None else codes.tobytes().decode("utf-32-le", "surrogatepass")
+
+
+def read_back(text: str) -> str:
+    """Digest of what a text's ids decode to."""
+    return hashlib.sha256(text.replace(SPACE, " ").encode("utf-8", "surrogatepass")).hexdigest()
+
+
+def _told(pieces: Pieces, ids: np.ndarray, want: str) -> tuple[int, str, bool]:
+    """Number and digest of the ids, and whether they decode to the text."""
+    return len(ids), hashlib.sha256(np.asarray(ids, "<i4").tobytes()).hexdigest(), read_back(pieces.decode(ids)) == want
+
+
+_TOLD = [("n", pa.int64()), ("sha", pa.string()), ("ok", pa.bool_())]
+_OPENED = [("ids", pa.list_(pa.int32())), *_TOLD, ("rid", pa.int64()), ("no", pa.int32()), ("m", pa.list_(pa.float64())),
+           ("head", pa.string()), ("tail", pa.string()), ("room", pa.int32()), ("want", pa.string())]
+_OPENED_SQL = "ids array<int>, n long, sha string, ok boolean, rid long, no int, m array<double>, head string, tail string, room int, want string"
+
+
+def _chunk_row(rid: int, no: int, chunk: Chunk, want: str | None) -> tuple:
+    ends = chunk.ends
+    return (chunk.ids, None, None, None, rid, no, chunk.matrix().ravel(), _text_of(ends.head), _text_of(ends.tail), ends.room, want)
+
+
+def _opened(batch: pa.RecordBatch, fields: list[str], at: list[int | None], rows: list[tuple]) -> pa.RecordBatch:
+    """Rows with the columns ``fields`` of the row ``at`` of the batch."""
+    where = pa.array(at, pa.int32())
+    carried = [batch.column(batch.schema.get_field_index(f)).take(where) for f in fields]
+    made = [pa.array(c, kind) for c, (_, kind) in zip(zip(*rows, strict=True), _OPENED, strict=True)]
+    return pa.RecordBatch.from_arrays([*carried, *made], [*fields, *(n for n, _ in _OPENED)])
+
+
+def _open(path: str, fields: list[str], chunk: int, with_ids: bool):
+    """Short texts encoded, the chunks of long ones opened."""
     def run(batches):
         pieces = _load(path)
         for batch in batches:
-            texts = [t.decode("utf-8", "surrogatepass") for t in texts_of(batch)]
-            ids: list[np.ndarray] = []
-            held, size = [], 0
-            for t in texts:
-                held.append(t)
-                size += len(t)
-                if size > BATCH_BYTES:
-                    ids += encode_batch(pieces, held)
-                    held, size = [], 0
+            texts = [t.decode("utf-8", "surrogatepass") for t in texts_of(batch, "_text")]
+            rids = batch.column(batch.schema.get_field_index("_rid")).to_pylist()
+            at: list[int | None] = []
+            rows: list[tuple] = []
+            held: list[int] = []
+            size = 0
+
+            def short() -> None:
+                nonlocal held, size
+                for i, ids in zip(held, encode_batch(pieces, [texts[j] for j in held]), strict=True):
+                    at.append(i)
+                    rows.append((ids if with_ids else None, *_told(pieces, ids, read_back(texts[i])), *[None] * 7))
+                held, size = [], 0
+
+            for i, text in enumerate(texts):
+                if len(text) < chunk:
+                    held.append(i)
+                    size += len(text)
+                    if size > BATCH_BYTES // 4:
+                        short()
+                    continue
+                for no, part, n in chunk_rows(text, chunk, pieces.longest):
+                    at.append(None if no else i)
+                    rows.append(_chunk_row(rids[i], no, Chunk(pieces, code_points(part), n), None if no else read_back(text)))
             if held:
-                ids += encode_batch(pieces, held)
-            for a in range(0, len(ids), 2000):
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(batch.schema.get_field_index(f)).slice(a, 2000) for f in fields]
-                    + [pa.array(ids[a:a + 2000], pa.list_(pa.int32()))], out_names)
+                short()
+            if rows:
+                yield _opened(batch, fields, at, rows)
 
     return run
 
 
-def _cut(path: str, chunk: int):
+def _deal(path: str, fields: list[str], chunk: int):
+    """The chunks of very long texts, with the row's columns at the first."""
     def run(batches):
         longest = _load(path).longest
         for batch in batches:
-            for rid, text in zip(batch.column(0).to_pylist(), texts_of(batch), strict=True):
-                rows = chunk_rows(text.decode("utf-8", "surrogatepass"), chunk, longest)
-                for a in range(0, len(rows), 256):
-                    some = rows[a:a + 256]
+            rids = batch.column(batch.schema.get_field_index("_rid")).to_pylist()
+            for i, text in enumerate(texts_of(batch, "_text")):
+                text = text.decode("utf-8", "surrogatepass")
+                for no, part, n in chunk_rows(text, chunk, longest):
+                    where = pa.array([None if no else i], pa.int32())
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([rid] * len(some), pa.int64()), pa.array([r[0] for r in some], pa.int32()),
-                         pa.array([r[1] for r in some], pa.string()), pa.array([r[2] for r in some], pa.int32())], ["rid", "no", "part", "size"])
+                        [*(batch.column(batch.schema.get_field_index(f)).take(where) for f in fields), pa.array([rids[i]], pa.int64()), pa.array([no], pa.int32()),
+                         pa.array([part], pa.string()), pa.array([n], pa.int32()), pa.array([None if no else read_back(text)], pa.string())],
+                        [*fields, "rid", "no", "part", "size", "want"])
 
     return run
 
 
-def _chunks_of(batch, pieces):
-    part, size = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("part", "size"))
-    for p, n in zip(part, size, strict=True):
-        yield Chunk(pieces, code_points(p), n)
-
-
-def _matrices(path: str):
+def _open_dealt(path: str, fields: list[str]):
     def run(batches):
         pieces = _load(path)
         for batch in batches:
-            rows = [c.matrix().ravel() for c in _chunks_of(batch, pieces)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(rows, pa.list_(pa.float64()))], ["rid", "no", "m"])
+            rid, no, part, size, want = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("rid", "no", "part", "size", "want"))
+            rows = [_chunk_row(r, k, Chunk(pieces, code_points(p), n), w) for r, k, p, n, w in zip(rid, no, part, size, want, strict=True)]
+            if rows:
+                yield _opened(batch, fields, list(range(len(rows))), rows)
 
     return run
 
@@ -554,12 +644,18 @@ def _scan(frame, name: str):
     return pd.DataFrame({"rid": frame["rid"].to_numpy(), name: frame[name].to_numpy(), "v": vectors})
 
 
+def _ends_of(batch, pieces: Pieces):
+    head, tail, room = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("head", "tail", "room"))
+    for h, t, n in zip(head, tail, room, strict=True):
+        yield Ends(pieces, code_points(h), None if t is None else code_points(t), n)
+
+
 def _entry_maps(path: str):
     def run(batches):
         pieces = _load(path)
         for batch in batches:
             vectors = batch.column(batch.schema.get_field_index("v")).to_pylist()
-            rows = [c.entry_states(np.array(v)) for c, v in zip(_chunks_of(batch, pieces), vectors, strict=True)]
+            rows = [e.entry_states(np.array(v)) for e, v in zip(_ends_of(batch, pieces), vectors, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(rows, pa.list_(pa.int32()))], ["rid", "no", "enter"])
 
     return run
@@ -578,59 +674,97 @@ def _states(frame):
 
 
 def _traced(path: str):
+    """The ids around the whole words of each chunk: (rid, no, place, ids)."""
     def run(batches):
         pieces = _load(path)
         for batch in batches:
             vectors, leave = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("v", "leave"))
-            rows = [c.tokens(np.array(v), s) for c, v, s in zip(_chunks_of(batch, pieces), vectors, leave, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(rows, pa.list_(pa.int32()))], ["rid", "no", "ids"])
+            pairs = [e.tokens(np.array(v), s) for e, v, s in zip(_ends_of(batch, pieces), vectors, leave, strict=True)]
+            for place in (0, 2):
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), batch.column(1), pa.array([place] * len(pairs), pa.int32()), pa.array([p[place // 2] for p in pairs], pa.list_(pa.int32()))],
+                    ["rid", "no", "place", "ids"])
+
+    return run
+
+
+def _finish(path: str, fields: list[str], with_ids: bool):
+    def run(batches):
+        pieces = _load(path)
+        for batch in batches:
+            ids = [np.asarray(x.values, dtype=np.int32) for x in batch.column(batch.schema.get_field_index("ids"))]
+            want = batch.column(batch.schema.get_field_index("want")).to_pylist()
+            told = list(zip(*[_told(pieces, i, w) for i, w in zip(ids, want, strict=True)], strict=True)) or [[]] * 3
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(batch.schema.get_field_index(f)) for f in fields), pa.array(ids if with_ids else [None] * len(ids), pa.list_(pa.int32())),
+                 *(pa.array(c, kind) for c, (_, kind) in zip(told, _TOLD, strict=True))], [*fields, "ids", "n", "sha", "ok"])
 
     return run
 
 
-def _long_ids(ws: Workspace, rows: DataFrame, path: str, chunk: int) -> DataFrame:
-    """(rid, ids) of texts that are cut into chunks."""
-    parts = ws.put(rows.mapInArrow(_cut(path, chunk), "rid long, no int, part string, size int"), text_batch=1, compression="zstd")
+def _scanned(ws: Workspace, chunks: DataFrame, path: str) -> DataFrame:
+    """(rid, no, place, ids) of opened chunks, in the order of which they make
+    up the ids of their texts."""
     # few bytes are much work here: a fixed number of tasks, which run-time
     # planning does not merge
-    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = parts.repartition(tasks, "rid", "no")
-    matrices = ws.put(dealt.mapInArrow(_matrices(path), "rid long, no int, m array<double>").withColumn("block", F.expr(f"no div {COMBINE}").cast("int")))
+    tasks = int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    matrices = chunks.select("rid", "no", "m", F.expr(f"no div {COMBINE}").cast("int").alias("block"))
     blocks = matrices.repartition(tasks, "rid", "block").groupBy("rid", "block").applyInPandas(_block_product, "rid long, block int, m array<double>")
-    before = blocks.groupBy("rid").applyInPandas(lambda f: _scan(f, "block"), "rid long, block int, v array<double>")
-    vectors = ws.put(matrices.join(before, ["rid", "block"]).repartition(tasks, "rid", "block").groupBy("rid", "block").applyInPandas(
-        lambda f: _scan(f, "no"), "rid long, no int, v array<double>"))
-    entered = ws.put(parts.join(vectors, ["rid", "no"]).select("rid", "no", "part", "size", "v"), compression="zstd")
+    before = ws.put(blocks.groupBy("rid").applyInPandas(lambda f: _scan(f, "block"), "rid long, block int, v array<double>"))
+    vectors = matrices.join(before, ["rid", "block"]).repartition(tasks, "rid", "block").groupBy("rid", "block").applyInPandas(
+        lambda f: _scan(f, "no"), "rid long, no int, v array<double>")
+    entered = ws.put(chunks.select("rid", "no", "head", "tail", "room").join(vectors, ["rid", "no"]))
     maps = entered.repartition(tasks, "rid", "no").mapInArrow(_entry_maps(path), "rid long, no int, enter array<int>")
     leave = ws.put(maps.groupBy("rid").applyInPandas(_states, "rid long, no int, leave int"))
-    ids = entered.join(leave, ["rid", "no"]).select("rid", "no", "part", "size", "v", "leave").repartition(tasks, "rid", "no").mapInArrow(
-        _traced(path), "rid long, no int, ids array<int>")
-    ids = ids.groupBy("rid").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("no", "ids"))), lambda x: x["ids"])).alias("ids"))
-    out = ws.put(ids)
-    ws.drop(parts, entered, matrices, vectors, leave)
-    return out
+    around = entered.join(leave, ["rid", "no"]).repartition(tasks, "rid", "no").mapInArrow(_traced(path), "rid long, no int, place int, ids array<int>")
+    return chunks.select("rid", "no", F.lit(1).alias("place"), "ids").unionByName(around)
+
+
+def _encoded(docs: DataFrame, path: str, text_col: str, chunk: int, keep: list[str], with_ids: bool) -> DataFrame:
+    """The columns ``keep`` of ``docs``, then ids, n, sha and ok of the whole
+    text, all staged."""
+    ws = Workspace(docs.sparkSession, "sentencepiece")
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    fields = [f"c{i}" for i in range(len(keep))]
+    kinds = [T.StructField(f, docs.schema[c].dataType) for f, c in zip(fields, keep, strict=True)]
+    made = T._parse_datatype_string(_OPENED_SQL).fields
+    text = F.coalesce(F.col(text_col), F.lit(""))
+
+    def named(rows: DataFrame, odd: int) -> DataFrame:
+        return rows.select(*[F.col(c).alias(f) for f, c in zip(fields, keep, strict=True)], text.alias("_text"),
+                           (F.monotonically_increasing_id() * 2 + odd).alias("_rid"))
+
+    deal = max(DEAL, chunk)
+    here = named(docs.where(F.length(text) <= deal), 0).mapInArrow(_open(path, fields, chunk, with_ids), T.StructType([*kinds, *made]))
+    parts = T.StructType([*kinds, *T._parse_datatype_string("rid long, no int, part string, size int, want string").fields])
+    dealt = named(docs.where(F.length(text) > deal), 1).mapInArrow(_deal(path, fields, chunk), parts).repartition(tasks, "rid", "no")
+    opened = ws.put(here.unionByName(dealt.mapInArrow(_open_dealt(path, fields), T.StructType([*kinds, *made]))), text_batch=ROWS, compression="zstd")
+    chunks = opened.where("rid is not null")
+    pieces = _scanned(ws, chunks, path).select("rid", "no", "place", "ids", F.lit(None).cast(T.StructType([*kinds, made[-1]])).alias("row"))
+    rows = chunks.where("no = 0").select("rid", F.lit(-1).alias("no"), F.lit(0).alias("place"), F.lit(None).cast("array<int>").alias("ids"),
+                                         F.struct(*fields, "want").alias("row"))
+    put_together = pieces.unionByName(rows).groupBy("rid").agg(
+        F.flatten(F.transform(F.array_sort(F.collect_list(F.when(F.col("ids").isNotNull(), F.struct("no", "place", "ids")))), lambda x: x["ids"])).alias("ids"),
+        F.first("row", ignorenulls=True).alias("row"))
+    told = [f for f in made if f.name in ("ids", "n", "sha", "ok")]
+    finished = ws.put(put_together.select("row.*", "ids").mapInArrow(_finish(path, fields, with_ids), T.StructType([*kinds, *told])), text_batch=ROWS)
+    out = opened.where("rid is null").select(*fields, "ids", "n", "sha", "ok").unionByName(finished)
+    return out.withColumnsRenamed({f: f"_{f}" for f in fields}).select(*[F.col(f"_{f}").alias(c) for f, c in zip(fields, keep, strict=True)],
+                                                                      F.col("ids").alias("_ids"), F.col("n").alias("_n"), F.col("sha").alias("_sha"), F.col("ok").alias("_ok"))
 
 
 def encode(docs: DataFrame, model_path: str, text_col: str = "text", chunk: int = CHUNK, ids_col: str = "token_ids") -> DataFrame:
     """``docs`` with ``ids_col``, the piece ids of the whole text."""
-    spark = docs.sparkSession
-    ws = Workspace(spark, "sentencepiece")
-    # a batch of rows holds whole texts, here and where the result is used
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(min(1000, int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")))))
-    text = F.coalesce(F.col(text_col), F.lit(""))
     names = docs.columns
-    schema = T.StructType([*docs.schema.fields, T.StructField(ids_col, T.ArrayType(T.IntegerType()))])
-    short = docs.where(F.length(text) < chunk)
-    renamed = short.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(names)], text.alias("text"))
-    ids_of = T.StructType([*[T.StructField(f"c{i}", f.dataType) for i, f in enumerate(docs.schema.fields)], schema.fields[-1]])
-    fields = [f"c{i}" for i in range(len(names))]
-    whole = renamed.mapInArrow(_whole(model_path, fields, [*fields, ids_col]), ids_of).toDF(*names, ids_col)
-    long_rows = docs.where(F.length(text) >= chunk)
-    named = long_rows.withColumn("_rid", F.monotonically_increasing_id())
-    named = ws.put(named, compression="zstd", text_batch=16)
-    ids = _long_ids(ws, named.select(F.col("_rid").alias("rid"), F.coalesce(F.col(text_col), F.lit("")).alias("text")), model_path, chunk)
-    cut = named.join(ids.withColumnsRenamed({"rid": "_rid", "ids": ids_col}), "_rid").select(*names, ids_col)
-    return whole.unionByName(cut)
+    return _encoded(docs, model_path, text_col, chunk, names, True).select(*names, F.col("_ids").alias(ids_col))
+
+
+def encode_only(docs: DataFrame, model_path: str, text_col: str = "text", chunk: int = CHUNK, ids_col: str = "token_ids") -> DataFrame:
+    """``docs`` with ``ids_col``, n_tokens and round_trip (whether the ids were
+    decoded to the text again) in place of the text."""
+    names = [c for c in docs.columns if c != text_col]
+    return _encoded(docs, model_path, text_col, chunk, names, True).select(
+        *names, F.col("_ids").alias(ids_col), F.col("_n").alias("n_tokens"), F.col("_ok").alias("round_trip"))
 
 
 def decode(frame: DataFrame, model_path: str, ids_col: str = "token_ids", out_col: str = "decoded") -> DataFrame:
@@ -649,23 +783,8 @@ def decode(frame: DataFrame, model_path: str, ids_col: str = "token_ids", out_co
     return kept.mapInArrow(run, schema).toDF(*names, out_col)
 
 
-def token_digests(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK, encoder=encode) -> DataFrame:
+def token_digests(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK) -> DataFrame:
     """Returns (id_col, n_pieces, pieces_sha256, round_trip) per row: the
     encoding of the whole text, and whether it decodes to the text."""
-    encoded = encoder(docs.select(id_col, F.col(text_col).alias("text")), model_path, chunk=chunk)
-
-    def run(batches):
-        pieces = _load(model_path)
-        for batch in batches:
-            count, digest, same = [], [], []
-            for ids, text in zip(batch.column(2), texts_of(batch), strict=True):
-                own = np.asarray(ids.values, dtype="<i4")
-                count.append(len(own))
-                digest.append(hashlib.sha256(own.tobytes()).hexdigest())
-                same.append(pieces.decode(own.tolist()) == text.decode("utf-8", "surrogatepass").replace(SPACE, " "))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(count, pa.int64()), pa.array(digest, pa.string()), pa.array(same, pa.bool_())],
-                [id_col, "n_pieces", "pieces_sha256", "round_trip"])
-
-    return encoded.select(F.col(id_col).cast("long").alias(id_col), "text", "token_ids").mapInArrow(
-        run, f"{id_col} long, n_pieces long, pieces_sha256 string, round_trip boolean")
+    return _encoded(docs, model_path, text_col, chunk, [id_col], False).select(
+        F.col(id_col).cast("long").alias(id_col), F.col("_n").alias("n_pieces"), F.col("_sha").alias("pieces_sha256"), F.col("_ok").alias("round_trip"))

@@ -6,6 +6,9 @@ import zlib
 import pytest
 
 from encore.llm import conversation_trie as C
+from encore.llm.queries import op11_conversation_trie, table
+
+from .test_queries import COLUMNS, MID
 
 SCHEMA = "conv_id long, turn long, role string, text string"
 
@@ -107,3 +110,10 @@ def test_tree_is_balanced():
             if side > 0:
                 depth[side] = depth.get(x, 0) + 1
     assert max(depth.values()) <= 10
+
+
+def test_registered_query_equals_brute_force(spark):
+    rows = [tuple(r) for r in table(spark, MID, "conversations").select("conv_id", "turn", "role", "text").collect()]
+    got = op11_conversation_trie(spark, MID)
+    assert got.columns == COLUMNS["op11"].split()
+    assert rows_of(got) == brute(rebuilt(rows))

@@ -3,8 +3,8 @@ import random
 import pytest
 
 from encore.llm import sentencepiece_bpe as B
-from encore.llm.queries import op4_sentencepiece, op10_token_counts, table
-from encore.llm.sentencepiece_scan import decode, token_digests
+from encore.llm.queries import op10_token_counts, table
+from encore.llm.sentencepiece_scan import decode
 
 from .test_queries import SMALL
 from .test_sentencepiece_scan import PATH, samples
@@ -38,13 +38,12 @@ def test_texts_equal_the_library(spark, library, chunk):
         assert got[i]["decoded"] == (t or "").replace("▁", " ")
 
 
-def test_documents_equal_the_library_and_op10(spark, library):
+@pytest.mark.parametrize("chunk", [50, 1 << 14])
+def test_documents_equal_the_library_and_op10(spark, library, chunk):
     docs = table(spark, SMALL, "documents")
-    want = {r["doc_id"]: len(library.encode(r["text"] or "")) for r in docs.collect()}
-    assert {r["doc_id"]: r["n_pieces"] for r in op4_sentencepiece(spark, SMALL).collect()} == want
-    assert {r["doc_id"]: r["n_tokens"] for r in op10_token_counts(spark, SMALL).collect()} == want
-    cut = token_digests(docs, PATH, chunk=50, encoder=B.encode)
-    assert {r["doc_id"]: r["n_pieces"] for r in cut.collect()} == want
+    want = {r["doc_id"]: library.encode(r["text"] or "") for r in docs.collect()}
+    assert {r["doc_id"]: r["token_ids"] for r in B.encode(docs, PATH, chunk=chunk).collect()} == want
+    assert {r["doc_id"]: r["n_tokens"] for r in op10_token_counts(spark, SMALL).collect()} == {i: len(x) for i, x in want.items()}
 
 
 def test_unigram_models_take_the_scan_and_others_are_refused(spark, tmp_path):

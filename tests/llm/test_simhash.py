@@ -7,6 +7,9 @@ from xxhash import xxh64_intdigest
 
 from encore.llm import simhash as S
 from encore.llm.common import Workspace
+from encore.llm.queries import op12_simhash, table
+
+from .test_queries import MID
 
 
 def fp_of(text):
@@ -15,7 +18,8 @@ def fp_of(text):
         return 0
     m = min(3, len(words))
     hashes = [xxh64_intdigest(" ".join(words[i:i + m]).encode(), 42) for i in range(len(words) - m + 1)]
-    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+    bits = np.array(hashes, dtype=np.uint64)[:, None] >> np.arange(64, dtype=np.uint64) & np.uint64(1)
+    return sum(1 << b for b, n in enumerate(bits.sum(axis=0).tolist()) if 2 * n > len(hashes))
 
 
 def components(prints):
@@ -119,5 +123,10 @@ def test_gray_rank(spark):
     assert [r[0] for r in got] == list(range(64))
 
 
+def test_registered_query_equals_brute_force(spark):
+    rows = [tuple(r) for r in table(spark, MID, "documents").select("doc_id", "text").collect()]
+    assert sorted((tuple(r) for r in op12_simhash(spark, MID).collect()), key=str) == brute(rows)
+
+
 def test_empty_table(spark):
     assert S.simhash_components(spark.createDataFrame([], "doc_id long, text string")).collect() == []

@@ -4,6 +4,9 @@ import numpy as np
 import pytest
 
 from encore.llm import whitening as W
+from encore.llm.queries import op13_whitening, table
+
+from .test_queries import COLUMNS, SMALL
 
 SCHEMA = "vec_id long, embedding array<float>"
 
@@ -97,3 +100,10 @@ def test_large_deviations_are_exact():
     centre = W.Centre(10 ** 6, [7, 10 ** 12])
     x = np.array([[1 << 40, 5], [3, 10 ** 6]])
     assert centre.deviation(x) == [((10 ** 6 * (1 << 40)) - 7) ** 2 + (5 * 10 ** 6 - 10 ** 12) ** 2, (3 * 10 ** 6 - 7) ** 2]
+
+
+def test_registered_query_equals_eigenvectors(spark):
+    rows = [tuple(r) for r in table(spark, SMALL, "embeddings").select("vec_id", "embedding").collect()]
+    got = op13_whitening(spark, SMALL)
+    assert got.columns == COLUMNS["op13"].split()
+    compare(got.collect(), rows, 8)
