@@ -21,8 +21,7 @@ from encore.llm.exact_dedup import exact_groups
 from encore.llm.mixing import mix
 from encore.llm.ngram_jaccard import ngram_components
 from encore.llm.queries import CUT, MIX_TARGETS, table, tokenizer_path
-from encore.llm.sentencepiece_bpe import encode
-from encore.llm.sentencepiece_scan import SPACE, decode
+from encore.llm.sentencepiece_scan import encode_only
 
 #: Share of the tokens that reach the mixing stage and stay.
 MIX_BUDGET = 0.9
@@ -67,11 +66,10 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with the piece ids of their whole texts, and whether the
-    ids decode to the text (a U+2581 reads back as a space)."""
-    out = decode(encode(docs, tokenizer_path()), tokenizer_path(), out_col="_decoded")
-    same = F.col("_decoded") == F.translate(F.coalesce("text", F.lit("")), SPACE, " ")
-    return out.withColumns({"n_tokens": F.size("token_ids").cast("long"), "round_trip": same}).drop("text", "_decoded")
+    """The documents with the piece ids of their whole texts in place of the
+    texts, and whether the ids decode to the text (a U+2581 reads back as a
+    space)."""
+    return encode_only(docs, tokenizer_path())
 
 
 STAGES = [
