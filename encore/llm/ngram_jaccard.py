@@ -459,9 +459,10 @@ def _block_links(t: int):
     return run
 
 
-def ngram_components(docs: DataFrame, k: int = 5, t: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def ngram_components(docs: DataFrame, k: int = 5, t: int = 80, id_col: str = "doc_id", text_col: str = "text", links: bool = True) -> DataFrame:
     """Returns (id_col, n_shingles, component_id, n_links) per row of ``docs``; n_links
-    counts the other rows that the row links with, exact copies included."""
+    counts the other rows that the row links with, exact copies included;
+    without ``links`` they are not counted, and the column is left out."""
     spark = docs.sparkSession
     ws = Workspace(spark, "ngram")
     rows = docs.select(F.col(id_col).cast("long").alias(id_col), text_col)
@@ -560,8 +561,8 @@ def ngram_components(docs: DataFrame, k: int = 5, t: int = 80, id_col: str = "do
         return settled.unionByName(counted)
 
     first = ws.put(with_maps(stars))
-    links = verified(first)
-    comps = ws.put(components(ws, links))
+    sure = verified(first)
+    comps = ws.put(components(ws, sure))
 
     # lists that are not one component yet, in blocks
     label = F.coalesce("comp", "id").alias("comp")
@@ -576,21 +577,22 @@ def ngram_components(docs: DataFrame, k: int = 5, t: int = 80, id_col: str = "do
     second = ws.put(member.mapInArrow(_block_pairs(t, x), "a long, b long").distinct(), text_batch=4096)
     more = verified(second)
     ws.drop(first, second, posts, index)
-    every = ws.put(links.union(more))
+    every = ws.put(sure.union(more))
     if more.isEmpty():
         final = comps
     else:
         ws.drop(comps)
         final = ws.put(components(ws, every))
-    counts = ws.put(link_counts(every, final))
-    of_rep = reps.join(final, reps["rep"] == final["id"], "left").select(
-        "n", "f1", "f2", "rep", F.coalesce("comp", "rep").alias("comp"), "copies").join(counts, "rep", "left").select(
-        "n", "f1", "f2", "comp", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    out = sets.join(of_rep, ["n", "f1", "f2"], "left")
-    out = ws.put(out.select(
-        F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"),
-        F.when(F.col("id").isNotNull(), F.coalesce("comp", "id")).alias("component_id"),
-        F.when(F.col("id").isNotNull(), F.coalesce("n_links", F.lit(0))).otherwise(0).cast("long").alias("n_links")))
+    counts = ws.put(link_counts(every, final)) if links else None
+    of_rep = reps.join(final, reps["rep"] == final["id"], "left").select("n", "f1", "f2", "rep", F.coalesce("comp", "rep").alias("comp"), "copies")
+    if links:
+        of_rep = of_rep.join(counts, "rep", "left").select(
+            "n", "f1", "f2", "comp", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    named = F.col("id").isNotNull()
+    result = [F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), F.when(named, F.coalesce("comp", "id")).alias("component_id")]
+    if links:
+        result.append(F.when(named, F.coalesce("n_links", F.lit(0))).otherwise(0).cast("long").alias("n_links"))
+    out = ws.put(sets.join(of_rep, ["n", "f1", "f2"], "left").select(*result))
     classes.unpersist()
-    ws.drop(profile, cells, reps, copies, links, more, every, counts)
+    ws.drop(profile, cells, reps, copies, sure, more, every, *([counts] if links else []))
     return out

@@ -1,14 +1,17 @@
 """Vectorised word and shingle hashing of UTF-8 texts, used inside tasks.
 
-A word is a maximal run of bytes other than 0x20 and 0x09-0x0D.  All hashes
-are 64-bit and depend on the bytes alone, so equal texts hash alike in every
-task.  Texts are worked through in pieces of about ``PIECE`` bytes cut at
+A word is a maximal run of bytes other than 0x20 and 0x09-0x0D.  Its hash joins
+two polynomials modulo primes of 31 bits and its length; words of more than
+LONG bytes take a BLAKE2b digest instead.  (A polynomial modulo 2**64 will not
+do: the Thue-Morse sequence and its complement collide under any multiplier.)
+Hashes depend on the bytes alone, so equal texts hash alike in every task.  Texts are worked through in pieces of about ``PIECE`` bytes cut at
 white space, so a batch of small texts and one very long text need the same
 memory (beyond 8 bytes per word).
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,8 +34,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_BASE = 0x5851F42D4C957F2D  # odd, so it has an inverse modulo 2**64
-_INVERSE = pow(_BASE, -1, 1 << 64)
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -48,21 +49,57 @@ def powers(base: int, n: int) -> np.ndarray:
     return got[:n]
 
 
+_PRIMES = (2147483647, 2147483629)
+_BASES = (1103515245, 1664525069)
+#: Bytes from which on a word is hashed by itself.
+LONG = 4096
+_tables: list[tuple[np.ndarray, np.ndarray]] = []
+
+
+def _powers_modulo(base: int, prime: int, n: int) -> np.ndarray:
+    out = np.ones(1, dtype=np.uint64)
+    step = base % prime
+    while len(out) < n:
+        out = np.concatenate((out, out * np.uint64(step) % np.uint64(prime)))
+        step = step * step % prime
+    return out[:n]
+
+
+def _prime_tables(n: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per prime the powers of its base and of the inverse (kept for the next
+    piece)."""
+    if _tables and len(_tables[0][0]) >= n:
+        return _tables
+    size = max(n, PIECE + (1 << 16))
+    made = [(_powers_modulo(b, p, size), _powers_modulo(pow(b, -1, p), p, size)) for b, p in zip(_BASES, _PRIMES, strict=True)]
+    if size <= 4 * PIECE:
+        _tables[:] = made
+    return made
+
+
 def _hash_piece(data: bytes, lower: bool) -> tuple[np.ndarray, np.ndarray]:
     """(first byte of each word, hash of each word) of one piece."""
     white = np.frombuffer(data.translate(_IS_WHITE), dtype=bool)
-    raw = np.frombuffer(data.lower() if lower else data, dtype=np.uint8)  # bytes.lower: A-Z only
+    if lower:
+        data = data.lower()  # bytes.lower: A-Z only
+    raw = np.frombuffer(data, dtype=np.uint8)
     edge = np.flatnonzero(white[1:] != white[:-1]) + 1
     if not white[0]:
         edge = np.concatenate(([0], edge))
     if not white[-1]:
         edge = np.concatenate((edge, [len(raw)]))
     start, end = edge[0::2], edge[1::2]
+    value = np.zeros(len(start), dtype=np.uint64)
     total = np.zeros(len(raw) + 1, dtype=np.uint64)
-    np.multiply(raw, powers(_BASE, len(raw)), out=total[1:])
-    np.cumsum(total, out=total)
-    value = (total[end] - total[start]) * powers(_INVERSE, len(raw))[start]
-    return start, mix(value + (end - start).astype(np.uint64))
+    for (up, down), prime in zip(_prime_tables(len(raw)), _PRIMES, strict=True):
+        np.multiply(raw, up[:len(raw)], out=total[1:])
+        np.cumsum(total, out=total)  # a word of LONG bytes stays below 2**52; differences survive overflow
+        own = (total[end] - total[start]) % np.uint64(prime) * down[start] % np.uint64(prime)
+        value = (value << np.uint64(32)) | own
+    value = mix(value ^ mix((end - start).astype(np.uint64)))
+    for i in np.flatnonzero(end - start > LONG):
+        value[i] = int.from_bytes(hashlib.blake2b(data[start[i]:end[i]], digest_size=8).digest(), "little")
+    return start, value
 
 
 def cut_at_white(text: bytes) -> Iterator[bytes]:

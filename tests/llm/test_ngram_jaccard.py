@@ -4,6 +4,8 @@ import numpy as np
 import pytest
 
 from encore.llm import ngram_jaccard as J
+from encore.llm.ngram_jaccard import ngram_components
+from encore.llm.text import word_hashes
 
 WORD = "the of and to in cat dog sun moon tree river stone cloud leaf bird fish".split()
 
@@ -135,3 +137,30 @@ def test_all_links_of_a_group_are_counted(spark):
     rows = [(m, " ".join([*base, f"edit{m}"])) for m in range(40)]
     got = J.ngram_components(spark.createDataFrame([*rows, (None, rows[0][1])], "doc_id long, text string"), k=3, t=90).collect()
     assert sorted((r["n_links"], r["doc_id"] is None) for r in got) == [(0, True)] + [(39, False)] * 40
+
+
+def thue_morse(n):
+    return "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+
+
+@pytest.mark.parametrize("size", [64, 1024, 2048, 8192, 1 << 19])
+def test_patterns_that_defeat_power_of_two_hashes(spark, size):
+    one = thue_morse(size)
+    two = one.translate(str.maketrans("ab", "ba"))
+    texts = [one, two, f"{one} x y", f"{two} x y", f"p {one} x", f"p {two} x", one.upper()]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in ngram_components(docs, k=3, t=90).collect()}
+    assert got == {0: 0, 1: 1, 2: 2, 3: 3, 4: 4, 5: 5, 6: 0}
+
+
+def test_words_of_long_texts_hash_alike_in_any_place():
+    words = [f"w{i}" for i in range(90_000)] + ["z" * 5000, "z" * 5001, "é" * 3000]
+    whole = word_hashes([" ".join(words).encode()])[0]
+    alone = word_hashes([w.encode() for w in words])
+    assert whole.tolist() == [int(a[0]) for a in alone] and len(set(whole.tolist())) == len(words)
+
+
+def test_without_link_counts(spark):
+    docs = spark.createDataFrame([(1, "a b c"), (2, "A b  c"), (3, None)], "doc_id long, text string")
+    got = ngram_components(docs, k=3, t=90, links=False)
+    assert got.columns == ["doc_id", "n_shingles", "component_id"] and sorted(map(tuple, got.collect())) == [(1, 1, 1), (2, 1, 1), (3, 0, 3)]
