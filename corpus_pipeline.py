@@ -55,7 +55,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Near copies (five-word shingles, similarity 0.8): one document of each
     group stays, the one with the smallest id."""
-    groups = ngram_components(docs, k=5, t=80)
+    groups = ngram_components(docs, k=5, t=80, links=False)
     return _leave(docs, groups.where("component_id < doc_id").select("doc_id"))
 
 
