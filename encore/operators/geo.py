@@ -1,32 +1,34 @@
 """Reverse geocoding as a distributed nearest-place join (JN8).
 
 The original called a web map service ten points at a time from inside
-``mapPartitions``.  Here the place table is a DataFrame (a gazetteer) and the
-nearest place of every point is found by a search down a pyramid of occupied
-cells:
-
-* level 0 is the globe; every cell splits into ``FAN`` x ``FAN`` cells; the
-  pyramid holds one row per *occupied* cell with one place of it;
-* a point starts at level 0.  At each level its cells are replaced by their
-  occupied children (an equi-join on the parent cell).  The place kept with a
-  child gives an upper bound of the nearest distance, the distance from the
-  point to the child's box a lower bound; children that cannot hold the
-  nearest place are dropped;
-* at the last level the places of the cells left are compared exactly (ties:
+``mapPartitions``.  Here the place table is a DataFrame (a gazetteer), and the
+nearest place of every point is found in a fixed number of jobs:
+
+* *Tree, built once.*  Places are sorted along a space-filling curve (Morton
+  order of latitude and longitude) and cut into buckets of neighbours.  A
+  bucket's box is the least one around its places as points of the unit
+  sphere, so neither the poles nor the date line are special.  There are at
+  most ``MAX_BUCKETS`` boxes, whatever the gazetteer (buckets grow beyond
+  that), and only the boxes and one place of each are sent to the tasks.
+* *Search.*  A task puts the boxes under a tree (runs of ``FAN`` boxes, level
+  by level) and takes a batch of points down it side by side.  The place kept
+  with a node and the far corner of its box bound a point's nearest distance
+  from above, the near face of a box bounds it from below; nodes that cannot
+  hold the nearest place are left.  What remains are a few buckets per point.
+* *Join.*  Points and places meet by bucket; the exact distance decides (ties:
   smallest ``place_id``).
 
-A point far from every place, or among very many, keeps a handful of cells per
-level: work per point follows the depth, which follows the logarithm of the
-number of places.  Nothing is capped: every level compares every cell that the
-bounds leave, and every point comes back.  Only ids, coordinates and distances
-take part; the names are joined at the end.
+A point far from every place, or among very many, keeps a handful of buckets.
+Nothing is capped: every bucket that the bounds leave is compared, and every
+point comes back.  Only ids, coordinates and distances take part; the names
+are joined at the end.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -46,10 +48,18 @@ def haversine_km(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Colu
     return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.when(root > 1.0, F.lit(1.0)).otherwise(root))
 
 
-#: Cells per side that a cell splits into.
-FAN = 8
-#: Slack of the bounds against rounding (km).
-SLACK_KM = 1e-6
+#: Places of a bucket, while there are at most MAX_BUCKETS.
+BUCKET = 64
+#: Boxes sent to the tasks (80 bytes each).
+MAX_BUCKETS = 1 << 20
+#: Nodes below a node of the tree.
+FAN = 16
+#: Points taken down the tree side by side.
+SIDE_BY_SIDE = 4096
+#: Slack of the bounds against rounding (squared chord of the unit sphere).
+SLACK = 1e-13
+#: Bits of a coordinate on the curve.
+CURVE_BITS = 26
 
 
 def usable_coordinate(c: Column, most: float) -> Column:
@@ -58,36 +68,73 @@ def usable_coordinate(c: Column, most: float) -> Column:
     return F.when(value.between(-most, most), value)  # NaN is greater than any number
 
 
-def _cells(lat: Column, lng: Column, level: int) -> tuple[Column, Column]:
-    n = FAN ** level
-
-    def at(c: Column, low: float, span: float) -> Column:
-        return F.least(F.floor((c - F.lit(low)) * F.lit(n / span)).cast("bigint"), F.lit(n - 1))
+def _spread(c: Column) -> Column:
+    """The bits of a number, each followed by a zero."""
+    for shift, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555)):
+        c = c.bitwiseOR(F.shiftleft(c, shift)).bitwiseAND(F.lit(mask))
+    return c
 
-    return at(lat, -90.0, 180.0), at(lng, -180.0, 360.0)
 
+def curve_key(lat: Column, lng: Column) -> Column:
+    """Place on the Morton curve."""
+    n = 1 << CURVE_BITS
 
-def box_distance_km(lat: Column, lng: Column, lat0: Column, lat1: Column, lng0: Column, lng1: Column) -> Column:
-    """Least great-circle distance from a point to a latitude/longitude box.
-
-    Inside the box's longitudes the way is along the meridian; elsewhere the
-    nearest point lies on one of the two meridian edges, at an end or where
-    the great circle from the point meets the edge at a right angle.
-    """
-    inside = (lng >= lng0) & (lng <= lng1)
-    along = F.lit(EARTH_RADIUS_KM) * F.radians(F.greatest(lat0 - lat, lat - lat1, F.lit(0.0)))
-
-    def edge(at: Column) -> Column:
-        foot = F.degrees(F.atan2(F.sin(F.radians(lat)), F.cos(F.radians(lat)) * F.cos(F.radians(at - lng))))
-        nearest = F.least(F.greatest(foot, lat0), lat1)
-        return F.least(*[haversine_km(lat, lng, x, at) for x in (lat0, lat1, nearest)])
-
-    return F.when(inside, along).otherwise(F.least(edge(lng0), edge(lng1)))
-
+    def step(c: Column, low: float, span: float) -> Column:
+        return F.least(F.floor((c - F.lit(low)) * F.lit(n / span)).cast("bigint"), F.lit(n - 1))
 
-def pyramid_depth(n_places: int) -> int:
-    """Levels until a cell of an even gazetteer holds about one place."""
-    return 1 + max(1, math.ceil(math.log(max(n_places, 2), FAN * FAN)))
+    return F.shiftleft(_spread(step(lat, -90.0, 180.0)), 1).bitwiseOR(_spread(step(lng, -180.0, 360.0)))
+
+
+def unit_vector(lat: Column, lng: Column) -> list[Column]:
+    p, q = F.radians(lat), F.radians(lng)
+    return [F.cos(p) * F.cos(q), F.cos(p) * F.sin(q), F.sin(p)]
+
+
+class BoxTree:
+    """Boxes (in curve order) and one place of each, under a tree."""
+
+    def __init__(self, low: np.ndarray, high: np.ndarray, place: np.ndarray):
+        self.levels = [(low, high, place)]
+        while len(low) > FAN:
+            first = np.arange(0, len(low), FAN)
+            low, high, place = np.minimum.reduceat(low, first), np.maximum.reduceat(high, first), place[first]
+            self.levels.append((low, high, place))
+
+    def candidates(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(point, box) of the boxes that may hold a point's nearest place."""
+        q = np.repeat(np.arange(len(points)), len(self.levels[-1][0]))
+        node = np.tile(np.arange(len(self.levels[-1][0])), len(points))
+        best = np.full(len(points), np.inf)
+        for level in range(len(self.levels) - 1, -1, -1):
+            low, high, place = (x[node] for x in self.levels[level])
+            at = points[q]
+            near = (np.maximum(np.maximum(low - at, at - high), 0) ** 2).sum(axis=1)
+            most = np.minimum((np.maximum(at - low, high - at) ** 2).sum(axis=1), ((at - place) ** 2).sum(axis=1))
+            np.minimum.at(best, q, most)
+            keep = near <= best[q] + SLACK
+            q, node = q[keep], node[keep]
+            if level:
+                size = len(self.levels[level - 1][0])
+                many = np.minimum(FAN, size - FAN * node)
+                q = np.repeat(q, many)
+                node = np.repeat(FAN * node, many) + np.arange(len(q)) - np.repeat(np.cumsum(many) - many, many)
+        return q, node
+
+
+def _route(tree):
+    """(_k, _lat, _lng, x, y, z) -> (_k, _lat, _lng, bucket)."""
+    def run(batches):
+        names, boxes = tree.value
+        held = BoxTree(*boxes)
+        for batch in batches:
+            for begin in range(0, batch.num_rows, SIDE_BY_SIDE):
+                some = batch.slice(begin, SIDE_BY_SIDE)
+                points = np.column_stack([some.column(c).to_numpy() for c in (3, 4, 5)])
+                q, node = held.candidates(points)
+                where = pa.array(q)
+                yield pa.RecordBatch.from_arrays([*(some.column(c).take(where) for c in range(3)), pa.array(names[node])], ["_k", "_lat", "_lng", "bucket"])
+
+    return run
 
 
 def nearest_place(points: DataFrame, places: DataFrame, key: str, lat: str, lng: str, place_cols: list[str]) -> DataFrame:
@@ -99,36 +146,33 @@ def nearest_place(points: DataFrame, places: DataFrame, key: str, lat: str, lng:
     only: rows are told apart by position, so repeated keys are points of
     their own.
     """
+    spark = points.sparkSession
     rows = materialize(points.withColumn("_k", F.monotonically_increasing_id()))
-    here = materialize(
-        rows.select("_k", usable_coordinate(F.col(lat), 90.0).alias("_lat"), usable_coordinate(F.col(lng), 180.0).alias("_lng"))
-        .where("_lat is not null and _lng is not null")
-    )
     usable = places.withColumn("_plat", usable_coordinate(F.col("lat"), 90.0)).withColumn(
         "_plng", usable_coordinate(F.col("lng"), 180.0)).where("_plat is not null and _plng is not null")
     # places on the same spot: the smallest id answers
     spots = materialize(usable.groupBy("_plat", "_plng").agg(F.min("place_id").alias("place_id")))
-    depth = pyramid_depth(spots.count())
-
-    now = here.withColumn("_ci", F.lit(0).cast("bigint")).withColumn("_cj", F.lit(0).cast("bigint"))
-    for level in range(1, depth + 1):
-        ci, cj = _cells(F.col("_plat"), F.col("_plng"), level)
-        children = spots.select(ci.alias("_i"), cj.alias("_j"), "_plat", "_plng").groupBy("_i", "_j").agg(
-            F.min(F.struct("_plat", "_plng")).alias("_s"))
-        children = children.select(
-            F.floor(F.col("_i") / FAN).cast("bigint").alias("_ci"), F.floor(F.col("_j") / FAN).cast("bigint").alias("_cj"), "_i", "_j", "_s")
-        high, wide = 180.0 / FAN ** level, 360.0 / FAN ** level
-        opened = now.join(maybe_broadcast(children), ["_ci", "_cj"]).select(
-            "_k", "_lat", "_lng", "_i", "_j",
-            haversine_km(F.col("_lat"), F.col("_lng"), F.col("_s._plat"), F.col("_s._plng")).alias("_most"),
-            box_distance_km(F.col("_lat"), F.col("_lng"), F.col("_i") * high - 90.0, (F.col("_i") + 1) * high - 90.0,
-                            F.col("_j") * wide - 180.0, (F.col("_j") + 1) * wide - 180.0).alias("_least"))
-        bound = F.min("_most").over(Window.partitionBy("_k"))  # a few cells per point
-        now = materialize(opened.withColumn("_bound", bound).where(F.col("_least") <= F.col("_bound") + SLACK_KM).select(
-            "_k", "_lat", "_lng", F.col("_i").alias("_ci"), F.col("_j").alias("_cj")))
-    ci, cj = _cells(F.col("_plat"), F.col("_plng"), depth)
-    leaves = spots.withColumn("_ci", ci).withColumn("_cj", cj)
-    best = now.join(maybe_broadcast(leaves), ["_ci", "_cj"]).groupBy("_k").agg(F.min(F.struct(
+    n = spots.count()
+    if not n:
+        return rows.select(*[F.col(c) for c in points.columns], F.lit(None).cast("long").alias("place_id"), F.lit(None).cast("double").alias("distance_km"),
+                           *[F.lit(None).cast(places.schema[c].dataType).alias(c) for c in place_cols])
+    size = max(BUCKET, -(-n // MAX_BUCKETS))
+    sorted_ = spots.withColumn("_z", curve_key(F.col("_plat"), F.col("_plng"))).repartitionByRange("_z").sortWithinPartitions("_z", "place_id")
+    x, y, z = unit_vector(F.col("_plat"), F.col("_plng"))
+    placed = materialize(sorted_.select("_plat", "_plng", "place_id", x.alias("x"), y.alias("y"), z.alias("z"),
+                                        F.expr(f"monotonically_increasing_id() div {size}").alias("bucket")))
+    axes = ("x", "y", "z")
+    boxes = placed.groupBy("bucket").agg(*[F.min(a).alias(f"l{a}") for a in axes], *[F.max(a).alias(f"h{a}") for a in axes],
+                                         F.min(F.struct("place_id", *axes)).alias("p"))
+    boxes = boxes.select("bucket", "lx", "ly", "lz", "hx", "hy", "hz", *[F.col(f"p.{a}").alias(f"p{a}") for a in axes]).toArrow()
+    boxes = boxes.sort_by("bucket")
+    columns = [boxes.column(i).to_numpy() for i in range(10)]
+    tree = spark.sparkContext.broadcast((columns[0], tuple(np.column_stack(columns[i:i + 3]) for i in (1, 4, 7))))
+
+    here = rows.select("_k", usable_coordinate(F.col(lat), 90.0).alias("_lat"), usable_coordinate(F.col(lng), 180.0).alias("_lng")).where(
+        "_lat is not null and _lng is not null")
+    routed = here.select("*", *unit_vector(F.col("_lat"), F.col("_lng"))).mapInArrow(_route(tree), "_k long, _lat double, _lng double, bucket long")
+    best = routed.join(placed.select("bucket", "_plat", "_plng", "place_id"), "bucket").groupBy("_k").agg(F.min(F.struct(
         haversine_km(F.col("_lat"), F.col("_lng"), F.col("_plat"), F.col("_plng")).alias("distance_km"), "place_id")).alias("_b"))
     best = best.select("_k", "_b.place_id", "_b.distance_km")
     names = places.groupBy("place_id").agg(F.min(F.struct(*place_cols)).alias("_n")) if place_cols else places.select("place_id").distinct()

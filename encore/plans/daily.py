@@ -18,7 +18,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.dates import days_before
 from ..operators import content, location, machine, revenue, users
-from ..session import release_materialized
 from ..sinks import overwrite_table, stamp_day, write_mart, write_partition
 from ..sources import schemas
 from ..sources.tables import _exists, on_day, read_table
@@ -116,7 +115,6 @@ def run_content(spark: SparkSession, wh: Warehouse, raw: RawTables, day: str,
     write_partition(content.singer_rsi(features), wh.path("singer_rsi"))
     for key, mart in (("song_rsi", "tm_song_rsi"), ("singer_rsi", "tm_singer_rsi")):
         wh.mart(stamp_day(content.top_ranked(_read(spark, wh, key, day)), day), mart)
-    release_materialized()
 
 
 def run_machines(spark: SparkSession, wh: Warehouse, raw: RawTables, day: str) -> None:
@@ -129,7 +127,6 @@ def run_machines(spark: SparkSession, wh: Warehouse, raw: RawTables, day: str) -
     write_partition(
         location.machine_location(raw.user_locations, raw.gazetteer, day, yesterday=yesterday), wh.path("mac_loc")
     )
-    release_materialized()
 
 
 def _yesterday_locations(spark: SparkSession, wh: Warehouse, day: str) -> DataFrame | None:
@@ -190,7 +187,6 @@ def backfill(spark: SparkSession, wh: Warehouse, raw: RawTables, first_day: str,
     features = between_days(spark.read.parquet(wh.path("song_features")), first_day, last_day)
     write_partition(content.song_rsi(features), wh.path("song_rsi"))
     write_partition(content.singer_rsi(features), wh.path("singer_rsi"))
-    release_materialized()
     write_partition(users.consumption_brief(between_days(raw.consumption, first_day, last_day)), wh.path("cnsm"))
     everyone = users.all_users(raw.users_wechat, raw.users_alipay, raw.users_qq, raw.users_app)
     write_partition(

@@ -52,47 +52,34 @@ def build_session(
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Shared folder for lineage cuts and streaming checkpoints.
 
-    The cluster names it in ``spark.checkpoint.dir``; a fallback is only
-    applied when the setting is absent (local tests pass a temp folder).
+    The cluster names it in ``spark.checkpoint.dir``.  Where that is unset
+    (local tests), the folder given to ``SparkContext.setCheckpointDir`` counts,
+    else ``fallback``, which is then set; without any of them it raises, as a
+    folder of one machine would not do on a cluster.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        path = configured
-    elif fallback:
-        spark.conf.set("spark.checkpoint.dir", fallback)
-        path = fallback
-    else:
+    context = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if path:
+        if context.getCheckpointDir() is None:
+            context.setCheckpointDir(path)
+        return path
+    if context.getCheckpointDir():
+        return context.getCheckpointDir()
+    if not fallback:
         raise ValueError("spark.checkpoint.dir is not set on this session")
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    context.setCheckpointDir(fallback)
+    return fallback
 
 
 def sub_dir(base: str, *parts: str) -> str:
     return os.path.join(base, *parts)
 
 
-_held: list = []
-
-
 def materialize(df):
-    """Cut lineage: reliable checkpoint into ``spark.checkpoint.dir`` when the
-    session names one (survives executor loss; its files go with the frame),
-    else an in-memory cache (recomputed from lineage if a block is lost), held
-    until ``release_materialized``.  Never a local checkpoint."""
-    spark = df.sparkSession
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if path:
-        spark.sparkContext.setCheckpointDir(path)
-        return df.checkpoint(eager=True)
-    cached = df.cache()
-    _held.append(cached)
-    return cached
-
-
-def release_materialized() -> None:
-    """Drops what ``materialize`` cached, and nothing else of the session."""
-    while _held:
-        _held.pop().unpersist()
+    """Cut lineage by a reliable checkpoint in the shared folder, which a lost
+    executor does not touch; its files go with the frame."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
 
 
 MB = 1 << 20

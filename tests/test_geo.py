@@ -87,26 +87,57 @@ def test_every_point_comes_back(spark):
     assert empty.count() == len(points) and empty.where("place_id is not null").count() == 0
 
 
-def test_far_points_open_few_cells(spark, monkeypatch):
-    """Points at one far spot: the cells left per point stay a handful at every level."""
-    from encore.operators import geo
+def test_few_buckets_per_point(spark):
+    """Near, far and central points keep a handful of buckets, also in a dense city."""
+    import numpy as np
 
-    rng = random.Random(3)
-    places = [(i, rng.uniform(20, 45), rng.uniform(75, 130), "p") for i in range(2000)]
-    points = [(f"m{i}", 0.0, 0.0) for i in range(50)] + [(f"n{i}", -60.0, -80.0) for i in range(50)]
-    sizes = []
-    keep = geo.materialize
+    from encore.operators import geo
 
-    def spy(df):
-        out = keep(df)
-        if "_ci" in out.columns:
-            sizes.append(out.count())
-        return out
+    rng = np.random.default_rng(3)
+    lat = np.concatenate((rng.uniform(20, 45, 20_000), rng.normal(31, 0.05, 20_000)))
+    lng = np.concatenate((rng.uniform(75, 130, 20_000), rng.normal(121, 0.05, 20_000)))
+    vec = lambda a, b: np.column_stack((np.cos(np.radians(a)) * np.cos(np.radians(b)), np.cos(np.radians(a)) * np.sin(np.radians(b)), np.sin(np.radians(a))))
+    frame = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(zip(lat, lng, strict=True))], "i int, lat double, lng double")
+    order = [r["i"] for r in frame.orderBy(geo.curve_key(geo.F.col("lat"), geo.F.col("lng"))).select("i").collect()]
+    places = vec(lat, lng)[order]
+    first = np.arange(0, len(places), geo.BUCKET)
+    tree = geo.BoxTree(np.minimum.reduceat(places, first), np.maximum.reduceat(places, first), places[first])
+    points = vec(np.concatenate((rng.uniform(-90, 90, 300), rng.normal(31, 0.05, 300), rng.uniform(20, 45, 300))),
+                 np.concatenate((rng.uniform(-180, 180, 300), rng.normal(121, 0.05, 300), rng.uniform(75, 130, 300))))
+    q, node = tree.candidates(points)
+    nearest = ((points[:, None, :] - places[None, :, :]) ** 2).sum(axis=2).argmin(axis=1) // geo.BUCKET
+    kept = set(zip(q.tolist(), node.tolist(), strict=True))
+    assert all((i, int(b)) in kept for i, b in enumerate(nearest))
+    assert np.bincount(q).mean() <= 10 and np.bincount(q).max() <= 60
+
+
+def _jobs(spark, run) -> int:
+    """Jobs that ``run`` starts."""
+    group = f"count-{id(run)}"
+    spark.sparkContext.setJobGroup(group, group)
+    run()
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_jobs_do_not_grow_with_the_gazetteer(spark):
+    rng = random.Random(5)
+    pts = spark.createDataFrame([(f"m{i}", rng.uniform(-80, 80), rng.uniform(-180, 180)) for i in range(50)], "k string, lat double, lng double")
+
+    def lookup(n):
+        plc = spark.createDataFrame([(i, rng.uniform(-80, 80), rng.uniform(-180, 180), "p") for i in range(n)], "place_id long, lat double, lng double, ADDR string")
+        return lambda: nearest_place(pts, plc, "k", "lat", "lng", COLS).collect()
+
+    few, many = _jobs(spark, lookup(10)), _jobs(spark, lookup(20_000))
+    assert few <= many <= few + 2
+
+
+def test_large_buckets_stay_exact(spark, monkeypatch):
+    """More places than boxes: buckets grow, results stay."""
+    from encore.operators import geo
 
-    monkeypatch.setattr(geo, "materialize", spy)
-    pts = spark.createDataFrame(points, "k string, lat double, lng double")
-    plc = spark.createDataFrame(places, "place_id long, lat double, lng double, ADDR string")
-    got = {r.k: r.place_id for r in geo.nearest_place(pts, plc, "k", "lat", "lng", COLS).collect()}
-    for k, la, ln in (points[0], points[50]):
-        assert got[k] == min(places, key=lambda p: (_hav(la, ln, p[1], p[2]), p[0]))[0]
-    assert len(sizes) >= 2 and max(sizes) <= 20 * len(points)
+    monkeypatch.setattr(geo, "MAX_BUCKETS", 5)
+    rng = random.Random(9)
+    places = [(i, rng.uniform(-89, 89), rng.uniform(-180, 180), f"p{i}") for i in range(700)]
+    points = [(f"m{i}", rng.uniform(-89, 89), rng.uniform(-180, 180)) for i in range(60)]
+    _check(spark, points, places)

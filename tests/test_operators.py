@@ -261,7 +261,7 @@ def test_two_day_locations_in_one_pass(spark):
 
     events = dt.load(spark, SF_SMALL, "events")
     locs = dt.user_locations(events)
-    gaz = dt.gazetteer(dt.load(spark, SF_SMALL, "nation"), dt.load(spark, SF_SMALL, "region"))
+    gaz = dt.gazetteer(*[dt.load(spark, SF_SMALL, t) for t in ("customer", "nation", "region")])
     prev = days_before(D, 1)
     separate = location.machine_location(locs, gaz, D, yesterday=location.machine_location(locs, gaz, prev))
     together = location.machine_location_with_yesterday(locs, gaz, D)

@@ -31,5 +31,10 @@ def test_small_lookups_are_broadcast(spark):
     assert plan.count("BroadcastExchange") >= 4
 
 
-def test_stream_twins_single_shuffle_per_aggregation(spark):
-    assert _plan(spark, "pv_sliding").count("Exchange hashpartitioning") == 1
+def test_sliding_windows_are_summed_from_panes(spark):
+    """Records are counted per pane (one row each, no expansion to windows)
+    before the first of two shuffles; windows are built from the panes."""
+    plan = _plan(spark, "pv_sliding")
+    assert plan.count("Exchange hashpartitioning") == 2
+    below = plan[plan.rindex("Exchange hashpartitioning"):]
+    assert "Expand" in plan and "Expand" not in below and "partial_count" in below

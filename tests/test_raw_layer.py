@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from encore.__main__ import main
 from encore.plans import daily
 from encore.plans.registry import BUSINESS_DAY
-from encore.session import materialize, release_materialized
+from encore.session import materialize
 from encore.sources import driver_tables as dt
 from encore.sources.jdbc import import_table
 from encore.sources.raw_tables import RAW_LAYER, read_raw, write_raw
@@ -83,13 +83,17 @@ def test_a_callers_cached_frame_survives_a_day(spark, scratch):
     mine.unpersist()
 
 
-def test_release_drops_what_materialize_cached(spark, monkeypatch):
+def test_lineage_cuts_need_the_shared_folder(spark, monkeypatch):
     class Conf:
         def get(self, key, default=None):
             return None
 
     monkeypatch.setattr(type(spark), "conf", property(lambda self: Conf()))
+    monkeypatch.setattr(type(spark.sparkContext), "getCheckpointDir", lambda self: None)
+    with pytest.raises(ValueError, match="checkpoint"):
+        materialize(spark.range(5))
+
+
+def test_materialize_checkpoints(spark):
     held = materialize(spark.range(5))
-    assert held.is_cached
-    release_materialized()
-    assert not held.is_cached
+    assert held.count() == 5 and not held.is_cached and spark.sparkContext.getCheckpointDir()
