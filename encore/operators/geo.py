@@ -28,11 +28,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .small import maybe_broadcast
 
 # fixed value: mean Earth radius (km)
 EARTH_RADIUS_KM = 6371.0088
@@ -49,9 +48,9 @@ def haversine_km(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Colu
 
 
 #: Places of a bucket, while there are at most MAX_BUCKETS.
-BUCKET = 64
+BUCKET = 4
 #: Boxes sent to the tasks (80 bytes each).
-MAX_BUCKETS = 1 << 20
+MAX_BUCKETS = 1 << 19
 #: Nodes below a node of the tree.
 FAN = 16
 #: Points taken down the tree side by side.
@@ -148,19 +147,18 @@ def nearest_place(points: DataFrame, places: DataFrame, key: str, lat: str, lng:
     """
     spark = points.sparkSession
     rows = materialize(points.withColumn("_k", F.monotonically_increasing_id()))
-    usable = places.withColumn("_plat", usable_coordinate(F.col("lat"), 90.0)).withColumn(
-        "_plng", usable_coordinate(F.col("lng"), 180.0)).where("_plat is not null and _plng is not null")
-    # places on the same spot: the smallest id answers
-    spots = materialize(usable.groupBy("_plat", "_plng").agg(F.min("place_id").alias("place_id")))
-    n = spots.count()
+    usable = places.select("place_id", usable_coordinate(F.col("lat"), 90.0).alias("_plat"), usable_coordinate(F.col("lng"), 180.0).alias("_plng")).where(
+        "_plat is not null and _plng is not null")
+    sorted_ = usable.withColumn("_z", curve_key(F.col("_plat"), F.col("_plng"))).repartitionByRange("_z").sortWithinPartitions("_z", "place_id")
+    seen = Observation()
+    placed = materialize(sorted_.select("_plat", "_plng", "place_id", F.monotonically_increasing_id().alias("_o")).observe(seen, F.count(F.lit(1)).alias("n")))
+    n = seen.get.get("n", 0)
     if not n:
         return rows.select(*[F.col(c) for c in points.columns], F.lit(None).cast("long").alias("place_id"), F.lit(None).cast("double").alias("distance_km"),
                            *[F.lit(None).cast(places.schema[c].dataType).alias(c) for c in place_cols])
-    size = max(BUCKET, -(-n // MAX_BUCKETS))
-    sorted_ = spots.withColumn("_z", curve_key(F.col("_plat"), F.col("_plng"))).repartitionByRange("_z").sortWithinPartitions("_z", "place_id")
+    # numbers run on along the curve, so places with one quotient are neighbours
     x, y, z = unit_vector(F.col("_plat"), F.col("_plng"))
-    placed = materialize(sorted_.select("_plat", "_plng", "place_id", x.alias("x"), y.alias("y"), z.alias("z"),
-                                        F.expr(f"monotonically_increasing_id() div {size}").alias("bucket")))
+    placed = placed.select("_plat", "_plng", "place_id", x.alias("x"), y.alias("y"), z.alias("z"), F.expr(f"_o div {max(BUCKET, -(-n // MAX_BUCKETS))}").alias("bucket"))
     axes = ("x", "y", "z")
     boxes = placed.groupBy("bucket").agg(*[F.min(a).alias(f"l{a}") for a in axes], *[F.max(a).alias(f"h{a}") for a in axes],
                                          F.min(F.struct("place_id", *axes)).alias("p"))
@@ -172,10 +170,13 @@ def nearest_place(points: DataFrame, places: DataFrame, key: str, lat: str, lng:
     here = rows.select("_k", usable_coordinate(F.col(lat), 90.0).alias("_lat"), usable_coordinate(F.col(lng), 180.0).alias("_lng")).where(
         "_lat is not null and _lng is not null")
     routed = here.select("*", *unit_vector(F.col("_lat"), F.col("_lng"))).mapInArrow(_route(tree), "_k long, _lat double, _lng double, bucket long")
-    best = routed.join(placed.select("bucket", "_plat", "_plng", "place_id"), "bucket").groupBy("_k").agg(F.min(F.struct(
-        haversine_km(F.col("_lat"), F.col("_lng"), F.col("_plat"), F.col("_plng")).alias("distance_km"), "place_id")).alias("_b"))
-    best = best.select("_k", "_b.place_id", "_b.distance_km")
-    names = places.groupBy("place_id").agg(F.min(F.struct(*place_cols)).alias("_n")) if place_cols else places.select("place_id").distinct()
-    found = best.join(maybe_broadcast(names), "place_id", "left")
+    best = materialize(routed.join(placed.select("bucket", "_plat", "_plng", "place_id"), "bucket").groupBy("_k").agg(F.min(F.struct(
+        haversine_km(F.col("_lat"), F.col("_lng"), F.col("_plat"), F.col("_plng")).alias("distance_km"), "place_id")).alias("_b")).select(
+        "_k", "_b.place_id", "_b.distance_km"))
+    # names of the places that were found; of a repeated place the first
+    names = places.select("place_id", *place_cols).join(best.select("place_id").distinct(), "place_id", "left_semi")
+    if place_cols:
+        names = names.groupBy("place_id").agg(F.min(F.struct(*place_cols)).alias("_n"))
+        best = best.join(names, "place_id", "left")
     named = [F.col(f"_n.{c}").alias(c) for c in place_cols]
-    return rows.join(found, "_k", "left").select(*[F.col(c) for c in points.columns], "place_id", "distance_km", *named)
+    return rows.join(best, "_k", "left").select(*[F.col(c) for c in points.columns], "place_id", "distance_km", *named)
