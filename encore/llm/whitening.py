@@ -47,12 +47,15 @@ RANK = 1e-13
 
 
 def _matrix(column: pa.Array, dtype) -> np.ndarray:
-    """Lists of numbers as rows, filled up with zeros."""
-    lists = column.to_pylist()
-    width = max(map(len, lists), default=0)
-    if all(len(x) == width for x in lists):
-        return np.array(lists, dtype=dtype).reshape(len(lists), width)
-    return np.array([[*x, *[0] * (width - len(x))] for x in lists], dtype=dtype)
+    """Lists of numbers as rows, shorter ones filled up with zeros."""
+    sizes = np.diff(column.offsets.to_numpy())
+    flat = column.flatten().to_numpy().astype(dtype, copy=False)
+    width = int(sizes.max(initial=0))
+    if (sizes == width).all():
+        return flat.reshape(len(sizes), width)
+    out = np.zeros((len(sizes), width), dtype)
+    out[np.repeat(np.arange(len(sizes)), sizes), np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = flat
+    return out
 
 
 def whole_numbers(width: int):
@@ -97,26 +100,68 @@ class Centre:
         return [sum((self.n * a - r) ** 2 for a, r in zip(row, self.rest.tolist(), strict=True)) for row in away.tolist()]
 
 
+def _row(total: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([total], pa.list_(pa.float64()))], ["total"])
+
+
 def _product(centre: Centre, w: np.ndarray, basis: np.ndarray):
-    """For u = X w: the sums Xᵀ u, (X basis)ᵀ u and uᵀ u over a task's rows,
-    one number a row."""
+    """For u = X w: the sums Xᵀ u, (X basis)ᵀ u and uᵀ u over a task's rows."""
     def run(batches):
         total = np.zeros(len(w) + basis.shape[1] + 1)
         for batch in batches:
             x = centre.rows(_matrix(batch.column(0), np.int64))
             u = x @ w
             total += np.concatenate((x.T @ u, (x @ basis).T @ u, [u @ u]))
-        yield pa.RecordBatch.from_arrays([pa.array(range(len(total)), pa.int32()), pa.array(total)], ["i", "total"])
+        yield _row(total)
 
     return run
 
 
-def _add_up(frame: DataFrame, size: int, kind: str = "double") -> list:
-    """Sums of (i, total) rows by i; ``size`` numbers to the driver."""
-    out = [0] * size
-    for i, total in frame.groupBy("i").agg(F.sum(F.col("total").cast(kind))).collect():
-        out[i] = total
-    return out
+def _squares(centre: Centre):
+    """Column sums of squared centred entries."""
+    def run(batches):
+        total = np.zeros(len(centre.quotient))
+        for batch in batches:
+            total += (centre.rows(_matrix(batch.column(0), np.int64)) ** 2).sum(axis=0)
+        yield _row(total)
+
+    return run
+
+
+def _totals(width: int):
+    def run(batches):
+        total = np.zeros(width)
+        for batch in batches:
+            total += _matrix(batch.column(0), np.float64).sum(axis=0)
+        yield _row(total)
+
+    return run
+
+
+def _products(mean: np.ndarray):
+    """Sums of the products of the scores' columns, centred first."""
+    def run(batches):
+        total = np.zeros(len(mean) ** 2)
+        for batch in batches:
+            away = _matrix(batch.column(0), np.float64) - mean
+            total += (away.T @ away).ravel()
+        yield _row(total)
+
+    return run
+
+
+#: Tasks whose sums the driver adds itself; those of more are added in between.
+TASKS = 1000
+
+
+def _add_up(data: DataFrame, tasks: int, sums, width: int) -> np.ndarray:
+    """Sum over the ``tasks`` tasks of the one row of ``width`` numbers that
+    ``sums`` makes."""
+    rows = data.mapInArrow(sums, "total array<double>")
+    if tasks > TASKS:
+        rows = rows.repartition(max(1, TASKS // 8)).mapInArrow(_totals(width), "total array<double>")
+    table = rows.toArrow()
+    return np.sum(table.column(0).combine_chunks().flatten().to_numpy().reshape(-1, width), axis=0) if table.num_rows else np.zeros(width)
 
 
 class Bidiagonal:
@@ -197,18 +242,6 @@ def _whiten(centre: Centre, axes: np.ndarray):
     return run
 
 
-def _products(mean: np.ndarray):
-    """Sums of the products of the scores' columns, centred first."""
-    def run(batches):
-        total = np.zeros(len(mean) ** 2)
-        for batch in batches:
-            away = _matrix(batch.column(0), np.float64) - mean
-            total += (away.T @ away).ravel()
-        yield pa.RecordBatch.from_arrays([pa.array(range(len(total)), pa.int32()), pa.array(total)], ["i", "total"])
-
-    return run
-
-
 def whiten(embeddings: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", components: int = 8, max_steps: int | None = None) -> DataFrame:
     """Returns per row and component: (id_col, component, n, deviation,
     whitened, explained, identity_error).  Without ``max_steps`` every
@@ -225,12 +258,15 @@ def whiten(embeddings: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
     if not n or not width:
         return nothing
     data = ws.put(rows.mapInArrow(whole_numbers(width), "vec_id long, x array<long>"), text_batch=BATCH)
-    pairs = "i int, total double"
-    sums = [int(s) for s in _add_up(data.select("x").mapInArrow(_sums, "i int, total long"), width, "decimal(38,0)")]
+    sums = [0] * width
+    for i, total in data.select("x").mapInArrow(_sums, "i int, total long").groupBy("i").agg(F.sum(F.col("total").cast("decimal(38,0)"))).collect():
+        sums[i] = int(total)
     centre = Centre(n, sums)
+    vectors = data.select("x")
+    tasks = vectors.rdd.getNumPartitions()
 
     def product(w, basis):
-        got = np.array(_add_up(data.select("x").mapInArrow(_product(centre, w, basis), pairs), width + basis.shape[1] + 1))
+        got = _add_up(vectors, tasks, _product(centre, w, basis), width + basis.shape[1] + 1)
         return got[:width], got[width:-1], got[-1]
 
     found = Bidiagonal(product, width)
@@ -242,27 +278,14 @@ def whiten(embeddings: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
         return nothing
     value, axes = value[keep], axes[:, keep]
     spread = value ** 2 / n  # variances along the components
-    trace = float(np.sum(_add_up(data.select("x").mapInArrow(_squares(centre), pairs), width))) / n
+    trace = float(_add_up(vectors, tasks, _squares(centre), width).sum()) / n
     scores = ws.put(data.mapInArrow(_whiten(centre, axes / np.sqrt(spread)), "vec_id long, deviation long, scores array<double>"), text_batch=BATCH)
     k = len(spread)
-    column = scores.select(F.posexplode("scores").alias("i", "total"))
-    mean = np.array(_add_up(column, k)) / n
-    cross = np.array(_add_up(scores.select("scores").mapInArrow(_products(mean), pairs), k * k)).reshape(k, k) / n
+    column = scores.select("scores")
+    mean = _add_up(column, tasks, _totals(k), k) / n
+    cross = _add_up(column, tasks, _products(mean), k * k).reshape(k, k) / n
     error = float(np.abs(cross - np.eye(k)).max())
     share = F.element_at(F.array(*[F.lit(float(e / trace)) for e in spread]), F.col("component"))
     return scores.select(F.col("vec_id").alias(id_col), "deviation", F.posexplode("scores").alias("at", "whitened")).select(
         id_col, (F.col("at") + 1).cast("int").alias("component"), F.lit(n).cast("long").alias("n"), "deviation", "whitened").withColumns(
         {"explained": share, "identity_error": F.lit(error)})
-
-
-def _squares(centre: Centre):
-    """Column sums of squared centred entries."""
-    def run(batches):
-        total = None
-        for batch in batches:
-            own = (centre.rows(_matrix(batch.column(0), np.int64)) ** 2).sum(axis=0)
-            total = own if total is None else total + own
-        if total is not None:
-            yield pa.RecordBatch.from_arrays([pa.array(range(len(total)), pa.int32()), pa.array(total)], ["i", "total"])
-
-    return run

@@ -52,11 +52,13 @@ def test_equals_eigenvectors(spark):
     compare(W.whiten(frame).collect(), rows, 8)
 
 
-def test_close_deviations(spark):
-    """Isotropic noise: neighbouring eigenvalues are close, none may be missed."""
+def test_close_deviations(spark, monkeypatch):
+    """Isotropic noise: neighbouring eigenvalues are close, none may be missed;
+    the sums of tasks are added in between."""
+    monkeypatch.setattr(W, "TASKS", 1)
     rng = np.random.default_rng(2)
     rows = [(i, rng.normal(size=16).tolist()) for i in range(300)]
-    compare(W.whiten(spark.createDataFrame(rows, SCHEMA)).collect(), rows, 8)
+    compare(W.whiten(spark.createDataFrame(rows, SCHEMA).repartition(5)).collect(), rows, 8)
 
 
 def test_repeated_deviations(spark):
