@@ -158,6 +158,28 @@ def start_pv_uv(records: DataFrame, out_path: str, name: str = "pv_uv", exact_uv
     return pv, uv
 
 
+def start_arrival_pv_uv(records: DataFrame, out_path: str, name: str = "pv_uv_arrival", window_seconds: int = 60, slide_seconds: int = 5,
+                        trigger: dict | None = None, checkpoint_root: str | None = None, write=None) -> StreamingQuery:
+    """J14 by time of arrival, as the original: page views and visitors of the
+    last ``window_seconds`` per machine, written at the end of every slide,
+    also while no record arrives.  ``write`` receives the window rows of each
+    batch and its id; by default they are upserted by machine."""
+    from .arrival import arrival_counts, merge_shards
+
+    spark = records.sparkSession
+    _apply_conf(spark)
+    root = checkpoint_root or checkpoint_dir(spark)
+    sink = write or PvUvSink(out_path)
+    return (
+        arrival_counts(records, window_seconds, slide_seconds).writeStream.outputMode("append")
+        .foreachBatch(lambda rows, batch_id: sink(merge_shards(rows), batch_id))
+        .option("checkpointLocation", sub_dir(root, name))
+        .trigger(**(trigger or {"processingTime": PV_TRIGGER}))
+        .queryName(name)
+        .start()
+    )
+
+
 def start_log_ingest(spark: SparkSession, landing: str, requests_path: str, play_log_path: str,
                      name: str = "log_ingest", trigger: dict | None = None,
                      checkpoint_root: str | None = None) -> tuple[StreamingQuery, StreamingQuery]:
