@@ -2,12 +2,15 @@
 
 Resume position and window state live in ``checkpointLocation`` (one
 folder per query under the shared checkpoint directory), replacing offsets
-kept by hand in a key-value store.  Sinks are idempotent per batch id.
+kept by hand in a key-value store.  Sinks are idempotent per batch id.  Where
+the checkpoint is lost, ``resumed`` starts again from the outputs, which carry
+their position (see ``sinks._Resumable``): nothing is lost or counted twice.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..session import checkpoint_dir, sub_dir
@@ -25,20 +28,23 @@ STREAMING_CONF = {
 HOT_TRIGGER = "20 seconds"
 PV_TRIGGER = "5 seconds"
 DEFAULT_WATERMARK = "30 seconds"
+#: How long a machine without records stays in the keyed tables.
+KEEP_IDLE = "INTERVAL 1 DAY"
 
 
-def kafka_records(spark: SparkSession, servers: str, topic: str, starting_offsets: str = "earliest") -> DataFrame:
+def kafka_records(spark: SparkSession, servers: str, topic: str, starting_offsets: str = "earliest",
+                  starting_timestamp_ms: int | None = None) -> DataFrame:
     """Kafka topic -> records (needs the Kafka connector on the classpath).
     ``starting_offsets``: "earliest", "latest" or the connector's JSON of
-    offsets per topic and partition; a checkpoint, once there, goes first."""
-    raw = (
-        spark.readStream.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("subscribe", topic)
-        .option("startingOffsets", starting_offsets)
-        .load()
-    )
-    return W.parse_records(raw, "value", "timestamp")
+    offsets per topic and partition; ``starting_timestamp_ms`` starts at the
+    first records of that time instead (after a lost checkpoint: the
+    ``resume_from`` of the outputs).  A checkpoint, once there, goes first."""
+    reader = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic)
+    if starting_timestamp_ms is None:
+        reader = reader.option("startingOffsets", starting_offsets)
+    else:
+        reader = reader.option("startingTimestamp", str(starting_timestamp_ms))
+    return W.parse_records(reader.load(), "value", "timestamp")
 
 
 def file_records(spark: SparkSession, path: str, schema, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -61,6 +67,39 @@ def jdbc_board(url: str, table: str, properties: dict[str, str] | None = None):
     return lambda ranked, target: write_mart(ranked, table, jdbc_url=url, properties=properties)
 
 
+def resume_from(position: str | None, window: str, slide: str) -> str | None:
+    """SQL text of the start of the first window after ``position``: records
+    from then on make up all windows that are not written yet."""
+    return None if position is None else f"TIMESTAMP_NTZ '{position}' + INTERVAL {slide} - INTERVAL {window}"
+
+
+def resumed(records: DataFrame, sink, checkpoint: str, window: str, slide: str) -> DataFrame:
+    """``records`` as the query at this checkpoint has to read them.
+
+    With its checkpoint, a query goes on by itself.  Without one, but with
+    outputs, it starts at the first window that these do not hold: earlier
+    records are left out, and so are, by the sink, the windows before it.  The
+    batch numbers then go on after those of the outputs; which number was the
+    first is kept beside the checkpoint."""
+    spark = records.sparkSession
+    jvm = spark.sparkContext._jvm
+    note = jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/first_batch")
+    fs = note.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(note):
+        position, first = spark.read.option("wholetext", "true").text(f"{checkpoint}/first_batch").first()[0].split("|")
+        position, first = position or None, int(first)
+    elif fs.exists(jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/offsets")):
+        return records  # a checkpoint of before
+    else:
+        position, first = sink.position(spark)
+        out = fs.create(note)
+        out.write(bytearray(f"{position or ''}|{first}".encode()))
+        out.close()
+    sink.resume_after(position, first)
+    start = resume_from(position, window, slide)
+    return records if start is None else records.where(F.col("ts") >= F.expr(start))
+
+
 def start_hot_songs(records: DataFrame, out_path: str, name: str = "hot_songs",
                     watermark: str = DEFAULT_WATERMARK, trigger: dict | None = None,
                     checkpoint_root: str | None = None, key: str = "songname",
@@ -72,12 +111,15 @@ def start_hot_songs(records: DataFrame, out_path: str, name: str = "hot_songs",
     spark = records.sparkSession
     _apply_conf(spark)
     root = checkpoint_root or checkpoint_dir(spark)
+    sink = TopKReplaceSink(out_path, key=key, write=write)
     if arrival_time:
         records, watermark = W.by_arrival(records), "0 seconds"
+    elif write is None:
+        records = resumed(records, sink, sub_dir(root, name), W.HOT_WINDOW, W.HOT_SLIDE)
     counts = W.song_counts(records, key=key, watermark=watermark, panes=True)
     return (
         counts.writeStream.outputMode("append")
-        .foreachBatch(TopKReplaceSink(out_path, key=key, write=write))
+        .foreachBatch(sink)
         .option("checkpointLocation", sub_dir(root, name))
         .trigger(**(trigger or {"processingTime": HOT_TRIGGER}))
         .queryName(name)
@@ -88,9 +130,10 @@ def start_hot_songs(records: DataFrame, out_path: str, name: str = "hot_songs",
 def start_pv_uv(records: DataFrame, out_path: str, name: str = "pv_uv", exact_uv: bool = True,
                 watermark: str = DEFAULT_WATERMARK, trigger: dict | None = None,
                 checkpoint_root: str | None = None,
-                arrival_time: bool = False, refresh: bool = False) -> tuple[StreamingQuery, ...]:
+                arrival_time: bool = False, refresh: bool = False, expire_after: str | None = KEEP_IDLE) -> tuple[StreamingQuery, ...]:
     """J14: page views and visitors per machine, upserted by machine into
-    ``out_path/pv`` and ``out_path/uv``.
+    ``out_path/pv`` and ``out_path/uv``; a machine whose last window is
+    ``expire_after`` older than the newest one leaves the tables.
 
     Exact visitors: ONE query (one read of the stream) feeds both tables.
     The original per-batch visitor form needs its own bucketed chain, so it
@@ -110,7 +153,7 @@ def start_pv_uv(records: DataFrame, out_path: str, name: str = "pv_uv", exact_uv
         pv = (
             W.pv_counts(records, watermark=watermark)
             .writeStream.outputMode("update")
-            .foreachBatch(KeyedUpsertSink(sub_dir(out_path, "pv"), ["mid"]))
+            .foreachBatch(KeyedUpsertSink(sub_dir(out_path, "pv"), ["mid"], expire_after=expire_after))
             .option("checkpointLocation", sub_dir(root, f"{name}_pv_refresh"))
             .trigger(**trig)
             .queryName(f"{name}_pv_refresh")
@@ -119,7 +162,7 @@ def start_pv_uv(records: DataFrame, out_path: str, name: str = "pv_uv", exact_uv
         uv = (
             W.uv_exact_counts(records, watermark=watermark, panes=True)
             .writeStream.outputMode("append")
-            .foreachBatch(KeyedUpsertSink(sub_dir(out_path, "uv"), ["mid"]))
+            .foreachBatch(KeyedUpsertSink(sub_dir(out_path, "uv"), ["mid"], expire_after=expire_after))
             .option("checkpointLocation", sub_dir(root, f"{name}_uv"))
             .trigger(**trig)
             .queryName(f"{name}_uv")
@@ -127,10 +170,13 @@ def start_pv_uv(records: DataFrame, out_path: str, name: str = "pv_uv", exact_uv
         )
         return pv, uv
     if exact_uv:
+        sink = PvUvSink(out_path, expire_after=expire_after)
+        if not arrival_time:
+            records = resumed(records, sink, sub_dir(root, name), W.PV_WINDOW, W.PV_SLIDE)
         both = (
             W.pv_uv_counts(records, watermark=watermark, panes=True)
             .writeStream.outputMode("append")
-            .foreachBatch(PvUvSink(out_path))
+            .foreachBatch(sink)
             .option("checkpointLocation", sub_dir(root, name))
             .trigger(**trig)
             .queryName(name)
@@ -140,7 +186,7 @@ def start_pv_uv(records: DataFrame, out_path: str, name: str = "pv_uv", exact_uv
     pv = (
         W.pv_counts(records, watermark=watermark, panes=True)
         .writeStream.outputMode("append")
-        .foreachBatch(KeyedUpsertSink(sub_dir(out_path, "pv"), ["mid"]))
+        .foreachBatch(KeyedUpsertSink(sub_dir(out_path, "pv"), ["mid"], expire_after=expire_after))
         .option("checkpointLocation", sub_dir(root, f"{name}_pv"))
         .trigger(**trig)
         .queryName(f"{name}_pv")
@@ -149,7 +195,7 @@ def start_pv_uv(records: DataFrame, out_path: str, name: str = "pv_uv", exact_uv
     uv_frame = W.uv_batch_counts(records, watermark=watermark)
     uv = (
         uv_frame.writeStream.outputMode("append")
-        .foreachBatch(KeyedUpsertSink(sub_dir(out_path, "uv"), ["mid"]))
+        .foreachBatch(KeyedUpsertSink(sub_dir(out_path, "uv"), ["mid"], expire_after=expire_after))
         .option("checkpointLocation", sub_dir(root, f"{name}_uv"))
         .trigger(**trig)
         .queryName(f"{name}_uv")
@@ -169,7 +215,7 @@ def start_arrival_pv_uv(records: DataFrame, out_path: str, name: str = "pv_uv_ar
     spark = records.sparkSession
     _apply_conf(spark)
     root = checkpoint_root or checkpoint_dir(spark)
-    sink = write or PvUvSink(out_path)
+    sink = write or PvUvSink(out_path, expire_after=KEEP_IDLE)
     return (
         arrival_counts(records, window_seconds, slide_seconds).writeStream.outputMode("append")
         .foreachBatch(lambda rows, batch_id: sink(merge_shards(rows), batch_id))

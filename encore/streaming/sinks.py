@@ -64,7 +64,38 @@ def current_board(spark: SparkSession, path: str) -> DataFrame | None:
     return board.join(last, board["window_end"] == last["_m"], "inner").drop("_m")
 
 
-class TopKReplaceSink:
+def _max_version(rows: DataFrame | None, version_col: str, less: str | None = None) -> str | None:
+    """Greatest version (less an SQL interval or number) as text; None without rows."""
+    if rows is None:
+        return None
+    top = F.max(version_col) if less is None else F.max(version_col) - F.expr(less)
+    return rows.agg(top.cast("string")).first()[0]
+
+
+class _Resumable:
+    """A sink whose outputs tell where to go on.
+
+    A window is written when it is complete, all windows that end at a time in
+    one batch, and a batch's rows are committed at once.  So the greatest
+    window end among the outputs is a position that cannot be apart from them:
+    every window up to it is there, none after it.  ``resume_after`` makes a
+    sink go on from such a position under new batch numbers: rows of windows
+    up to it are left out, as a replay holds these only in part.
+    """
+
+    first_batch = 0
+    after: str | None = None
+
+    def resume_after(self, after: str | None, first_batch: int) -> None:
+        self.after, self.first_batch = after, first_batch
+
+    def _new(self, batch: DataFrame, version_col: str) -> DataFrame:
+        if self.after is None:
+            return batch
+        return batch.where(F.col(version_col) > F.lit(self.after).cast(batch.schema[version_col].dataType))
+
+
+class TopKReplaceSink(_Resumable):
     """Hot-song board: each trigger replaces the board with the top ``n`` songs
     of every window in the batch.  Empty batches leave the board as it is.
 
@@ -77,7 +108,13 @@ class TopKReplaceSink:
                  write: Callable[[DataFrame, str], None] | None = None):
         self.path, self.n, self.key, self.write = path, n, key, write
 
+    def position(self, spark: SparkSession) -> tuple[str | None, int]:
+        """(greatest window end written, next free batch number)."""
+        last = latest_batch(spark, self.path)
+        return _max_version(read_latest(spark, self.path), "window_end"), 0 if last is None else last + 1
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        batch, batch_id = self._new(batch, "window_end"), batch_id + self.first_batch
         batch.persist()  # two actions below: compute the micro-batch once
         try:
             if batch.isEmpty():
@@ -94,7 +131,7 @@ class TopKReplaceSink:
             batch.unpersist()
 
 
-class KeyedUpsertSink:
+class KeyedUpsertSink(_Resumable):
     """Keyed table (``key -> value``, e.g. machine -> page views) kept as
     append-only deltas plus periodic snapshots.
 
@@ -105,15 +142,23 @@ class KeyedUpsertSink:
     last ``KEEP`` snapshots.  A replayed batch that a snapshot holds already
     is not written again.  Per key the row with the greatest
     ``version_col`` (the window end) wins, so replayed or late batches never
-    move a key backwards; ``expire_before`` ages out keys whose last window
-    is too old.  ``read_current`` gives the table as of the last batch.
+    move a key backwards.  ``expire_after`` (an SQL interval or number) ages
+    out keys whose last window is that much older than the newest of the
+    table, from what is read and, at the next snapshot, from what is kept;
+    ``expire_before`` does so by a bound of the caller's.  ``read_current``
+    gives the table as of the last batch.
     """
 
     def __init__(self, path: str, key_cols: list[str], version_col: str = "window_end",
-                 compact_every: int = 20, expire_before: Callable[[], object] | None = None):
+                 compact_every: int = 20, expire_before: Callable[[], object] | None = None, expire_after: str | None = None):
         self.path, self.key_cols, self.version_col = path, key_cols, version_col
         self.compact_every = compact_every
-        self.expire_before = expire_before
+        self.expire_before, self.expire_after = expire_before, expire_after
+
+    def position(self, spark: SparkSession) -> tuple[str | None, int]:
+        """(greatest version written, next free batch number)."""
+        ids = [i for part in ("delta", "snapshot") for i in committed_batches(spark, f"{self.path}/{part}")]
+        return _max_version(self._pending_rows(spark), self.version_col), max(ids, default=-1) + 1
 
     def merge(self, rows: DataFrame) -> DataFrame:
         others = [c for c in rows.columns if c not in self.key_cols]
@@ -121,6 +166,9 @@ class KeyedUpsertSink:
         merged = rows.groupBy(*self.key_cols).agg(best.alias("_r")).select(*self.key_cols, "_r.*")
         if self.expire_before is not None:
             merged = merged.where(F.col(self.version_col) >= F.lit(self.expire_before()))
+        if self.expire_after is not None:
+            oldest = _max_version(rows, self.version_col, self.expire_after)
+            merged = merged.where(F.col(self.version_col) >= F.lit(oldest).cast(rows.schema[self.version_col].dataType))
         return merged
 
     def _pending_rows(self, spark: SparkSession, upto: int | None = None) -> DataFrame | None:
@@ -148,6 +196,7 @@ class KeyedUpsertSink:
         return None if rows is None else self.merge(rows)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        batch, batch_id = self._new(batch, self.version_col), batch_id + self.first_batch
         spark = batch.sparkSession
         snapshot = latest_batch(spark, f"{self.path}/snapshot")
         if snapshot is not None and batch_id <= snapshot:
@@ -170,9 +219,20 @@ class PvUvSink:
     """One micro-batch of (window, machine, pv, uv) rows upserted into the
     page-view and the visitor tables (each a ``KeyedUpsertSink``)."""
 
-    def __init__(self, path: str, compact_every: int = 20):
-        self.pv = KeyedUpsertSink(f"{path}/pv", ["mid"], compact_every=compact_every)
-        self.uv = KeyedUpsertSink(f"{path}/uv", ["mid"], compact_every=compact_every)
+    def __init__(self, path: str, compact_every: int = 20, expire_after: str | None = None):
+        self.pv = KeyedUpsertSink(f"{path}/pv", ["mid"], compact_every=compact_every, expire_after=expire_after)
+        self.uv = KeyedUpsertSink(f"{path}/uv", ["mid"], compact_every=compact_every, expire_after=expire_after)
+
+    def position(self, spark: SparkSession) -> tuple[str | None, int]:
+        """The earlier of the two tables' positions; a batch may have reached
+        one of them only."""
+        (pv, i), (uv, k) = self.pv.position(spark), self.uv.position(spark)
+        return None if pv is None or uv is None else min(pv, uv), max(i, k)
+
+    def resume_after(self, after: str | None, first_batch: int) -> None:
+        for table in (self.pv, self.uv):
+            spark = SparkSession.active()
+            table.resume_after(after if after is None else table.position(spark)[0], first_batch)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         batch.persist()

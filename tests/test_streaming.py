@@ -256,3 +256,108 @@ def test_pv_uv_combined_equals_separate(spark):
         pv = {(r.window_start, r.mid): r.pv for r in W.pv_counts(recs).collect()}
         uv = {(r.window_start, r.mid): r.uv for r in W.uv_exact_counts(recs).collect()}
         assert both == {k: (pv[k], uv[k]) for k in pv}
+
+
+def _cut_in_two(spark, scratch):
+    """The records as files of an earlier and a later half, a few days' worth of
+    windows apart from the end by a last record that closes them all."""
+    recs = dt.play_records(dt.load(spark, SF_SMALL, "events"))
+    cut = recs.agg(F.expr("percentile_approx(unix_micros(ts), 0.5)")).first()[0]
+    last = recs.agg(F.max("ts")).first()[0]
+    end = spark.createDataFrame([(last + dtm.timedelta(hours=1), "zz", "zz", "0", "zz")], recs.schema)
+    src = os.path.join(scratch, "in")
+    recs.where(F.expr(f"unix_micros(ts) <= {cut}")).coalesce(1).write.parquet(src)
+    return recs, src, lambda: recs.where(F.expr(f"unix_micros(ts) > {cut}")).unionByName(end).coalesce(1).write.mode("append").parquet(src)
+
+
+def test_lost_checkpoint_resumes_from_the_outputs(spark, scratch):
+    """Half of the records, then the checkpoint is lost (a new folder), then
+    the rest, then a plain restart: every window is written exactly once and
+    equals the batch twin, also the windows that were open at the loss."""
+    recs, src, add_rest = _cut_in_two(spark, scratch)
+    out = os.path.join(scratch, "kv")
+
+    def run(checkpoint):
+        stream = jobs.file_records(spark, src, recs.schema)
+        for q in jobs.start_pv_uv(stream, out, watermark="0 seconds", trigger={"availableNow": True}, checkpoint_root=os.path.join(scratch, checkpoint)):
+            q.awaitTermination(300)
+
+    run("first")
+    written = spark.read.parquet(os.path.join(out, "pv", "delta")).agg(F.max("window_end")).first()[0]
+    add_rest()
+    run("second")
+    run("second")
+    twin = W.pv_uv_counts(recs).where(F.col("mid") != "zz")
+    for table, value in (("pv", "pv"), ("uv", "uv")):
+        rows = spark.read.parquet(os.path.join(out, table, "delta")).where(F.col("mid") != "zz")
+        got = sorted((r.window_end, r.mid, r[value]) for r in rows.collect())
+        assert got == sorted((r.window_end, r.mid, r[value]) for r in twin.collect())
+        assert any(e > written for e, _, _ in got) and any(e <= written for e, _, _ in got)
+
+
+def test_board_resumes_from_its_snapshots(spark, scratch):
+    recs, src, add_rest = _cut_in_two(spark, scratch)
+    board = os.path.join(scratch, "board")
+
+    def run(checkpoint):
+        stream = jobs.file_records(spark, src, recs.schema)
+        jobs.start_hot_songs(stream, board, watermark="0 seconds", trigger={"availableNow": True},
+                             checkpoint_root=os.path.join(scratch, checkpoint)).awaitTermination(300)
+
+    run("first")
+    add_rest()
+    run("second")
+    every = spark.read.parquet(board).drop("batch_id").where(F.col("songname") != "zz")
+    batch = W.top_songs(W.song_counts(recs))
+    assert sorted(map(tuple, every.select(*batch.columns).collect())) == sorted(map(tuple, batch.collect()))
+
+
+def test_a_table_that_is_behind_catches_up(spark, scratch):
+    """A batch that reached only the first of two tables before the loss."""
+    from encore.streaming.sinks import PvUvSink
+
+    path = os.path.join(scratch, "kv")
+    sink = PvUvSink(path)
+    rows = [(T0, T0 + dtm.timedelta(seconds=60 + 5 * i), "m1", 10 + i, i) for i in range(3)]
+    schema = "window_start timestamp_ntz, window_end timestamp_ntz, mid string, pv long, uv long"
+    sink(spark.createDataFrame(rows[:1], schema), 0)
+    sink.pv(spark.createDataFrame(rows[1:2], schema).drop("uv"), 1)  # then it stops
+    again = PvUvSink(path)
+    position, first = again.position(spark)
+    assert position == str(rows[0][1]) and first == 2
+    again.resume_after(position, first)
+    again(spark.createDataFrame(rows, schema), 0)
+    for table, value in ((again.pv, "pv"), (again.uv, "uv")):
+        every = spark.read.parquet(os.path.join(table.path, "delta"))
+        column = 3 if value == "pv" else 4
+        assert sorted((r.window_end, r[value]) for r in every.collect()) == [(x[1], x[column]) for x in rows]
+
+
+def test_idle_machines_leave_table_and_snapshots(spark, scratch):
+    """By the newest window of the table, in what is read and what is kept."""
+    from encore.streaming.sinks import PvUvSink
+
+    sink = PvUvSink(os.path.join(scratch, "kv"), compact_every=3, expire_after="INTERVAL 10 MINUTES")
+    schema = "window_start timestamp_ntz, window_end timestamp_ntz, mid string, pv long, uv long"
+
+    def batch(i, minute, *mids):
+        sink(spark.createDataFrame([(T0, T0 + dtm.timedelta(minutes=minute), m, 1, 1) for m in mids], schema), i)
+        return sorted(r.mid for r in sink.pv.read_current(spark).collect())
+
+    assert batch(0, 1, "idle", "a") == ["a", "idle"]
+    assert batch(1, 11, "a") == ["a", "idle"]
+    assert batch(2, 12, "b") == ["a", "b"]  # the snapshot is written here
+    kept = read_latest(spark, os.path.join(scratch, "kv", "pv", "snapshot"))
+    assert sorted(r.mid for r in kept.collect()) == ["a", "b"]
+    assert batch(3, 13, "idle") == ["a", "b", "idle"]  # and it may come back
+
+
+def test_started_jobs_age_their_tables(spark, scratch):
+    recs = _records(spark, [(0, "idle", "u"), (3 * 86400, "m", "u"), (4 * 86400, "zz", "u")])
+    src, out = os.path.join(scratch, "in"), os.path.join(scratch, "kv")
+    recs.coalesce(1).write.parquet(src)
+    for q in jobs.start_pv_uv(jobs.file_records(spark, src, recs.schema), out, watermark="0 seconds", trigger={"availableNow": True},
+                              checkpoint_root=os.path.join(scratch, "ck")):
+        q.awaitTermination(300)
+    table = KeyedUpsertSink(os.path.join(out, "pv"), ["mid"], expire_after=jobs.KEEP_IDLE).read_current(spark)
+    assert [r.mid for r in table.collect()] == ["m"]
