@@ -118,15 +118,19 @@ def run_content(spark: SparkSession, wh: Warehouse, raw: RawTables, day: str,
 
 
 def run_machines(spark: SparkSession, wh: Warehouse, raw: RawTables, day: str) -> None:
+    run_profiles(spark, wh, raw, day)
+    yesterday = _yesterday_locations(spark, wh, day)
+    write_partition(
+        location.machine_location(raw.user_locations, raw.gazetteer, day, yesterday=yesterday), wh.path("mac_loc")
+    )
+
+
+def run_profiles(spark: SparkSession, wh: Warehouse, raw: RawTables, day: str) -> None:
     profile = machine.machine_profile(
         raw.mac_a, raw.mac_loc_a, raw.mac_b, raw.provinces, raw.cities, raw.areas, raw.store_map, raw.stores, day
     )
     write_partition(profile, wh.path("mac_base"))
     wh.mart(stamp_day(_read(spark, wh, "mac_base", day), day), "tm_mac_baseinfo")
-    yesterday = _yesterday_locations(spark, wh, day)
-    write_partition(
-        location.machine_location(raw.user_locations, raw.gazetteer, day, yesterday=yesterday), wh.path("mac_loc")
-    )
 
 
 def _yesterday_locations(spark: SparkSession, wh: Warehouse, day: str) -> DataFrame | None:
@@ -174,10 +178,9 @@ def run_day(spark: SparkSession, wh: Warehouse, raw: RawTables, day: str) -> Non
 def backfill(spark: SparkSession, wh: Warehouse, raw: RawTables, first_day: str, last_day: str) -> None:
     """Fill a range of dates.  Jobs whose grain allows it run ONCE over the
     whole range (song features via ``song_features_range``, rankings,
-    consumption brief, active profiles); machine locations roll forward day
-    by day, so they loop over the dates (each iteration one distributed job
-    reading yesterday's partition), and so do the revenue marts, whose
-    grain is every machine on every day."""
+    machine locations carried forward from the day before the range,
+    consumption brief, active profiles); machine profiles and revenue marts,
+    whose grain is every machine on every day, are written day by day."""
     from ..functions.dates import days_before
     from ..sources.tables import between_days
 
@@ -192,12 +195,14 @@ def backfill(spark: SparkSession, wh: Warehouse, raw: RawTables, first_day: str,
     write_partition(
         users.active_profiles(between_days(raw.logins, first_day, last_day), everyone), wh.path("usr")
     )
+    before = _yesterday_locations(spark, wh, first_day)
+    write_partition(location.machine_location_range(raw.user_locations, raw.gazetteer, first_day, last_day, yesterday=before), wh.path("mac_loc"))
     days, d = [], last_day
     while d >= first_day:
         days.append(d)
         d = days_before(d, 1)
     for day in reversed(days):
-        run_machines(spark, wh, raw, day)
+        run_profiles(spark, wh, raw, day)
     # per-machine-per-day grain (idle machines included): one job per day
     for day in reversed(days):
         run_revenue(spark, wh, day)

@@ -284,6 +284,12 @@ def location_rollforward(spark, sf):
     return _locations(spark, sf)
 
 
+def location_all_days(spark, sf):
+    """Machine locations of every day of the month in one job (the backfill of
+    J7); no snapshot before the first day."""
+    return location.machine_location_range(_reports(spark, sf), _places(spark, sf), FIRST_DAY, BUSINESS_DAY)
+
+
 def machine_stat(spark, sf):
     return _machine_stat(spark, sf)
 
@@ -395,6 +401,7 @@ QUERIES: dict[str, Query] = {
     "machine_mode_location": machine_mode_location,
     "place_lookup": place_lookup,
     "location_rollforward": location_rollforward,
+    "location_all_days": location_all_days,
     "machine_stat": machine_stat,
     "machine_stat_refunds": machine_stat_refunds,
     "machine_mode_location_nonblank": machine_mode_location_nonblank,

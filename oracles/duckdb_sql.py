@@ -343,6 +343,7 @@ chosen AS (SELECT day, MID, (list({{'X': X, 'Y': Y, 'n': n}} ORDER BY n DESC, X,
 favourites AS (SELECT day, MID, c.X AS X, c.Y AS Y, CAST(c.n AS INTEGER) AS CNT FROM chosen WHERE c.X != '' AND c.Y != '')"""
 
 
+MONTH = [f"{int(FIRST_DAY) + i}" for i in range(int(DAY) - int(FIRST_DAY) + 1)]
 LOCATED = f"""{PLACES},
 points AS (SELECT DISTINCT X, Y, try_cast(X AS DOUBLE) AS lat, try_cast(Y AS DOUBLE) AS lng FROM favourites),
 nearest AS (
@@ -411,6 +412,9 @@ ORACLES.update({
     "machine_mode_location_nonblank": _query(_favourites([DAY], blanks=False), body="SELECT * EXCLUDE (day) FROM favourites"),
     "place_lookup": _query(_favourites([DAY]), LOCATED, body="SELECT * EXCLUDE (day) FROM located"),
     "location_rollforward": _query(LATEST, body="FROM latest"),
+    "location_all_days": _query(_favourites(MONTH), LOCATED, body=f"""SELECT l.* EXCLUDE (day), {_TEXT_DAY.format('today.day')} AS data_dt
+FROM days today JOIN located l ON l.day <= today.day
+QUALIFY row_number() OVER (PARTITION BY today.day, MID ORDER BY l.day DESC) = 1"""),
     "machine_stat": _query(_statement(False), body="FROM statement"),
     "machine_stat_refunds": _query(_statement(True), body="FROM statement"),
     "region_stat": _query(_statement(False), body=f"""SELECT PRVC, CTY, count(MID) AS MAC_CNT, count(DISTINCT MID) AS MAC_DISTINCT_CNT,

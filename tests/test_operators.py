@@ -1,5 +1,6 @@
 """Golden rows and invariants of the job operators."""
 
+import random
 import re
 
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from encore.operators import content, location, revenue, users
 from encore.operators.ranking import mode_per_key
 from encore.plans import registry
 from encore.sources import schemas
+from encore.sources.schemas import GAZETTEER_PLACE_COLS
 
 from .conftest import SF_MID, SF_SMALL
 
@@ -278,3 +280,34 @@ def test_merchant_rate_scale(spark):
     percent = revenue.merchant_share(stat, D, rate_scale=100).first()
     assert float(literal.TOT_INV_REV) == 30000.0 and float(percent.TOT_INV_REV) == 300.0
     assert float(literal.TOT_PAR_REV) == 0.0
+
+
+def _by_day(frame):
+    return sorted((tuple(r) for r in frame.collect()), key=str)
+
+
+def test_locations_of_a_month_in_one_job_equal_daily_runs(spark, scratch):
+    """After a snapshot of the day before (the registered query has none);
+    machines that go silent keep their last place."""
+    import datetime as dtm
+
+    places = spark.createDataFrame([(i, 20.0 + i, 100.0 + i, *[f"{c}{i}" for c in GAZETTEER_PLACE_COLS]) for i in range(5)],
+                                   "place_id long, lat double, lng double, " + ", ".join(f"{c} string" for c in GAZETTEER_PLACE_COLS))
+    rng = random.Random(12)
+    day = lambda n: (dtm.date(2024, 1, 28) + dtm.timedelta(days=n)).strftime("%Y%m%d")
+    spots = [("20.1", "100.1"), ("23", "103"), ("", ""), ("x", "1"), ("-45", "10"), (None, "3")]
+    rows = [(rng.choice(["u1", "u2", "u3", None]), f"m{rng.randrange(6)}", *rng.choice(spots), day(rng.choice([-40, -31, -3, 0, 1, 2, 5]))) for _ in range(60)]
+    rows += [("u1", "old", "20.1", "100.1", day(-3)), ("u1", "new", "23", "103", day(4))]
+    reports = spark.createDataFrame(rows, "UID string, MID string, LAT string, LNG string, data_dt string")
+    snapshot = location.machine_location(reports, places, day(-1), window_days=3)
+    for before in (snapshot,):
+        want, yesterday = [], before
+        for n in range(3):
+            today = location.machine_location(reports, places, day(n), yesterday=yesterday, window_days=3)
+            path = f"{scratch}/{n}"
+            today.write.parquet(path)
+            yesterday = spark.read.parquet(path)
+            want += [tuple(r) for r in yesterday.collect()]
+        got = location.machine_location_range(reports, places, day(0), day(2), yesterday=before, window_days=3)
+        assert got.columns == yesterday.columns
+        assert _by_day(got) == sorted(want, key=str) and len(want) > 12
