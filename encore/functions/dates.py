@@ -21,6 +21,14 @@ def days_before(day: str, n: int) -> str:
     return (datetime.strptime(day, "%Y%m%d") - timedelta(days=n)).strftime("%Y%m%d")
 
 
+def days_between(first: str, last: str) -> list[str]:
+    """The days of a range, both ends included (driver-side)."""
+    days = [first]
+    while days[-1] < last:
+        days.append(days_before(days[-1], -1))
+    return days
+
+
 def days_before_col(c: ColumnOrName, n: int) -> Column:
     return F.date_format(F.date_sub(F.to_date(as_col(c), DAY_FMT), n), DAY_FMT)
 

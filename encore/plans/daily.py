@@ -16,10 +16,10 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..functions.dates import days_before
+from ..functions.dates import days_before, days_between
 from ..operators import content, location, machine, revenue, users
 from ..sinks import overwrite_table, stamp_day, write_mart, write_partition
-from ..sources import schemas
+from ..sources import catalog, schemas
 from ..sources.tables import _exists, on_day, read_table
 
 TABLES = {
@@ -66,19 +66,37 @@ class RawTables:
 
 @dataclass
 class Warehouse:
+    """Folders under ``root``; with ``database`` each of them is a table of the
+    session catalog too, and jobs read the tables by name."""
+
     root: str
     jdbc_url: str | None = None
     jdbc_properties: dict[str, str] = field(default_factory=dict)
+    database: str | None = None
 
     def path(self, key: str) -> str:
         return f"{self.root}/{TABLES.get(key, key)}"
 
+    def write(self, df: DataFrame, key: str, first: str | None = None, last: str | None = None) -> None:
+        """The days of ``df`` in place of those of the table; with a catalog
+        the days ``first`` to ``last`` are attached that have been landed."""
+        write_partition(df, self.path(key))
+        if self.database:
+            spark = df.sparkSession
+            days = [d for d in days_between(first, last or first) if _exists(spark, f"{self.path(key)}/{schemas.PARTITION_COL}={d}")]
+            catalog.publish(spark, self.database, TABLES.get(key, key), self.path(key), df.schema, days)
+
+    def read(self, spark: SparkSession, key: str) -> DataFrame:
+        if self.database:
+            return catalog.read(spark, self.database, TABLES.get(key, key))
+        return spark.read.parquet(self.path(key))
+
     def mart(self, df: DataFrame, name: str) -> None:
         write_mart(df, name, path=f"{self.root}/marts", jdbc_url=self.jdbc_url, properties=self.jdbc_properties)
 
 
 def _read(spark: SparkSession, wh: Warehouse, key: str, day: str) -> DataFrame:
-    return on_day(spark.read.parquet(wh.path(key)), day)
+    return on_day(wh.read(spark, key), day)
 
 
 def run_ingest(spark: SparkSession, wh: Warehouse, log_path: str) -> DataFrame:
@@ -102,17 +120,17 @@ def run_content(spark: SparkSession, wh: Warehouse, raw: RawTables, day: str,
     (TW_SONG_DAY_SKETCH_D), and the horizons are merged from 31 days of
     those rows -- distinct users/orders become estimates (~1.6%)."""
     overwrite_table(content.clean_catalog(raw.song_info), wh.path("song_base"))
-    catalog = spark.read.parquet(wh.path("song_base"))
+    songs = spark.read.parquet(wh.path("song_base"))
     if approx_distinct:
-        write_partition(content.song_day_sketches(raw.play_log, day), wh.path("song_sketch"))
-        sketches = spark.read.parquet(wh.path("song_sketch"))
-        features = content.song_features_from_sketches(sketches, catalog, day)
+        wh.write(content.song_day_sketches(raw.play_log, day), "song_sketch", day)
+        sketches = wh.read(spark, "song_sketch")
+        features = content.song_features_from_sketches(sketches, songs, day)
     else:
-        features = content.song_features(raw.play_log, catalog, day)
-    write_partition(features, wh.path("song_features"))
+        features = content.song_features(raw.play_log, songs, day)
+    wh.write(features, "song_features", day)
     features = _read(spark, wh, "song_features", day)
-    write_partition(content.song_rsi(features), wh.path("song_rsi"))
-    write_partition(content.singer_rsi(features), wh.path("singer_rsi"))
+    wh.write(content.song_rsi(features), "song_rsi", day)
+    wh.write(content.singer_rsi(features), "singer_rsi", day)
     for key, mart in (("song_rsi", "tm_song_rsi"), ("singer_rsi", "tm_singer_rsi")):
         wh.mart(stamp_day(content.top_ranked(_read(spark, wh, key, day)), day), mart)
 
@@ -120,16 +138,14 @@ def run_content(spark: SparkSession, wh: Warehouse, raw: RawTables, day: str,
 def run_machines(spark: SparkSession, wh: Warehouse, raw: RawTables, day: str) -> None:
     run_profiles(spark, wh, raw, day)
     yesterday = _yesterday_locations(spark, wh, day)
-    write_partition(
-        location.machine_location(raw.user_locations, raw.gazetteer, day, yesterday=yesterday), wh.path("mac_loc")
-    )
+    wh.write(location.machine_location(raw.user_locations, raw.gazetteer, day, yesterday=yesterday), "mac_loc", day)
 
 
 def run_profiles(spark: SparkSession, wh: Warehouse, raw: RawTables, day: str) -> None:
     profile = machine.machine_profile(
         raw.mac_a, raw.mac_loc_a, raw.mac_b, raw.provinces, raw.cities, raw.areas, raw.store_map, raw.stores, day
     )
-    write_partition(profile, wh.path("mac_base"))
+    wh.write(profile, "mac_base", day)
     wh.mart(stamp_day(_read(spark, wh, "mac_base", day), day), "tm_mac_baseinfo")
 
 
@@ -142,27 +158,27 @@ def _yesterday_locations(spark: SparkSession, wh: Warehouse, day: str) -> DataFr
 
 
 def run_users(spark: SparkSession, wh: Warehouse, raw: RawTables, day: str, active_days: int = 7) -> None:
-    write_partition(users.consumption_brief(raw.consumption, day), wh.path("cnsm"))
+    wh.write(users.consumption_brief(raw.consumption, day), "cnsm", day)
     everyone = users.all_users(raw.users_wechat, raw.users_alipay, raw.users_qq, raw.users_app)
-    write_partition(users.active_profiles(raw.logins, everyone, day), wh.path("usr"))
-    profiles = spark.read.parquet(wh.path("usr"))
+    wh.write(users.active_profiles(raw.logins, everyone, day), "usr", day)
+    profiles = wh.read(spark, "usr")
     wh.mart(users.active_list(profiles, day, active_days=active_days), "user_7days_active")
 
 
 def run_revenue(spark: SparkSession, wh: Warehouse, day: str, include_refund_only: bool = False) -> None:
     stat = revenue.machine_stat(
-        spark.read.parquet(wh.path("mac_base")),
-        spark.read.parquet(wh.path("mac_loc")),
-        spark.read.parquet(wh.path("cnsm")),
-        spark.read.parquet(wh.path("usr")),
+        wh.read(spark, "mac_base"),
+        wh.read(spark, "mac_loc"),
+        wh.read(spark, "cnsm"),
+        wh.read(spark, "usr"),
         day,
         include_refund_only=include_refund_only,
     )
-    write_partition(stat, wh.path("mac_stat"))
-    stat_day = spark.read.parquet(wh.path("mac_stat"))
+    wh.write(stat, "mac_stat", day)
+    stat_day = wh.read(spark, "mac_stat")
     wh.mart(stamp_day(_read(spark, wh, "mac_stat", day), day), "tm_machine_rev_infos")
-    write_partition(revenue.region_stat(stat_day, day), wh.path("region"))
-    write_partition(revenue.merchant_share(stat_day, day), wh.path("merchant"))
+    wh.write(revenue.region_stat(stat_day, day), "region", day)
+    wh.write(revenue.merchant_share(stat_day, day), "merchant", day)
     wh.mart(stamp_day(_read(spark, wh, "region", day), day), "tm_mac_region_stat_d")
     wh.mart(stamp_day(_read(spark, wh, "merchant", day), day), "tm_usr_mrchnt_stat_d")
 
@@ -185,18 +201,16 @@ def backfill(spark: SparkSession, wh: Warehouse, raw: RawTables, first_day: str,
     from ..sources.tables import between_days
 
     overwrite_table(content.clean_catalog(raw.song_info), wh.path("song_base"))
-    catalog = spark.read.parquet(wh.path("song_base"))
-    write_partition(content.song_features_range(raw.play_log, catalog, first_day, last_day), wh.path("song_features"))
-    features = between_days(spark.read.parquet(wh.path("song_features")), first_day, last_day)
-    write_partition(content.song_rsi(features), wh.path("song_rsi"))
-    write_partition(content.singer_rsi(features), wh.path("singer_rsi"))
-    write_partition(users.consumption_brief(between_days(raw.consumption, first_day, last_day)), wh.path("cnsm"))
+    songs = spark.read.parquet(wh.path("song_base"))
+    wh.write(content.song_features_range(raw.play_log, songs, first_day, last_day), "song_features", first_day, last_day)
+    features = between_days(wh.read(spark, "song_features"), first_day, last_day)
+    wh.write(content.song_rsi(features), "song_rsi", first_day, last_day)
+    wh.write(content.singer_rsi(features), "singer_rsi", first_day, last_day)
+    wh.write(users.consumption_brief(between_days(raw.consumption, first_day, last_day)), "cnsm", first_day, last_day)
     everyone = users.all_users(raw.users_wechat, raw.users_alipay, raw.users_qq, raw.users_app)
-    write_partition(
-        users.active_profiles(between_days(raw.logins, first_day, last_day), everyone), wh.path("usr")
-    )
+    wh.write(users.active_profiles(between_days(raw.logins, first_day, last_day), everyone), "usr", first_day, last_day)
     before = _yesterday_locations(spark, wh, first_day)
-    write_partition(location.machine_location_range(raw.user_locations, raw.gazetteer, first_day, last_day, yesterday=before), wh.path("mac_loc"))
+    wh.write(location.machine_location_range(raw.user_locations, raw.gazetteer, first_day, last_day, yesterday=before), "mac_loc", first_day, last_day)
     days, d = [], last_day
     while d >= first_day:
         days.append(d)

@@ -1,7 +1,12 @@
 """JDBC import and mart sink wiring, checked with stand-in reader/writer
 objects (no database may be started in this environment)."""
 
-from encore.sinks import write_mart
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from encore.sinks import replace_jdbc, restore_folder, write_mart
 from encore.sources.jdbc import FETCH_SIZE, read_jdbc_table
 
 
@@ -36,14 +41,93 @@ def test_partitioned_snapshot_read():
     assert kwargs["properties"]["fetchsize"] == str(FETCH_SIZE) and kwargs["properties"]["user"] == "u"
 
 
-def test_mart_replace_keeps_table_definition():
-    df = _Frame()
-    write_mart(df, "tm_song_rsi", jdbc_url="jdbc:x://h/db", properties={"user": "u"})
-    names = [c[0] for c in df.write.calls]
-    assert names == ["mode", "option", "jdbc"]
-    assert df.write.calls[0][1] == ("overwrite",)
-    assert df.write.calls[1][1] == ("truncate", "true")
-    assert df.write.calls[2][1][:2] == ("jdbc:x://h/db", "tm_song_rsi")
+class _Jdbc(_Frame):
+    """A frame whose JDBC write fills ``tables``, or fails half-way."""
+
+    def __init__(self, tables, rows, fails=False):
+        super().__init__()
+        self.sparkSession, self.tables, self.rows, self.fails = None, tables, rows, fails
+        self.write = self
+
+    def mode(self, m):
+        assert m == "append"
+        return self
+
+    def jdbc(self, url, name, properties=None):
+        self.tables.setdefault(name, {"defined": "by the writer", "rows": []})
+        self.tables[name]["rows"] += self.rows[:1] if self.fails else self.rows
+        if self.fails:
+            raise OSError("a task failed")
+
+
+def _database(tables):
+    """Executes the few statements of a replacement on a dict of tables."""
+    def execute(spark, url, properties, statements):
+        now = dict(tables)  # one transaction
+        for s in statements:
+            w = s.replace("(", " ").replace(",", "").split()
+            if w[0] == "DROP":
+                now.pop(w[-1], None)
+            elif w[0] == "CREATE":
+                like = w[w.index("LIKE") + 1]
+                now[w[2]] = {"defined": now[like]["defined"], "rows": []}
+            elif w[0] == "ALTER":
+                now[w[-1]] = now.pop(w[2])
+            else:
+                assert w[:2] == ["RENAME", "TABLE"]
+                now[w[4]] = now.pop(w[2])
+                now[w[7]] = now.pop(w[5])
+        tables.clear()
+        tables.update(now)
+
+    return execute
+
+
+@pytest.mark.parametrize("url", ["jdbc:x://h/db", "jdbc:mysql://h/db"])
+def test_mart_is_replaced_whole_and_keeps_its_definition(url):
+    tables = {"mart": {"defined": "by hand", "rows": [1, 2]}}
+    replace_jdbc(_Jdbc(tables, [3, 4, 5]), url, "mart", execute=_database(tables))
+    assert tables == {"mart": {"defined": "by hand", "rows": [3, 4, 5]}}
+
+
+@pytest.mark.parametrize("url", ["jdbc:x://h/db", "jdbc:mysql://h/db"])
+def test_failed_write_leaves_the_mart_of_before(url):
+    tables = {"mart": {"defined": "by hand", "rows": [1, 2]}}
+    with pytest.raises(OSError):
+        replace_jdbc(_Jdbc(tables, [3, 4, 5], fails=True), url, "mart", execute=_database(tables))
+    assert tables["mart"] == {"defined": "by hand", "rows": [1, 2]}
+    replace_jdbc(_Jdbc(tables, [6]), url, "mart", execute=_database(tables))  # the next run clears up
+    assert tables == {"mart": {"defined": "by hand", "rows": [6]}}
+
+
+def test_first_write_makes_the_mart():
+    tables = {}
+    replace_jdbc(_Jdbc(tables, [1]), "jdbc:x://h/db", "mart", execute=_database(tables))
+    assert tables == {"mart": {"defined": "by the writer", "rows": [1]}}
+
+
+def test_folder_mart_is_replaced_whole(spark, scratch):
+    def rows():
+        return sorted(r[0] for r in spark.read.parquet(f"{scratch}/mart").collect())
+
+    write_mart(spark.range(3), "mart", path=scratch)
+    write_mart(spark.range(10, 12), "mart", path=scratch)
+    assert rows() == [10, 11]
+    broken = spark.range(8).repartition(4).select(F.when(F.col("id") == 5, F.raise_error(F.lit("half-way"))).otherwise(F.col("id")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="half-way"):
+        write_mart(broken, "mart", path=scratch)
+    assert rows() == [10, 11] and os.listdir(scratch) == ["mart"]
+
+
+def test_folder_mart_survives_a_cut_between_the_renames(spark, scratch):
+    write_mart(spark.range(3), "mart", path=scratch)
+    os.rename(f"{scratch}/mart", f"{scratch}/mart.before")  # then the process ended
+    restore_folder(spark, f"{scratch}/mart")
+    assert spark.read.parquet(f"{scratch}/mart").count() == 3
+    write_mart(spark.range(4), "mart", path=scratch)
+    os.rename(f"{scratch}/mart", f"{scratch}/mart.before")
+    write_mart(spark.range(5), "mart", path=scratch)
+    assert spark.read.parquet(f"{scratch}/mart").count() == 5 and os.listdir(scratch) == ["mart"]
 
 
 class _StreamSession:
