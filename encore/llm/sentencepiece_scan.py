@@ -163,6 +163,11 @@ class Pieces:
         self.unknown_score = float(scores[normal].min()) - 10.0
         # a piece with a space after another character would join two words
         self.words = not any(SPACE in self.names[i].lstrip(SPACE) for i in normal)
+        self.raw = [n.encode() if ok else b"" for n, ok in zip(self.names, self.normal.tolist(), strict=True)]
+        self.raw[self.unknown_id] = " \u2047 ".encode()
+        for byte, i in enumerate(self.byte_ids):
+            if i >= 0:
+                self.raw[i] = bytes([byte])
         self.known = KnownWords()
         self.tables = []
         for n in range(1, self.longest + 1):
@@ -216,26 +221,13 @@ class Pieces:
         out[at] = np.concatenate(data)
         return out, count
 
+    def decode_bytes(self, ids: np.ndarray) -> bytes:
+        """The text that the ids stand for, in UTF-8."""
+        data = b"".join(map(self.raw.__getitem__, np.asarray(ids).tolist())).replace(SPACE.encode(), b" ")
+        return data[1:] if data.startswith(b" ") else data
+
     def decode(self, ids) -> str:
-        ids = np.asarray(ids, dtype=np.int64)
-        if self.normal[ids].all():
-            text = "".join([self.names[i] for i in ids.tolist()]).replace(SPACE, " ")
-            return text[1:] if text.startswith(" ") else text
-        ids = ids.tolist()
-        out, raw = [], bytearray()
-        first_byte = {int(i): b for b, i in enumerate(self.byte_ids) if i >= 0}
-        for i in ids:
-            if i in first_byte:
-                raw.append(first_byte[i])
-                continue
-            if raw:
-                out.append(raw.decode("utf-8", "replace"))
-                raw = bytearray()
-            out.append(self.names[i] if self.normal[i] else " ⁇ " if i == self.unknown_id else "")
-        if raw:
-            out.append(raw.decode("utf-8", "replace"))
-        text = "".join(out).replace(SPACE, " ")
-        return text[1:] if text.startswith(" ") else text
+        return self.decode_bytes(ids).decode("utf-8", "replace")
 
 
 def _roll(value: np.ndarray, code: np.ndarray) -> np.ndarray:
@@ -513,12 +505,12 @@ def _text_of(codes: np.ndarray | None) -> str | None:
 
 def read_back(text: str) -> str:
     """Digest of what a text's ids decode to."""
-    return hashlib.sha256(text.replace(SPACE, " ").encode("utf-8", "surrogatepass")).hexdigest()
+    return hashlib.sha256(text.encode("utf-8", "surrogatepass").replace(SPACE.encode(), b" ")).hexdigest()
 
 
 def _told(pieces: Pieces, ids: np.ndarray, want: str) -> tuple[int, str, bool]:
     """Number and digest of the ids, and whether they decode to the text."""
-    return len(ids), hashlib.sha256(np.asarray(ids, "<i4").tobytes()).hexdigest(), read_back(pieces.decode(ids)) == want
+    return len(ids), hashlib.sha256(np.asarray(ids, "<i4").tobytes()).hexdigest(), hashlib.sha256(pieces.decode_bytes(ids)).hexdigest() == want
 
 
 _TOLD = [("n", pa.int64()), ("sha", pa.string()), ("ok", pa.bool_())]
