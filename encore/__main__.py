@@ -61,6 +61,9 @@ def main(argv=None) -> None:
     b.add_argument("--to", dest="last", required=True, help="last business date yyyyMMdd")
     b.add_argument("--warehouse", required=True)
     _raw_layer(b)
+    for p in (d, b):
+        p.add_argument("--database", help="catalog database: tables are registered there and read by name")
+        p.add_argument("--buckets", type=int, help="with --database: buckets of the machine-level tables")
     b.add_argument("--sketches", action="store_true", help="also seed the daily song sketches")
     b.add_argument("--checkpoint")
     g = sub.add_parser("ingest")
@@ -91,7 +94,7 @@ def main(argv=None) -> None:
     s.add_argument("--out", required=True)
     s.add_argument("--checkpoint")
     s.add_argument("--once", action="store_true", help="process what is available, then stop")
-    s.add_argument("--by-arrival", action="store_true", help="window by arrival time, as the original")
+    s.add_argument("--by-arrival", action="store_true", help="window by arrival time, as the original; pv_uv then writes every slide by the clock")
     for p in (d, b, g, i, s):
         p.add_argument("--input-bytes", type=int, help="approximate input volume: sizes splits/shuffles")
         p.add_argument("--executors", type=int, default=1)
@@ -104,7 +107,7 @@ def main(argv=None) -> None:
             spark.conf.set(key, value)
     checkpoint_dir(spark, fallback=args.checkpoint)
     if args.cmd == "backfill":
-        wh = daily.Warehouse(args.warehouse)
+        wh = daily.Warehouse(args.warehouse, database=args.database, buckets=args.buckets)
         raw = _raw(spark, args, wh)
         daily.backfill(spark, wh, raw, args.first, args.last)
         if args.sketches:
@@ -123,7 +126,7 @@ def main(argv=None) -> None:
             print(f"{row['data_dt']}: {row['unparsable']} unparsable play payloads dropped")
         return
     if args.cmd == "daily":
-        wh = daily.Warehouse(args.warehouse, args.jdbc_url, json.loads(args.jdbc_properties))
+        wh = daily.Warehouse(args.warehouse, args.jdbc_url, json.loads(args.jdbc_properties), args.database, args.buckets)
         raw = _raw(spark, args, wh)
         for job in args.jobs.split(","):
             if job == "content":
@@ -147,6 +150,8 @@ def main(argv=None) -> None:
     if args.job == "hot_songs":
         write = jobs.jdbc_board(args.jdbc_url, args.jdbc_table, json.loads(args.jdbc_properties)) if args.jdbc_url else None
         jobs.start_hot_songs(records, args.out, trigger=trigger, arrival_time=args.by_arrival, write=write).awaitTermination()
+    elif args.by_arrival and not args.once:
+        jobs.start_arrival_pv_uv(records, args.out).awaitTermination()
     else:
         for q in jobs.start_pv_uv(records, args.out, trigger=trigger, arrival_time=args.by_arrival, refresh=args.refresh):
             q.awaitTermination()

@@ -40,6 +40,10 @@ TABLES = {
 }
 
 
+#: Tables with one row a machine and day.
+MACHINE_TABLES = ("mac_base", "mac_loc")
+
+
 @dataclass
 class RawTables:
     """The ODS inputs of one run (any DataFrames with the raw schemas)."""
@@ -67,12 +71,15 @@ class RawTables:
 @dataclass
 class Warehouse:
     """Folders under ``root``; with ``database`` each of them is a table of the
-    session catalog too, and jobs read the tables by name."""
+    session catalog too, and jobs read the tables by name.  With ``buckets``
+    the machine-level tables are bucketed by machine, so the revenue job joins
+    them without a shuffle."""
 
     root: str
     jdbc_url: str | None = None
     jdbc_properties: dict[str, str] = field(default_factory=dict)
     database: str | None = None
+    buckets: int | None = None
 
     def path(self, key: str) -> str:
         return f"{self.root}/{TABLES.get(key, key)}"
@@ -80,6 +87,9 @@ class Warehouse:
     def write(self, df: DataFrame, key: str, first: str | None = None, last: str | None = None) -> None:
         """The days of ``df`` in place of those of the table; with a catalog
         the days ``first`` to ``last`` are attached that have been landed."""
+        if self.database and self.buckets and key in MACHINE_TABLES:
+            catalog.write_bucketed(df, self.database, TABLES[key], self.path(key), "MID", self.buckets)
+            return
         write_partition(df, self.path(key))
         if self.database:
             spark = df.sparkSession

@@ -105,6 +105,20 @@ def uv_batch_counts(records: DataFrame, window: str = PV_WINDOW, slide: str = PV
     return _flat(agg)
 
 
+def uv_batch_counts_updating(records: DataFrame, window: str = PV_WINDOW, slide: str = PV_SLIDE,
+                             bucket: str = UV_BUCKET, watermark: str | None = None) -> DataFrame:
+    """``uv_batch_counts`` with one aggregation, so that a stream can write
+    open windows too (update mode): a user's first record in a bucket stays,
+    the others go.  In a stream the watermark's delay must reach over a bucket;
+    then a first record is remembered until no other of its bucket can come."""
+    src = with_watermark(records, watermark).select(F.window("ts", bucket)["start"].cast("timestamp").alias("_b"), "ts", "mid", "uid")
+    keys = ["_b", "mid", "uid"]
+    once = src.dropDuplicatesWithinWatermark(keys) if records.isStreaming else src.dropDuplicates(keys)
+    # slides are whole buckets, so any record of a bucket is in the bucket's windows
+    agg = once.groupBy(F.window("ts", window, slide).alias("w"), "mid").agg(F.count("uid").alias("uv"))
+    return _flat(agg)
+
+
 def uv_exact_counts(records: DataFrame, window: str = PV_WINDOW, slide: str = PV_SLIDE,
                     watermark: str | None = None, panes: bool = False) -> DataFrame:
     """Distinct visitors per machine per sliding window (the stated intent).

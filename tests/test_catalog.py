@@ -52,3 +52,44 @@ def test_tables_without_days(spark, scratch):
     facts = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {database}.songs").collect()}
     assert "5 rows" in facts["Statistics"]
     spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
+def test_machine_tables_join_without_a_shuffle(spark, scratch):
+    """The revenue job reads profile and location in buckets by machine; its
+    rows equal those from plain folders."""
+    from encore.operators import revenue
+
+    database = f"wh_{uuid.uuid4().hex[:8]}"
+    raw = daily.raw_from_driver(spark, SF_SMALL)
+    wh = daily.Warehouse(f"{scratch}/wh", database=database, buckets=4)
+    plain = daily.Warehouse(f"{scratch}/plain")
+    for w in (wh, plain):
+        daily.run_machines(spark, w, raw, DAYS[1])
+        daily.run_users(spark, w, raw, DAYS[1])
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        def stat(w):
+            return revenue.machine_stat(*[w.read(spark, k) for k in ("mac_base", "mac_loc", "cnsm", "usr")], DAYS[1])
+
+        assert sorted(map(str, stat(wh).collect())) == sorted(map(str, stat(plain).collect()))
+        plan = stat(wh)._jdf.queryExecution().executedPlan().toString()
+        for table in ("TW_MAC_BASEINFO_D", "TW_MAC_LOC_D".lower()):
+            lines = plan.splitlines()
+            at = next(i for i, x in enumerate(lines) if table.lower() in x.lower())
+            assert "Bucketed: true" in lines[at] or "SelectedBucketsCount" in lines[at]
+            depth = lines[at].index("FileScan")
+            for line in reversed(lines[:at]):  # what stands above the scan, up to the join
+                here = len(line) - len(line.lstrip(" :+-"))
+                if here < depth:
+                    depth = here
+                    if "Join" in line:
+                        break
+                    assert "Exchange" not in line, plan
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    daily.run_machines(spark, wh, raw, DAYS[1])  # a day run again is replaced
+    assert wh.read(spark, "mac_base").count() == plain.read(spark, "mac_base").count()
+    spark.sql(f"DROP DATABASE {database} CASCADE")

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from encore.sinks import replace_jdbc, restore_folder, write_mart
-from encore.sources.jdbc import FETCH_SIZE, read_jdbc_table
+from encore.sources.jdbc import FETCH_SIZE, read_jdbc_ranges, read_jdbc_table
 
 
 class _Recorder:
@@ -146,3 +146,44 @@ def test_kafka_source_wiring(spark):
     assert ("option", ("subscribe", "logtopic")) in calls
     assert ("option", ("startingOffsets", "earliest")) in calls
     assert ("load", ()) in calls
+
+
+class _Database:
+    """Stands in for a JDBC reader: tables are frames, subqueries and
+    predicates are run by Spark; the rows of each partition are told."""
+
+    def __init__(self, spark, **tables):
+        self.real, self.read, self.parts = spark, self, []
+        for name, frame in tables.items():
+            frame.createOrReplaceTempView(name)
+
+    def jdbc(self, url, table, properties=None, predicates=None, **_):
+        frame = self.real.sql(f"SELECT * FROM {table}")
+        if predicates is None:
+            return frame
+        pieces = [frame.where(p) for p in predicates]
+        self.parts = [p.count() for p in pieces]
+        out = pieces[0]
+        for p in pieces[1:]:
+            out = out.unionByName(p)
+        return out
+
+
+@pytest.mark.parametrize("every", [101, 1])
+def test_import_splits_clustered_keys_evenly(spark, every):
+    """Most keys in two narrow clusters far apart, some without a key."""
+    small, large = spark.range(1, 8001), spark.range(10 ** 12, 10 ** 12 + 8000)
+    few = spark.range(10 ** 6, 10 ** 11, 10 ** 9)
+    keys = small.union(large).union(few).union(spark.createDataFrame([(None,)] * 50, "id long"))
+    db = _Database(spark, clustered=keys.selectExpr("id AS NBR", "concat('n', id) AS name"))
+    got = read_jdbc_ranges(db, "jdbc:x://h/db", "clustered", {}, "NBR", 8, every=every)
+    assert got.count() == keys.count() and got.distinct().count() == keys.distinct().count()
+    assert got.where("NBR IS NULL").count() == 50
+    assert len(db.parts) == 8 and max(db.parts) <= 1.5 * keys.count() / 8
+
+
+def test_import_of_few_rows(spark):
+    for ids in ([], [None, None], [5], [7, 7, 7, 7]):
+        db = _Database(spark, few=spark.createDataFrame([(i,) for i in ids], "NBR long"))
+        got = read_jdbc_ranges(db, "jdbc:x://h/db", "few", {}, "NBR", 4)
+        assert sorted((r[0] is not None, r[0]) for r in got.collect()) == sorted((i is not None, i) for i in ids)
