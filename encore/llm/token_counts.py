@@ -118,6 +118,7 @@ def token_counts(docs: DataFrame, model_path: str, cache_path: str, limit: int =
     fresh.withColumn("tokenizer", F.lit(tokenizer)).write.mode("append").partitionBy("tokenizer").parquet(cache_path)
     ws.drop(fresh, speaker, silent)
 
-    counts = read_cache(spark, cache_path, tokenizer)
+    # staged, so that a digest of many rows is only joined, which splits it
+    counts = ws.put(read_cache(spark, cache_path, tokenizer))
     return digests.join(counts, "digest").select(
         F.col("doc_id").alias(id_col), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
