@@ -12,6 +12,8 @@ hashed on their own, in any task, and combined by length-shifted arithmetic.
 2. Pieces combine per row; (fingerprints, length) groups the rows.
 3. Rows that share a fingerprint are compared with the group's smallest id,
    chunk by chunk: chunk k of the member against chunk k of that document.
+   A large group's members are dealt over salts, SALTED of them a salt, and
+   that document's chunks are there once per salt.
    Members that differ anywhere (a collision) form a new round among
    themselves, until no group is left.
 
@@ -40,6 +42,8 @@ BASES = (1103515245, 1812433253)
 BLOCK = 1 << 16
 #: Characters above which a text is dealt out in pieces.
 PIECE_CHARS = 1 << 20
+#: Members of a group that meet the kept document's chunks in one place.
+SALTED = 1000
 #: Bytes of a chunk that two equal-looking texts are compared by.
 CHUNK = 1 << 16
 
@@ -169,12 +173,14 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         first = left.groupBy(*key).agg(
             F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "rid")).alias("k"), F.count("*").alias("texts"), F.sum("rows").alias("all_rows"))
         first = ws.put(first)
-        members = ws.put(left.join(first.where("texts > 1"), key).select("rid", F.col("k.rid").alias("keep_rid")))
+        members = ws.put(left.join(first.where("texts > 1"), key).select(
+            "rid", F.col("k.rid").alias("keep_rid"), F.ceil(F.col("texts") / SALTED).cast("long").alias("salts")))
         texts = keep_ids(named.select("rid", "text"), ws.put(members.select("rid").distinct()), ["rid"]).dropDuplicates(["rid"])
         chunks = ws.put(texts.mapInArrow(_chunks, "rid string, no int, chunk binary"))
-        mine = chunks.join(members, "rid").where("rid != keep_rid")
-        theirs = chunks.select(F.col("rid").alias("keep_rid"), "no", F.col("chunk").alias("other"))
-        unlike = ws.put(mine.join(theirs, ["keep_rid", "no"], "left").where(
+        mine = chunks.join(members.where("rid != keep_rid"), "rid").withColumn("salt", F.pmod(F.xxhash64("rid"), F.col("salts")))
+        theirs = chunks.join(members.where("rid = keep_rid"), "rid").select(
+            "keep_rid", "no", F.col("chunk").alias("other"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"))
+        unlike = ws.put(mine.join(theirs, ["keep_rid", "no", "salt"], "left").where(
             ~F.col("chunk").eqNullSafe(F.col("other"))).select("rid").distinct())
         ws.drop(chunks)
         equal = left.join(unlike, "rid", "left_anti").join(first, key).select(
@@ -186,7 +192,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     equal = settled[0]
     for more in settled[1:]:
         equal = equal.unionByName(more)
-    groups = equal.groupBy("keep_rid").agg(F.sum("rows").alias("group_size"))
+    # staged, so that a large group is only joined, which splits it
+    groups = ws.put(equal.groupBy("keep_rid").agg(F.sum("rows").alias("group_size")))
     found = equal.join(groups, "keep_rid").select("rid", "keep_id", "keep_rid", "group_size")
     out = whole.select("rid", "doc_id", "sha").join(found, "rid")
     # of repeated rows (same id, same text) one stays

@@ -60,3 +60,16 @@ def test_fingerprints_compose():
     for cut in (0, 1, 65_536, 100_001, 200_000):
         left, right = data[:cut], data[cut:]
         assert E.combine(E.fingerprint(left), E.fingerprint(right), len(right)) == E.fingerprint(data)
+
+
+def test_large_groups_are_dealt_over_salts(spark, monkeypatch):
+    """A group of copies larger than a salt, with texts of several chunks, and
+    one collision inside it."""
+    monkeypatch.setattr(E, "SALTED", 7)
+    monkeypatch.setattr(E, "CHUNK", 64)
+    rng = random.Random(6)
+    body = "".join(rng.choice("abcdef ") for _ in range(300))
+    rows = [(i, body.replace(" ", " " * (1 + i % 3))) for i in range(90)]
+    rows += [(200 + i, "".join(rng.choice("ab") for _ in range(5))) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert sorted(tuple(r) for r in E.exact_groups(docs, primes=(5, 3)).collect()) == brute(rows)
