@@ -48,6 +48,8 @@ DICT_SIZE = 32768
 DICT_PAGES = 200
 #: Payload bytes of one archive, about (a larger record has one of its own).
 ARCHIVE_BYTES = 4 << 20
+#: Most tasks that write archives, each one archive after another.
+MOST_TASKS = 100_000
 
 
 class WarcError(ValueError):
@@ -269,8 +271,10 @@ def write_pages(pages: DataFrame, folder: str, min_revisit: int = 1000) -> int:
     # about DICT_PAGES pages chosen by hash, wherever they lie
     share = min(1.0, DICT_PAGES / max(1, filled))
     sample = rows.where(F.length("text") > 0).where(F.pmod(F.xxhash64("page_id", "url"), F.lit(1 << 30)) < int(share * (1 << 30)) + 1)
-    heads = sample.select(F.substring(F.col("text").cast("binary"), 1, 8192).alias("head")).limit(2 * DICT_PAGES)
-    dictionary = train_dictionary([bytes(r["head"]) for r in heads.collect()])
+    # of each a block of 8192 bytes that starts anywhere in it, by hash
+    begin = F.pmod(F.xxhash64("url", "page_id", "text"), F.greatest(F.octet_length("text") - 8191, F.lit(1))).cast("int") + 1
+    blocks = sample.select(F.substring(F.col("text").cast("binary"), begin, F.lit(8192)).alias("block")).limit(2 * DICT_PAGES)
+    dictionary = train_dictionary([bytes(r["block"]) for r in blocks.collect()])
     shared = spark.sparkContext.broadcast(dictionary)  # DICT_SIZE bytes
 
     joined = rows.withColumn("digest", F.sha1(F.col("text").cast("binary"))).withColumn("size", F.octet_length("text").cast("long")).join(
@@ -282,7 +286,8 @@ def write_pages(pages: DataFrame, folder: str, min_revisit: int = 1000) -> int:
         joined = _one_response(joined)
     dealt = joined.withColumn("archive", F.pmod(F.xxhash64("page_id", "url", "digest"), F.lit(archives)))
     dealt = dealt.select("archive", "page_id", "url", "text", "digest", "keeper", "revisit")
-    dealt = dealt.repartition("archive").sortWithinPartitions("archive", "page_id")
+    # tasks by the number of archives, so that none grows with the table
+    dealt = dealt.repartition(min(archives, MOST_TASKS), "archive").sortWithinPartitions("archive", "page_id")
     done = ws.put(dealt.mapInArrow(_write_archives(folder, shared), "archive long, records long"), text_batch=256)
     count = done.agg(F.coalesce(F.sum("records"), F.lit(0))).first()[0]
     ws.drop(keys, keepers, done)
