@@ -1,4 +1,6 @@
+import math
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -6,8 +8,11 @@ from pyspark.sql import functions as F
 
 from encore.llm import compression_quality as C
 from encore.llm import toxicity as X
+from encore.llm.queries import CUT, op6_toxicity, op9_compression_quality, table
 from encore.llm.labelled import bucket_of, fit_logistic, labelled_sample
 
+from .test_queries import SMALL
+
 DOCS = "doc_id long, text string, label int, score string, quality int"
 LABELS = "doc_id long, quality int, toxic int"
 
@@ -108,3 +113,89 @@ def test_dictionaries_see_whole_texts(spark):
         chosen = [int(x) for x in got[i].split()]
         assert len(got[i]) == 8192 and chosen == sorted(set(chosen)) and max(chosen) > 8
     assert got[3] != got[4]
+
+
+def _caught(monkeypatch, module):
+    """What the scoring step of a fitted classifier is given."""
+    seen = []
+    score = module._score_rows
+    monkeypatch.setattr(module, "_score_rows", lambda *a: seen.append(a) or score(*a))
+    return seen
+
+
+def _compare(spark, rows, score, buckets, held):
+    """Rows of a registered query against a plain score of each text."""
+    texts = {r["doc_id"]: r["text"] or "" for r in table(spark, SMALL, "documents").collect()}
+    assert len(rows) == len(texts)
+    for r in rows:
+        i = r["doc_id"]
+        assert r["held_out"] == (zlib.crc32(str(i).encode()) % buckets == held)
+        assert r["score"] == pytest.approx(score(texts[i].encode()), abs=1e-9)
+        assert r["predicted"] == int(r["score"] >= CUT)
+
+
+def test_quality_query_equals_plain_scores(spark, monkeypatch):
+    """From the two dictionaries and the calibration, with plain arithmetic."""
+    import zstandard
+
+    seen = _caught(monkeypatch, C)
+    rows = op9_compression_quality(spark, SMALL).collect()
+    (dicts, model, _), = seen
+
+    def size(data, dictionary):
+        packer = zstandard.ZstdCompressor(level=C.LEVEL, dict_data=zstandard.ZstdCompressionDict(dictionary), write_content_size=False,
+                                          write_checksum=False, write_dict_id=False)
+        return sum(len(packer.compress(data[i:i + C.BLOCK])) for i in range(0, max(len(data), 1), C.BLOCK))
+
+    def score(data):
+        a, b = (size(data, d) for d in dicts.value)
+        n, least = len(data) + 1, min(a, b)
+        apart, ratio = (b - a) / max(1, least), least / n
+        x = [apart, (b - a) / n, ratio, ratio ** 2, math.log(n), apart * abs(apart), apart * ratio, 1 / (ratio + 0.02)]
+        z = model["bias"] + sum(w * (v - m) / s for w, v, m, s in zip(model["weight"], x, model["mean"], model["scale"], strict=True))
+        return 1 / (1 + math.exp(-max(-40, min(40, z))))
+
+    _compare(spark, rows, score, 4, 2)
+
+
+def test_toxicity_query_equals_plain_scores(spark, monkeypatch):
+    """From the weights of the chosen n-grams, gram by gram."""
+    seen = _caught(monkeypatch, X)
+    rows = op6_toxicity(spark, SMALL).collect()
+    (model, _), = seen
+    cells, weight, bias = model.value
+    by_cell = dict(zip(cells.tolist(), weight.tolist(), strict=True))
+    full = (1 << 64) - 1
+
+    def score(data):
+        data = b" " + data.lower() + b" "
+        on = set()
+        for n in X.NGRAMS:
+            for i in range(len(data) - n + 1):
+                code = int.from_bytes(data[i:i + n], "little")
+                on.add((((code * 0x9E3779B97F4A7C15 + n) & full) * 0xD6E8FEB86659FD93 & full) >> (64 - X.BITS))
+        z = bias + sum(by_cell.get(c, 0.0) for c in on)
+        return 1 / (1 + math.exp(-max(-40, min(40, z))))
+
+    _compare(spark, rows, score, 3, 1)
+
+
+def test_log_count_ratios_of_the_model(spark, monkeypatch):
+    """The ratios that scale the features, recounted over the learned documents."""
+    docs, labels = corpus(200)
+    frames = spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS)
+    seen = []
+    fit = X.fit
+    monkeypatch.setattr(X, "fit", lambda rows, cols, y, r: seen.append((cols, y, r)) or fit(rows, cols, y, r))
+    caught = _caught(monkeypatch, X)
+    X.toxicity_scores(*frames).collect()
+    (_, y, r), = seen
+    cells = caught[0][0].value[0]
+    toxic = {i: t for i, _, t in labels}
+    on = {i: set(X.present(t.encode()).tolist()) for i, t, *_ in docs}
+    n1 = sum(toxic.values())
+    assert len(y) == 200 and y.sum() == n1
+    for cell, got in list(zip(cells.tolist(), r.tolist(), strict=True))[::17]:
+        a = sum(cell in on[i] for i in on if toxic[i])
+        b = sum(cell in on[i] for i in on if not toxic[i])
+        assert got == pytest.approx(math.log((a + 1) / (n1 + 2)) - math.log((b + 1) / (200 - n1 + 2)))

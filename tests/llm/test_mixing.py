@@ -109,3 +109,41 @@ def test_rows_tell_wanted_and_reached_shares(spark):
             assert part[f"{m}_reached"].iloc[0] == pytest.approx(expected[part.index].sum() / expected.sum(), abs=1e-9)
     short = got[got["topic"] == "short"]
     assert short["topic_reached"].iloc[0] < short["topic_wanted"].iloc[0] and (short["probability"][short["n_tokens"] > 0] > 0.99).all()
+
+
+def test_registered_query_equals_plain_python(spark):
+    """Tokens, topics, cells, expected tokens, shares and the sampled rows of
+    op7, recomputed text by text."""
+    import hashlib
+    import re
+    from collections import defaultdict
+
+    from encore.llm.queries import MIX_TARGETS, op7_mixing, table
+
+    from .test_queries import SMALL
+
+    docs = {r["doc_id"]: r for r in table(spark, SMALL, "documents").collect()}
+    got = {r["doc_id"]: r for r in op7_mixing(spark, SMALL).collect()}
+    assert got.keys() == docs.keys()
+    cell_tokens, value_tokens, p_of = defaultdict(int), defaultdict(float), {}
+    for i, d in docs.items():
+        text, r = d["text"] or "", got[i]
+        n = max(len(text), 1)
+        share = lambda rx: len(re.findall(rx, text)) / n  # noqa: E731, B023
+        topic = ("markup" if share(r"[#*$%&|<>]") > 0.05 else "capitals" if share("[A-Z]") > 0.3 else "figures" if share("[0-9]") > 0.05
+                 else "short" if len(text) < 1000 else "article" if len(text) < 5000 else "long")
+        tokens = len(re.findall(r"[^\x20\x09-\x0D]+", text))
+        cell = (d["source"] if d["source"] in MIX_TARGETS["source"] else M.OTHER, d["lang"] if d["lang"] in MIX_TARGETS["lang"] else M.OTHER, topic)
+        assert (r["source"], r["lang"], r["topic"], r["n_tokens"]) == (*cell, tokens)
+        assert p_of.setdefault(cell, r["probability"]) == r["probability"]
+        cell_tokens[cell] += tokens
+        drawn = int(hashlib.md5(f"mix:{i}".encode()).hexdigest()[:12], 16) / (1 << 48)
+        assert r["sampled"] == (drawn < r["probability"])
+    total, expected = sum(cell_tokens.values()), sum(cell_tokens[c] * p for c, p in p_of.items())
+    assert expected == pytest.approx(0.5 * total, rel=1e-3) and all(0 <= p <= 1 for p in p_of.values())
+    for cell, p in p_of.items():
+        for k in range(3):
+            value_tokens[k, cell[k]] += cell_tokens[cell] * p / expected
+    for r in got.values():
+        for k, m in enumerate(M.MARGINALS):
+            assert r[f"{m}_reached"] == pytest.approx(value_tokens[k, r[m]], abs=1e-9)
