@@ -3,7 +3,8 @@ component labels, Arrow batches of texts."""
 
 from __future__ import annotations
 
-import tempfile
+import ctypes
+import functools
 import uuid
 from collections.abc import Iterator
 
@@ -12,6 +13,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from encore.session import checkpoint_dir
+
 #: White space as the query contracts define it, as a regex class body.
 WS = r"\x20\x09-\x0D"
 #: Most rows of an id table that a join may broadcast (8 bytes each); larger
@@ -23,13 +26,34 @@ BATCH_BYTES = 8 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; where the session names none
-    (local tests), a temporary one is set."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="encore-llm-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    """The shared folder of the session (see ``session.checkpoint_dir``); it
+    raises where none is named."""
+    return checkpoint_dir(spark)
+
+
+def give_back() -> None:
+    """Returns memory that this worker has freed to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not every C library has it
+    if trim is not None:
+        trim(0)
+
+
+def tidy(run):
+    """A ``mapInArrow`` function that gives freed memory back, now and then
+    and at its end: workers live on, and what one step needed most would
+    otherwise stay with them through all later steps."""
+    @functools.wraps(run)
+    def tidied(batches):
+        try:
+            for i, out in enumerate(run(batches), 1):
+                yield out
+                if i % 64 == 0:
+                    give_back()
+        finally:
+            give_back()
+
+    return tidied
 
 
 class Workspace:

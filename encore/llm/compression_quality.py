@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from encore.llm.common import TEXT_BATCH, Workspace, texts_of
+from encore.llm.common import TEXT_BATCH, Workspace, texts_of, tidy
 from encore.llm.labelled import apply_logistic, fit_logistic, labelled_sample
 
 BLOCK = 512
@@ -66,6 +66,7 @@ def features(data: bytes, good, bad) -> list[float]:
 
 
 def _feature_rows(dicts):
+    @tidy
     def run(batches):
         good, bad = _compressors(*dicts.value)
         for batch in batches:
@@ -76,6 +77,7 @@ def _feature_rows(dicts):
 
 
 def _score_rows(dicts, model: dict, id_col: str):
+    @tidy
     def run(batches):
         good, bad = _compressors(*dicts.value)
         for batch in batches:

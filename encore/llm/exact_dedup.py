@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from encore.llm.common import WS, Workspace, keep_ids, texts_of
+from encore.llm.common import WS, Workspace, keep_ids, texts_of, tidy
 
 PRIMES = (2147483629, 2147483587)
 BASES = (1103515245, 1812433253)
@@ -87,6 +87,7 @@ def fingerprint(data: bytes, primes=PRIMES) -> tuple[int, ...]:
 def _pieces(primes, piece_chars: int):
     names = ["rid", "doc_id", "piece", "pieces", "h1", "h2", "bytes", "sha"]
 
+    @tidy
     def run(batches):
         for batch in batches:
             col = {n: batch.column(i).to_pylist() for i, n in enumerate(batch.schema.names) if n != "text"}

@@ -53,7 +53,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from encore.llm.common import Workspace, components, grouped, keep_ids, texts_of
+from encore.llm.common import Workspace, components, grouped, keep_ids, texts_of, tidy
 from encore.llm.text import mix, shingle_hashes, shingles, word_hashes
 
 #: Cells of the count sketches (one byte each where they are broadcast).
@@ -144,6 +144,7 @@ PROFILE = "id long, n int, f1 long, f2 long, block int, cells binary"
 
 
 def _profile(id_col: str, text_col: str, k: int):
+    @tidy
     def run(batches):
         sketch = _new_sketch(np.uint32)
         rows: list[tuple] = []
@@ -279,6 +280,7 @@ def ordered(words: np.ndarray, k: int, classes: np.ndarray, log_total: float) ->
 def _index(id_col: str, text_col: str, k: int, t: int, x: int, classes):
     listed = least_overlap(x, t)
 
+    @tidy
     def run(batches):
         kind = pa.struct([("k1", pa.int64()), ("k2", pa.int64()), ("s", pa.int32())])
         rows: list[tuple] = []
@@ -313,6 +315,7 @@ def _index(id_col: str, text_col: str, k: int, t: int, x: int, classes):
 def _bitmap_filter(t: int):
     """Pairs (a, b, na, nb, ma, mb) that sizes and bitmaps allow."""
 
+    @tidy
     def run(batches):
         for batch in batches:
             na, nb = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in (2, 3))
@@ -330,6 +333,7 @@ def _block_pairs(t: int, x: int):
     """Rows of one (token, block pair) after another: emits the pairs of
     different components that sizes and bitmaps allow."""
 
+    @tidy
     def run(batches):
         done: set[tuple[int, int]] = set()
         found: list[tuple[int, int]] = []
@@ -382,6 +386,7 @@ def _block_pairs(t: int, x: int):
 
 
 def _token_sets(id_col: str, text_col: str, k: int):
+    @tidy
     def run(batches):
         ids, values = [], []
         for i, words in _words(batches, id_col, text_col):
@@ -441,6 +446,7 @@ def _block_links(t: int):
     """Rows of one (component, block pair) after another: emits the part of
     every set's links that this block pair holds."""
 
+    @tidy
     def run(batches):
         for group in grouped(batches, ["comp", "lo", "hi"]):
             ids, own, copies = (group.column(c).to_numpy() for c in ("id", "own", "copies"))

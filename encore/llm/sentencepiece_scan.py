@@ -49,7 +49,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from encore.llm.common import Workspace, texts_of
+from encore.llm.common import Workspace, texts_of, tidy
 from encore.llm.text import mix, powers
 
 #: Characters of a chunk; shorter texts are one.
@@ -64,7 +64,7 @@ COMBINE = 64
 #: Bytes of texts segmented side by side.
 BATCH_BYTES = 4 << 20
 #: Words whose segmentation a worker keeps.
-KNOWN = 1_000_000
+KNOWN = 250_000
 SPACE = "▁"
 _SPACE_CODE = 0x2581
 _LOST = -np.inf
@@ -534,6 +534,7 @@ def _opened(batch: pa.RecordBatch, fields: list[str], at: list[int | None], rows
 
 def _open(path: str, fields: list[str], chunk: int, with_ids: bool):
     """Short texts encoded, the chunks of long ones opened."""
+    @tidy
     def run(batches):
         pieces = _load(path)
         for batch in batches:
@@ -571,6 +572,7 @@ def _open(path: str, fields: list[str], chunk: int, with_ids: bool):
 
 def _deal(path: str, fields: list[str], chunk: int):
     """The chunks of very long texts, with the row's columns at the first."""
+    @tidy
     def run(batches):
         longest = _load(path).longest
         for batch in batches:
@@ -588,6 +590,7 @@ def _deal(path: str, fields: list[str], chunk: int):
 
 
 def _open_dealt(path: str, fields: list[str]):
+    @tidy
     def run(batches):
         pieces = _load(path)
         for batch in batches:
@@ -643,6 +646,7 @@ def _ends_of(batch, pieces: Pieces):
 
 
 def _entry_maps(path: str):
+    @tidy
     def run(batches):
         pieces = _load(path)
         for batch in batches:
@@ -667,6 +671,7 @@ def _states(frame):
 
 def _traced(path: str):
     """The ids around the whole words of each chunk: (rid, no, place, ids)."""
+    @tidy
     def run(batches):
         pieces = _load(path)
         for batch in batches:
@@ -681,6 +686,7 @@ def _traced(path: str):
 
 
 def _finish(path: str, fields: list[str], with_ids: bool):
+    @tidy
     def run(batches):
         pieces = _load(path)
         for batch in batches:
@@ -766,6 +772,7 @@ def decode(frame: DataFrame, model_path: str, ids_col: str = "token_ids", out_co
     where = f"c{names.index(ids_col)}"
     schema = T.StructType([*kept.schema.fields, T.StructField("out", T.StringType())])
 
+    @tidy
     def run(batches):
         pieces = _load(model_path)
         for batch in batches:

@@ -1,11 +1,10 @@
 import pytest
 
-from encore.session import build_session
+from encore.session import build_session, checkpoint_dir
 
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = build_session(app="llm-tests", master="local[4]", shuffle_partitions=4)
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+    checkpoint_dir(session, fallback=str(tmp_path_factory.mktemp("shared")))
     return session
