@@ -9,25 +9,30 @@ equals).  The choice depends on the window's bytes alone, so two equal windows
 keep suffixes at the same offset: nothing is missed, and about one position in
 a hundred and fifty is kept.
 
-*Levels.*  The documents come in batches.  A batch gets a suffix array: its
-sparse suffixes sorted by the fingerprint of their first gram, range
-partitioned.  It is merge-scanned (sort-merge join on the sorted keys) against
-every existing level and itself; keys met twice are kept as hits.  Then it
-enters the family: two levels of equal size merge into one of twice the size,
-so after n batches at most log2(n) + 1 levels exist and a suffix is rewritten
-at most log2(n) times.
+*Levels.*  The documents come in batches.  A batch gets a suffix array: the
+first gram of its sparse suffixes in byte order, one row per distinct gram (so
+one that a third of all texts have is one row), in buckets by the gram that are
+sorted within.  It is merge-scanned against every existing level: both are read
+in their stored buckets and order, nothing is shuffled.  Grams met in two texts,
+or twice in one, are hits.  Then the batch enters the family: two levels of
+equal size merge into one of twice the size, bucket by bucket, so after n
+batches at most log2(n) + 1 levels exist and a suffix is rewritten at most
+log2(n) times.  The levels are tables at a path and can be opened again for a
+later batch (``SuffixFamily.open``).
 
 *Long matches.*  For suffixes at hits the bytes around (up to ``length`` less
 the gram on each side) are taken from the text.  A window is named by the
 offset d of its suffix; two are equal when their left d and right
-``length - gram - d`` bytes are.  Equal surroundings are merged first (in the
-task, then per key), so a passage in a million copies is one row; the windows
-of the distinct surroundings of a key are compared by hash, all offsets at
-once, in linear work, never by pairs.  A key with more than ``GROUP`` distinct
-surroundings is split by salt; windows that stand alone in their part meet
-again per window key.
-
-*Exact copies* of a whole text are found first by digest: a copied text of
+``length - d`` bytes are.  Equal surroundings are merged first (in the task,
+then per key), so a passage in a million copies is one row.  The distinct
+surroundings of a key are put in order of their bytes, to the right and to the
+left, with the common lengths of neighbours; windows are equal when they lie in
+the same interval of both orders.  Bytes decide, not hashes, in linear work per
+offset, never by pairs.  A key with more than ``GROUP`` distinct surroundings is
+split by salt; windows that stand alone in their part meet again by their
+128-bit digest.
+
+*Exact copies* of a whole text are found first by SHA-256: a copied text of
 ``length`` bytes or more is repeated whole, and one of its rows takes part.
 
 Defined cases: null counts as empty; texts shorter than ``length`` lose
@@ -38,13 +43,15 @@ others.  Only id and text are read.
 from __future__ import annotations
 
 import hashlib
+import uuid
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from encore.llm.common import Workspace, grouped, keep_ids, texts_of
+from encore.llm.common import Workspace, delete, grouped, keep_ids, maybe_small, texts_of
 from encore.llm.text import mix, powers
 
 LENGTH = 400
@@ -93,66 +100,129 @@ def sparse_suffixes(text: bytes, length: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _scan(length: int):
-    """Per text: size, digest, distinct keys of its sparse suffixes, and which
-    of them it has twice (a text that repeats itself has few distinct ones)."""
+    """Per text: size, digest, distinct keys of its sparse suffixes with their
+    first grams, and which of them it has twice (a text that repeats itself has
+    few distinct ones)."""
+    gram = length // 4
 
     def run(batches):
         for batch in batches:
-            size, sha, key, twice = [], [], [], []
+            size, sha, key, twice, grams = [], [], [], [], []
             for text in texts_of(batch):
-                distinct, count = np.unique(sparse_suffixes(text, length)[1], return_counts=True)
+                places, keys = sparse_suffixes(text, length)
+                distinct, first, count = np.unique(keys, return_index=True, return_counts=True)
                 size.append(len(text))
                 sha.append(hashlib.sha256(text).digest())
                 key.append(distinct.view(np.int64))
                 twice.append(count > 1)
+                grams.append([text[at:at + gram] for at in places[first].tolist()])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(size, pa.int64()), pa.array(sha, pa.binary()), pa.array(key, pa.list_(pa.int64())),
-                 pa.array(twice, pa.list_(pa.bool_()))], ["doc_id", "n_bytes", "sha", "keys", "twice"])
+                 pa.array(twice, pa.list_(pa.bool_())), pa.array(grams, pa.list_(pa.binary()))],
+                ["doc_id", "n_bytes", "sha", "keys", "twice", "grams"])
 
     return run
 
 
-class SuffixFamily:
-    """Levels of sorted sparse suffixes (key, rid, twice) in the shared folder:
-    a suffix is found again in its text by its key.  The ranges are cut by key
-    and text, so a key that a third of all texts have spans many tasks."""
+def suffix_rows(scan: DataFrame) -> DataFrame:
+    """(gram, key, twice, a, b) of every sparse suffix; a and b are 128 bits of
+    the digest of its text, so copies of a text count as one."""
+    half = lambda at: F.conv(F.substring(F.hex("sha"), at, 15), 16, 10).cast("long")
+    return scan.where(F.size("keys") > 0).select(
+        F.explode(F.arrays_zip("grams", "keys", "twice")).alias("s"), half(1).alias("a"), half(16).alias("b")).select(
+        F.col("s.grams").alias("gram"), F.col("s.keys").alias("key"), F.col("s.twice").alias("twice"), "a", "b")
+
+
+_MET = "twice or a_low != a_high or b_low != b_high"
+_LEVEL = "gram binary, key long, twice boolean, a_low long, a_high long, b_low long, b_high long"
+
 
-    def __init__(self, ws: Workspace):
-        self.ws = ws
-        self.levels: list[tuple[int, DataFrame]] = []  # (batches held, table), largest first
+class SuffixFamily:
+    """Levels of suffix arrays under a shared folder: one row per distinct gram
+    (first bytes of a sparse suffix), in buckets by it, sorted within.  The
+    texts that have it are told by the least and greatest digest: two differ
+    where more than one text has it."""
+
+    def __init__(self, ws: Workspace, buckets: int | None = None):
+        self.ws, self.spark = ws, ws.spark
+        #: Like the shuffles, so that a bucket is written by one task.
+        self.buckets = buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        self.levels: list[tuple[int, str, str]] = []  # (batches held, table, path), largest first
         self.hits: list[DataFrame] = []
 
-    def _array(self, suffixes: DataFrame) -> DataFrame:
-        return self.ws.put(suffixes.repartitionByRange("key", "rid").sortWithinPartitions("key", "rid"))
+    @classmethod
+    def open(cls, ws: Workspace, buckets: int, levels: list[tuple[int, str]]) -> SuffixFamily:
+        """The family whose levels (batches held, path) an earlier run left."""
+        family = cls(ws, buckets)
+        for size, path in levels:
+            name = f"suffix_{uuid.uuid4().hex}"
+            ws.spark.sql(f"CREATE TABLE {name} ({_LEVEL}) USING parquet CLUSTERED BY (gram) SORTED BY (gram) INTO {buckets} BUCKETS "
+                         f"LOCATION '{path}'")
+            family.levels.append((size, name, path))
+        return family
+
+    @contextmanager
+    def _in_order(self):
+        """Buckets of one file are read in the order in which they were written."""
+        key = "spark.sql.legacy.bucketedTableScan.outputOrdering"
+        before = self.spark.conf.get(key)
+        self.spark.conf.set(key, "true")
+        try:
+            yield
+        finally:
+            self.spark.conf.set(key, before)
+
+    def _store(self, rows: DataFrame) -> tuple[str, str]:
+        name = f"suffix_{uuid.uuid4().hex}"
+        path = f"{self.ws.base}/{name}"
+        rows.write.format("parquet").bucketBy(self.buckets, "gram").sortBy("gram").option("path", path).option(
+            "compression", "zstd").saveAsTable(name)
+        return name, path
+
+    def _forget(self, name: str, path: str) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        delete(self.spark, path)
+
+    def merged(self, one: str, two: str, how: str) -> DataFrame:
+        """Two levels side by side in one pass over their sorted buckets."""
+        a, b = self.spark.table(one).alias("x"), self.spark.table(two).alias("y")
+        pair = a.hint("merge").join(b, "gram", how)
+        least = lambda c: F.least(f"x.{c}", f"y.{c}").alias(c)  # noqa: E731  (both skip nulls)
+        most = lambda c: F.greatest(f"x.{c}", f"y.{c}").alias(c)
+        return pair.select("gram", least("key"), most("twice"), least("a_low"), most("a_high"), least("b_low"), most("b_high"))
 
     def add(self, suffixes: DataFrame) -> None:
-        """Merge-scan a batch against the family, then let it enter."""
-        array = self._array(suffixes)
-        own = array.groupBy("key").agg(F.count("*").alias("n"), F.max("twice").alias("twice"))
-        found = own.where("n > 1 or twice").select("key")
-        for _, level in self.levels:
-            found = found.unionByName(own.select("key").hint("merge").join(level.select("key").distinct(), "key", "left_semi"))
-        self.hits.append(self.ws.put(found.distinct()))
-        size = 1
-        while self.levels and self.levels[-1][0] == size:
-            _, other = self.levels.pop()
-            merged = self._array(other.unionByName(array))
-            self.ws.drop(other, array)
-            array, size = merged, 2 * size
-        self.levels.append((size, array))
-
-    def hit_suffixes(self) -> DataFrame:
+        """Merge-scan a batch (gram, key, twice, a, b) against the family, then
+        let it enter."""
+        array = self._store(suffixes.groupBy("gram").agg(
+            F.min("key").alias("key"), F.max("twice").alias("twice"), F.min("a").alias("a_low"), F.max("a").alias("a_high"),
+            F.min("b").alias("b_low"), F.max("b").alias("b_high")))
+        with self._in_order():
+            found = self.spark.table(array[0]).where(_MET).select("key")
+            for _, level, _ in self.levels:
+                found = found.unionByName(self.merged(array[0], level, "inner").where(_MET).select("key"))
+            self.hits.append(self.ws.put(found.distinct()))
+            size = 1
+            while self.levels and self.levels[-1][0] == size:
+                other = self.levels.pop()[1:]
+                both = self._store(self.merged(other[0], array[0], "full"))
+                self._forget(*other)
+                self._forget(*array)
+                array, size = both, 2 * size
+        self.levels.append((size, *array))
+
+    def hit_keys(self) -> DataFrame:
         hits = self.hits[0]
         for more in self.hits[1:]:
             hits = hits.unionByName(more)
-        hits = self.ws.put(hits.distinct())
-        every = self.levels[0][1]
-        for _, level in self.levels[1:]:
-            every = every.unionByName(level)
-        return every.join(hits, "key", "left_semi")
+        return self.ws.put(hits.distinct())
 
     def close(self) -> None:
-        self.ws.drop(*self.hits, *[x for _, x in self.levels])
+        """Deletes the levels."""
+        self.ws.drop(*self.hits)
+        for _, *level in self.levels:
+            self._forget(*level)
+        self.hits, self.levels = [], []
 
 
 def _surroundings(length: int):
@@ -205,58 +275,56 @@ def _surroundings(length: int):
     return run
 
 
-def window_keys(bodies: list[bytes], lefts: np.ndarray, length: int):
+def ordered(parts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order of some strings of at most ``width`` bytes, and the length that
+    each has in common with the one before it (the first: 0)."""
+    order = sorted(range(len(parts)), key=parts.__getitem__)
+    sizes = np.array([len(parts[i]) for i in order], dtype=np.int64)
+    grid = np.frombuffer(b"".join([parts[i].ljust(width, b"\0") for i in order]), np.uint8).reshape(len(parts), width)
+    differ = grid[1:] != grid[:-1]
+    common = np.where(differ.any(axis=1), differ.argmax(axis=1), width)
+    return np.array(order), np.concatenate(([0], np.minimum(common, np.minimum(sizes[1:], sizes[:-1]))))
+
+
+def _both_orders(bodies: list[bytes], lefts: np.ndarray, length: int):
+    """Orders of the bytes before the suffixes (nearest first) and of the
+    suffixes themselves, to ``length``."""
+    side = length - length // 4
+    at = lefts.tolist()
+    before = ordered([body[:i][::-1] for body, i in zip(bodies, at, strict=True)], side)
+    return before, ordered([body[i:] for body, i in zip(bodies, at, strict=True)], length)
+
+
+def window_classes(bodies: list[bytes], lefts: np.ndarray, length: int):
     """For every offset in turn: (offset, bodies that have the window that
-    starts so many bytes before the suffix, hash of it for each of them)."""
-    gram = length // 4
-    side = length - gram
-    left = np.zeros((side, len(bodies)), dtype=np.uint8)  # nearest byte first
-    right = np.zeros((side, len(bodies)), dtype=np.uint8)
-    n_right = np.zeros(len(bodies), dtype=np.int64)
-    for i, (body, at) in enumerate(zip(bodies, lefts.tolist(), strict=True)):
-        raw = np.frombuffer(body, np.uint8)
-        left[:at, i] = raw[:at][::-1]
-        tail = raw[at + gram:]
-        right[:len(tail), i] = tail
-        n_right[i] = len(tail)
-    weight = powers(_BASE, side)
-    before = np.zeros(len(bodies), dtype=np.uint64)
-    after = np.zeros(len(bodies), dtype=np.uint64)
-    for j in range(side):
-        after += (right[j] + np.uint64(1)) * weight[j]
-    for offset in range(side + 1):
-        if offset:
-            before += (left[offset - 1] + np.uint64(1)) * weight[offset - 1]
-            after -= (right[side - offset] + np.uint64(1)) * weight[side - offset]
-        have = np.flatnonzero((lefts >= offset) & (n_right >= side - offset))
-        yield offset, have, mix(mix(before[have]) + np.uint64(0x9E3779B97F4A7C15) * mix(after[have]))
+    starts so many bytes before the suffix, its class for each of them).
+    Windows of one offset are equal when their classes are."""
+    (left, left_common), (right, right_common) = _both_orders(bodies, lefts, length)
+    n_right = np.array([len(b) for b in bodies], dtype=np.int64) - lefts
+    before, after = np.empty(len(bodies), np.int64), np.empty(len(bodies), np.int64)
+    for offset in range(length - length // 4 + 1):
+        before[left] = np.cumsum(left_common < offset)
+        after[right] = np.cumsum(right_common < length - offset)
+        have = np.flatnonzero((lefts >= offset) & (n_right >= length - offset))
+        yield offset, have, (before * (len(bodies) + 1) + after)[have]
 
 
 def repeated_offsets(bodies: list[bytes], lefts: np.ndarray, length: int) -> np.ndarray:
-    """Which windows of a few bodies occur in two of them: the same hashes as
-    ``window_keys``, all offsets in one matrix."""
-    gram = length // 4
-    side = length - gram
-    left = np.zeros((len(bodies), side), dtype=np.uint64)
-    right = np.zeros((len(bodies), side), dtype=np.uint64)
-    n_right = np.empty(len(bodies), dtype=np.int64)
-    for i, (body, at) in enumerate(zip(bodies, lefts.tolist(), strict=True)):
-        raw = np.frombuffer(body, np.uint8)
-        left[i, :at] = raw[:at][::-1]
-        n_right[i] = len(raw) - at - gram
-        right[i, :n_right[i]] = raw[at + gram:]
-    value = np.zeros((len(bodies), side + 1), dtype=np.uint64)
-    after = np.zeros((len(bodies), side + 1), dtype=np.uint64)
-    weight = powers(_BASE, side)
-    np.cumsum((left + np.uint64(1)) * weight, axis=1, out=value[:, 1:])
-    np.cumsum((right + np.uint64(1)) * weight, axis=1, out=after[:, 1:])
-    value = mix(value) + np.uint64(0x9E3779B97F4A7C15) * mix(after[:, ::-1])
-    offsets = np.arange(side + 1)
-    invalid = (offsets > lefts[:, None]) | (side - offsets > n_right[:, None])
-    value[invalid] = np.nonzero(invalid)[0].astype(np.uint64)  # like no other row
+    """Which windows of a few bodies occur in two of them: the classes of
+    ``window_classes``, all offsets in one matrix."""
+    (left, left_common), (right, right_common) = _both_orders(bodies, lefts, length)
+    n_right = np.array([len(b) for b in bodies], dtype=np.int64) - lefts
+    offsets = np.arange(length - length // 4 + 1)
+    value = np.empty((len(bodies), len(offsets)), dtype=np.int64)
+    after = np.empty(value.shape, dtype=np.int64)
+    value[left] = np.cumsum(left_common[:, None] < offsets, axis=0)
+    after[right] = np.cumsum(right_common[:, None] < length - offsets, axis=0)
+    value = value * (len(bodies) + 1) + after
+    invalid = (offsets > lefts[:, None]) | (length - offsets > n_right[:, None])
+    value[invalid] = -1 - np.nonzero(invalid)[0]  # like no other row
     order = np.argsort(value, axis=0, kind="stable")
     ranked = np.take_along_axis(value, order, axis=0)
-    same = np.zeros((len(bodies) + 1, side + 1), dtype=bool)
+    same = np.zeros((len(bodies) + 1, len(offsets)), dtype=bool)
     same[1:-1] = ranked[1:] == ranked[:-1]
     out = np.zeros(value.shape, dtype=bool)
     np.put_along_axis(out, order, same[1:] | same[:-1], axis=0)
@@ -271,7 +339,7 @@ def _compare(length: int):
     gram = length // 4
     side = length - gram
     names = ["kind", "key", "c1", "c2", "low", "high", "window", "alone"]
-    types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.bool_()]
+    types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.bool_()]
 
     def run(batches):
         out: list[tuple] = []
@@ -300,7 +368,7 @@ def _compare(length: int):
                     again |= repeated_offsets(bodies, lefts, length)
                 walk = iter(())
             else:
-                walk = window_keys(bodies, lefts, length)
+                walk = window_classes(bodies, lefts, length)
             for offset, have, value in walk:
                 order = np.argsort(value, kind="stable")
                 ranked = value[order]
@@ -312,7 +380,9 @@ def _compare(length: int):
                 if parts > 1:
                     for i in order[~same[:-1]]:  # one of each class
                         r = have[i]
-                        out.append((1, key, *names_[r], offset, None, int(value[i].astype(np.int64)), not bool(again[r, offset])))
+                        begin = int(lefts[r]) - offset
+                        window = hashlib.blake2b(bodies[r][begin:begin + length], digest_size=16).digest()
+                        out.append((1, key, *names_[r], offset, None, window, not bool(again[r, offset])))
                         if len(out) >= 5000:
                             yield flush()
                             out = []
@@ -364,26 +434,26 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES
                    group: int = GROUP) -> DataFrame:
     """Returns (id_col, n_bytes, n_removed, n_spans, kept_sha256, removed) per
     row; ``removed`` lists the maximal removed runs [start, end) in bytes."""
-    spark = docs.sparkSession
-    ws = Workspace(spark, "suffix")
+    ws = Workspace(docs.sparkSession, "suffix")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    scan = ws.put(rows.mapInArrow(_scan(length), "doc_id long, n_bytes long, sha binary, keys array<long>, twice array<boolean>"))
+    scan = ws.put(rows.mapInArrow(_scan(length), "doc_id long, n_bytes long, sha binary, keys array<long>, twice array<boolean>, grams array<binary>"),
+                  compression="zstd")
+    family = SuffixFamily(ws)
+    for batch in range(batches):
+        family.add(suffix_rows(scan.where(F.pmod(F.xxhash64("sha"), F.lit(batches)) == batch)))
+    out = hit_spans(ws, rows, scan, family.hit_keys(), length, group)
+    family.close()
+    return out.withColumnRenamed("doc_id", id_col)
+
 
+def hit_spans(ws: Workspace, rows: DataFrame, scan: DataFrame, keys: DataFrame, length: int, group: int) -> DataFrame:
+    """What the matches at these keys remove from the scanned rows."""
     # one row of each text takes part; it is named by a number
     distinct = scan.groupBy("sha").agg(F.count("*").alias("rows"))
     distinct = ws.put(distinct.withColumn("rid", F.monotonically_increasing_id()))
-    suffixes = scan.where(F.size("keys") > 0).join(distinct, "sha").select("sha", "rid", "rows", "keys", "twice")
-    copied = suffixes.where("rows > 1").dropDuplicates(["rid"])
-    suffixes = suffixes.where("rows = 1").unionByName(copied)
-    suffixes = ws.put(suffixes.select("rid", F.explode(F.arrays_zip("keys", "twice")).alias("s")).select(
-        F.col("s.keys").alias("key"), "rid", F.col("s.twice").alias("twice")))
-    family = SuffixFamily(ws)
-    for batch in range(batches):
-        family.add(suffixes.where(F.pmod(F.xxhash64("rid"), F.lit(batches)) == batch))
-    ws.drop(suffixes)
-    hits = family.hit_suffixes().groupBy("rid").agg(F.collect_list("key").alias("keys"))  # of one text
-    hits = ws.put(hits.join(distinct, "rid").select("rid", "sha", "keys"))
-    family.close()
+    hits = scan.where(F.size("keys") > 0).select("sha", F.explode("keys").alias("key")).join(maybe_small(keys), "key", "left_semi")
+    hits = hits.groupBy("sha").agg(F.collect_set("key").alias("keys"))  # of one text
+    hits = ws.put(hits.join(distinct, "sha").select("rid", "sha", "keys"))
 
     # texts with hits, and what surrounds the hits
     need = ws.put(hits.select("sha"))
@@ -397,7 +467,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES
     around = around.join(F.broadcast(split) if split.limit(100_001).count() <= 100_000 else split, "key", "left").withColumn(
         "parts", F.coalesce("parts", F.lit(1))).withColumn("salt", F.pmod(F.col("c1"), F.col("parts")).cast("int"))
     around = around.repartition("key", "salt").sortWithinPartitions("key", "salt", "c1", "c2")
-    runs = ws.put(around.mapInArrow(_compare(length), "kind int, key long, c1 long, c2 long, low int, high int, window long, alone boolean"),
+    runs = ws.put(around.mapInArrow(_compare(length), "kind int, key long, c1 long, c2 long, low int, high int, window binary, alone boolean"),
                   text_batch=2000)
     windows = runs.where("kind = 1")
     meet = windows.groupBy("key", "low", "window").agg(F.count("*").alias("n")).where("n > 1").drop("n")
@@ -416,7 +486,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES
     every = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("end")))
     runs_of = F.when(whole, every).otherwise(F.coalesce("removed", F.array().cast("array<struct<start:long,end:long>>")))
     return out.select(
-        F.col("doc_id").alias(id_col), "n_bytes",
+        "doc_id", "n_bytes",
         F.when(whole, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
         F.size(runs_of).cast("long").alias("n_spans"),
         F.when(whole, empty).otherwise(F.coalesce("kept_sha256", F.lower(F.hex("sha")))).alias("kept_sha256"),

@@ -4,8 +4,10 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from encore.llm import suffix_dedup as S
+from encore.llm.common import Workspace
 
 
 def brute(texts, length):
@@ -72,13 +74,66 @@ def test_sparse_suffixes_cover_every_window_and_pieces_agree(monkeypatch):
     assert (again[0] == places).all() and (again[1] == keys).all()
 
 
-def test_levels_merge_geometrically(spark):
-    from encore.llm.common import Workspace
+def suffixes(spark, rows):
+    """(gram, text) pairs as rows of a batch."""
+    made = [(g.encode(), i, t == "twice", t_no, t_no) for g, i, t, t_no in rows]
+    return spark.createDataFrame(made, "gram binary, key long, twice boolean, a long, b long")
 
+
+def test_levels_merge_geometrically_and_find_what_meets(spark):
     family = S.SuffixFamily(Workspace(spark, "levels"))
     for i in range(5):
-        family.add(spark.createDataFrame([(k, i, k == 6) for k in range(i, i + 3)], "key long, rid long, twice boolean"))
-    assert [n for n, _ in family.levels] == [4, 1]
-    hit = family.hit_suffixes()
-    assert sorted({r["key"] for r in hit.collect()}) == [1, 2, 3, 4, 5, 6]
-    assert hit.count() == 14
+        family.add(suffixes(spark, [(f"g{k}", k, "twice" if k == 6 else "", i) for k in range(i, i + 3)]))
+    assert [n for n, *_ in family.levels] == [4, 1]
+    assert sorted(r["key"] for r in family.hit_keys().collect()) == [1, 2, 3, 4, 5, 6]
+    array = spark.table(family.levels[0][1])
+    assert sorted(bytes(r["gram"]) for r in array.collect()) == [f"g{k}".encode() for k in range(6)]
+    family.close()
+
+
+def test_merge_scan_reads_levels_without_exchange_or_sort(spark):
+    family = S.SuffixFamily(Workspace(spark, "levels"))
+    for i in range(3):
+        family.add(suffixes(spark, [(f"g{k:04}", k, "", i) for k in range(i * 500, i * 500 + 900)]))
+    with family._in_order():
+        plan = family.merged(family.levels[0][1], family.levels[1][1], "inner")._jdf.queryExecution().toString()
+    physical = plan[plan.index("== Physical Plan =="):]
+    assert "SortMergeJoin" in physical and "Exchange" not in physical and "Sort [" not in physical
+    family.close()
+
+
+def test_later_batch_against_stored_levels(spark):
+    length = 80
+    texts = corpus(11, length)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    half = len(texts) // 2
+    ws = Workspace(spark, "stored")
+    schema = "doc_id long, n_bytes long, sha binary, keys array<long>, twice array<boolean>, grams array<binary>"
+    scan = ws.put(docs.mapInArrow(S._scan(length), schema))
+    first = S.SuffixFamily(ws)
+    first.add(S.suffix_rows(scan.where(F.col("doc_id") < half)))
+    earlier = first.hit_keys()
+    later = S.SuffixFamily.open(ws, first.buckets, [(n, path) for n, _, path in first.levels])
+    later.add(S.suffix_rows(scan.where(F.col("doc_id") >= half)))
+    keys = ws.put(earlier.union(later.hit_keys()).distinct())
+    rows = S.hit_spans(ws, docs, scan, keys, length, S.GROUP).orderBy("doc_id").collect()
+    assert [(r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in rows] == brute(texts, length)
+
+
+def test_bytes_decide_not_hashes(spark):
+    """Thue-Morse words and their complements collide in polynomials modulo
+    2**64; here they must stay apart, and equal keys of unlike grams too."""
+    word = "a"
+    for _ in range(11):
+        word += word.translate(str.maketrans("ab", "ba"))
+    texts = [word, word.translate(str.maketrans("ab", "ba")), "x" + word[:1024], "y" + word[1024:]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = S.remove_repeats(docs, length=400).orderBy("doc_id").collect()
+    assert [(r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in rows] == brute(texts, 400)
+    bodies = [b"12" + b"gram" + b"12345678", b"12" + b"marg" + b"12345678", b"02" + b"gram" + b"12345678"]
+    out = S.repeated_offsets(bodies, np.array([2, 2, 2]), 12)
+    assert out[:, 0].tolist() == [True, False, True] and out[:, 1].tolist() == [True, False, True]
+    assert not out[:, 2:].any()
+    for offset, have, value in S.window_classes(bodies, np.array([2, 2, 2]), 12):
+        same = [bool((value == v).sum() > 1) for v in value]
+        assert same == out[have, offset].tolist()
