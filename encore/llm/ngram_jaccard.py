@@ -24,10 +24,12 @@ than k words: the whole sequence as one shingle).  Two documents link when
    subsets against list entries times the mean length of the lists they meet.
 5. *First pass over the lists:* every member meets three fixed members of its
    list (linear in the list).  An upper bound on the overlap from bitmaps
-   (two sets differ in at least as many elements as their bitmaps in bits)
-   and then the exact count decide.
+   (two sets differ in at least as many elements as their bitmaps in bits;
+   a bit is the parity of its cell, so what both sets have cancels and hides
+   nothing) and then the exact count decide.
 6. *Second pass:* lists whose members are not one component yet are compared
-   in blocks of about BLOCK members, all block pairs in parallel; only pairs
+   in blocks of about BLOCK members, all block pairs in parallel; of lists with
+   the same members, which hold the same pairs, one is compared.  Only pairs
    of different components that pass sizes and bitmaps are emitted, and
    verified exactly.  Nothing is capped: a list of any length is compared
    whole, and a group whose members the first pass joined costs nothing here.
@@ -53,7 +55,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from encore.llm.common import Workspace, components, grouped, keep_ids, texts_of, tidy
+from encore.llm.common import Workspace, components, grouped, keep_ids, maybe_small, texts_of, tidy
 from encore.llm.text import mix, shingle_hashes, shingles, word_hashes
 
 #: Cells of the count sketches (one byte each where they are broadcast).
@@ -198,20 +200,21 @@ INDEX = "id long, n int, f1 long, f2 long, prefix array<long>, bitmap binary, ke
 
 
 def bitmap(tokens: np.ndarray) -> np.ndarray:
-    """One bit per hash cell, at least as many bits as elements."""
+    """Parity of the elements in each hash cell, at least as many cells as
+    elements.  Bits of two sets differ where an odd number of the elements of
+    one set alone fall, whatever they have in common."""
     bits = LEAST_BITS
     while bits < len(tokens):
         bits *= 2
-    on = np.zeros(bits, dtype=np.uint8)
-    on[(tokens & np.uint64(bits - 1)).astype(np.int64)] = 1
-    return np.packbits(on, bitorder="little").view(np.uint64)
+    on = np.bincount((tokens & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(on.astype(np.uint8), bitorder="little").view(np.uint64)
 
 
 def fold(bits: np.ndarray, words: int) -> np.ndarray:
     """The bitmap that the same set has with fewer words."""
     while bits.shape[-1] > words:
         half = bits.shape[-1] // 2
-        bits = bits[..., :half] | bits[..., half:]
+        bits = bits[..., :half] ^ bits[..., half:]
     return bits
 
 
@@ -385,6 +388,17 @@ def _block_pairs(t: int, x: int):
     return run
 
 
+def lists_to_compare(members: DataFrame) -> DataFrame:
+    """Tokens of the lists (token, id, n, comp) that are not one component yet:
+    one of all lists with the same members (id, n), as told by their number
+    and 128 bits of sums, which are of long type up to 2**31 members."""
+    hashes = F.xxhash64("id", "n"), F.xxhash64(F.lit(1), "id", "n")
+    parts = [F.sum(F.shiftrightunsigned(h, at).bitwiseAND(F.lit(0xFFFFFFFF))).alias(f"h{i}{at}") for i, h in enumerate(hashes) for at in (0, 32)]
+    lists = members.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("rows"), *parts)
+    same = ["rows", "h00", "h032", "h10", "h132"]
+    return lists.where("x != y").groupBy(*same).agg(F.min("token").alias("token")).select("token")
+
+
 def _token_sets(id_col: str, text_col: str, k: int):
     @tidy
     def run(batches):
@@ -573,16 +587,16 @@ def ngram_components(docs: DataFrame, k: int = 5, t: int = 80, id_col: str = "do
     # lists that are not one component yet, in blocks
     label = F.coalesce("comp", "id").alias("comp")
     open_ = posts.select("token", "id", "n", "members").join(comps, "id", "left").select("token", "id", "n", "members", label)
-    mixed = open_.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x != y").select("token")
+    mixed = ws.put(lists_to_compare(open_))
     blocks = F.ceil(F.col("members") / BLOCK)
-    member = open_.join(mixed, "token").join(bitmaps.select("id", "bitmap"), "id").withColumn(
+    member = open_.join(maybe_small(mixed), "token").join(bitmaps.select("id", "bitmap"), "id").withColumn(
         "own", F.pmod(F.xxhash64("id"), blocks))
     member = member.select("token", "id", "n", "comp", "bitmap", "own", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("o"))
     member = member.select("token", F.least("own", "o").alias("lo"), F.greatest("own", "o").alias("hi"), "id", "n", "comp", "own", "bitmap")
     member = member.repartition("token", "lo", "hi").sortWithinPartitions("token", "lo", "hi")
     second = ws.put(member.mapInArrow(_block_pairs(t, x), "a long, b long").distinct(), text_batch=4096)
     more = verified(second)
-    ws.drop(first, second, posts, index)
+    ws.drop(first, second, posts, index, mixed)
     every = ws.put(sure.union(more))
     if more.isEmpty():
         final = comps

@@ -98,6 +98,51 @@ def test_bitmaps_bound_the_difference():
         assert differ <= len(np.setxor1d(a, b))
 
 
+def test_bitmaps_tell_sets_that_share_much_apart():
+    """Sets of one base that are a little too far apart to link: no pair of
+    them is a candidate, whatever their number."""
+    rng = np.random.default_rng(6)
+    base = rng.integers(0, 1 << 63, 700, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([base[rng.random(700) < 0.91], rng.integers(0, 1 << 63, 63, dtype=np.uint64)])) for _ in range(40)]
+    maps = [J.bitmap(s) for s in sets]
+    near = [(i, j) for i in range(40) for j in range(i)]
+    assert not any(180 * len(np.intersect1d(sets[i], sets[j])) >= 80 * (len(sets[i]) + len(sets[j])) for i, j in near)
+    assert not any(J.may_link(len(sets[i]), len(sets[j]), int(np.bitwise_count(maps[i] ^ maps[j]).sum()), 80) for i, j in near)
+
+
+def test_lists_with_the_same_members_are_compared_once(spark):
+    lists = {1: [7, 8, 9], 2: [9, 8, 7], 3: [7, 8], 4: [7, 7, 8, 9], 5: [8, 8, 7, 9], 6: [7, 8, 9], 7: [20, 21], 8: [-7, 3], 9: [3, -7]}
+    rows = [(token, i, 100, 20 if i > 19 else i) for token, ids in lists.items() for i in ids]
+    rows += [(10, 7, 100, 7), (10, 8, 101, 8)]  # another size is another member
+    members = spark.createDataFrame(rows, "token long, id long, n int, comp long")
+    assert sorted(r["token"] for r in J.lists_to_compare(members).collect()) == [1, 3, 4, 5, 8, 10]
+
+
+def test_pairs_too_far_apart_are_no_candidates(spark, monkeypatch):
+    """Texts that share most shingles, but too few to link, meet in many lists;
+    no pair of them goes on to the exact count."""
+    emitted = []
+    put = J.Workspace.put
+
+    def counted(self, df, *args, **options):
+        out = put(self, df, *args, **options)
+        emitted.append((out.columns, out.count(), options))
+        return out
+
+    monkeypatch.setattr(J.Workspace, "put", counted)
+    base = [f"w{i}" for i in range(700)]
+    rows = []
+    for m in range(11):
+        words = list(base)
+        for at in range(5 * m, 700, 58):  # five shingles each
+            words[at] = f"edit{m}x{at}"
+        rows.append((m, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = J.ngram_components(docs, k=5, t=80, links=False).collect()
+    assert sorted((r["doc_id"], r["component_id"]) for r in got) == [(m, m) for m in range(11)]
+    assert [n for columns, n, options in emitted if options == {"text_batch": 4096}] == [0]
+
+
 def test_sketch_blocks_round_trip():
     rng = np.random.default_rng(1)
     for share in (0.0, 0.01, 0.9):
