@@ -5,6 +5,7 @@ over ranges of a numeric column so that a large table is fetched in parallel,
 then written as a full overwrite.  The ranges hold about equally many rows:
 their bounds are quantiles of a sample of the keys, so keys in clusters (an
 old block of small numbers, a new one of large ones) do not fill one range.
+A table of a few rows is cut evenly between its least and greatest key.
 """
 
 from __future__ import annotations
@@ -15,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 FETCH_SIZE = 10000
 #: Of so many keys one is sampled, by its remainder.
 SAMPLE_EVERY = 101
-#: Sampled keys per range below which all keys are read instead.
+#: Sampled keys per range below which all keys are read instead; with fewer
+#: keys than that in the whole table no quantiles are taken.
 LEAST_SAMPLE = 20
 
 
@@ -61,15 +63,28 @@ def quantile_bounds(keys: DataFrame, splits: int) -> list[int]:
     return [int(b) for b in keys.select(keys[column].cast("double")).approxQuantile(column, shares, 0.1 / splits)] if shares else []
 
 
+def _even_ranges(spark: SparkSession, url: str, table: str, properties: dict[str, str], column: str, splits: int) -> DataFrame:
+    """The table in ``splits`` equal ranges between its least and greatest key."""
+    bounds = read_jdbc_table(spark, url, f"(SELECT MIN({column}) AS LOW, MAX({column}) AS HIGH FROM {table}) B", properties).first()
+    if bounds is None or bounds[0] is None:
+        return read_jdbc_table(spark, url, table, properties)
+    return read_jdbc_table(spark, url, table, properties, column, int(bounds[0]), int(bounds[1]) + 1, splits)
+
+
 def read_jdbc_ranges(spark: SparkSession, url: str, table: str, properties: dict[str, str], column: str, splits: int,
                      every: int = SAMPLE_EVERY) -> DataFrame:
     """The table in ``splits`` ranges of about equally many rows."""
     def keys(where: str) -> DataFrame:
         return read_jdbc_table(spark, url, f"(SELECT {column} AS K FROM {table} WHERE {where}) S", properties)
 
+    def few(sample: DataFrame) -> bool:
+        return sample.limit(LEAST_SAMPLE * splits).count() < LEAST_SAMPLE * splits
+
     sample = keys(f"MOD({column}, {every}) = 0")
-    if every > 1 and sample.limit(LEAST_SAMPLE * splits).count() < LEAST_SAMPLE * splits:
+    if few(sample):
         sample = keys(f"{column} IS NOT NULL")
+        if few(sample):
+            return _even_ranges(spark, url, table, properties, column, splits)
     props = {"fetchsize": str(FETCH_SIZE), **properties}
     return spark.read.jdbc(url, table, predicates=range_predicates(column, quantile_bounds(sample, splits)), properties=props)
 
