@@ -21,7 +21,8 @@ from encore.llm.exact_dedup import exact_groups
 from encore.llm.mixing import mix
 from encore.llm.ngram_jaccard import ngram_components
 from encore.llm.queries import CUT, MIX_TARGETS, table, tokenizer_path
-from encore.llm.sentencepiece_scan import encode_only
+from encore.llm.sentencepiece_scan import ROWS, SPACE, decode
+from encore.llm.sentencepiece_scan import encode_only as encode
 
 #: Share of the tokens that reach the mixing stage and stay.
 MIX_BUDGET = 0.9
@@ -67,9 +68,13 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with the piece ids of their whole texts in place of the
-    texts, and whether the ids decode to the text (a U+2581 reads back as a
-    space)."""
-    return encode_only(docs, tokenizer_path())
+    texts, and whether the ids, read again, decode to the text (a U+2581 reads
+    back as a space); the text goes along as its digest."""
+    path = tokenizer_path()
+    want = F.sha2(F.translate(F.coalesce("text", F.lit("")), SPACE, " "), 256)
+    out = decode(encode(docs.withColumn("_want", want), path), path, out_col="_decoded")
+    told = {"n_tokens": F.size("token_ids").cast("long"), "round_trip": F.sha2("_decoded", 256) == F.col("_want")}
+    return Workspace(spark, "tokens").put(out.withColumns(told).drop("_want", "_decoded"), text_batch=ROWS)
 
 
 STAGES = [
